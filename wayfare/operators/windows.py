@@ -48,23 +48,40 @@ def _slices(df: DataFrame, keys: Sequence[str], per_key: int) -> tuple[DataFrame
 def running(df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column], slices: int = 256) -> DataFrame:
     """Cumulative sums along ``order`` within ``group`` (all rows when ``group`` is empty).
 
-    ``order`` must identify rows within a group. A group has at most
-    ``(slices + 2) ** len(order)`` slice totals, however many rows it holds.
+    ``order`` must identify rows within a group. Rows are cut into slices of the first
+    key; a slice that holds a single value of it is cut further along the second key, so
+    ties do not pile up either. A group has at most ``(slices + 2) ** 2`` slice totals,
+    however many rows it holds.
     """
     group, plain = list(group), df.columns
     df, keys = _order_columns(df, order)
     vals = {f"__v{i}": c for i, c in enumerate(sums.values())}
     df = df.withColumns(vals)
-    df, cells = _slices(df, keys, max(2, int(slices ** (1 / len(keys)))))
-    local = W.partitionBy(*group, *cells).orderBy(*keys).rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = W.partitionBy(*group).orderBy(*cells).rowsBetween(W.unboundedPreceding, -1)
-    totals = df.groupBy(*group, *cells).agg(*[F.sum(v).alias(v) for v in vals])
-    offsets = totals.select(
-        *[F.col(c).alias(f"__g{i}") for i, c in enumerate([*group, *cells])],
+    two = len(keys) > 1
+    df, cells = _slices(df, keys[:2], int(slices**0.5) * 4 if two else slices)
+    totals = [F.sum(v).alias(v) for v in vals]
+    size = df.groupBy(*group, *cells).agg(*totals, F.min(keys[0]).alias("__lo"), F.max(keys[0]).alias("__hi"))
+    if two:
+        slice_of = W.partitionBy(*group, cells[0])
+        tied = F.min("__lo").over(slice_of) == F.max("__hi").over(slice_of)
+        size = size.withColumn("__s2", F.when(tied, F.col(cells[1])).otherwise(F.lit(0)))
+        final = [cells[0], "__s2"]
+        merged = size.groupBy(*group, *final).agg(*totals)
+    else:
+        final, merged = cells, size
+    before = W.partitionBy(*group).orderBy(*final).rowsBetween(W.unboundedPreceding, -1)
+    marks = [*group, *final]
+    offsets = merged.select(
+        *[F.col(c).alias(f"__g{i}") for i, c in enumerate(marks)],
         *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"__o{i}") for i, v in enumerate(vals)],
     )
+    if two:
+        lookup = size.select(*[F.col(c).alias(f"__h{i}") for i, c in enumerate([*group, *cells])], "__s2")
+        at = [F.col(c).eqNullSafe(F.col(f"__h{i}")) for i, c in enumerate([*group, *cells])]
+        df = df.join(lookup, on=at, how="inner")
+    local = W.partitionBy(*marks).orderBy(*keys).rowsBetween(W.unboundedPreceding, W.currentRow)
     inner = df.withColumns({f"__r{i}": F.sum(v).over(local) for i, v in enumerate(vals)})
-    same = [F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate([*group, *cells])]
+    same = [F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(marks)]
     joined = inner.join(offsets, on=same, how="inner")
     return joined.select(*plain, *[(F.col(f"__r{i}") + F.col(f"__o{i}")).alias(n) for i, n in enumerate(sums)])
 
