@@ -92,6 +92,16 @@ SELECT CONCAT('47065', LPAD(CAST(s_nationkey * 100 AS STRING), 6, '0'), LPAD(CAS
     "v_cwalk": """
 SELECT l_partkey AS mz_id, CAST(l_partkey % 103 AS INT) AS tract, CAST(l_suppkey % 3 AS INT) AS puma, SUM(l_quantity) AS pop
 FROM lineitem GROUP BY l_partkey, l_partkey % 103, l_suppkey % 3""",
+    "v_pums_hh": """
+SELECT c_custkey AS serialno, CAST(c_custkey % 3 AS INT) AS puma, CAST(1 + c_custkey % 5 AS INT) AS wgtp, CAST(1 + c_custkey % 4 AS INT) AS np,
+       CASE c_nationkey % 6 WHEN 0 THEN 1080470 WHEN 1 THEN 1073449 WHEN 2 THEN 1054606 WHEN 3 THEN 1031452 WHEN 4 THEN 1010145 ELSE 1 END AS adjinc,
+       ROUND(c_acctbal) AS hincp, CAST(c_custkey % 5 AS INT) - 1 AS ten, CAST(1 + c_custkey % 11 AS INT) AS bld, CAST(c_custkey % 4 AS INT) - 1 AS veh,
+       CASE c_mktsegment WHEN 'BUILDING' THEN 3 WHEN 'MACHINERY' THEN 2 ELSE 1 END AS type, CAST(1 + c_custkey % 5 AS INT) AS hupac FROM customer""",
+    "v_pums_per": """
+SELECT hhno AS serialno, pno AS sporder, pagey AS agep, 1 + (hhno + pno) % 2 AS sex, (hhno * 3 + pno * 7) % 60 AS wkhp, CASE WHEN pagey >= 16 THEN 1 + (hhno + pno) % 6 END AS esr,
+       CASE WHEN pagey < 30 THEN (hhno + 2 * pno) % 8 ELSE 0 END AS schg, 1 + (hhno + pno) % 4 AS mil, 1 + (hhno * 5 + pno) % 9 AS pwgtp,
+       CASE WHEN hhno % 3 = 0 THEN 'N.A.' ELSE CONCAT(CAST(11 + 2 * ((hhno + pno) % 23) AS STRING), '1011 ') END AS socp00,
+       CONCAT(CAST(11 + 2 * ((hhno + 3 * pno) % 23) AS STRING), '2022') AS socp10 FROM v_person""",
     "v_point": """
 SELECT vec_id AS id, CAST(ELEM(embedding, 1) AS DOUBLE) AS x, CAST(ELEM(embedding, 2) AS DOUBLE) AS y, label FROM embeddings""",
     "v_hour_profile": """
