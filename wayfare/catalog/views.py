@@ -92,6 +92,33 @@ SELECT CONCAT('47065', LPAD(CAST(s_nationkey * 100 AS STRING), 6, '0'), LPAD(CAS
     "v_cwalk": """
 SELECT l_partkey AS mz_id, CAST(l_partkey % 103 AS INT) AS tract, CAST(l_suppkey % 3 AS INT) AS puma, SUM(l_quantity) AS pop
 FROM lineitem GROUP BY l_partkey, l_partkey % 103, l_suppkey % 3""",
+    "v_hwy": """
+SELECT l.id, l.from_id, l.to_id, l.length, l.dir, l.fcarea, l.ab_lanes, l.ba_lanes, l.access, l.median, l.ramp, l.aadt,
+       CASE WHEN l.id % 23 = 0 THEN NULL ELSE l.spd_lmt END AS pspeed, x.fc, CAST(l.id % 2 AS INT) AS turnlane, CAST(8 + l.id % 6 AS INT) AS lnwidth,
+       CASE WHEN l.id % 9 = 0 THEN NULL ELSE CAST(l.id % 8 AS INT) END AS rswidth, CAST(l.from_id % 6 AS INT) AS a_ctrl, CAST(l.to_id % 6 AS INT) AS b_ctrl,
+       CAST(1 + l.id % 3 AS INT) AS a_prio, CAST(1 + (l.id + 1) % 3 AS INT) AS b_prio, CAST(l.id % 4 AS INT) % 2 AS a_sync, CAST(l.id % 5 AS INT) % 2 AS b_sync,
+       CASE WHEN l.id % 8 = 1 THEN 1 ELSE 0 END AS auxlane, CASE WHEN l.id % 10 = 1 AND l.ab_lanes >= 2 THEN 1 ELSE 0 END AS weavelane,
+       CASE WHEN l.id % 6 = 5 THEN 1 ELSE 0 END AS truckclimb, CASE l.id % 40 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 0 END AS correction, CAST(l.id % 3 AS INT) AS rail,
+       l.ab_am_auto AS ab_basevol, l.ba_am_auto AS ba_basevol, l.ab_am_auto AS ab_am_car, l.ba_am_auto AS ba_am_car, l.ab_pm_auto AS ab_pm_car, l.ba_pm_auto AS ba_pm_car,
+       CAST((l.id * 41) % 9000 AS INT) AS ab_op_car, CAST((l.id * 43) % 9000 AS INT) AS ba_op_car, l.ab_am_sut AS ab_am_su, l.ba_am_sut AS ba_am_su,
+       CAST((l.id * 3) % 300 AS INT) AS ab_pm_su, CAST((l.id * 11) % 300 AS INT) AS ba_pm_su, CAST((l.id * 19) % 700 AS INT) AS ab_op_su, CAST((l.id * 23) % 700 AS INT) AS ba_op_su,
+       CAST(l.id % 90 AS INT) AS ab_am_mu, CAST(l.id % 70 AS INT) AS ba_am_mu, CAST(l.id % 50 AS INT) AS ab_pm_mu, CAST(l.id % 60 AS INT) AS ba_pm_mu,
+       CAST(l.id % 200 AS INT) AS ab_op_mu, CAST(l.id % 210 AS INT) AS ba_op_mu
+FROM v_link l JOIN (SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN CASE p_partkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 2 WHEN 3 THEN 6 WHEN 4 THEN 7 WHEN 5 THEN 8 ELSE 9 END ELSE CASE p_partkey % 7 WHEN 0 THEN 11 WHEN 1 THEN 12 WHEN 2 THEN 14 WHEN 3 THEN 16 WHEN 4 THEN 17 WHEN 5 THEN 17 ELSE 19 END END AS fc FROM part) x ON x.id = l.id""",
+    "v_dlink": """
+SELECT id, 'AB' AS flow, from_id, to_id, length, dir, fc, fcarea, access, median, ramp, ab_lanes AS lanes, ab_am_car AS am_car, ab_pm_car AS pm_car, ab_op_car AS op_car, ab_am_su AS am_su, ab_pm_su AS pm_su,
+       ab_op_su AS op_su, ab_am_mu AS am_mu, ab_pm_mu AS pm_mu, ab_op_mu AS op_mu, 60 * length / (25 + id % 40) AS fftime, CAST(800 + (id * 7) % 4000 AS DOUBLE) AS am_cap,
+       CAST(900 + (id * 13) % 4000 AS DOUBLE) AS pm_cap, CAST(0.15 AS DOUBLE) AS bpr_a, CAST(4 AS DOUBLE) AS bpr_b FROM v_hwy WHERE ab_lanes > 0
+UNION ALL
+SELECT id, 'BA' AS flow, to_id, from_id, length, dir, fc, fcarea, access, median, ramp, ba_lanes, ba_am_car, ba_pm_car, ba_op_car, ba_am_su, ba_pm_su, ba_op_su, ba_am_mu, ba_pm_mu, ba_op_mu,
+       60 * length / (25 + id % 40), CAST(800 + (id * 7) % 4000 AS DOUBLE), CAST(900 + (id * 13) % 4000 AS DOUBLE), CAST(0.15 AS DOUBLE), CAST(4 AS DOUBLE) FROM v_hwy WHERE ba_lanes > 0""",
+    "v_profile": """
+SELECT area_group, hour, period, CAST(car AS DOUBLE) / SUM(car) OVER (PARTITION BY area_group, period) AS car, CAST(su AS DOUBLE) / SUM(su) OVER (PARTITION BY area_group, period) AS su,
+       CAST(mu AS DOUBLE) / SUM(mu) OVER (PARTITION BY area_group, period) AS mu
+FROM (SELECT g.area_group, HOUR(e.ts) + 1 AS hour, CASE WHEN HOUR(e.ts) BETWEEN 6 AND 8 THEN 'am' WHEN HOUR(e.ts) BETWEEN 15 AND 17 THEN 'pm' ELSE 'op' END AS period,
+  SUM(g.k + CASE WHEN e.event_type = 'view' THEN 3 ELSE 1 END) AS car, SUM(1 + CASE WHEN e.event_type = 'click' THEN g.k ELSE 1 END) AS su, SUM(1 + CASE WHEN e.event_type = 'error' THEN 5 ELSE 1 END) AS mu
+ FROM events e JOIN (SELECT 'rf' AS area_group, 1 AS k, 1 AS one UNION ALL SELECT 'ro', 2, 1 UNION ALL SELECT 'uf', 3, 1 UNION ALL SELECT 'uo', 4, 1) g ON g.one = 1
+ GROUP BY g.area_group, HOUR(e.ts) + 1, CASE WHEN HOUR(e.ts) BETWEEN 6 AND 8 THEN 'am' WHEN HOUR(e.ts) BETWEEN 15 AND 17 THEN 'pm' ELSE 'op' END) h""",
     "v_pums_hh": """
 SELECT c_custkey AS serialno, CAST(c_custkey % 3 AS INT) AS puma, CAST(1 + c_custkey % 5 AS INT) AS wgtp, CAST(1 + c_custkey % 4 AS INT) AS np,
        CASE c_nationkey % 6 WHEN 0 THEN 1080470 WHEN 1 THEN 1073449 WHEN 2 THEN 1054606 WHEN 3 THEN 1031452 WHEN 4 THEN 1010145 ELSE 1 END AS adjinc,
