@@ -8,7 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import fn_haversine
 from ..session import cut_lineage
+from .windows import win_largest_remainder, win_share_in_group
 
 
 def _cell(x: str | Column, size: float) -> Column:
@@ -163,3 +165,18 @@ def spa_buffer_decay(
     around = here.join(cells, ["cx", "cy"]).groupBy("hx", "hy").agg(*aggs)
     around = around.withColumnsRenamed({"hx": "cx", "hy": "cy"})
     return at.select(key, "cx", "cy").join(around, ["cx", "cy"]).drop("cx", "cy")
+
+
+def spa_dasymetric(buildings: DataFrame, polygons: DataFrame, stations: DataFrame, totals: DataFrame, key: str, cell: float, dispersion: float = -0.5) -> DataFrame:
+    """Zone totals spread over the buildings inside by distance to the nearest station.
+
+    Shares fall off as exp(dispersion x miles); the whole numbers keep each zone's total.
+    ``buildings`` is (key, x, y) in degrees, ``polygons`` (pid, ring), ``totals`` (pid, total).
+    """
+    inside = join_point_in_polygon(buildings, polygons, "x", "y", "pid", "ring", cell)
+    near = join_nearest(inside.select(key, "x", "y").distinct(), stations, key, "site").select(key, "site")
+    at = stations.select("site", F.col("x").alias("sx"), F.col("y").alias("sy"))
+    far = inside.join(near, key).join(at, "site").withColumn("miles", fn_haversine("x", "y", "sx", "sy"))
+    shared = win_share_in_group(far.withColumn("utility", F.exp(dispersion * F.col("miles"))), ["pid"], "utility")
+    units = shared.join(totals, "pid").withColumn("part", F.col("total") * F.col("share"))
+    return win_largest_remainder(units, ["pid"], "part", [key], "units")
