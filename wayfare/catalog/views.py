@@ -112,6 +112,18 @@ SELECT id, 'AB' AS flow, from_id, to_id, length, dir, fc, fcarea, access, median
 UNION ALL
 SELECT id, 'BA' AS flow, to_id, from_id, length, dir, fc, fcarea, access, median, ramp, ba_lanes, ba_am_car, ba_pm_car, ba_op_car, ba_am_su, ba_pm_su, ba_op_su, ba_am_mu, ba_pm_mu, ba_op_mu,
        60 * length / (25 + id % 40), CAST(800 + (id * 7) % 4000 AS DOUBLE), CAST(900 + (id * 13) % 4000 AS DOUBLE), CAST(0.15 AS DOUBLE), CAST(4 AS DOUBLE) FROM v_hwy WHERE ba_lanes > 0""",
+    "v_saf": """
+SELECT id, from_id, to_id, length, dir, fc, access, median, median AS divided, CASE WHEN dir = 0 THEN CAST(2 * (1 + id % 5) + CASE WHEN id % 9 = 0 THEN 1 ELSE 0 END AS INT) ELSE CAST(1 + id % 5 AS INT) END AS lanes,
+       ab_op_car + ba_op_car AS flow, lnwidth AS lane_width, COALESCE(rswidth, 4) AS shoulder, turnlane AS turn_lane, COALESCE(pspeed, 30) AS speed_limit,
+       CASE WHEN id % 7 = 0 THEN CAST(0.1 AS DOUBLE) END AS entry_ramp, CASE WHEN id % 11 = 0 THEN CAST(0.25 AS DOUBLE) END AS exit_ramp FROM v_hwy""",
+    "v_saf_node": """
+SELECT node, COUNT(*) AS legs, CAST(node % 3 AS INT) AS control, CAST(CASE WHEN node % 5 = 0 THEN 2 ELSE 1 END AS INT) AS access, CAST(CASE WHEN node % 2 = 0 THEN 1 ELSE 0 END AS INT) AS urban,
+       CAST(CASE WHEN node % 4 < 2 THEN 1 ELSE 0 END AS INT) AS multilane, CASE WHEN node % 19 = 0 THEN node END AS zone, CAST(SUM(flow) AS DOUBLE) / 2 AS int_adt,
+       LEAST(COALESCE(MIN(CASE WHEN side = 1 THEN flow END), 0), COALESCE(MIN(CASE WHEN side = 2 THEN flow END), 0)) AS min_adt, MAX(flow) AS max_adt
+FROM (SELECT from_id AS node, 1 AS side, flow FROM v_saf UNION ALL SELECT to_id AS node, 2 AS side, flow FROM v_saf) e GROUP BY node""",
+    "v_onoff": """
+SELECT route, CAST(1 + route % 3 AS INT) AS mode, CASE WHEN start_sec < 32400 THEN 'AM' WHEN start_sec BETWEEN 54000 AND 64800 THEN 'PM' ELSE 'OP' END AS period, milepost AS stop, milepost, passengers_on AS ons,
+       passengers_off AS offs, CAST(1 + milepost % 7 AS INT) AS ivtt FROM v_apc""",
     "v_profile": """
 SELECT area_group, hour, period, CAST(car AS DOUBLE) / SUM(car) OVER (PARTITION BY area_group, period) AS car, CAST(su AS DOUBLE) / SUM(su) OVER (PARTITION BY area_group, period) AS su,
        CAST(mu AS DOUBLE) / SUM(mu) OVER (PARTITION BY area_group, period) AS mu
