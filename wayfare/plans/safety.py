@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.recode import first_match, project_case_map
+from ..functions.recode import first_match
 
 FATAL_SHARE = 0.0188
 CALIBRATION = {"fatal": 1.20, "injury": 1.79, "pdo": 2.59}
@@ -88,8 +88,19 @@ NODE_PEDESTRIAN = {"3SG": (-6.60, 0.05, 0.24, 0.41, 400, 0.09), "4SG": (-9.53, 0
 NODE_BICYCLE = {"3ST": 0.016, "3SG": 0.011, "4ST": 0.018, "4SG": 0.015}
 
 
-def _pick(kind: Column, table: dict, i: int | None = None) -> Column:
-    return project_case_map(kind, {k: float(v if i is None else v[i]) for k, v in table.items()})
+def _with_terms(df: DataFrame, kind: Column, terms: dict[str, dict[str, float]]) -> DataFrame:
+    """Join the coefficients of each row's site type as columns; a type without a value gets null."""
+    kinds = sorted({k for values in terms.values() for k in values})
+    names = list(terms)
+    rows = [(k, *[None if k not in terms[n] else float(terms[n][k]) for n in names]) for k in kinds]
+    ddl = ", ".join(["__kind string", *[f"`{n}` double" for n in names]])
+    return df.withColumn("__kind", kind).join(df.sparkSession.createDataFrame(rows, ddl), "__kind", "left").drop("__kind")
+
+
+def _columns(models: dict[str, dict[str, tuple]], prefix: str = "__") -> dict[str, dict[str, float]]:
+    """One coefficient column per model and position: ``__mv0``, ``__mv1`` ..."""
+    n = max(len(v) for t in models.values() for v in t.values())
+    return {f"{prefix}{m}{i}": {k: v[i] for k, v in t.items()} for m, t in models.items() for i in range(n)}
 
 
 def _interpolated(width: Column, table, adt: Column) -> Column:
@@ -100,28 +111,35 @@ def _interpolated(width: Column, table, adt: Column) -> Column:
     return first_match(rules, line(*table[-1][1]))
 
 
-def _freeway(adt: Column) -> tuple[Column, Column]:
-    lanes, two_way = F.col("lanes"), F.col("dir") == 0
+def _freeway(df: DataFrame) -> DataFrame:
+    lanes, two_way, adt = F.col("lanes"), F.col("dir") == 0, F.col("adt")
     per_side = F.when(two_way, lanes / 2).otherwise(lanes.cast("double"))
     rural = F.col("fc") < 10
     many = F.when(rural, "r4").when(two_way & (lanes == 8), "u4").when(two_way & (lanes >= 10), "u5").when(~two_way, "u4")
     side = F.when(rural, F.lit("r")).otherwise(F.lit("u"))
     kind = F.when(per_side == 2, F.concat(side, F.lit("2"))).when(per_side == 3, F.concat(side, F.lit("3"))).when(per_side >= 4, many)
+    df = _with_terms(df, kind, {f"__{m}": table for m, (_, table) in FREEWAY.items()})
     ramps = 0.5 * (F.coalesce("entry_ramp", F.lit(0.0)) + F.coalesce("exit_ramp", F.lit(0.0)))
-    miles = F.when(F.col("length") - ramps > 0, F.col("length") - ramps).otherwise(F.col("length"))
+    width = F.col("lane_width")
+    narrow = F.when(width < 13, F.exp(FREEWAY_LANE_SLOPE * (width - 12))).otherwise(FREEWAY_WIDE_LANE)
+    df = df.withColumns(
+        {"__miles": F.when(F.col("length") - ramps > 0, F.col("length") - ramps).otherwise(F.col("length")), "__ln": F.ln(0.001 * adt), "__narrow": narrow}
+    )
 
     def model(name: str) -> Column:
-        slope, intercepts = FREEWAY[name]
-        return F.coalesce(miles * F.exp(_pick(kind, intercepts) + slope * F.ln(0.001 * adt)), F.lit(0.0))
+        return F.coalesce(F.col("__miles") * F.exp(F.col(f"__{name}") + FREEWAY[name][0] * F.col("__ln")), F.lit(0.0))
 
-    width = F.col("lane_width")
-    narrow = F.when(width < 13, F.exp(FREEWAY_LANE_SLOPE * (width - 12))).otherwise(FREEWAY_WIDE_LANE)
     barrier = {k: F.when(F.col("median") == 1, f).otherwise(1.0) for k, f in FREEWAY_MEDIAN.items()}
-    return (model("sv_fi") + model("mv_fi")) * narrow * barrier["fi"], (model("sv_pdo") + model("mv_pdo")) * barrier["pdo"]
+    return df.withColumns(
+        {
+            "freeway_fi": (model("sv_fi") + model("mv_fi")) * F.col("__narrow") * barrier["fi"],
+            "freeway_pdo": (model("sv_pdo") + model("mv_pdo")) * barrier["pdo"],
+        }
+    ).drop("__miles", "__ln", "__narrow", *[f"__{m}" for m in FREEWAY])
 
 
-def _rural_multilane(adt: Column) -> tuple[Column, Column]:
-    divided, miles = F.col("divided") == 1, F.col("length")
+def _rural_multilane(df: DataFrame) -> DataFrame:
+    divided, miles, adt = F.col("divided") == 1, F.col("length"), F.col("adt")
 
     def model(name: str) -> Column:
         (a1, b1), (a0, b0) = MULTILANE[name]
@@ -133,8 +151,9 @@ def _rural_multilane(adt: Column) -> tuple[Column, Column]:
     )
     steps = first_match([(shoulder >= w, f) for w, f in DIVIDED_SHOULDER if w is not None], DIVIDED_SHOULDER[-1][1])
     f_side = F.when(divided, steps).otherwise((_interpolated(shoulder, SHOULDER_FACTORS, adt) - 1) * RELATED["undivided"] + 1)
-    total, fi = (F.coalesce(model(n) * f_lane * f_side, F.lit(0.0)) for n in ("total", "fi"))
-    return fi, total - fi
+    df = df.withColumn("__f", f_lane * f_side)
+    df = df.withColumns({f"__{n}": F.coalesce(model(n) * F.col("__f"), F.lit(0.0)) for n in ("total", "fi")})
+    return df.withColumns({"multi_fi": F.col("__fi"), "multi_pdo": F.col("__total") - F.col("__fi")}).drop("__f", "__fi", "__total")
 
 
 def _rural_two_lane(adt: Column) -> Column:
@@ -150,8 +169,8 @@ def _split(total: Column, fi: Column, pdo: Column) -> Column:
     return total * F.try_divide(fi, fi + pdo)
 
 
-def _urban(adt: Column) -> tuple[Column, Column]:
-    lanes, two_way, divided = F.col("lanes"), F.col("dir") == 0, F.col("divided") == 1
+def _urban(df: DataFrame) -> DataFrame:
+    lanes, two_way, divided, adt = F.col("lanes"), F.col("dir") == 0, F.col("divided") == 1, F.col("adt")
     kind = (
         F.when(two_way & (lanes == 2) & ~divided, "2U")
         .when((two_way & (lanes < 4)) | (~two_way & (lanes == 1)), "3T")
@@ -159,22 +178,31 @@ def _urban(adt: Column) -> tuple[Column, Column]:
         .when(two_way & (lanes > 3) & ~divided, "4U")
         .when(two_way & (lanes > 3), "4D")
     )
-
-    def model(name: str) -> Column:
-        return F.exp(_pick(kind, ARTERIAL[name], 0) + _pick(kind, ARTERIAL[name], 1) * F.ln(adt)) * F.col("length")
-
-    rate = _pick(kind, {k: DRIVEWAY_DENSITY * sum(v[0]) for k, v in DRIVEWAYS.items()})
-    driveway = rate * F.pow(adt / 15000, _pick(kind, DRIVEWAYS, 1))
-    share, injury, damage = (_pick(kind, NIGHT, i) for i in range(3))
-    lit = 1 - share * (1 - 0.72 * injury - 0.83 * damage)
-    mv, sv = model("mv"), model("sv")
-    total = (mv + sv + driveway) * lit
-    fi = (_split(mv, model("mv_fi"), model("mv_pdo")) + _split(sv, model("sv_fi"), model("sv_pdo")) + driveway * _pick(kind, DRIVEWAYS, 2)) * lit
-    slow = F.col("speed_limit") <= SLOW_STREET
-    others = sum((F.when(slow, _pick(kind, t, 0)).otherwise(_pick(kind, t, 1)) for t in (PEDESTRIAN, BICYCLE)), F.lit(0.0))
-    walked = total * others
-    fi = F.coalesce(fi + walked, F.lit(0.0))
-    return fi, F.coalesce(total + walked, F.lit(0.0)) - fi
+    lighting = {k: 1 - share * (1 - 0.72 * injury - 0.83 * damage) for k, (share, injury, damage) in NIGHT.items()}
+    terms = {
+        **_columns(ARTERIAL),
+        "__rate": {k: DRIVEWAY_DENSITY * sum(v[0]) for k, v in DRIVEWAYS.items()},
+        "__power": {k: v[1] for k, v in DRIVEWAYS.items()},
+        "__severe": {k: v[2] for k, v in DRIVEWAYS.items()},
+        "__lit": lighting,
+        "__slow": {k: PEDESTRIAN[k][0] + BICYCLE[k][0] for k in PEDESTRIAN},
+        "__fast": {k: PEDESTRIAN[k][1] + BICYCLE[k][1] for k in PEDESTRIAN},
+    }
+    df = _with_terms(df, kind, terms).withColumn("__ln", F.ln(adt))
+    df = df.withColumns({f"__{m}": F.exp(F.col(f"__{m}0") + F.col(f"__{m}1") * F.col("__ln")) * F.col("length") for m in ARTERIAL})
+    df = df.withColumn("__drive", F.col("__rate") * F.pow(adt / 15000, "__power"))
+    c = F.col
+    df = df.withColumns(
+        {
+            "__all": (c("__mv") + c("__sv") + c("__drive")) * c("__lit"),
+            "__hurt": (_split(c("__mv"), c("__mv_fi"), c("__mv_pdo")) + _split(c("__sv"), c("__sv_fi"), c("__sv_pdo")) + c("__drive") * c("__severe")) * c("__lit"),
+            "__out": F.when(c("speed_limit") <= SLOW_STREET, c("__slow")).otherwise(c("__fast")),
+        }
+    )
+    walked = c("__all") * c("__out")
+    df = df.withColumn("urban_fi", F.coalesce(c("__hurt") + walked, F.lit(0.0)))
+    df = df.withColumn("urban_pdo", F.coalesce(c("__all") + walked, F.lit(0.0)) - c("urban_fi"))
+    return df.drop(*terms, *[f"__{m}" for m in ARTERIAL], "__ln", "__drive", "__all", "__hurt", "__out")
 
 
 def saf_segment_crashes(links: DataFrame) -> DataFrame:
@@ -186,21 +214,21 @@ def saf_segment_crashes(links: DataFrame) -> DataFrame:
     """
     two_way, fc, lanes = F.col("dir") == 0, F.col("fc"), F.col("lanes")
     df = links.withColumn("adt", F.when(two_way, F.col("flow")).otherwise(2 * F.col("flow")).cast("double"))
-    adt, half = F.col("adt"), F.when(two_way, 1.0).otherwise(0.5)
+    half = F.when(two_way, 1.0).otherwise(0.5)
     closed = F.col("access") == 3
     few = (two_way & (lanes < 4)) | (~two_way & (lanes == 1))
-    multi = (two_way & (lanes > 3)) | (~two_way & (lanes > 1))
+    several = (two_way & (lanes > 3)) | (~two_way & (lanes > 1))
     on = {
         "freeway": fc.isin(1, 11, 12) | closed,
-        "multi": ~closed & (fc < 10) & multi,
-        "two": ~closed & (fc < 10) & few,
+        "multi": ~closed & (fc < 10) & several,
         "urban": ~closed & (fc > 10) & (fc < 20),
     }
-    found = {"freeway": _freeway(adt), "multi": _rural_multilane(adt), "urban": _urban(adt)}
-    two = F.when(on["two"], F.coalesce(_rural_two_lane(adt), F.lit(0.0))).otherwise(0.0)
-    fi = sum((F.when(on[k], v[0]).otherwise(0.0) for k, v in found.items()), F.lit(0.0))
-    pdo = sum((F.when(on[k], v[1]).otherwise(0.0) for k, v in found.items()), F.lit(0.0))
-    df = df.withColumns({"__fi": half * fi, "__pdo": half * pdo, "__two": half * two})
+    df = _urban(_rural_multilane(_freeway(df)))
+    two = F.when(~closed & (fc < 10) & few, F.coalesce(_rural_two_lane(F.col("adt")), F.lit(0.0))).otherwise(0.0)
+    for part in ("fi", "pdo"):
+        added = sum((F.when(test, F.col(f"{k}_{part}")).otherwise(0.0) for k, test in on.items()), F.lit(0.0))
+        df = df.withColumn(f"__{part}", half * added)
+    df = df.withColumn("__two", half * two).drop(*[f"{k}_{part}" for k in on for part in ("fi", "pdo")])
     rest = 1 - TWO_LANE["pdo"] - TWO_LANE["fatal"]
     df = df.withColumns(
         {
@@ -235,35 +263,41 @@ def saf_node_crashes(nodes: DataFrame) -> DataFrame:
     Only controlled open intersections of more than two legs that are no zone centroid count.
     """
     use = nodes.filter(F.col("zone").isNull() & (F.col("legs") > 2) & (F.col("access") == 1) & (F.col("control") > 0))
-    signal, three = F.col("control") == 1, F.col("legs") == 3
-    hi, lo = F.ln(F.col("max_adt") + 1), F.ln(F.col("min_adt") + 1)
+    c, signal, three = F.col, F.col("control") == 1, F.col("legs") == 3
+    use = use.withColumns({"__hi": F.ln(c("max_adt") + 1), "__lo": F.ln(c("min_adt") + 1)})
     rural_kind = F.when(signal, "SG").when(three, "3ST").otherwise("4ST")
     urban_kind = F.concat(F.when(three, "3").otherwise("4"), F.when(signal, "SG").otherwise("ST"))
-
-    def model(kind: Column, table: dict) -> Column:
-        return F.exp(_pick(kind, table, 0) + _pick(kind, table, 1) * hi + _pick(kind, table, 2) * lo)
-
-    two = model(rural_kind, RURAL_NODES["two_lane"])
-    multi, multi_fi = model(rural_kind, RURAL_NODES["multi"]), model(rural_kind, RURAL_NODES["multi_fi"])
-    fatal_share, pdo_share = _pick(rural_kind, RURAL_FATAL), _pick(rural_kind, RURAL_PDO)
-    u = {n: model(urban_kind, t) for n, t in URBAN_NODES.items()}
-    sv_fi = F.coalesce(u["sv_fi"], u["sv"] * _pick(urban_kind, SINGLE_FI_SHARE))
-    base = u["mv"] + u["sv"]
-    lanes = F.when(F.col("multilane") == 1, 4).otherwise(2)
-    k = [_pick(urban_kind, NODE_PEDESTRIAN, i) for i in range(6)]
-    crossing = F.exp(k[0] + k[1] * F.ln(F.col("int_adt") + 1) + k[2] * (lo - hi) + k[3] * F.ln(k[4]) + k[5] * lanes)
-    walked = F.coalesce(base * _pick(urban_kind, NODE_PEDESTRIAN_SHARE), crossing) + base * _pick(urban_kind, NODE_BICYCLE)
-    urban_fi = _split(u["mv"], u["mv_fi"], u["mv_pdo"]) + _split(u["sv"], sv_fi, u["sv_pdo"]) + walked
-    urban = F.col("urban") == 1
-    wide = F.col("multilane") == 1
-    out = use.withColumns(
+    rural_terms = {**_columns(RURAL_NODES), "__fatal": RURAL_FATAL, "__damage": RURAL_PDO}
+    urban_terms = {
+        **_columns(URBAN_NODES),
+        **_columns({"walk": NODE_PEDESTRIAN}),
+        "__single": SINGLE_FI_SHARE,
+        "__foot": NODE_PEDESTRIAN_SHARE,
+        "__bike": NODE_BICYCLE,
+    }
+    df = _with_terms(_with_terms(use, rural_kind, rural_terms), urban_kind, urban_terms)
+    models = [*RURAL_NODES, *URBAN_NODES]
+    df = df.withColumns({f"__{m}": F.exp(c(f"__{m}0") + c(f"__{m}1") * c("__hi") + c(f"__{m}2") * c("__lo")) for m in models})
+    lanes = F.when(c("multilane") == 1, 4).otherwise(2)
+    crossing = F.exp(
+        c("__walk0") + c("__walk1") * F.ln(c("int_adt") + 1) + c("__walk2") * (c("__lo") - c("__hi")) + c("__walk3") * F.ln("__walk4") + c("__walk5") * lanes
+    )
+    df = df.withColumn("__base", c("__mv") + c("__sv"))
+    df = df.withColumn("__out", F.coalesce(c("__base") * c("__foot"), crossing) + c("__base") * c("__bike"))
+    single = F.coalesce(c("__sv_fi"), c("__sv") * c("__single"))
+    df = df.withColumn("__hurt", _split(c("__mv"), c("__mv_fi"), c("__mv_pdo")) + _split(c("__sv"), single, c("__sv_pdo")) + c("__out"))
+    urban, wide = c("urban") == 1, c("multilane") == 1
+    out = df.withColumns(
         {
-            "fatal": F.when(urban, urban_fi * FATAL_SHARE).when(wide, multi * fatal_share).otherwise(two * fatal_share),
-            "injury": F.when(urban, urban_fi * (1 - FATAL_SHARE)).when(wide, multi_fi - multi * fatal_share).otherwise(two * (1 - fatal_share - pdo_share)),
-            "pdo": F.when(urban, base + walked - urban_fi).when(wide, multi - multi_fi).otherwise(two * pdo_share),
+            "fatal": F.when(urban, c("__hurt") * FATAL_SHARE).when(wide, c("__multi") * c("__fatal")).otherwise(c("__two_lane") * c("__fatal")),
+            "injury": F.when(urban, c("__hurt") * (1 - FATAL_SHARE))
+            .when(wide, c("__multi_fi") - c("__multi") * c("__fatal"))
+            .otherwise(c("__two_lane") * (1 - c("__fatal") - c("__damage"))),
+            "pdo": F.when(urban, c("__base") + c("__out") - c("__hurt")).when(wide, c("__multi") - c("__multi_fi")).otherwise(c("__two_lane") * c("__damage")),
         }
     )
-    return out.withColumn("crashes", F.col("fatal") + F.col("injury") + F.col("pdo"))
+    helpers = [*rural_terms, *urban_terms, *[f"__{m}" for m in models], "__hi", "__lo", "__base", "__out", "__hurt"]
+    return out.withColumn("crashes", c("fatal") + c("injury") + c("pdo")).drop(*helpers)
 
 
 def saf_distribute_nodes(links: DataFrame, nodes: DataFrame, calibration: dict[str, float] | None = None) -> DataFrame:
