@@ -33,7 +33,7 @@ WITH u AS (SELECT o, d, core, SUM(trips) AS trips FROM (SELECT * FROM ({PCE_SQL}
 SELECT o, d, core, trips FROM u UNION ALL SELECT o, d, UPPER(SPLIT_PART(core, '_', 2)), SUM(trips) FROM u GROUP BY 1, 2, 3""",
 )
 def mat_trip_table(t):
-    od = t.v_od
+    od = t.od
     ext = od.filter("core = 1996").withColumn("core", F.lit("AM_Pass"))
     trk = od.filter("core = 1997").withColumn("core", F.lit("PM_SUT"))
     return mat.mat_trip_table(mat.mat_pce_trips(t.v_trip), ext, trk)
@@ -75,7 +75,7 @@ FROM (SELECT o, d, SUM(CASE WHEN core = 1996 THEN trips ELSE 0 END) AS b, SUM(CA
  FROM v_od WHERE core IN (1996, 1997, 1998) GROUP BY o, d) y""",
 )
 def mat_pivot_point(t):
-    od = t.v_od
+    od = t.od
     return mat.mat_pivot_point(od.filter("core = 1996"), od.filter("core = 1997"), od.filter("core = 1998"), 1.5)
 
 
@@ -122,7 +122,7 @@ WITH m AS (SELECT p.z, p.p, a.a FROM (SELECT o AS z, SUM(trips) AS p FROM v_od W
 SELECT z, CASE WHEN z >= 20 THEN m.a ELSE m.a * (s.p - held) / (s.a - held) END AS a, m.p * (0.5 * s.p + 0.5 * s.a) / s.p AS p50, m.a * (0.5 * s.p + 0.5 * s.a) / s.a AS a50 FROM m, s""",
 )
 def mat_balance_vectors(t):
-    od = t.v_od
+    od = t.od
     p = od.filter("core = 1996").groupBy(F.col("o").alias("z")).agg(F.sum("trips").alias("p"))
     a = od.filter("core = 1997").groupBy(F.col("d").alias("z")).agg(F.sum("trips").alias("a"))
     both = p.join(a, "z")
@@ -150,7 +150,7 @@ _COLS = "SELECT d, SUM(trips) AS target FROM v_od WHERE core = 1997 GROUP BY d"
 
 
 def _ends(t):
-    grown = t.v_od.filter("core = 1997")
+    grown = t.od.filter("core = 1997")
     rows = grown.groupBy("o").agg(F.sum("trips").alias("target"))
     cols = grown.groupBy("d").agg(F.sum("trips").alias("target"))
     return rows, cols

@@ -255,7 +255,7 @@ SELECT cells, SQRT(sse / cells) AS rmse, 100 * SQRT(sse / cells) / (b / cells) A
   FROM (SELECT * FROM v_od WHERE core = 1997) p FULL JOIN (SELECT * FROM v_od WHERE core = 1996) q ON p.o = q.o AND p.d = q.d) u) w""",
 )
 def agg_matrix_rmse(t):
-    od = t.v_od
+    od = t.od
     return agg.agg_matrix_rmse(od.filter("core = 1997"), od.filter("core = 1996"))
 
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import views
 
 
@@ -45,6 +46,11 @@ class Tables:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         raise AttributeError(name)
 
+    @property
+    def od(self) -> DataFrame:
+        """``v_od`` materialised, for queries that read the small matrix more than once."""
+        return cut_lineage(self.v_od)
+
     def sql(self, text: str) -> DataFrame:
         text = views.spark_text(text)
         names = {n for n in re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", text) if n in views.KNOWN}

@@ -178,8 +178,27 @@ def with_views(sql: str) -> str:
 
 def _order_seq(t):
     seq = windows.win_group_seq(t.orders.select("o_orderkey", "o_custkey"), ["o_custkey"], ["o_orderkey"], "rn")
-    return seq.select("o_orderkey", "o_custkey", F.col("rn"))
+    return seq.select("o_orderkey", "o_custkey", "rn")
 
 
-# Views whose Spark form is an operator rather than a window over one key.
-SPARK_VIEWS = {"v_order_seq": _order_seq}
+AREA_GROUPS = (("rf", 1), ("ro", 2), ("uf", 3), ("uo", 4))
+
+
+def _profile(t):
+    cls, n = F.col("cls"), F.col("n")
+    groups = F.explode(F.array(*[F.struct(F.lit(g).alias("area_group"), F.lit(k).alias("k")) for g, k in AREA_GROUPS]))
+    long = t.v_hour_profile.select("hour", "cls", "n", groups.alias("g")).select("hour", "cls", "n", "g.*")
+    period = F.when(F.col("hour").between(7, 9), "am").when(F.col("hour").between(16, 18), "pm").otherwise("op")
+    rate = {
+        "car": F.col("k") + F.when(cls == "view", 3).otherwise(1),
+        "su": 1 + F.when(cls == "click", F.col("k")).otherwise(1),
+        "mu": 1 + F.when(cls == "error", 5).otherwise(1),
+    }
+    hours = long.groupBy("area_group", "hour", period.alias("period")).agg(*[F.sum(n * r).alias(c) for c, r in rate.items()])
+    for c in rate:
+        hours = windows.win_share_in_group(hours, ["area_group", "period"], c, c)
+    return hours
+
+
+# Views whose Spark form is an operator, without a window over one key or a cross join.
+SPARK_VIEWS = {"v_order_seq": _order_seq, "v_profile": _profile}

@@ -29,15 +29,12 @@ def filter_query_list(df: DataFrame, predicates: Sequence[tuple[str, str, Column
     Each row is tagged with the predicates it meets; the tags are exploded into the
     partial aggregate, so the data is read once however long the list is.
     """
-    tags = [
-        F.when(p, F.struct(F.lit(i).alias("pos"), F.lit(kind).alias("kind"), F.lit(item).alias("item")))
-        for i, (kind, item, p) in enumerate(predicates)
-    ]
     spec = df.sparkSession.createDataFrame(
         [(i, k, n) for i, (k, n, _) in enumerate(predicates)], "pos int, kind string, item string"
     )
-    hit = df.withColumn("hit", F.explode(F.array_compact(F.array(*tags))))
-    found = hit.groupBy("hit.pos").agg(*[c.alias(n) for n, c in aggs.items()])
+    tags = F.array(*[F.when(p, F.lit(i)) for i, (_, _, p) in enumerate(predicates)])
+    hit = df.withColumn("pos", F.explode(tags)).filter(F.col("pos").isNotNull())
+    found = hit.groupBy("pos").agg(*[c.alias(n) for n, c in aggs.items()])
     return spec.join(found, "pos", "left")
 
 

@@ -38,9 +38,32 @@ def _c(col: str | Column) -> Column:
 
 
 def fn_find_interval(col: str | Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points at or below the value; 0 below the first, null for null."""
-    c = _c(col)
-    return first_match([(c < cut, i) for i, cut in enumerate(sorted(cuts))] + [(c.isNotNull(), len(cuts))])
+    """Number of cut points at or below the value; 0 below the first, null for null.
+
+    An evenly spaced run of cuts at the end is computed instead of listed, provided its
+    start and step are exact binary fractions.
+    """
+    c, cuts = _c(col), sorted(cuts)
+    n = len(cuts)
+    first = _even_from(cuts)
+    rules = [(c < cut, i) for i, cut in enumerate(cuts[: first + 1])]
+    if first + 1 == n:
+        return first_match([*rules, (c.isNotNull(), n)])
+    step = cuts[-1] - cuts[-2]
+    steps = F.least(F.floor((c - cuts[first]) / step), F.lit(n - 1 - first)).cast("int")
+    return first_match([*rules, (c.isNotNull(), steps + (first + 1))])
+
+
+def _even_from(cuts: Sequence[float]) -> int:
+    """Index from which the cuts are evenly spaced, or the last index if not worth it."""
+    last = len(cuts) - 1
+    if last < 4:
+        return last
+    step = cuts[-1] - cuts[-2]
+    first = last
+    while first > 0 and cuts[first] - cuts[first - 1] == step and all(float(x * 1024).is_integer() for x in (step, cuts[first - 1])):
+        first -= 1
+    return first if last - first >= 4 else last
 
 
 def fn_cut_right(col: str | Column, edges: Sequence[float], labels: Sequence | None = None) -> Column:

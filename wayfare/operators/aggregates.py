@@ -126,30 +126,54 @@ class Template:
 def agg_template_tabulate(df: DataFrame, templates: Sequence[Template]) -> DataFrame:
     """All templates over one source in a single pass: (outnum, x, y, value).
 
-    Every row is exploded into the cells it feeds and aggregated once. Crosstab cells
+    Rows are folded to the distinct combinations of the cell variables and subset tests
+    first; only the folded rows are exploded into the cells they feed. Crosstab cells
     without data are completed with 0; ``mean`` and ``sum`` templates give one line per
     ``y``, a mean also an all-rows line one past the range.
     """
+    cells, flags, sums = {}, {}, {}
+
+    def dim(name: str) -> Column:
+        cells[f"__d_{name}"] = F.col(name).cast("int")
+        return F.col(f"__d_{name}")
+
+    def test(subset: tuple[str, str, float] | None) -> Column:
+        if subset is None:
+            return F.lit(True)
+        name = f"__t{[*flags].index(subset) if subset in flags else len(flags)}"
+        flags[subset] = name
+        return F.col(name)
+
+    def total(key: tuple, value: Column) -> Column:
+        name = f"__m{[*sums].index(key) if key in sums else len(sums)}"
+        sums[key] = (name, value)
+        return F.col(name)
+
     feeds = []
     for t in templates:
         w = F.lit(1.0) if t.weight is None else F.col(t.weight).cast("double")
-        yv = F.lit(1) if t.y is None else F.col(t.y).cast("int")
-        keep = F.lit(True) if t.subset is None else SIGNS[t.subset[1]](F.col(t.subset[0]), F.lit(t.subset[2]))
+        yv = F.lit(1) if t.y is None else dim(t.y)
+        keep = test(t.subset)
         if t.fun == "crosstab":
-            xv = F.col(t.x).cast("int")
-            keep = keep & xv.between(*t.x_range) & yv.between(*t.y_range)
-            feeds.append(F.when(keep, _feed(t.outnum, xv, yv, w, F.lit(0.0))))
+            xv = dim(t.x)
+            inside = keep & xv.between(*t.x_range) & yv.between(*t.y_range)
+            feeds.append(F.when(inside, _feed(t.outnum, xv, yv, total(("w", t.weight), F.sum(w)), F.lit(0.0))))
             continue
-        xv, measure = F.lit(0), F.col(t.x).cast("double")
-        present = keep & measure.isNotNull() & w.isNotNull()
-        feeds.append(F.when(present & yv.between(*t.y_range), _feed(t.outnum, xv, yv, measure * w, w)))
+        measure = F.col(t.x).cast("double")
+        both = measure.isNotNull() & w.isNotNull()
+        num = total(("num", t.x, t.weight), F.sum(F.when(both, measure * w)))
+        den = total(("den", t.x, t.weight), F.sum(F.when(both, w)))
+        feeds.append(F.when(keep & yv.between(*t.y_range), _feed(t.outnum, F.lit(0), yv, num, den)))
         if t.fun == "mean":
-            feeds.append(F.when(present, _feed(t.outnum, xv, F.lit(t.y_range[1] + 1), measure * w, w)))
-    long = df.select(F.explode(F.array_compact(F.array(*feeds))).alias("f"))
-    sums = long.groupBy("f.outnum", "f.x", "f.y").agg(F.sum("f.num").alias("num"), F.sum("f.den").alias("den"))
+            feeds.append(F.when(keep, _feed(t.outnum, F.lit(0), F.lit(t.y_range[1] + 1), num, den)))
+    tests = {name: SIGNS[sign](F.col(var), F.lit(val)) for (var, sign, val), name in flags.items()}
+    keys = [*[c.alias(n) for n, c in cells.items()], *[c.alias(n) for n, c in tests.items()]]
+    folded = df.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.values()])
+    long = folded.select(F.explode(F.array(*feeds)).alias("f")).filter(F.col("f").isNotNull())
+    got = long.groupBy("f.outnum", "f.x", "f.y").agg(F.sum("f.num").alias("num"), F.sum("f.den").alias("den"))
     means = [t.outnum for t in templates if t.fun == "mean"]
     value = F.when(F.col("outnum").isin(*means), F.try_divide("num", "den")).otherwise(F.col("num")) if means else F.col("num")
-    found = sums.select("outnum", "x", "y", value.alias("value"))
+    found = got.select("outnum", "x", "y", value.alias("value"))
     grids = None
     for t in templates:
         if t.fun != "crosstab":

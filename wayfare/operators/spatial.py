@@ -58,7 +58,7 @@ def join_nearest(points: DataFrame, sites: DataFrame, key: str, site: str) -> Da
     point is settled once its best site is within one cell size, since every site that
     near lies in the 3 x 3 cells searched. Ties go to the smaller site id.
     """
-    one_per_place = sites.groupBy("x", "y").agg(F.min(site).alias(site))
+    one_per_place = cut_lineage(sites.groupBy("x", "y").agg(F.min(site).alias(site)))
     box = one_per_place.agg(
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"), F.count("*").alias("n")
     )
@@ -173,10 +173,10 @@ def spa_dasymetric(buildings: DataFrame, polygons: DataFrame, stations: DataFram
     Shares fall off as exp(dispersion x miles); the whole numbers keep each zone's total.
     ``buildings`` is (key, x, y) in degrees, ``polygons`` (pid, ring), ``totals`` (pid, total).
     """
-    inside = join_point_in_polygon(buildings, polygons, "x", "y", "pid", "ring", cell)
+    inside = cut_lineage(join_point_in_polygon(buildings, polygons, "x", "y", "pid", "ring", cell))
     near = join_nearest(inside.select(key, "x", "y").distinct(), stations, key, "site").select(key, "site")
     at = stations.select("site", F.col("x").alias("sx"), F.col("y").alias("sy"))
     far = inside.join(near, key).join(at, "site").withColumn("miles", fn_haversine("x", "y", "sx", "sy"))
     shared = win_share_in_group(far.withColumn("utility", F.exp(dispersion * F.col("miles"))), ["pid"], "utility")
-    units = shared.join(totals, "pid").withColumn("part", F.col("total") * F.col("share"))
+    units = cut_lineage(shared.join(totals, "pid").withColumn("part", F.col("total") * F.col("share")))
     return win_largest_remainder(units, ["pid"], "part", [key], "units")

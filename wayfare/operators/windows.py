@@ -1,8 +1,8 @@
 """Ordered and per-group operators that stay balanced when one group is very large.
 
-A plain ``Window.partitionBy(group)`` puts a whole group into one task. Running
-measures here are computed in two levels instead: inside slices of the order key,
-and over the slice totals, of which a group has a bounded number.
+A plain ``Window.partitionBy(group)`` puts a whole group into one task. Groups too large
+for that are computed in two levels instead: inside slices of the order key, and over
+the slice totals, of which a group has a bounded number.
 """
 
 from __future__ import annotations
@@ -13,6 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+# Rows of a group that one task sorts without trouble.
+HOT_ROWS = 1_000_000
+
 
 def _order_columns(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Numeric ascending copies of the order keys; ``-name`` means descending."""
@@ -37,53 +42,72 @@ def _slices(df: DataFrame, keys: Sequence[str], per_key: int) -> tuple[DataFrame
     """Equal-width slice numbers of each order key; min and max come from one small aggregate."""
     out = []
     for i, key in enumerate(keys):
-        lo = df.agg(F.min(key)).scalar()
-        span = df.agg((F.max(key) - F.min(key)).cast("double")).scalar()
-        pos = F.try_divide((F.col(key) - lo).cast("double"), span) * per_key
+        ends = df.agg(F.struct(F.min(key).alias("lo"), F.max(key).alias("hi"))).scalar()
+        span = (ends["hi"] - ends["lo"]).cast("double")
+        pos = F.try_divide((F.col(key) - ends["lo"]).cast("double"), span) * per_key
         df = df.withColumn(f"__s{i}", F.coalesce(F.floor(pos), F.lit(-1)).cast("int"))
         out.append(f"__s{i}")
     return df, out
 
 
-def running(df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column], slices: int = 256) -> DataFrame:
+def running(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column], slices: int = 256, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Cumulative sums along ``order`` within ``group`` (all rows when ``group`` is empty).
 
-    ``order`` must identify rows within a group. Rows are cut into slices of the first
-    key; a slice that holds a single value of it is cut further along the second key, so
-    ties do not pile up either. A group has at most ``(slices + 2) ** 2`` slice totals,
-    however many rows it holds.
+    ``order`` must identify rows within a group. Groups are counted first: those of at most
+    ``hot_rows`` rows take an ordinary window, larger ones are computed in slices.
+    """
+    group = list(group)
+    if not group:
+        return _sliced(df, group, order, sums, slices)
+    counts = df.groupBy(*group).agg(F.count("*").alias("__n"))
+    hot = cut_lineage(counts.filter(F.col("__n") > hot_rows).select(*group))
+    if hot.isEmpty():
+        return _plain(df, group, order, sums)
+    cold = _plain(df.join(hot, group, "left_anti"), group, order, sums)
+    return cold.unionByName(_sliced(df.join(hot, group, "left_semi"), group, order, sums, slices))
+
+
+def _plain(df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    columns = df.columns
+    df, keys = _order_columns(df, order)
+    w = W.partitionBy(*group).orderBy(*keys).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return df.select(*columns, *[F.sum(c).over(w).alias(n) for n, c in sums.items()])
+
+
+def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column], slices: int) -> DataFrame:
+    """Running sums inside slices of the order key, plus the totals of the slices before.
+
+    A slice that holds a single value of the first key is cut further along the second, so
+    ties do not pile up either. A group has at most ``(4 * slices ** 0.5 + 2) ** 2`` slice
+    totals (``slices + 2`` with one key), however many rows it holds.
     """
-    group, plain = list(group), df.columns
+    columns = df.columns
     df, keys = _order_columns(df, order)
     vals = {f"__v{i}": c for i, c in enumerate(sums.values())}
     df = df.withColumns(vals)
     two = len(keys) > 1
     df, cells = _slices(df, keys[:2], int(slices**0.5) * 4 if two else slices)
-    totals = [F.sum(v).alias(v) for v in vals]
-    size = df.groupBy(*group, *cells).agg(*totals, F.min(keys[0]).alias("__lo"), F.max(keys[0]).alias("__hi"))
+    size = df.groupBy(*group, *cells).agg(*[F.sum(v).alias(v) for v in vals], F.min(keys[0]).alias("__lo"), F.max(keys[0]).alias("__hi"))
+    fine = F.lit(0)
     if two:
         slice_of = W.partitionBy(*group, cells[0])
-        tied = F.min("__lo").over(slice_of) == F.max("__hi").over(slice_of)
-        size = size.withColumn("__s2", F.when(tied, F.col(cells[1])).otherwise(F.lit(0)))
-        final = [cells[0], "__s2"]
-        merged = size.groupBy(*group, *final).agg(*totals)
-    else:
-        final, merged = cells, size
-    before = W.partitionBy(*group).orderBy(*final).rowsBetween(W.unboundedPreceding, -1)
-    marks = [*group, *final]
-    offsets = merged.select(
+        fine = F.when(F.min("__lo").over(slice_of) == F.max("__hi").over(slice_of), F.col(cells[1])).otherwise(0)
+    size = size.withColumn("__fine", fine)
+    upto = W.partitionBy(*group).orderBy(cells[0], "__fine").rangeBetween(W.unboundedPreceding, W.currentRow)
+    within = W.partitionBy(*group, cells[0], "__fine")
+    marks = [*group, *cells]
+    offsets = size.select(
         *[F.col(c).alias(f"__g{i}") for i, c in enumerate(marks)],
-        *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"__o{i}") for i, v in enumerate(vals)],
+        "__fine",
+        *[(F.sum(v).over(upto) - F.sum(v).over(within)).alias(f"__o{i}") for i, v in enumerate(vals)],
     )
-    if two:
-        lookup = size.select(*[F.col(c).alias(f"__h{i}") for i, c in enumerate([*group, *cells])], "__s2")
-        at = [F.col(c).eqNullSafe(F.col(f"__h{i}")) for i, c in enumerate([*group, *cells])]
-        df = df.join(lookup, on=at, how="inner")
-    local = W.partitionBy(*marks).orderBy(*keys).rowsBetween(W.unboundedPreceding, W.currentRow)
-    inner = df.withColumns({f"__r{i}": F.sum(v).over(local) for i, v in enumerate(vals)})
     same = [F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(marks)]
-    joined = inner.join(offsets, on=same, how="inner")
-    return joined.select(*plain, *[(F.col(f"__r{i}") + F.col(f"__o{i}")).alias(n) for i, n in enumerate(sums)])
+    placed = df.join(offsets, on=same, how="inner")
+    local = W.partitionBy(*marks[: len(group) + 1], "__fine").orderBy(*keys).rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = [(F.sum(v).over(local) + F.col(f"__o{i}")).alias(n) for i, (v, n) in enumerate(zip(vals, sums, strict=True))]
+    return placed.select(*columns, *totals)
 
 
 def group_totals(df: DataFrame, group: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
@@ -97,14 +121,15 @@ def win_surrogate_id(df: DataFrame, order: Sequence[str], out: str = "id", start
     return numbered.withColumn(out, F.col(out) + F.lit(start - 1))
 
 
-def win_group_seq(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "seq", slices: int = 256) -> DataFrame:
+def win_group_seq(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "seq", hot_rows: int = HOT_ROWS) -> DataFrame:
     """1, 2, 3 ... within each group along ``order``."""
-    return running(df, group, order, {out: F.lit(1).cast("bigint")}, slices)
+    return running(df, group, order, {out: F.lit(1).cast("bigint")}, hot_rows=hot_rows)
 
 
-def win_running_load(df: DataFrame, group: Sequence[str], order: Sequence[str], on: str, off: str, out: str = "load") -> DataFrame:
+def win_running_load(df: DataFrame, group: Sequence[str], order: Sequence[str], on: str, off: str, out: str = "load", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Passengers on board after each stop."""
-    return running(df, group, order, {out: F.coalesce(F.col(on), F.lit(0)) - F.coalesce(F.col(off), F.lit(0))})
+    net = F.coalesce(F.col(on), F.lit(0)) - F.coalesce(F.col(off), F.lit(0))
+    return running(df, group, order, {out: net}, hot_rows=hot_rows)
 
 
 def win_group_max_flag(df: DataFrame, group: Sequence[str], seq: str) -> DataFrame:
@@ -136,11 +161,11 @@ def win_share_in_group(df: DataFrame, group: Sequence[str], col: str, out: str =
     return full.withColumn(out, F.try_divide(F.col(col).cast("double"), F.col("__total"))).drop("__total")
 
 
-def win_largest_remainder(df: DataFrame, group: Sequence[str], col: str, tie: Sequence[str], out: str = "rounded") -> DataFrame:
+def win_largest_remainder(df: DataFrame, group: Sequence[str], col: str, tie: Sequence[str], out: str = "rounded", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Integers with the rounded group total: floors, plus one for the largest remainders."""
     base = df.withColumns({"floor_units": F.floor(col), "remainder": F.col(col) - F.floor(col)})
     extra = F.round(F.sum(col) - F.sum(F.floor(col))).cast("bigint").alias("extra_units")
-    ranked = win_group_seq(group_totals(base, group, [extra]), group, ["-remainder", *tie], "remainder_rank")
+    ranked = win_group_seq(group_totals(base, group, [extra]), group, ["-remainder", *tie], "remainder_rank", hot_rows)
     gain = (F.col("remainder_rank") <= F.col("extra_units")).cast("bigint")
     return ranked.select(*df.columns, (F.col("floor_units") + gain).alias(out))
 

@@ -248,15 +248,17 @@ def act_trip_tod(trips: DataFrame, persons: DataFrame, keys: Sequence[str]) -> D
     """Half-hour bands of trips with flags for the stops that are not tour ends."""
     full = trips.join(persons, ["hhno", "pno"], "left").filter(F.coalesce(F.col("pptyp") < 8, F.lit(False)))
     minutes = trips.agg(F.max(F.col("deptm") % 100) > 60).scalar()
-    stay = (_hours("endacttm", minutes) - _hours("arrtm", minutes)) * 60
-    stay = F.when(stay < 0, stay + fn.MINUTES_PER_DAY).otherwise(stay) / 60.0
+    full = full.withColumn("in_minutes", minutes)
+    full = full.withColumns({f"{c}_hours": _hours(c, F.col("in_minutes")) for c in ("deptm", "arrtm", "endacttm")}).drop("in_minutes")
+    gap = F.col("endacttm_hours") - F.col("arrtm_hours")
+    full = full.withColumn("stay_hours", F.round(F.when(gap < 0, gap + 24).otherwise(gap), 9))
     full = group_totals(full, [*keys, "half"], [F.max("tseg").alias("maxtseg")])
     half, seg, last = F.col("half"), F.col("tseg"), F.col("maxtseg")
     return full.withColumns(
         {
-            "arrtimecat": fn.fn_find_interval(_hours("arrtm", minutes), HALF_HOURS),
-            "deptimecat": fn.fn_find_interval(_hours("deptm", minutes), HALF_HOURS),
-            "durdestcat": fn.fn_find_interval(F.round(stay, 9), TRIP_DURATIONS),
+            "arrtimecat": fn.fn_find_interval("arrtm_hours", HALF_HOURS),
+            "deptimecat": fn.fn_find_interval("deptm_hours", HALF_HOURS),
+            "durdestcat": fn.fn_find_interval("stay_hours", TRIP_DURATIONS),
             "arrflag": ((half == 1) & (seg != last)).cast("int"),
             "depflag": ((half == 2) & (seg != 1)).cast("int"),
             "durflag": (seg < last).cast("int"),

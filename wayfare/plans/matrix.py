@@ -138,14 +138,12 @@ def mat_balance_vectors(zones: DataFrame, p: str, a: str, hold: Column | None =
         F.sum(p).alias("p"), F.sum(F.when(~keep, F.col(a))).alias("free"), F.sum(F.when(keep, F.col(a)).otherwise(0)).alias("held"), F.sum(a).alias("a")
     )
 
-    def one(c: Column) -> Column:
-        return sums.select(c.cast("double")).scalar()
-
+    t = sums.select(F.struct(*[F.col(c).cast("double").alias(c) for c in sums.columns])).scalar()
     if weight is None:
-        ratio = one(F.try_divide(F.col("p") - F.col("held"), F.col("free")))
-        return zones.withColumn(a, F.when(keep, F.col(a)).otherwise(F.col(a) * F.coalesce(ratio, F.lit(0.0))))
-    total = weight * F.col("p") + (1 - weight) * F.col("a")
-    return zones.withColumns({p: F.col(p) * one(F.try_divide(total, F.col("p"))), a: F.col(a) * one(F.try_divide(total, F.col("a")))})
+        ratio = F.coalesce(F.try_divide(t["p"] - t["held"], t["free"]), F.lit(0.0))
+        return zones.withColumn(a, F.when(keep, F.col(a)).otherwise(F.col(a) * ratio))
+    total = weight * t["p"] + (1 - weight) * t["a"]
+    return zones.withColumns({p: F.col(p) * F.try_divide(total, t["p"]), a: F.col(a) * F.try_divide(total, t["a"])})
 
 
 def fit_margins(
@@ -156,6 +154,7 @@ def fit_margins(
     ``cells`` is (o, d, base), ``rows`` (o, target), ``cols`` (d, target). Stops when no
     row factor moves by more than ``tol``; a margin of 0, or a line without cells, gives 0.
     """
+    rows, cols = cut_lineage(rows), cut_lineage(cols)
     cells = cut_lineage(cells.filter("base > 0").select("o", "d", F.col("base").cast("double").alias("base")))
 
     def step(line: str, other: str, targets: DataFrame, factors: DataFrame) -> DataFrame:
@@ -166,17 +165,18 @@ def fit_margins(
     b = cols.select("d", F.lit(1.0).alias("f"))
     a = last = None
     for i in range(1, max_iter + 1):
+        cut = i % checkpoint_every == 0 or i == max_iter
         a = step("o", "d", rows, b)
+        a = cut_lineage(a) if cut else a
         b = step("d", "o", cols, a)
-        if i % checkpoint_every == 0 or i == max_iter:
-            a, b = cut_lineage(a), cut_lineage(b)
-            if i == max_iter:
+        if not cut:
+            continue
+        b = cut_lineage(b)
+        if last is not None and tol > 0 and i < max_iter:
+            moved = a.join(last, "o").agg(F.max(F.abs(F.try_divide("f", "g") - 1))).first()[0]
+            if moved is None or moved <= tol:
                 break
-            if last is not None and tol > 0:
-                moved = a.join(last, "o").agg(F.max(F.abs(F.try_divide("f", "g") - 1))).first()[0]
-                if moved is None or moved <= tol:
-                    break
-            last = a.withColumnRenamed("f", "g")
+        last = a.withColumnRenamed("f", "g")
     fa, fb = a.withColumnRenamed("f", "fa"), b.withColumnRenamed("f", "fb")
     return cells.join(fa, "o").join(fb, "d").select("o", "d", (F.col("base") * F.col("fa") * F.col("fb")).alias("trips"))
 

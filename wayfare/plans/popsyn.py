@@ -109,6 +109,7 @@ def pop_raking(
     to those categories first; each control then keeps one factor per category, and an
     iteration recomputes a control's factors from those of the others.
     """
+    controls = [(ks, cut_lineage(targets)) for ks, targets in controls]
     keys = sorted({k for ks, _ in controls for k in ks})
     cells = cut_lineage(seed.groupBy(*keys).agg(F.sum(F.col(weight).cast("double")).alias("w")))
     factors = [targets.select(*ks, F.lit(1.0).alias(f"f{j}")) for j, (ks, targets) in enumerate(controls)]
