@@ -245,14 +245,17 @@ def _hours(col: str, minutes: Column) -> Column:
 
 
 def act_trip_tod(trips: DataFrame, persons: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Half-hour bands of trips with flags for the stops that are not tour ends."""
-    full = trips.join(persons, ["hhno", "pno"], "left").filter(F.coalesce(F.col("pptyp") < 8, F.lit(False)))
+    """Half-hour bands of trips with flags for the stops that are not tour ends.
+
+    ``keys`` name a tour of one person, so a tour half is kept or dropped as a whole.
+    """
+    ranked = group_totals(trips, [*keys, "half"], [F.max("tseg").alias("maxtseg")])
+    full = ranked.join(persons, ["hhno", "pno"], "left").filter(F.coalesce(F.col("pptyp") < 8, F.lit(False)))
     minutes = trips.agg(F.max(F.col("deptm") % 100) > 60).scalar()
     full = full.withColumn("in_minutes", minutes)
     full = full.withColumns({f"{c}_hours": _hours(c, F.col("in_minutes")) for c in ("deptm", "arrtm", "endacttm")}).drop("in_minutes")
     gap = F.col("endacttm_hours") - F.col("arrtm_hours")
     full = full.withColumn("stay_hours", F.round(F.when(gap < 0, gap + 24).otherwise(gap), 9))
-    full = group_totals(full, [*keys, "half"], [F.max("tseg").alias("maxtseg")])
     half, seg, last = F.col("half"), F.col("tseg"), F.col("maxtseg")
     return full.withColumns(
         {
