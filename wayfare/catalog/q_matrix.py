@@ -149,8 +149,8 @@ _ROWS = "SELECT o, SUM(trips) AS target FROM v_od WHERE core = 1997 GROUP BY o"
 _COLS = "SELECT d, SUM(trips) AS target FROM v_od WHERE core = 1997 GROUP BY d"
 
 
-def _ends(t):
-    grown = t.od.filter("core = 1997")
+def _ends(od):
+    grown = od.filter("core = 1997")
     rows = grown.groupBy("o").agg(F.sum("trips").alias("target"))
     cols = grown.groupBy("d").agg(F.sum("trips").alias("target"))
     return rows, cols
@@ -158,8 +158,9 @@ def _ends(t):
 
 @query("o:i d:i trips:f6", fit_sql("SELECT o, d, trips AS base FROM v_od WHERE core = 1996", _ROWS, _COLS, _FIT_ROUNDS))
 def mat_growth_factor(t):
-    rows, cols = _ends(t)
-    return mat.mat_growth_factor(t.v_od.filter("core = 1996").select("o", "d", "trips"), rows, cols, max_iter=_FIT_ROUNDS, tol=0)
+    od = t.od
+    rows, cols = _ends(od)
+    return mat.mat_growth_factor(od.filter("core = 1996").select("o", "d", "trips"), rows, cols, max_iter=_FIT_ROUNDS, tol=0)
 
 
 @query(
@@ -167,7 +168,7 @@ def mat_growth_factor(t):
     fit_sql("SELECT o, d, EXP(-0.3126 * imp / 5) * (1 + (o + d) % 3) AS base FROM v_skim WHERE period = 1", _ROWS, _COLS, _FIT_ROUNDS),
 )
 def mat_gravity(t):
-    rows, cols = _ends(t)
+    rows, cols = _ends(t.od)
     skim = t.v_skim.filter("period = 1").withColumn("k", 1 + (F.col("o") + F.col("d")) % 3)
     return mat.mat_gravity(skim, rows, cols, 0.3126 / 5, "k", max_iter=_FIT_ROUNDS, tol=0)
 

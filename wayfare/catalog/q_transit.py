@@ -207,7 +207,7 @@ SELECT core, SUM(trips * miles * CASE WHEN core = 'car' THEN 1 WHEN o < 20 AND d
 def mov_county_vmt(t):
     core = F.when(F.col("core") % 3 == 0, "car").when(F.col("core") % 3 == 1, "su").otherwise("mu")
     skim = t.v_skim.filter("period = 1").withColumnRenamed("imp", "miles")
-    return mov.mov_county_vmt(t.v_od.withColumn("core", core), skim, F.col("zone") >= 20)
+    return mov.mov_county_vmt(t.v_od.withColumn("core", core), skim, lambda zone: zone >= 20)
 
 
 _RT = "CASE WHEN ramp > 0 THEN CASE WHEN fcarea + 2 < 4 THEN 4 ELSE 2 END WHEN fc < 10 THEN CASE WHEN fc = 1 OR access = 3 THEN 2 ELSE 3 END ELSE CASE WHEN fc = 11 OR access = 3 THEN 4 ELSE 5 END END"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,17 +48,15 @@ def _spec(df: DataFrame, rows: Sequence[tuple], ddl: str) -> DataFrame:
     return df.sparkSession.createDataFrame(list(rows), ddl)
 
 
-def mov_county_vmt(od: DataFrame, skim: DataFrame, external: Column) -> DataFrame:
+def mov_county_vmt(od: DataFrame, skim: DataFrame, external: Callable[[Column], Column]) -> DataFrame:
     """County miles by class: car trips in full, trucks by the share of their movement.
 
     ``od`` is (o, d, core, trips) with cores car, su, mu; ``skim`` (o, d, miles);
-    ``external`` tells an external zone and is applied to ``zone``.
+    ``external`` tells whether a zone lies outside.
     """
-    zones = od.select(F.col("o").alias("zone")).unionByName(od.select(F.col("d").alias("zone"))).distinct().withColumn("ext", external)
-    o, d = zones.withColumnsRenamed({"zone": "o", "ext": "oe"}), zones.withColumnsRenamed({"zone": "d", "ext": "de"})
-    side = F.concat(F.when(F.col("oe"), "E").otherwise("I"), F.when(F.col("de"), "E").otherwise("I"))
+    side = F.concat(*[F.when(external(F.col(z)), "E").otherwise("I") for z in ("o", "d")])
     share = F.when(F.col("core") == "car", 1.0).otherwise(project_case_map(side, TRUCK_SHARE, 0.0))
-    joined = od.join(skim.select("o", "d", "miles"), ["o", "d"]).join(o, "o").join(d, "d")
+    joined = od.join(skim.select("o", "d", "miles"), ["o", "d"])
     return joined.groupBy("core").agg(F.sum(F.col("trips") * F.col("miles") * share).alias("vmt"))
 
 
