@@ -80,10 +80,11 @@ def fn_geo_id_build(t):
     zones = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     number = F.concat(F.col("s_suppkey").cast("string"), F.lit("."), F.lpad((F.col("s_suppkey") % 100).cast("string"), 2, "0"))
     places = t.supplier.join(zones, F.col("s_nationkey") == F.col("n_nationkey"))
-    desc = places.select("s_suppkey", F.concat(F.lit("Census Tract "), number, F.lit(", "), "n_name", F.lit(", "), "r_name").alias("desc"))
+    named = F.when(F.col("n_nationkey") == 7, "Nowhere").otherwise(F.col("n_name"))
+    desc = places.select("s_suppkey", F.concat(F.lit("Census Tract "), number, F.lit(", "), named, F.lit(", "), "r_name").alias("desc"))
     code = F.concat(F.lit("4"), F.col("r_regionkey").cast("string"))
     states = t.region.select(F.col("r_name").alias("state_name"), code.alias("state_code"))
-    counties = zones.filter("n_nationkey <> 7").select(
+    counties = zones.select(
         code.alias("state_code"), F.col("n_name").alias("county_name"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0").alias("county_code")
     )
     return fn.fn_geo_id_build(desc, "desc", states, counties)

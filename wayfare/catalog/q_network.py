@@ -51,10 +51,10 @@ def net_node_balance(t):
 @query(
     "funcclass:s rte_name:s n:i n_name:s",
     """
-SELECT CAST(funcclass AS VARCHAR) AS funcclass, COALESCE(rte_name, 'EMPTY') AS rte_name, COUNT(*) AS n, MIN(n_name) AS n_name FROM v_link LEFT JOIN nation ON n_nationkey = funcclass AND n_nationkey < 6 GROUP BY 1, 2""",
+SELECT CAST(funcclass AS VARCHAR) AS funcclass, COALESCE(rte_name, 'EMPTY') AS rte_name, COUNT(*) AS n, MIN(n_name) AS n_name FROM v_link LEFT JOIN nation ON n_nationkey = funcclass GROUP BY 1, 2""",
 )
 def net_coding_audit(t):
-    return net.net_coding_audit(t.v_link, "funcclass", "rte_name", t.nation.filter("n_nationkey < 6"), "n_nationkey")
+    return net.net_coding_audit(t.v_link, "funcclass", "rte_name", t.nation, "n_nationkey")
 
 
 _CONTROL_SQL = f"""
@@ -97,15 +97,14 @@ WITH m AS (SELECT id, MAX(CASE WHEN action = 'Add' THEN 1 ELSE 0 END) AS ad, MAX
   ARG_MAX(CASE WHEN action = 'Modify' AND field_name = 'spd_lmt' THEN field_value END, CASE WHEN action = 'Modify' AND field_name = 'spd_lmt' THEN seq END) AS s,
   ARG_MAX(CASE WHEN action = 'Modify' AND field_name = 'ab_lanes' THEN field_value END, CASE WHEN action = 'Modify' AND field_name = 'ab_lanes' THEN seq END) AS a,
   ARG_MAX(CASE WHEN action = 'Modify' AND field_name = 'ba_lanes' THEN field_value END, CASE WHEN action = 'Modify' AND field_name = 'ba_lanes' THEN seq END) AS b
-  FROM (SELECT * FROM v_edit WHERE NOT (action = 'Remove' AND seq % 50 <> 0)) e GROUP BY id)
+  FROM v_edit GROUP BY id)
 SELECT l.id, 'link' AS kind, COALESCE(CAST(s AS INT), spd_lmt) AS spd_lmt, COALESCE(CAST(a AS INT), ab_lanes) AS ab_lanes, COALESCE(CAST(b AS INT), ba_lanes) AS ba_lanes
 FROM v_link l LEFT JOIN m ON m.id = l.id WHERE (dir >= 0 OR ad = 1) AND COALESCE(rm, 0) = 0
-UNION ALL SELECT id, 'error', NULL, NULL, NULL FROM v_edit WHERE NOT (action = 'Remove' AND seq % 50 <> 0) AND id NOT IN (SELECT id FROM v_link)""",
+UNION ALL SELECT id, 'error', NULL, NULL, NULL FROM v_edit WHERE id NOT IN (SELECT id FROM v_link)""",
 )
 def net_apply_projects(t):
-    edits = t.v_edit.filter(~((F.col("action") == "Remove") & (F.col("seq") % 50 != 0)))
     links = t.v_link.select("id", "dir", "spd_lmt", "ab_lanes", "ba_lanes")
-    kept, errors = net.net_apply_projects(links, edits, F.col("dir") >= 0)
+    kept, errors = net.net_apply_projects(links, t.v_edit, F.col("dir") >= 0)
     nothing = [F.lit(None).cast("int").alias(c) for c in ("spd_lmt", "ab_lanes", "ba_lanes")]
     good = kept.select("id", F.lit("link").alias("kind"), "spd_lmt", "ab_lanes", "ba_lanes")
     return good.unionByName(errors.select("id", F.lit("error").alias("kind"), *nothing))
@@ -248,7 +247,7 @@ def _peak(n, a, b):
 
 
 @query(
-    "id:i flow:s ampk_vol:f4 ampk_speed:i ampd_vol:f4 ampd_vc:f6 ampd_speed:f8 pmpk_vol:f4 pmpk_speed:i pmpd_vol:f4 pmpd_vc:f6 pmpd_speed:f8 max_vc:f6 low_speed:i delay:f4",
+    "id:i flow:s ampk_vol:f4 ampk_speed:i ampd_vol:f4 ampd_vc:f8 ampd_speed:f8 pmpk_vol:f4 pmpk_speed:i pmpd_vol:f4 pmpd_vc:f8 pmpd_speed:f8 max_vc:f8 low_speed:i delay:f4",
     f"SELECT id, flow, {_peak('am', 7, 9)}, {_peak('pm', 16, 18)}, MAX(vc) AS max_vc, MIN(speed_row) AS low_speed, SUM(delay_hours) AS delay FROM {HOURLY} x GROUP BY id, flow",
 )
 def hwy_peak_stats(t):

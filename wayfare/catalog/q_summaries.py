@@ -41,7 +41,7 @@ def agg_distinct_count(t):
 
 
 @query(
-    "l_partkey:i sum_l_quantity:f2 max_l_quantity:f2 min_l_extendedprice:f2 avg_l_extendedprice:f9 count_l_quantity:i",
+    "l_partkey:i sum_l_quantity:f2 max_l_quantity:f2 min_l_extendedprice:f2 avg_l_extendedprice:f7 count_l_quantity:i",
     """
 SELECT l_partkey, SUM(l_quantity) AS sum_l_quantity, MAX(l_quantity) AS max_l_quantity, MIN(l_extendedprice) AS min_l_extendedprice,
        AVG(l_extendedprice) AS avg_l_extendedprice, COUNT(l_quantity) AS count_l_quantity FROM lineitem GROUP BY l_partkey""",

@@ -106,8 +106,10 @@ def _feed(t):
         "stops": t.v_point.select(F.col("id").cast("string").alias("stop_id"), F.col("label").cast("string").alias("stop_name"), F.col("y").alias("stop_lat"), F.col("x").alias("stop_lon")),
         "stop_times": t.lineitem.select(F.col("l_orderkey").cast("string").alias("trip_id"), clock.alias("arrival_time"), clock.alias("departure_time"), F.col("l_suppkey").cast("string").alias("stop_id"), F.col("l_linenumber").alias("stop_sequence")),
         "calendar": t.region.select(F.concat(F.lit("S"), r.cast("string")).alias("service_id"), *days.values(), F.lit("20190815").alias("start_date"), F.lit("20191231").alias("end_date")),
-        "calendar_dates": t.nation.filter("n_nationkey < 2").select(
-            F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("service_id"), F.lit("20191016").alias("date"), (F.col("n_nationkey") + 1).cast("int").alias("exception_type")
+        "calendar_dates": t.nation.select(
+            F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("service_id"),
+            F.when(F.col("n_nationkey") < 2, "20191016").otherwise("20191225").alias("date"),
+            (F.col("n_nationkey") % 2 + 1).cast("int").alias("exception_type"),
         ),
     }
 
@@ -131,7 +133,7 @@ def trn_gtfs_service_trips(t):
     "name:s n:i",
     """
 SELECT 'routes' AS name, COUNT(*) AS n FROM supplier UNION ALL SELECT 'trips', COUNT(*) FROM orders UNION ALL SELECT 'stops', COUNT(*) FROM embeddings UNION ALL SELECT 'stop_times', COUNT(*) FROM lineitem
-UNION ALL SELECT 'calendar', COUNT(*) FROM region UNION ALL SELECT 'calendar_dates', 2""",
+UNION ALL SELECT 'calendar', COUNT(*) FROM region UNION ALL SELECT 'calendar_dates', COUNT(*) FROM nation""",
 )
 def scan_gtfs(t):
     folder = scratch_path(t.spark, "feed")
@@ -330,9 +332,9 @@ def spa_buffer_decay(t):
     f"""
 WITH s AS ({SITES_SQL}), p AS ({PIP_SQL}), n AS (SELECT id, ARG_MIN(site, dd) AS site FROM (SELECT DISTINCT p.id, s.site, SQRT((s.x - p.x) * (s.x - p.x) + (s.y - p.y) * (s.y - p.y)) AS dd FROM p, s) q GROUP BY id),
  m AS (SELECT p.id, p.pid, EXP(-0.5 * 2 * 3956 * ASIN(SQRT(POW(SIN(RADIANS(s.y - p.y) / 2), 2) + COS(RADIANS(p.y)) * COS(RADIANS(s.y)) * POW(SIN(RADIANS(s.x - p.x) / 2), 2)))) AS u FROM p JOIN n ON n.id = p.id JOIN s ON s.site = n.site),
- q AS (SELECT id, pid, t.total * u / SUM(u) OVER (PARTITION BY pid) AS part FROM m JOIN (SELECT l_linenumber AS tp, CAST(SUM(l_quantity) AS BIGINT) AS total FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1) t ON t.tp = pid)
+ q AS (SELECT id, pid, t.total * u / SUM(u) OVER (PARTITION BY pid) AS part FROM m JOIN (SELECT l_linenumber AS tp, CAST(SUM(l_quantity) AS BIGINT) AS total FROM lineitem GROUP BY 1) t ON t.tp = pid)
 SELECT id, pid, CAST(FLOOR(part) AS BIGINT) + CASE WHEN ROW_NUMBER() OVER (PARTITION BY pid ORDER BY part - FLOOR(part) DESC, id) <= ROUND(SUM(part) OVER (PARTITION BY pid) - SUM(FLOOR(part)) OVER (PARTITION BY pid)) THEN 1 ELSE 0 END AS units FROM q""",
 )
 def spa_dasymetric(t):
-    totals = t.lineitem.filter("l_linenumber <= 3").groupBy(F.col("l_linenumber").alias("pid")).agg(F.sum("l_quantity").cast("bigint").alias("total"))
+    totals = t.lineitem.groupBy(F.col("l_linenumber").alias("pid")).agg(F.sum("l_quantity").cast("bigint").alias("total"))
     return spatial.spa_dasymetric(t.v_point.select("id", "x", "y"), rings(t.spark), sites(t), totals, "id", 0.05)

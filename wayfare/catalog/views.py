@@ -65,7 +65,7 @@ SELECT p_partkey AS id, CAST(FLOOR(p_partkey / 4.0) AS BIGINT) AS from_id, CAST(
        CAST((p_partkey * 7) % 900 AS INT) AS ab_am_sut, CAST((p_partkey * 5) % 900 AS INT) AS ba_am_sut,
        CASE WHEN p_partkey % 3 = 0 THEN CAST((p_partkey * 97) % 60000 AS INT) END AS aadt, p_type AS rte_name FROM part""",
     "v_edit": """
-SELECT event_id AS seq, CAST(1 + user_id * 3 AS BIGINT) AS id, CASE event_type WHEN 'error' THEN 'Remove' WHEN 'signup' THEN 'Add' ELSE 'Modify' END AS action,
+SELECT event_id AS seq, CAST(1 + user_id * 3 AS BIGINT) AS id, CASE WHEN event_type = 'error' AND value < 1 THEN 'Remove' WHEN event_type = 'signup' THEN 'Add' ELSE 'Modify' END AS action,
        CASE event_type WHEN 'click' THEN 'spd_lmt' WHEN 'view' THEN 'ab_lanes' ELSE 'ba_lanes' END AS field_name, CAST(event_id % 7 AS STRING) AS field_value FROM events""",
     "v_od": """
 SELECT s.s_nationkey AS o, c.c_nationkey AS d, YEAR(l.l_shipdate) AS core, SUM(l.l_quantity) AS trips
@@ -94,7 +94,9 @@ SELECT l_partkey AS mz_id, CAST(l_partkey % 103 AS INT) AS tract, CAST(l_suppkey
 FROM lineitem GROUP BY l_partkey, l_partkey % 103, l_suppkey % 3""",
     "v_hwy": """
 SELECT l.id, l.from_id, l.to_id, l.length, l.dir, l.fcarea, l.ab_lanes, l.ba_lanes, l.access, l.median, l.ramp, l.aadt,
-       CASE WHEN l.id % 23 = 0 THEN NULL ELSE l.spd_lmt END AS pspeed, x.fc, CAST(l.id % 2 AS INT) AS turnlane, CAST(8 + l.id % 6 AS INT) AS lnwidth,
+       CASE WHEN l.id % 23 = 0 THEN NULL ELSE l.spd_lmt END AS pspeed,
+       CASE WHEN l.fcarea = 1 THEN CASE l.funcclass WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 2 WHEN 4 THEN 6 WHEN 5 THEN 7 WHEN 6 THEN 8 ELSE 9 END
+        ELSE CASE l.funcclass WHEN 1 THEN 11 WHEN 2 THEN 12 WHEN 3 THEN 14 WHEN 4 THEN 16 WHEN 5 THEN 17 WHEN 6 THEN 17 ELSE 19 END END AS fc, CAST(l.id % 2 AS INT) AS turnlane, CAST(8 + l.id % 6 AS INT) AS lnwidth,
        CASE WHEN l.id % 9 = 0 THEN NULL ELSE CAST(l.id % 8 AS INT) END AS rswidth, CAST(l.from_id % 6 AS INT) AS a_ctrl, CAST(l.to_id % 6 AS INT) AS b_ctrl,
        CAST(1 + l.id % 3 AS INT) AS a_prio, CAST(1 + (l.id + 1) % 3 AS INT) AS b_prio, CAST(l.id % 4 AS INT) % 2 AS a_sync, CAST(l.id % 5 AS INT) % 2 AS b_sync,
        CASE WHEN l.id % 8 = 1 THEN 1 ELSE 0 END AS auxlane, CASE WHEN l.id % 10 = 1 AND l.ab_lanes >= 2 THEN 1 ELSE 0 END AS weavelane,
@@ -104,7 +106,7 @@ SELECT l.id, l.from_id, l.to_id, l.length, l.dir, l.fcarea, l.ab_lanes, l.ba_lan
        CAST((l.id * 3) % 300 AS INT) AS ab_pm_su, CAST((l.id * 11) % 300 AS INT) AS ba_pm_su, CAST((l.id * 19) % 700 AS INT) AS ab_op_su, CAST((l.id * 23) % 700 AS INT) AS ba_op_su,
        CAST(l.id % 90 AS INT) AS ab_am_mu, CAST(l.id % 70 AS INT) AS ba_am_mu, CAST(l.id % 50 AS INT) AS ab_pm_mu, CAST(l.id % 60 AS INT) AS ba_pm_mu,
        CAST(l.id % 200 AS INT) AS ab_op_mu, CAST(l.id % 210 AS INT) AS ba_op_mu
-FROM v_link l JOIN (SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN CASE p_partkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 2 WHEN 3 THEN 6 WHEN 4 THEN 7 WHEN 5 THEN 8 ELSE 9 END ELSE CASE p_partkey % 7 WHEN 0 THEN 11 WHEN 1 THEN 12 WHEN 2 THEN 14 WHEN 3 THEN 16 WHEN 4 THEN 17 WHEN 5 THEN 17 ELSE 19 END END AS fc FROM part) x ON x.id = l.id""",
+FROM v_link l""",
     "v_dlink": """
 SELECT id, 'AB' AS flow, from_id, to_id, length, dir, fc, fcarea, access, median, ramp, ab_lanes AS lanes, ab_am_car AS am_car, ab_pm_car AS pm_car, ab_op_car AS op_car, ab_am_su AS am_su, ab_pm_su AS pm_su,
        ab_op_su AS op_su, ab_am_mu AS am_mu, ab_pm_mu AS pm_mu, ab_op_mu AS op_mu, 60 * length / (25 + id % 40) AS fftime, CAST(800 + (id * 7) % 4000 AS DOUBLE) AS am_cap,

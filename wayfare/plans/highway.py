@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.recode import SIGNS, first_match, project_case_map
+from ..session import checked_broadcast
 
 RURAL, URBAN = -1, 1
 
@@ -332,7 +333,7 @@ def hwy_hourly_profile(dlinks: DataFrame, profile: DataFrame, params: dict[str,
     freeways and 5 minutes elsewhere.
     """
     p = {**PARAMETERS, **(params or {})}
-    full = dlinks.withColumn("area_group", area_group()).join(profile, "area_group")
+    full = dlinks.withColumn("area_group", area_group()).join(checked_broadcast(profile, 4 * 24), "area_group")
 
     def volume(cls: str) -> Column:
         return first_match([(F.col("period") == t, F.col(f"{t}_{cls}")) for t in ("am", "pm", "op")])

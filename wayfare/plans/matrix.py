@@ -17,7 +17,7 @@ from ..functions.recode import first_match, project_case_map
 from ..functions.scalar import fn_tod_period
 from ..operators.aggregates import agg_matrix_build
 from ..operators.sets import topk_per_group
-from ..session import cut_lineage
+from ..session import BROADCAST_ROWS, cut_lineage
 
 # Vehicle trips per person trip by mode, transit cores by path type.
 VEHICLES_PER_TRIP = {3: 1.0, 4: 1 / 2, 5: 1 / 3.5}
@@ -156,10 +156,16 @@ def fit_margins(
     """
     rows, cols = cut_lineage(rows), cut_lineage(cols)
     cells = cut_lineage(cells.filter("base > 0").select("o", "d", F.col("base").cast("double").alias("base")))
+    # Factors and targets have a row per zone, so one count of the zones settles their size.
+    ends = [cells.select("o"), cells.select("d"), rows.select("o"), cols.select("d")]
+    small = reduce(lambda x, y: x.union(y), ends).distinct().count() <= BROADCAST_ROWS
+
+    def spread(factors: DataFrame) -> DataFrame:
+        return F.broadcast(factors) if small else factors
 
     def step(line: str, other: str, targets: DataFrame, factors: DataFrame) -> DataFrame:
-        sums = cells.join(factors, other).groupBy(line).agg(F.sum(F.col("base") * F.col("f")).alias("s"))
-        found = sums.join(targets, line, "left")
+        sums = cells.join(spread(factors), other).groupBy(line).agg(F.sum(F.col("base") * F.col("f")).alias("s"))
+        found = sums.join(spread(targets), line, "left")
         return found.select(line, F.coalesce(F.try_divide(F.col("target").cast("double"), F.col("s")), F.lit(0.0)).alias("f"))
 
     b = cols.select("d", F.lit(1.0).alias("f"))
@@ -178,7 +184,7 @@ def fit_margins(
                 break
         last = a.withColumnRenamed("f", "g")
     fa, fb = a.withColumnRenamed("f", "fa"), b.withColumnRenamed("f", "fb")
-    return cells.join(fa, "o").join(fb, "d").select("o", "d", (F.col("base") * F.col("fa") * F.col("fb")).alias("trips"))
+    return cells.join(spread(fa), "o").join(spread(fb), "d").select("o", "d", (F.col("base") * F.col("fa") * F.col("fb")).alias("trips"))
 
 
 def mat_growth_factor(od: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int = 100, tol: float = 0.001, checkpoint_every: int = 5) -> DataFrame:

@@ -12,7 +12,7 @@ from ..functions.scalar import fn_decimal_money, fn_geo_id_concat
 from ..operators.aggregates import agg_majority_assign
 from ..operators.joins import join_update_from
 from ..operators.windows import running, win_group_seq, win_surrogate_id
-from ..session import cut_lineage
+from ..session import checked_broadcast, cut_lineage
 
 # Census codes.
 INCOME_FACTORS = {
@@ -133,7 +133,7 @@ def pop_raking(
             break
     result = seed
     for j, (ks, _) in enumerate(controls):
-        result = result.join(factors[j], list(ks)).withColumn(weight, F.col(weight) * F.col(f"f{j}")).drop(f"f{j}")
+        result = result.join(checked_broadcast(factors[j]), list(ks)).withColumn(weight, F.col(weight) * F.col(f"f{j}")).drop(f"f{j}")
     return result
 
 
