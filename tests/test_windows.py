@@ -78,3 +78,12 @@ def test_complete_grid_is_no_cross_join(spark):
     grid = sets.set_complete_grid(spark, ("x", -1, 2), ("y", 3, 5))
     assert sorted(map(tuple, grid.collect())) == [(x, y) for x in range(-1, 3) for y in range(3, 6)]
     assert "Join" not in grid._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("order", [["k"], ["-k"]])
+def test_keys_may_span_the_whole_long_range(spark, order):
+    keys = [-(2**63), -5, 0, 7, 2**63 - 1]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    out = {r["k"]: r["n"] for r in windows.win_surrogate_id(df, order, "n").collect()}
+    ranked = keys if order == ["k"] else keys[::-1]
+    assert out == {k: i + 1 for i, k in enumerate(ranked)}

@@ -33,7 +33,8 @@ def _order_columns(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list
         elif kind == "string":
             raise TypeError(f"order key {col} must be numeric or a time; sort text by a numeric code")
         name = f"__k{i}"
-        df = df.withColumn(name, -c if desc else c)
+        whole = kind in ("byte", "short", "integer", "long", "date") or kind.startswith("timestamp")
+        df = df.withColumn(name, c if not desc else F.bitwise_not(c) if whole else -c)
         names.append(name)
     return df, names
 
@@ -42,9 +43,9 @@ def _slices(df: DataFrame, keys: Sequence[str], per_key: int) -> tuple[DataFrame
     """Equal-width slice numbers of each order key; min and max come from one small aggregate."""
     out = []
     for i, key in enumerate(keys):
-        ends = df.agg(F.struct(F.min(key).alias("lo"), F.max(key).alias("hi"))).scalar()
-        span = (ends["hi"] - ends["lo"]).cast("double")
-        pos = F.try_divide((F.col(key) - ends["lo"]).cast("double"), span) * per_key
+        value = F.col(key).cast("double")
+        ends = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+        pos = F.try_divide(value - ends["lo"], ends["hi"] - ends["lo"]) * per_key
         df = df.withColumn(f"__s{i}", F.coalesce(F.floor(pos), F.lit(-1)).cast("int"))
         out.append(f"__s{i}")
     return df, out

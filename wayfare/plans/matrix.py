@@ -147,7 +147,7 @@ def mat_balance_vectors(zones: DataFrame, p: str, a: str, hold: Column | None =
 
 
 def fit_margins(
-    cells: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int, tol: float, checkpoint_every: int = 5
+    cells: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int, tol: float, checkpoint_every: int = 2
 ) -> DataFrame:
     """Factors a(o), b(d) so that a x base x b meets the row and column targets.
 
@@ -187,13 +187,13 @@ def fit_margins(
     return cells.join(spread(fa), "o").join(spread(fb), "d").select("o", "d", (F.col("base") * F.col("fa") * F.col("fb")).alias("trips"))
 
 
-def mat_growth_factor(od: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int = 100, tol: float = 0.001, checkpoint_every: int = 5) -> DataFrame:
+def mat_growth_factor(od: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int = 100, tol: float = 0.001, checkpoint_every: int = 2) -> DataFrame:
     """Doubly constrained growth of a seed matrix to new trip ends."""
     return fit_margins(od.select("o", "d", F.col("trips").alias("base")), rows, cols, max_iter, tol, checkpoint_every)
 
 
 def mat_gravity(
-    skim: DataFrame, rows: DataFrame, cols: DataFrame, c: float, k: str | None = None, max_iter: int = 500, tol: float = 0.001, checkpoint_every: int = 5
+    skim: DataFrame, rows: DataFrame, cols: DataFrame, c: float, k: str | None = None, max_iter: int = 500, tol: float = 0.001, checkpoint_every: int = 2
 ) -> DataFrame:
     """Doubly constrained gravity model with friction exp(-c x impedance) and optional K factors."""
     friction = F.exp(-c * F.col("imp"))

@@ -101,7 +101,7 @@ def pop_seed_persons(per: DataFrame, seed_hh: DataFrame) -> DataFrame:
 
 
 def pop_raking(
-    seed: DataFrame, weight: str, controls: Sequence[tuple[Sequence[str], DataFrame]], max_iter: int = 50, tol: float = 1e-4, checkpoint_every: int = 5
+    seed: DataFrame, weight: str, controls: Sequence[tuple[Sequence[str], DataFrame]], max_iter: int = 50, tol: float = 1e-4, checkpoint_every: int = 2
 ) -> DataFrame:
     """Seed weights scaled until they meet every control: (keys, frame of keys and target).
 
