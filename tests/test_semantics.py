@@ -224,7 +224,7 @@ def test_projects_last_edit_wins_and_errors_are_reported(spark):
 
 def test_gtfs_exceptions_and_afternoon_window(spark, tmp_path):
     files = {
-        "routes": "route_id,route_short_name\n28,Brainerd\n",
+        "routes": "route_id,route_short_name\n28,Main\n",
         "trips": "route_id,service_id,trip_id,direction_id,shape_id\n28,wk,a,0,s1\n28,wk,b,0,s1\n28,sat,c,1,s2\n28,hol,d,1,s3\n28,off,e,0,s9\n",
         "stops": "stop_id,stop_name,stop_lat,stop_lon\n1,Main,35.0,-85.3\n",
         "stop_times": "trip_id,arrival_time,departure_time,stop_id,stop_sequence\na,06:59:00,07:00:00,1,1\na,08:00:00,08:00:00,1,2\nb,07:30:00,07:30:00,1,1\nc,07:00:00,07:00:00,1,1\nd,16:00:00,16:00:00,1,1\ne,07:00:00,07:00:00,1,1\n",
@@ -245,10 +245,10 @@ def test_weekday_filter(spark):
 
 
 def test_geo_ids(spark):
-    states = spark.createDataFrame([("Tennessee", "47")], "state_name string, state_code string")
-    counties = spark.createDataFrame([("47", "Hamilton County", "065")], "state_code string, county_name string, county_code string")
-    df = spark.createDataFrame([("Census Tract 112.04, Hamilton County, Tennessee",), ("Census Tract 4, Dade County, Tennessee",)], "d string")
-    assert sorted(str(r["geoid"]) for r in scalar.fn_geo_id_build(df, "d", states, counties).collect()) == ["47065011204", "None"]
+    states = spark.createDataFrame([("Ohio", "39")], "state_name string, state_code string")
+    counties = spark.createDataFrame([("39", "Lake County", "085")], "state_code string, county_name string, county_code string")
+    df = spark.createDataFrame([("Census Tract 112.04, Lake County, Ohio",), ("Census Tract 4, Dade County, Ohio",)], "d string")
+    assert sorted(str(r["geoid"]) for r in scalar.fn_geo_id_build(df, "d", states, counties).collect()) == ["39085011204", "None"]
 
 
 def test_person_types(spark):

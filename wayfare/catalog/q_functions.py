@@ -122,7 +122,7 @@ def fn_text_clean(t):
 @query(
     "p_partkey:i address:s",
     """
-SELECT p_partkey, CONCAT(TRIM(CASE WHEN home THEN CONCAT_WS(' ', place, '37402') ELSE place END), ', Chattanooga, TN') AS address FROM (
+SELECT p_partkey, CONCAT(TRIM(CASE WHEN home THEN CONCAT_WS(' ', place, '12345') ELSE place END), ', Springfield') AS address FROM (
  SELECT p_partkey, p_partkey % 2 = 0 AS home, CASE WHEN street IS NOT NULL THEN CONCAT_WS(' ', nm, CAST(p_size AS VARCHAR), street) ELSE CONCAT_WS(' ', nm, crossing) END AS place
  FROM (SELECT p_partkey, p_size, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_name END AS nm, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE p_brand END AS street,
    CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CONCAT(p_type, ' & 4th') END AS crossing FROM part) a) b""",
@@ -135,9 +135,9 @@ def fn_address_compose(t):
         F.col("p_size").cast("string").alias("no"),
         F.when(k % 3 != 0, F.col("p_brand")).alias("street"),
         F.when(k % 7 != 0, F.concat("p_type", F.lit(" & 4th"))).alias("crossing"),
-        F.lit("37402").alias("zip"),
+        F.lit("12345").alias("zip"),
     )
-    line = fn.fn_address_compose("nm", "no", "street", "crossing", "zip", k % 2 == 0, "Chattanooga, TN")
+    line = fn.fn_address_compose("nm", "no", "street", "crossing", "zip", k % 2 == 0, "Springfield")
     return stops.select("p_partkey", line.alias("address"))
 
 
