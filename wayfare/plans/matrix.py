@@ -147,12 +147,12 @@ def mat_balance_vectors(zones: DataFrame, p: str, a: str, hold: Column | None =
 
 
 def fit_margins(
-    cells: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int, tol: float, checkpoint_every: int = 2
+    cells: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int, tol: float, checkpoint_every: int = 1
 ) -> DataFrame:
     """Factors a(o), b(d) so that a x base x b meets the row and column targets.
 
     ``cells`` is (o, d, base), ``rows`` (o, target), ``cols`` (d, target). Stops when no
-    row factor moves by more than ``tol``; a margin of 0, or a line without cells, gives 0.
+    column factor moves by more than ``tol``; a margin of 0, or a line without cells, gives 0.
     """
     rows, cols = cut_lineage(rows), cut_lineage(cols)
     cells = cut_lineage(cells.filter("base > 0").select("o", "d", F.col("base").cast("double").alias("base")))
@@ -168,32 +168,30 @@ def fit_margins(
         found = sums.join(spread(targets), line, "left")
         return found.select(line, F.coalesce(F.try_divide(F.col("target").cast("double"), F.col("s")), F.lit(0.0)).alias("f"))
 
-    b = cols.select("d", F.lit(1.0).alias("f"))
-    a = last = None
-    for i in range(1, max_iter + 1):
-        cut = i % checkpoint_every == 0 or i == max_iter
-        a = step("o", "d", rows, b)
-        a = cut_lineage(a) if cut else a
-        b = step("d", "o", cols, a)
-        if not cut:
+    b, last = cols.select("d", F.lit(1.0).alias("f")), None
+    for i in range(1, max_iter):
+        b = step("d", "o", cols, step("o", "d", rows, b))
+        if i % checkpoint_every:
             continue
         b = cut_lineage(b)
-        if last is not None and tol > 0 and i < max_iter:
-            moved = a.join(last, "o").agg(F.max(F.abs(F.try_divide("f", "g") - 1))).first()[0]
+        if last is not None and tol > 0:
+            moved = b.join(last, "d").agg(F.max(F.abs(F.try_divide("f", "g") - 1))).first()[0]
             if moved is None or moved <= tol:
                 break
-        last = a.withColumnRenamed("f", "g")
+        last = b.withColumnRenamed("f", "g")
+    a = cut_lineage(step("o", "d", rows, b))
+    b = cut_lineage(step("d", "o", cols, a))
     fa, fb = a.withColumnRenamed("f", "fa"), b.withColumnRenamed("f", "fb")
     return cells.join(spread(fa), "o").join(spread(fb), "d").select("o", "d", (F.col("base") * F.col("fa") * F.col("fb")).alias("trips"))
 
 
-def mat_growth_factor(od: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int = 100, tol: float = 0.001, checkpoint_every: int = 2) -> DataFrame:
+def mat_growth_factor(od: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int = 100, tol: float = 0.001, checkpoint_every: int = 1) -> DataFrame:
     """Doubly constrained growth of a seed matrix to new trip ends."""
     return fit_margins(od.select("o", "d", F.col("trips").alias("base")), rows, cols, max_iter, tol, checkpoint_every)
 
 
 def mat_gravity(
-    skim: DataFrame, rows: DataFrame, cols: DataFrame, c: float, k: str | None = None, max_iter: int = 500, tol: float = 0.001, checkpoint_every: int = 2
+    skim: DataFrame, rows: DataFrame, cols: DataFrame, c: float, k: str | None = None, max_iter: int = 500, tol: float = 0.001, checkpoint_every: int = 1
 ) -> DataFrame:
     """Doubly constrained gravity model with friction exp(-c x impedance) and optional K factors."""
     friction = F.exp(-c * F.col("imp"))
