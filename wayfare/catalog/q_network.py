@@ -247,7 +247,7 @@ def _peak(n, a, b):
 
 
 @query(
-    "id:i flow:s ampk_vol:f4 ampk_speed:i ampd_vol:f4 ampd_vc:f8 ampd_speed:f8 pmpk_vol:f4 pmpk_speed:i pmpd_vol:f4 pmpd_vc:f8 pmpd_speed:f8 max_vc:f8 low_speed:i delay:f4",
+    "id:i flow:s ampk_vol:f4 ampk_speed:i ampd_vol:f4 ampd_vc:f10 ampd_speed:f8 pmpk_vol:f4 pmpk_speed:i pmpd_vol:f4 pmpd_vc:f10 pmpd_speed:f8 max_vc:f10 low_speed:i delay:f4",
     f"SELECT id, flow, {_peak('am', 7, 9)}, {_peak('pm', 16, 18)}, MAX(vc) AS max_vc, MIN(speed_row) AS low_speed, SUM(delay_hours) AS delay FROM {HOURLY} x GROUP BY id, flow",
 )
 def hwy_peak_stats(t):
