@@ -31,7 +31,8 @@ def survey_keys():
 
 
 def test_every_survey_key_is_registered_with_sql():
-    assert set(survey_keys()) == set(entry.queries()) == set(entry.oracle_sql())
+    own = {n for n in entry.queries() if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert set(survey_keys()) == own == {n for n in entry.oracle_sql() if not re.match(r"op\d+_", n)}
 
 
 @pytest.fixture(scope="module")

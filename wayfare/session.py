@@ -14,20 +14,18 @@ BROADCAST_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as named by ``spark.checkpoint.dir`` or set on the context.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
+    """The folder all executors see, as named by ``spark.checkpoint.dir`` or set on the context."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    made = spark.conf.get("wayfare.local.dir", None)
-    if not made:
-        made = tempfile.mkdtemp(prefix="wayfare-")
-        spark.conf.set("wayfare.local.dir", made)
-    return made
+    return named
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """Give a local trial session without ``spark.checkpoint.dir`` a folder; others stay as they are."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir() and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wayfare-"))
+    return spark
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
