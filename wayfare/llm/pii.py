@@ -65,6 +65,11 @@ def valid(kind: Column, value: Column) -> Column:
     )
 
 
+def tagged(kind: int):
+    """The fields of a match with its kind before them."""
+    return lambda x: F.struct(F.lit(kind).alias("kind"), *[x[f].alias(f) for f in ("i", "gap", "left", "value")])
+
+
 def matches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row, doc_id, check, kind, start, end, value, left`` of all matches, and one row with a null value for each document and kind."""
     docs = id_text(df, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
@@ -88,7 +93,7 @@ def matches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         )
         whole = F.array(F.struct(F.lit(0).alias("i"), F.length("text").alias("gap"), F.lit("").alias("left"), F.lit(None).cast("string").alias("value")))
         items = F.when(has, pairs).otherwise(whole)
-        parts.append(F.transform(items, lambda x, k=k: F.struct(F.lit(k).alias("kind"), x["i"].alias("i"), x["gap"].alias("gap"), x["left"].alias("left"), x["value"].alias("value"))))
+        parts.append(F.transform(items, tagged(k)))
     rows = docs.select("row", "doc_id", F.xxhash64("text").alias("check"), F.length("text").alias("size"), F.explode(F.concat(*parts)).alias("m"))
     rows = rows.select("row", "doc_id", "check", "size", "m.*")
     # Gaps and matches of one kind add to the length of the text, so one sum serves all kinds.
