@@ -263,7 +263,11 @@ def candidate_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bo
     rows = across.union(own.select("keys", "owners", "batch").mapInPandas(members, listed))
     names = own.select("nodes", "batch").mapInPandas(expand, "b long, o long, node long, n int")
     found = rows.join(names, (F.col("batch") == F.col("b")) & (F.col("owner") == F.col("o"))).select("sig", "node", "n").distinct()
-    return cut(found)
+    found = cut(found)
+    # One set alone has no partner, nor have two whose sizes rule a link out.
+    size = found.groupBy("sig").agg(F.count("*").alias("k"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    kept = size.filter("k > 2 OR (k = 2 AND 5 * lo >= 4 * hi)").select("sig")
+    return cut(found.join(kept, "sig"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -280,7 +284,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long"))
+    return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long").distinct())
 
 
 def resolve(lists: DataFrame, sets: DataFrame) -> DataFrame:
@@ -332,8 +336,8 @@ def sets_of(docs: DataFrame, classes: DataFrame, lists: DataFrame) -> DataFrame:
             yield pd.DataFrame({"node": pdf["node"], "items": [s.tobytes() for s in found]})[same]
 
     joined = docs.join(wanted, docs["doc_id"] == wanted["id"]).select("node", "text")
-    made = joined.mapInPandas(run, "node long, items binary")
-    return cut(made.groupBy("node").agg(F.first("items").alias("items")))
+    # Rows repeated with one id and text give the same set again; pairs are made distinct later.
+    return cut(joined.mapInPandas(run, "node long, items binary"))
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
