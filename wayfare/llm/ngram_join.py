@@ -264,10 +264,16 @@ def candidate_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bo
     names = own.select("nodes", "batch").mapInPandas(expand, "b long, o long, node long, n int")
     found = rows.join(names, (F.col("batch") == F.col("b")) & (F.col("owner") == F.col("o"))).select("sig", "node", "n").distinct()
     found = cut(found)
-    # One set alone has no partner, nor have two whose sizes rule a link out.
-    size = found.groupBy("sig").agg(F.count("*").alias("k"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    kept = size.filter("k > 2 OR (k = 2 AND 5 * lo >= 4 * hi)").select("sig")
-    return cut(found.join(kept, "sig"))
+    # Only members with another one of a fitting size stay. Sizes that may link lie in the same
+    # or in neighbouring classes of a little more than a quarter; two members are compared exactly.
+    kind = F.floor(F.log("n") / F.log(F.lit(1.26))).cast("int")
+    sizes = found.groupBy("sig", kind.alias("kind")).agg(F.count("*").alias("k"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    held = sizes.groupBy("sig").agg(
+        F.sum("k").alias("k"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.map_from_entries(F.collect_list(F.struct("kind", "k"))).alias("kinds")
+    ).filter("k > 2 OR (k = 2 AND 5 * lo >= 4 * hi)")  # at most as many entries as there are classes
+    near = [F.try_element_at("kinds", kind + d) for d in (-1, 0, 1)]
+    fits = near[0].isNotNull() | (near[1] > 1) | near[2].isNotNull()
+    return cut(found.join(held.select("sig", "kinds"), "sig").filter(fits).select("sig", "node", "n"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
