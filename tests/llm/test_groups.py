@@ -122,6 +122,18 @@ def test_signatures_meet_whenever_sets_link():
                 assert np.intersect1d(ngram_join.signatures(a, level(a), boundary), ngram_join.signatures(b, level(b), boundary)).size
 
 
+def test_sketches_never_rule_out_a_link():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        n = int(rng.integers(1, 400))
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[int(rng.integers(0, n // 3 + 1)) :], rng.integers(0, 2**64, int(rng.integers(0, n // 3 + 1)), dtype=np.uint64)]))
+        if len(b) and ngram_join.links(len(np.intersect1d(a, b)), len(a), len(b)):
+            assert ngram_join.may_link(ngram_join.sketch(a), ngram_join.sketch(b), len(a), len(b))
+    a, b = (np.unique(rng.integers(0, 2**64, 400, dtype=np.uint64)) for _ in range(2))
+    assert not ngram_join.may_link(ngram_join.sketch(a), ngram_join.sketch(b), len(a), len(b))
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 600), (7, 7)], "a long, b long")
     got = {r["node"]: r["label"] for r in smallest_labels(edges).collect()}

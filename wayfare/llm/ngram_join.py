@@ -11,7 +11,8 @@ boundary is the size at which the summed cost of subsets and of list scans is le
 Lists are resolved without pairing all members: each list's first member is verified against the
 rest, linked members share a label, and only members of a list that still differ in label are
 compared further, until no list holds two labels whose members were not compared. Nothing is lost:
-any two sets that link meet in a list. Verification uses the whole sets.
+any two sets that link meet in a list. Pairs are first held against small sketches, which bound the
+intersection from above, then verified on the whole sets.
 
 A document without words is linked with nothing; its set is empty. Null texts count as empty, null
 ids get a row with null ``component_id``. The order of frequent shingles is held for at most
@@ -24,11 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, id_text, map_texts, mix, span_hashes
+from .common import cut, id_text, map_texts, mix, ship, span_hashes
 from .components import smallest_labels
 
 WORDS = 5
@@ -72,6 +74,28 @@ def links(common: int, a: int, b: int) -> bool:
     return 100 * common >= 80 * (a + b - common)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """How many hashes of the set fall in each of 2**k cells (one or two on average), at most 255."""
+    if not len(s):
+        return b""
+    k = len(s).bit_length() - 1
+    cell = (s >> np.uint64(64 - k)).astype(np.int64) if k else np.zeros(len(s), np.int64)
+    return np.minimum(np.bincount(cell, minlength=1 << k), 255).astype(np.uint8).tobytes()
+
+
+def may_link(x: bytes, y: bytes, a: int, b: int) -> bool:
+    """False only if the sketches prove that sets of sizes ``a`` and ``b`` do not link.
+
+    The sum of the smaller counts of each cell bounds the intersection from above.
+    """
+    p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if (p == 255).any() or (q == 255).any():
+        return True
+    n = min(len(p), len(q))
+    most = np.minimum(p.reshape(n, -1).sum(1), q.reshape(n, -1).sum(1)).sum()
+    return links(int(most), a, b)
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
     """Sorted 32-bit values as byte planes of their differences, which Spark's codec shrinks well."""
     gaps = np.diff(values, prepend=values[:1] * 0).astype("<u4")
@@ -276,8 +300,21 @@ def candidate_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bo
     return cut(found.join(held.select("sig", "kinds"), "sig").filter(fits).select("sig", "node", "n"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sets link, with the size of the intersection."""
+def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` that their sketches do not rule out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            keep = [may_link(x, y, m, n) for x, y, m, n in zip(pdf["x"], pdf["y"], pdf["m"], pdf["n"], strict=True)]
+            yield pdf.loc[keep, ["a", "b"]]
+
+    left = classes.select(F.col("node").alias("a"), F.col("cells").alias("x"), F.col("n").alias("m"))
+    right = classes.select(F.col("node").alias("b"), F.col("cells").alias("y"), "n")
+    return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "m", "n").mapInPandas(run, "a long, b long"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` whose whole sets link."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -288,12 +325,15 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(links(common, len(p), len(q)))
             yield pdf.loc[keep, ["a", "b"]]
 
+    pairs = possible(pairs, classes)
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = sets_of(docs, classes.join(wanted, "node").select("node", F.col("first").alias("id")))
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long").distinct())
 
 
-def resolve(lists: DataFrame, sets: DataFrame) -> DataFrame:
+def resolve(lists: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """All links needed for the components, as pairs ``a, b`` of classes."""
     spark = lists.sparkSession
     rows = lists.count()
@@ -302,7 +342,7 @@ def resolve(lists: DataFrame, sets: DataFrame) -> DataFrame:
     while rows:
         first = lists.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("first"))
         star = lists.join(first, "sig").select(F.col("first.node").alias("a"), F.col("first.n").alias("m"), F.col("node").alias("b"), "n")
-        found = cut(found.union(verified(star.filter(fits).select("a", "b").distinct(), sets)))
+        found = cut(found.union(verified(star.filter(fits).select("a", "b").distinct(), docs, classes)))
         labels = smallest_labels(found)
         marked = lists.join(labels, "node", "left").select("sig", "node", "n", F.coalesce("label", "node").alias("label"))
         open_lists = marked.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("first")).filter("lo <> hi")
@@ -314,7 +354,7 @@ def resolve(lists: DataFrame, sets: DataFrame) -> DataFrame:
             if pairs:
                 other = rest.select("sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
                 left = rest.withColumnRenamed("node", "a").join(other, "sig").filter(fits & (F.col("a") < F.col("b")) & (F.col("label") != F.col("other")))
-                found = cut(found.union(verified(left.select("a", "b").distinct(), sets)))
+                found = cut(found.union(verified(left.select("a", "b").distinct(), docs, classes)))
             return found
         lists = rest.select("sig", "node", "n")
         rows = lists.count()
@@ -322,28 +362,55 @@ def resolve(lists: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, node``: size and class of each document's set."""
+    """``doc_id, n, node, cells``: size, class and sketch of each document's set."""
 
     def make(texts: list[str]) -> tuple[dict, None]:
         found = [shingles(t) for t in texts]
-        return {"n": [len(s) for s in found], "node": [class_of(s) for s in found]}, None
+        return {"n": [len(s) for s in found], "node": [class_of(s) for s in found], "cells": [sketch(s) for s in found]}, None
 
-    return cut(map_texts(docs, make, "n long, node long"))
+    return cut(map_texts(docs, make, "n long, node long, cells binary"))
 
 
-def sets_of(docs: DataFrame, classes: DataFrame, lists: DataFrame) -> DataFrame:
-    """``node, items``: the sets of the listed classes, made again from one document of each."""
-    wanted = classes.join(lists.select("node").distinct(), "node").select("node", F.col("first").alias("id"))
+BLOOM_WORDS = 1 << 18  # 64 bits each: two megabytes, however many ids
+
+
+def bloom(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over the column ``id``, its words made by a bitwise sum."""
+    marks = [F.xxhash64("id", F.lit(k)) for k in range(3)]
+    bit = F.explode(F.array(*[F.struct(F.pmod(h, F.lit(BLOOM_WORDS)).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(h, 32), F.lit(64)).cast("int")).alias("bits")) for h in marks]))
+    words = ids.select(bit.alias("m")).groupBy("m.word").agg(F.bit_or("m.bits").alias("bits")).toPandas()
+    table = np.zeros(BLOOM_WORDS, np.int64)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return table
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [shingles(t) for t in pdf["text"]]
-            same = [class_of(s) == c for s, c in zip(found, pdf["node"], strict=True)]
-            yield pd.DataFrame({"node": pdf["node"], "items": [s.tobytes() for s in found]})[same]
 
-    joined = docs.join(wanted, docs["doc_id"] == wanted["id"]).select("node", "text")
-    # Rows repeated with one id and text give the same set again; pairs are made distinct later.
-    return cut(joined.mapInPandas(run, "node long, items binary"))
+def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, items``: the sets of the classes in ``wanted`` (``node, id``), made again from one document of each.
+
+    A Bloom filter leaves out nearly all other documents where the texts are read, so no text is
+    moved; the join after it is exact. Rows repeated with one id and text give a set twice.
+    """
+    wanted = cut(wanted)
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted))
+    marks = [F.xxhash64("doc_id", F.lit(k)) for k in range(3)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            hit = np.ones(batch.num_rows, bool)
+            for k in range(3):
+                h = batch.column(f"h{k}").to_numpy()
+                hit &= (table[h % BLOOM_WORDS] >> ((h >> 32) % 64)) & 1 == 1
+            some = batch.filter(pa.array(hit))
+            if some.num_rows:
+                found = [shingles(t) for t in some.column("text").to_pylist()]
+                columns = [some.column("doc_id"), pa.array([class_of(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "items"])
+
+    ship(docs.sparkSession)
+    hashed = docs.select("doc_id", "text", *[h.alias(f"h{k}") for k, h in enumerate(marks)])
+    made = hashed.mapInArrow(run, "id long, node long, items binary")
+    return cut(made.join(wanted, ["node", "id"]).select("node", "items"))
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -352,15 +419,15 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     bits = max(3, min(20, (2 * docs.rdd.getNumPartitions() - 1).bit_length()))
     every = document_sets(docs)
     worded = every.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = cut(worded.groupBy("node").agg(F.min("doc_id").alias("first"), F.max("n").alias("n")))
+    classes = cut(worded.groupBy("node").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("cells").alias("cells")))
     known = docs.filter("doc_id IS NOT NULL")
     keys, levels, scan = frequent_shingles(known, bits)
     sizes = {r["size"]: r["count"] for r in classes.groupBy(F.least("n", F.lit(65)).alias("size")).count().collect()}
     lists = candidate_lists(known, (keys, levels), choose_boundary(sizes, scan), bits)
-    found = resolve(lists, sets_of(known, classes, lists))
+    found = resolve(lists, known, classes)
     labels = smallest_labels(found)
-    named = classes.join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
+    named = classes.drop("cells").join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
     lowest = named.groupBy("label").agg(F.min("first").alias("component"))
     component = named.join(lowest, "label").select("node", "component")
-    out = every.join(component, "node", "left")
+    out = every.drop("cells").join(component, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
