@@ -51,6 +51,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def cut_narrow(df: DataFrame) -> DataFrame:
+    """:func:`cut` for tables of a few numbers a row: an eighth of the shuffle partitions hold them."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(df.coalesce(max(1, parts // 8)))
+
+
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text (null: empty), so that no other column can clash."""
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

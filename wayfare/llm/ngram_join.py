@@ -8,7 +8,7 @@ and meet where a subset is equal. Heavy sets put the single shingles (``c = 1``)
 inverted lists and scan those; light sets that a heavy one may reach are on the lists too. The
 boundary is the size at which the summed cost of subsets and of list scans is least.
 
-Lists are resolved without pairing all members: each list's first member is verified against the
+Lists are resolved without pairing all members: a few leaders of each list are verified against the
 rest, linked members share a label, and only members of a list that still differ in label are
 compared further, until no list holds two labels whose members were not compared. Nothing is lost:
 any two sets that link meet in a list. Pairs are first held against small sketches, which bound the
@@ -30,12 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, id_text, map_texts, mix, ship, span_hashes
+from .common import cut, cut_narrow, id_text, map_texts, mix, ship, span_hashes
 from .components import smallest_labels
 
 WORDS = 5
 FREQUENT = 1 << 18
 MIN_DF = 8
+LEADERS = 8
 SPACES = np.zeros(256, bool)
 SPACES[[32, *range(9, 14)]] = True
 STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -287,17 +288,21 @@ def candidate_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bo
     rows = across.union(own.select("keys", "owners", "batch").mapInPandas(members, listed))
     names = own.select("nodes", "batch").mapInPandas(expand, "b long, o long, node long, n int")
     found = rows.join(names, (F.col("batch") == F.col("b")) & (F.col("owner") == F.col("o"))).select("sig", "node", "n").distinct()
-    found = cut(found)
+    found = cut_narrow(found)
     # Only members with another one of a fitting size stay. Sizes that may link lie in the same
     # or in neighbouring classes of a little more than a quarter; two members are compared exactly.
     kind = F.floor(F.log("n") / F.log(F.lit(1.26))).cast("int")
-    sizes = found.groupBy("sig", kind.alias("kind")).agg(F.count("*").alias("k"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    marks = {f"x{i}": F.bit_xor(F.xxhash64("node", F.lit(i))) for i in range(2)}
+    sizes = found.groupBy("sig", kind.alias("kind")).agg(F.count("*").alias("k"), F.min("n").alias("lo"), F.max("n").alias("hi"), *[c.alias(x) for x, c in marks.items()])
     held = sizes.groupBy("sig").agg(
-        F.sum("k").alias("k"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.map_from_entries(F.collect_list(F.struct("kind", "k"))).alias("kinds")
-    ).filter("k > 2 OR (k = 2 AND 5 * lo >= 4 * hi)")  # at most as many entries as there are classes
+        F.sum("k").alias("k"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.map_from_entries(F.collect_list(F.struct("kind", "k"))).alias("kinds"),
+        *[F.bit_xor(x).alias(x) for x in marks],
+    ).filter("k > 2 OR (k = 2 AND 5 * lo >= 4 * hi)")
+    # Of lists with the same members (number and two hashes) one is enough.
+    held = held.groupBy("k", *marks).agg(F.min("sig").alias("sig"), F.min_by("kinds", "sig").alias("kinds"))
     near = [F.try_element_at("kinds", kind + d) for d in (-1, 0, 1)]
     fits = near[0].isNotNull() | (near[1] > 1) | near[2].isNotNull()
-    return cut(found.join(held.select("sig", "kinds"), "sig").filter(fits).select("sig", "node", "n"))
+    return cut_narrow(found.join(held.select("sig", "kinds"), "sig").filter(fits).select("sig", "node", "n"))
 
 
 def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -310,7 +315,7 @@ def possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     left = classes.select(F.col("node").alias("a"), F.col("cells").alias("x"), F.col("n").alias("m"))
     right = classes.select(F.col("node").alias("b"), F.col("cells").alias("y"), "n")
-    return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "m", "n").mapInPandas(run, "a long, b long"))
+    return cut_narrow(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "m", "n").mapInPandas(run, "a long, b long"))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -330,35 +335,41 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     sets = sets_of(docs, classes.join(wanted, "node").select("node", F.col("first").alias("id")))
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long").distinct())
+    return cut_narrow(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long").distinct())
 
 
 def resolve(lists: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """All links needed for the components, as pairs ``a, b`` of classes."""
+    """``node, label`` of the classes that link with another one."""
     spark = lists.sparkSession
     rows = lists.count()
     found = spark.createDataFrame([], "a long, b long")
     fits = (5 * F.least("n", "m") >= 4 * F.greatest("n", "m")) & (F.col("a") != F.col("b"))
+    labels = spark.createDataFrame([], "node long, label long")
     while rows:
-        first = lists.groupBy("sig").agg(F.min(F.struct("node", "n")).alias("first"))
-        star = lists.join(first, "sig").select(F.col("first.node").alias("a"), F.col("first.n").alias("m"), F.col("node").alias("b"), "n")
-        found = cut(found.union(verified(star.filter(fits).select("a", "b").distinct(), docs, classes)))
+        # The leaders of a list come first in LEADERS random orders of all sets, the same in every list.
+        orders = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(k))) for k in range(LEADERS)]
+        first = cut_narrow(lists.groupBy("sig").agg(F.array_distinct(F.array(*orders)).alias("leaders")))
+        star = lists.join(first, "sig").select(F.explode("leaders").alias("first"), F.col("node").alias("b"), "n")
+        star = star.select(F.least("first.node", "b").alias("a"), F.greatest("first.node", "b").alias("b"), F.col("first.n").alias("m"), "n")
+        found = cut_narrow(found.union(verified(star.filter(fits).select("a", "b").distinct(), docs, classes)))
         labels = smallest_labels(found)
         marked = lists.join(labels, "node", "left").select("sig", "node", "n", F.coalesce("label", "node").alias("label"))
-        open_lists = marked.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("node").alias("first")).filter("lo <> hi")
-        # The first member has been compared with all others, so it leaves the list.
-        rest = cut(marked.join(open_lists.select("sig", "first"), "sig").filter("node <> first").drop("first"))
+        open_lists = marked.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
+        # The leaders have been compared with all others, so they leave the list.
+        led = F.exists("leaders", lambda x: x["node"] == F.col("node"))
+        rest = cut_narrow(marked.join(open_lists, "sig").join(first, "sig").filter(~led).drop("leaders"))
         by_label = rest.groupBy("sig", "label").agg(F.count("*").alias("k")).groupBy("sig").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
         pairs = by_label.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()[0] or 0
         if pairs <= 4 * rows:  # no more than a few for each row: compare what differs, and all is done
             if pairs:
                 other = rest.select("sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
                 left = rest.withColumnRenamed("node", "a").join(other, "sig").filter(fits & (F.col("a") < F.col("b")) & (F.col("label") != F.col("other")))
-                found = cut(found.union(verified(left.select("a", "b").distinct(), docs, classes)))
-            return found
+                more = verified(left.select("a", "b").distinct(), docs, classes)
+                labels = smallest_labels(found.union(more)) if more.limit(1).count() else labels
+            return labels
         lists = rest.select("sig", "node", "n")
         rows = lists.count()
-    return found
+    return labels
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
@@ -390,7 +401,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     A Bloom filter leaves out nearly all other documents where the texts are read, so no text is
     moved; the join after it is exact. Rows repeated with one id and text give a set twice.
     """
-    wanted = cut(wanted)
+    wanted = cut_narrow(wanted)
     shared = docs.sparkSession.sparkContext.broadcast(bloom(wanted))
     marks = [F.xxhash64("doc_id", F.lit(k)) for k in range(3)]
 
@@ -410,7 +421,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     hashed = docs.select("doc_id", "text", *[h.alias(f"h{k}") for k, h in enumerate(marks)])
     made = hashed.mapInArrow(run, "id long, node long, items binary")
-    return cut(made.join(wanted, ["node", "id"]).select("node", "items"))
+    return cut_narrow(made.join(wanted, ["node", "id"]).select("node", "items"))
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -424,8 +435,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     keys, levels, scan = frequent_shingles(known, bits)
     sizes = {r["size"]: r["count"] for r in classes.groupBy(F.least("n", F.lit(65)).alias("size")).count().collect()}
     lists = candidate_lists(known, (keys, levels), choose_boundary(sizes, scan), bits)
-    found = resolve(lists, known, classes)
-    labels = smallest_labels(found)
+    labels = resolve(lists, known, classes)
     named = classes.drop("cells").join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
     lowest = named.groupBy("label").agg(F.min("first").alias("component"))
     component = named.join(lowest, "label").select("node", "component")
