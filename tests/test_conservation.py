@@ -8,8 +8,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from wayfare.operators import joins, spatial
+from wayfare.operators import aggregates, joins, spatial
 from wayfare.plans import matrix, network, popsyn, survey
+from wayfare.session import FitError
 
 
 def margins(df, key):
@@ -149,6 +150,69 @@ def test_shared_border_belongs_to_one_polygon(spark):
     assert sorted((r["id"], r["pid"]) for r in out.collect()) == [(1, 2), (2, 1), (3, 2), (4, None)]
 
 
+def test_points_may_be_equal_and_hold_nulls(spark):
+    square = [{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 0.0}, {"x": 1.0, "y": 1.0}, {"x": 0.0, "y": 1.0}]
+    polys = spark.createDataFrame([(1, square)], "pid int, ring array<struct<x:double,y:double>>")
+    pts = spark.createDataFrame([(1, 0.5, 0.5, None), (1, 0.5, 0.5, None), (2, 0.2, 0.2, "a"), (2, 0.2, 0.2, "a"), (3, 9.0, 9.0, None)], "id int, x double, y double, tag string")
+    out = spatial.join_point_in_polygon(pts, polys, "x", "y", "pid", "ring", 0.3, how="left")
+    assert sorted((r["id"], r["pid"] or 0) for r in out.collect()) == [(1, 1), (1, 1), (2, 1), (2, 1), (3, 0)]
+
+
+def test_raking_keeps_records_without_a_target(spark):
+    hh = spark.createDataFrame([(1, "a", 1.0), (2, "a", 3.0), (3, None, 1.0), (4, "c", 1.0)], "id int, seg string, w double")
+    goal = spark.createDataFrame([("a", 8), ("b", 5)], "seg string, target int")
+    out = {r["id"]: r["w"] for r in popsyn.pop_raking(hh, "w", [(["seg"], goal)]).collect()}
+    assert out == {1: 2.0, 2: 6.0, 3: 0.0, 4: 0.0}
+
+
+def test_fits_that_do_not_end_are_errors(spark):
+    hh = spark.createDataFrame([(1, 0, 0, 1.0), (2, 1, 1, 1.0)], "id int, a int, b int, w double")
+    a = spark.createDataFrame([(0, 10), (1, 10)], "a int, target int")
+    b = spark.createDataFrame([(0, 5), (1, 15)], "b int, target int")
+    with pytest.raises(FitError):
+        popsyn.pop_raking(hh, "w", [(["a"], a), (["b"], b)], max_iter=4)
+    seed = spark.createDataFrame([(0, 0, 1.0), (1, 1, 1.0)], "o int, d int, trips double")
+    rows = spark.createDataFrame([(0, 10.0), (1, 10.0)], "o int, target double")
+    cols = spark.createDataFrame([(0, 5.0), (1, 15.0)], "d int, target double")
+    full = spark.createDataFrame([(0, 0, 1.0), (0, 1, 5.0), (1, 0, 9.0), (1, 1, 1.0)], "o int, d int, trips double")
+    with pytest.raises(FitError):
+        matrix.mat_growth_factor(full, rows, cols, max_iter=2, tol=1e-12)
+    assert matrix.mat_growth_factor(full, rows, cols, tol=1e-9).count() == 4 and seed.count() == 2
+
+
+def test_fits_by_key_meet_their_own_margins(spark):
+    seed = spark.createDataFrame([(k, o, d, 1.0 + k * o + d) for k in (1, 2) for o in range(3) for d in range(3)], "k int, o int, d int, trips double")
+    rows = spark.createDataFrame([(k, o, 10.0 * k + o) for k in (1, 2) for o in range(3)], "k int, o int, target double")
+    cols = spark.createDataFrame([(k, d, 10.0 * k + 1) for k in (1, 2) for d in range(3)], "k int, d int, target double")
+    out = matrix.mat_growth_factor(seed, rows, cols, tol=1e-10, keys=["k"])
+    got = {(r["k"], r["o"]): r["s"] for r in out.groupBy("k", "o").agg(F.sum("trips").alias("s")).collect()}
+    assert got == pytest.approx({(k, o): 10.0 * k + o for k in (1, 2) for o in range(3)}, rel=1e-6)
+
+
+def test_districts_keep_the_trips_of_unmapped_zones(spark):
+    od = spark.createDataFrame([(1, 1, 2.0), (1, 9, 3.0), (9, 9, 4.0)], "o int, d int, trips double")
+    zones = spark.createDataFrame([(1, 7)], "taz int, district int")
+    out = {(r["o_district"], r["d_district"]): r["trips"] for r in aggregates.agg_matrix_district(od, zones, "taz", "district").collect()}
+    assert out == {(7, 7): 2.0, (7, None): 3.0, (None, None): 4.0}
+
+
+def test_sector_rollup_skips_nulls(spark):
+    jobs = spark.createDataFrame([("470650112040001", 3, None, 5), ("470650112040002", None, 4, 2)], "w_geocode string, cns05 int, cns07 int, cns18 int")
+    row = survey.emp_sector_rollup(jobs).first()
+    assert (row["emptot_p"], row["all_jobs"], row["conserved"], row["empret_p"]) == (14, 14, True, 4)
+
+
+def test_dasymetric_keeps_the_total_of_a_zone_without_buildings(spark):
+    square = [{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 0.0}, {"x": 1.0, "y": 1.0}, {"x": 0.0, "y": 1.0}]
+    polys = spark.createDataFrame([(1, square)], "pid int, ring array<struct<x:double,y:double>>")
+    homes = spark.createDataFrame(points(20, 6), "id int, x double, y double")
+    stops = spark.createDataFrame([(1, 0.5, 0.5)], "site int, x double, y double")
+    totals = spark.createDataFrame([(1, 100), (2, 55)], "pid int, total int")
+    out = spatial.spa_dasymetric(homes, polys, stops, totals, "id", 0.25)
+    assert {r["pid"]: r["u"] for r in out.groupBy("pid").agg(F.sum("units").alias("u")).collect()} == {1: 100, 2: 55}
+    assert [r["id"] for r in out.filter("pid = 2").collect()] == [None]
+
+
 def test_dasymetric_keeps_zone_totals(spark):
     square = [{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 0.0}, {"x": 1.0, "y": 1.0}, {"x": 0.0, "y": 1.0}]
     polys = spark.createDataFrame([(1, square)], "pid int, ring array<struct<x:double,y:double>>")

@@ -214,12 +214,12 @@ def test_projects_last_edit_wins_and_errors_are_reported(spark):
     links = spark.createDataFrame([(1, 30, 1), (2, 40, 1), (3, 50, 0), (4, 60, 0)], "id int, speed int, base int")
     edits = [
         (1, 1, "Modify", "speed", "35"), (2, 1, "Modify", "speed", "45"), (3, 2, "Remove", None, None), (4, 3, "Add", None, None),
-        (5, 9, "Modify", "speed", "5"), (6, 1, "Modify", "colour", "red"),
+        (5, 9, "Modify", "speed", "5"), (6, 1, "Modify", "colour", "red"), (7, 1, "Modify", "speed", "fast"),
     ]
     frame = spark.createDataFrame(edits, "seq int, id int, action string, field_name string, field_value string")
     net, errors = network.net_apply_projects(links, frame, F.col("base") > 0)
     assert sorted((r["id"], r["speed"]) for r in net.collect()) == [(1, 45), (3, 50)]
-    assert sorted((r["seq"], r["error"]) for r in errors.collect()) == [(5, "link does not exist"), (6, "field does not exist")]
+    assert sorted((r["seq"], r["error"]) for r in errors.collect()) == [(5, "link does not exist"), (6, "field does not exist"), (7, "value cannot be read")]
 
 
 def test_gtfs_exceptions_and_afternoon_window(spark, tmp_path):

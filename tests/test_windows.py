@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from wayfare.operators import sets, windows
+from wayfare.operators import joins, sets, windows
 
 
 def skewed_rows(n=900, seed=3):
@@ -23,12 +23,11 @@ def skewed_rows(n=900, seed=3):
     return rows
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10_000])
 @pytest.mark.parametrize("order", [["k1", "id"], ["-k1", "id"], ["id"]])
-def test_running_equals_brute_force(spark, hot_rows, order):
+def test_running_equals_brute_force(spark, order):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "g int, k1 int, id int, v int")
-    out = windows.running(df, ["g"], order, {"seq": F.lit(1).cast("bigint"), "total": F.col("v")}, slices=16, hot_rows=hot_rows)
+    out = windows.running(df, ["g"], order, {"seq": F.lit(1).cast("bigint"), "total": F.col("v")})
     got = {r["id"]: (r["seq"], r["total"]) for r in out.collect()}
     groups = defaultdict(list)
     for g, k1, i, v in rows:
@@ -43,26 +42,63 @@ def test_running_equals_brute_force(spark, hot_rows, order):
     assert got == want
 
 
+def test_null_groups_keys_and_values(spark):
+    rows = [(None, None, 1, 5), (None, 3, 2, None), (1, None, 3, None), (1, 2, 4, 2), (1, 9, 5, 1)]
+    df = spark.createDataFrame(rows, "g int, k int, id int, v int").repartition(3)
+    out = windows.running(df, ["g"], ["k", "id"], {"total": F.col("v")})
+    assert {r["id"]: r["total"] for r in out.collect()} == {1: 5, 2: 5, 3: None, 4: 2, 5: 3}
+    assert windows.win_surrogate_id(df.filter("id > 9"), ["id"], "n").count() == 0
+
+
+def test_text_keys(spark):
+    df = spark.createDataFrame([(w,) for w in ("pear", "apple", "fig")], "w string")
+    assert {r["w"]: r["n"] for r in windows.win_surrogate_id(df, ["w"], "n").collect()} == {"apple": 1, "fig": 2, "pear": 3}
+
+
+def spread_cases():
+    rng = random.Random(11)
+    outlier = [(0, k) for k in range(8000)] + [(0, 10**15)]
+    distant = [(0, k) for k in range(4000)] + [(1, 10**12 + k) for k in range(4000)]
+    third = [(0 if i % 3 == 0 else rng.randrange(1, 500), i) for i in range(8000)]
+    return {"outlier": outlier, "distant": distant, "third": third}
+
+
+@pytest.mark.parametrize("case", ["outlier", "distant", "third"])
+def test_no_range_holds_twice_the_mean(spark, case):
+    rows = spread_cases()[case]
+    df = spark.createDataFrame(rows, "g int, k long").repartition(8)
+    # Small partitions are otherwise put together here.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in windows.ranged(df, ["g"], ["k"]).groupBy("__range").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(sizes) < 2 * len(rows) / len(sizes)
+    got = {(r["g"], r["k"]): r["n"] for r in windows.win_group_seq(df, ["g"], ["k"], "n").collect()}
+    seen: dict = defaultdict(int)
+    for g, k in sorted(rows):
+        seen[g] += 1
+        assert got[(g, k)] == seen[g]
+
+
 def test_surrogate_ids_are_dense_and_ordered(spark):
     keys = random.Random(1).sample(range(10**9), 500)
     df = spark.createDataFrame([(k,) for k in keys], "k long")
-    out = windows.win_surrogate_id(df, ["k"], "id", start=7, slices=32).orderBy("k").collect()
+    out = windows.win_surrogate_id(df, ["k"], "id", start=7).orderBy("k").collect()
     assert [r["id"] for r in out] == list(range(7, 507))
 
 
 def test_global_running_needs_no_global_sort_of_the_rows(spark):
-    df = spark.range(1000)
-    plan = windows.win_surrogate_id(df, ["id"], "n", slices=16)._jdf.queryExecution().executedPlan().toString()
-    # The only single-partition window runs on the slice totals.
-    assert "SinglePartition" in plan and "hashpartitioning(__s0" in plan
+    plan = windows.win_surrogate_id(spark.range(1000), ["id"], "n")._jdf.queryExecution().executedPlan().toString()
+    # The only single-partition window runs on the totals of the ranges.
+    assert plan.count("SinglePartition") == 1 and "hashpartitioning(__range" in plan
 
 
-@pytest.mark.parametrize("hot_rows", [5, 10_000])
-def test_largest_remainder_keeps_group_totals(spark, hot_rows):
+def test_largest_remainder_keeps_group_totals(spark):
     rng = random.Random(5)
     rows = [(g, i, rng.random() * 4) for i in range(300) for g in [0 if i % 3 else i % 17]]
     df = spark.createDataFrame(rows, "g int, id int, x double")
-    out = windows.win_largest_remainder(df, ["g"], "x", ["id"], hot_rows=hot_rows)
+    out = windows.win_largest_remainder(df, ["g"], "x", ["id"])
     for r in out.groupBy("g").agg(F.sum("x").alias("x"), F.sum("rounded").alias("n")).collect():
         assert r["n"] == round(r["x"])
     assert out.filter("abs(rounded - x) >= 1").count() == 0
@@ -87,3 +123,9 @@ def test_keys_may_span_the_whole_long_range(spark, order):
     out = {r["k"]: r["n"] for r in windows.win_surrogate_id(df, order, "n").collect()}
     ranked = keys if order == ["k"] else keys[::-1]
     assert out == {k: i + 1 for i, k in enumerate(ranked)}
+
+
+def test_expansion_in_blocks(spark):
+    df = spark.createDataFrame([(1, 25_001), (2, 0), (3, None), (4, 10_000), (5, 1)], "id int, w int")
+    out = joins.join_theta_expand(df, "w").groupBy("id").agg(F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.count_distinct("n").alias("u"))
+    assert sorted(map(tuple, out.collect())) == [(1, 25_001, 1, 25_001, 25_001), (4, 10_000, 1, 10_000, 10_000), (5, 1, 1, 1, 1)]

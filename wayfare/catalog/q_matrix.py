@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import matrix as mat
+from ..session import cut_lineage
 from .registry import query
 
 _PER = "CASE WHEN tm >= 360 AND tm < 540 THEN 'AM' WHEN tm >= 900 AND tm < 1080 THEN 'PM' ELSE 'OP' END"
@@ -131,46 +132,68 @@ def mat_balance_vectors(t):
     return held.join(mixed, "z")
 
 
-def fit_sql(base, rows, cols, n):
-    """The fitting iterations written out as common table expressions."""
-    ctes = [f"base AS MATERIALIZED ({base})", f"rt AS MATERIALIZED ({rows})", f"ct AS MATERIALIZED ({cols})", "b0 AS (SELECT d, CAST(1 AS DOUBLE) AS f FROM ct)"]
+def fit_sql(base, rows, cols, n, key):
+    """The fitting iterations written out as common table expressions, a fit for each ``key``."""
+    ctes = [f"base AS MATERIALIZED ({base})", f"rt AS MATERIALIZED ({rows})", f"ct AS MATERIALIZED ({cols})", f"b0 AS (SELECT {key}, d, CAST(1 AS DOUBLE) AS f FROM ct)"]
     for i in range(1, n + 1):
         ctes.append(
-            f"a{i} AS MATERIALIZED (SELECT s.o, COALESCE(target / NULLIF(s, 0), 0) AS f FROM (SELECT o, SUM(base * f) AS s FROM base JOIN b{i - 1} USING (d) WHERE base > 0 GROUP BY o) s LEFT JOIN rt ON rt.o = s.o)"
+            f"a{i} AS MATERIALIZED (SELECT s.{key}, s.o, COALESCE(target / NULLIF(s, 0), 0) AS f FROM (SELECT {key}, o, SUM(base * f) AS s FROM base JOIN b{i - 1} USING ({key}, d) WHERE base > 0 GROUP BY {key}, o) s LEFT JOIN rt ON rt.o = s.o AND rt.{key} = s.{key})"
         )
         ctes.append(
-            f"b{i} AS MATERIALIZED (SELECT s.d, COALESCE(target / NULLIF(s, 0), 0) AS f FROM (SELECT d, SUM(base * f) AS s FROM base JOIN a{i} USING (o) WHERE base > 0 GROUP BY d) s LEFT JOIN ct ON ct.d = s.d)"
+            f"b{i} AS MATERIALIZED (SELECT s.{key}, s.d, COALESCE(target / NULLIF(s, 0), 0) AS f FROM (SELECT {key}, d, SUM(base * f) AS s FROM base JOIN a{i} USING ({key}, o) WHERE base > 0 GROUP BY {key}, d) s LEFT JOIN ct ON ct.d = s.d AND ct.{key} = s.{key})"
         )
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT base.o, base.d, base * a{n}.f * b{n}.f AS trips FROM base JOIN a{n} ON a{n}.o = base.o JOIN b{n} ON b{n}.d = base.d WHERE base > 0"
+    return (
+        "WITH " + ",\n".join(ctes)
+        + f"\nSELECT base.{key}, base.o, base.d, base * a{n}.f * b{n}.f AS trips FROM base JOIN a{n} ON a{n}.o = base.o AND a{n}.{key} = base.{key} JOIN b{n} ON b{n}.d = base.d AND b{n}.{key} = base.{key} WHERE base > 0"
+    )
 
 
-_FIT_ROUNDS = 10
-_ROWS = "SELECT o, SUM(trips) AS target FROM v_od WHERE core = 1997 GROUP BY o"
-_COLS = "SELECT d, SUM(trips) AS target FROM v_od WHERE core = 1997 GROUP BY d"
+# The queries end by their tolerance, far below the digits compared; the SQL runs more rounds.
+_TOLERANCE, _SQL_ROUNDS = 1e-11, 40
 
 
-def _ends(od):
-    grown = od.filter("core = 1997")
-    rows = grown.groupBy("o").agg(F.sum("trips").alias("target"))
-    cols = grown.groupBy("d").agg(F.sum("trips").alias("target"))
-    return rows, cols
-
-
-@query("o:i d:i trips:f6", fit_sql("SELECT o, d, trips AS base FROM v_od WHERE core = 1996", _ROWS, _COLS, _FIT_ROUNDS))
+@query(
+    "core:i o:i d:i trips:f4",
+    fit_sql(
+        "SELECT y.core, s.o, s.d, s.base FROM (SELECT o, d, SUM(trips) AS base FROM v_od GROUP BY o, d) s JOIN (SELECT DISTINCT core FROM v_od) y ON y.core > 0",
+        "SELECT core, o, SUM(trips) AS target FROM v_od GROUP BY core, o",
+        "SELECT core, d, SUM(trips) AS target FROM v_od GROUP BY core, d",
+        12,
+        "core",
+    ),
+)
 def mat_growth_factor(t):
+    """The matrix of all years grown to the trip ends of each year."""
     od = t.od
-    rows, cols = _ends(od)
-    return mat.mat_growth_factor(od.filter("core = 1996").select("o", "d", "trips"), rows, cols, max_iter=_FIT_ROUNDS, tol=0)
+    years = od.groupBy("o", "d").agg(F.sum("trips").alias("trips"))
+    known = od.agg(F.array_sort(F.collect_set("core"))).scalar()
+    seed = years.select(F.explode(known).alias("core"), "o", "d", "trips")
+    rows = od.groupBy("core", "o").agg(F.sum("trips").alias("target"))
+    cols = od.groupBy("core", "d").agg(F.sum("trips").alias("target"))
+    return mat.mat_growth_factor(seed, rows, cols, tol=_TOLERANCE, keys=["core"])
+
+
+_SHIPPED = "(SELECT CAST(l_suppkey % 25 AS INT) AS o, CAST(l_orderkey % 25 AS INT) AS d, 1 + l_linenumber % 3 AS period, l_quantity AS q FROM lineitem)"
 
 
 @query(
-    "o:i d:i trips:f6",
-    fit_sql("SELECT o, d, EXP(-0.3126 * imp / 5) * (1 + (o + d) % 3) AS base FROM v_skim WHERE period = 1", _ROWS, _COLS, _FIT_ROUNDS),
+    "period:i o:i d:i trips:f4",
+    fit_sql(
+        "SELECT period, o, d, EXP(-0.3126 * imp / 5) * (1 + (o + d) % 3) AS base FROM v_skim",
+        f"SELECT period, o, SUM(q) AS target FROM {_SHIPPED} x GROUP BY period, o",
+        f"SELECT period, d, SUM(q) AS target FROM {_SHIPPED} x GROUP BY period, d",
+        _SQL_ROUNDS,
+        "period",
+    ),
 )
 def mat_gravity(t):
-    rows, cols = _ends(t.od)
-    skim = t.v_skim.filter("period = 1").withColumn("k", 1 + (F.col("o") + F.col("d")) % 3)
-    return mat.mat_gravity(skim, rows, cols, 0.3126 / 5, "k", max_iter=_FIT_ROUNDS, tol=0)
+    """Trips of each period between the zones of its skim."""
+    ends = t.lineitem.select((F.col("l_suppkey") % 25).cast("int").alias("o"), (F.col("l_orderkey") % 25).cast("int").alias("d"), (1 + F.col("l_linenumber") % 3).alias("period"), "l_quantity")
+    ends = cut_lineage(ends.groupBy("period", "o", "d").agg(F.sum("l_quantity").alias("q")))
+    rows = ends.groupBy("period", "o").agg(F.sum("q").alias("target"))
+    cols = ends.groupBy("period", "d").agg(F.sum("q").alias("target"))
+    skim = t.v_skim.withColumn("k", 1 + (F.col("o") + F.col("d")) % 3)
+    return mat.mat_gravity(skim, rows, cols, 0.3126 / 5, "k", tol=_TOLERANCE, keys=["period"])
 
 
 @query(

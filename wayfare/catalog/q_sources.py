@@ -174,11 +174,14 @@ SELECT sign, SUM(hit) AS n FROM (
  UNION ALL SELECT '>=', CASE WHEN l_quantity >= 25 THEN 1 ELSE 0 END FROM lineitem UNION ALL SELECT '<=', CASE WHEN l_quantity <= 25 THEN 1 ELSE 0 END FROM lineitem) x GROUP BY sign""",
 )
 def filter_dynamic(t):
-    parts = [recode.filter_dynamic(t.lineitem, "l_quantity", s, 25).agg(F.lit(s).alias("sign"), F.count("*").alias("n")) for s in recode.SIGNS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # One pass: a row is tagged with the signs it meets and kept for each by the operator itself.
+    signs = F.explode(F.array(*[F.lit(s) for s in recode.SIGNS])).alias("sign")
+    tagged = t.lineitem.groupBy("l_quantity").agg(F.count("*").alias("k")).select("l_quantity", "k", signs)
+    kept = [recode.SIGNS[s](F.col("l_quantity"), F.lit(25)) & (F.col("sign") == s) for s in recode.SIGNS]
+    hit = kept[0]
+    for k in kept[1:]:
+        hit = hit | k
+    return tagged.groupBy("sign").agg(F.sum(F.when(hit, F.col("k")).otherwise(0)).alias("n"))
 
 
 _PREDS = [

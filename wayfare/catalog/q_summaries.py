@@ -11,8 +11,7 @@ from .registry import query
 
 @query("dtaz:i dist:f2 trips:i", "SELECT dtaz, SUM(travdist * trexpfac) AS dist, SUM(trexpfac) AS trips FROM v_trip GROUP BY dtaz")
 def agg_group_sum(t):
-    a = agg.agg_group_sum(t.v_trip, ["dtaz"], "travdist", "trexpfac", "dist")
-    return a.join(agg.agg_group_sum(t.v_trip, ["dtaz"], "trexpfac", out="trips"), "dtaz")
+    return agg.agg_group_sum(t.v_trip, ["dtaz"], {"dist": F.col("travdist") * F.col("trexpfac"), "trips": F.col("trexpfac")})
 
 
 @query(
@@ -300,14 +299,14 @@ def agg_diversity(t):
 
 
 @query(
-    "o:i logsum:f6",
+    "period:i o:i logsum:f6",
     """
-SELECT o, GREATEST(0, LN(SUM(size * EXP(-0.13 * imp)))) AS logsum FROM v_skim JOIN (SELECT c_nationkey AS d, COUNT(*) AS size FROM customer GROUP BY 1) s ON s.d = v_skim.d
-WHERE period = 1 GROUP BY o""",
+SELECT period, o, GREATEST(0, LN(SUM(size * EXP(-0.13 * imp)))) AS logsum FROM v_skim JOIN (SELECT c_nationkey AS d, COUNT(*) AS size FROM customer GROUP BY 1) s ON s.d = v_skim.d
+GROUP BY period, o""",
 )
 def agg_accessibility_logsum(t):
     size = t.customer.groupBy(F.col("c_nationkey").alias("d")).agg(F.count("*").alias("size"))
-    return agg.agg_accessibility_logsum(t.v_skim.filter("period = 1"), size, -0.13)
+    return agg.agg_accessibility_logsum(t.v_skim, size, -0.13, keys=["period"])
 
 
 @query(

@@ -30,8 +30,7 @@ def trn_dwell_time(t):
     stops = t.v_onoff.withColumns(
         {"last_distance": k % 7 / 10.0, "layover": F.when(k % 5 == 0, 4), "am_headway": F.col("route") % 4, "op_headway": F.lit(30)}
     )
-    modes = t.spark.createDataFrame(_ONOFF_MODES, "mode int, factor double")
-    return trn.trn_dwell_time(stops, modes, ["am", "op"])
+    return trn.trn_dwell_time(stops, dict(_ONOFF_MODES), ["am", "op"])
 
 
 @query(
@@ -204,11 +203,12 @@ def rep_network_summary(t):
     "core:s vmt:f2",
     """
 SELECT core, SUM(trips * miles * CASE WHEN core = 'car' THEN 1 WHEN o < 20 AND d < 20 THEN 1 WHEN o >= 20 AND d >= 20 THEN 0 ELSE 0.5 END) AS vmt FROM (
- SELECT v.o, v.d, CASE core % 3 WHEN 0 THEN 'car' WHEN 1 THEN 'su' ELSE 'mu' END AS core, trips, imp AS miles FROM v_od v JOIN v_skim s ON s.o = v.o AND s.d = v.d AND s.period = 1) x GROUP BY core""",
+ SELECT v.o, v.d, CASE core % 3 WHEN 0 THEN 'car' WHEN 1 THEN 'su' ELSE 'mu' END AS core, trips, miles FROM v_od v JOIN (SELECT o, d, AVG(imp) AS miles FROM v_skim GROUP BY o, d) s ON s.o = v.o AND s.d = v.d) x GROUP BY core""",
 )
 def mov_county_vmt(t):
+    """Daily trips travel the mean distance of the periods."""
     core = F.when(F.col("core") % 3 == 0, "car").when(F.col("core") % 3 == 1, "su").otherwise("mu")
-    skim = t.v_skim.filter("period = 1").withColumnRenamed("imp", "miles")
+    skim = t.v_skim.groupBy("o", "d").agg(F.avg("imp").alias("miles"))
     return mov.mov_county_vmt(t.v_od.withColumn("core", core), skim, lambda zone: zone >= 20)
 
 
@@ -220,14 +220,15 @@ def _road_type():
 
 
 def _class_vmt(t):
-    parts = F.explode(F.array(*[F.struct(F.lit(c).alias("cls"), F.col(f"am_{c}").alias("vol")) for c in ("car", "su", "mu")]))
+    day = {c: sum((F.coalesce(F.col(f"{p}_{c}"), F.lit(0)) for p in ("am", "pm", "op")), F.lit(0)) for c in ("car", "su", "mu")}
+    parts = F.explode(F.array(*[F.struct(F.lit(c).alias("cls"), vol.alias("vol")) for c, vol in day.items()]))
     links = t.v_dlink.withColumns({"road_type": _road_type(), "speed_limit": (25 + 5 * (F.col("id") % 10)).cast("int")})
     return links.select("id", "fc", "ramp", "road_type", "speed_limit", "length", parts.alias("p")).select(
         "id", "fc", "ramp", "road_type", "speed_limit", "p.cls", (F.col("p.vol") * F.col("length")).alias("vmt")
     )
 
 
-_CLS = f"(SELECT id, fc, ramp, {_RT} AS road_type, 25 + 5 * (id % 10) AS speed_limit, cls, vol * length AS vmt FROM (SELECT *, 'car' AS cls, am_car AS vol FROM v_dlink UNION ALL SELECT *, 'su', am_su FROM v_dlink UNION ALL SELECT *, 'mu', am_mu FROM v_dlink) x)"
+_CLS = f"(SELECT id, fc, ramp, {_RT} AS road_type, 25 + 5 * (id % 10) AS speed_limit, cls, vol * length AS vmt FROM (SELECT *, 'car' AS cls, am_car + pm_car + op_car AS vol FROM v_dlink UNION ALL SELECT *, 'su', am_su + pm_su + op_su FROM v_dlink UNION ALL SELECT *, 'mu', am_mu + pm_mu + op_mu FROM v_dlink) x)"
 _DEFAULTS = ", ".join(f"({s}, {i + 1}, CAST({v} AS DOUBLE))" for s, vs in mov.DEFAULT_ROAD_TYPES.items() for i, v in enumerate(vs))
 
 
@@ -333,7 +334,8 @@ def spa_buffer_decay(t):
 WITH s AS ({SITES_SQL}), p AS ({PIP_SQL}), n AS (SELECT id, ARG_MIN(site, dd) AS site FROM (SELECT DISTINCT p.id, s.site, SQRT((s.x - p.x) * (s.x - p.x) + (s.y - p.y) * (s.y - p.y)) AS dd FROM p, s) q GROUP BY id),
  m AS (SELECT p.id, p.pid, EXP(-0.5 * 2 * 3956 * ASIN(SQRT(POW(SIN(RADIANS(s.y - p.y) / 2), 2) + COS(RADIANS(p.y)) * COS(RADIANS(s.y)) * POW(SIN(RADIANS(s.x - p.x) / 2), 2)))) AS u FROM p JOIN n ON n.id = p.id JOIN s ON s.site = n.site),
  q AS (SELECT id, pid, t.total * u / SUM(u) OVER (PARTITION BY pid) AS part FROM m JOIN (SELECT l_linenumber AS tp, CAST(SUM(l_quantity) AS BIGINT) AS total FROM lineitem GROUP BY 1) t ON t.tp = pid)
-SELECT id, pid, CAST(FLOOR(part) AS BIGINT) + CASE WHEN ROW_NUMBER() OVER (PARTITION BY pid ORDER BY part - FLOOR(part) DESC, id) <= ROUND(SUM(part) OVER (PARTITION BY pid) - SUM(FLOOR(part)) OVER (PARTITION BY pid)) THEN 1 ELSE 0 END AS units FROM q""",
+SELECT id, pid, CAST(FLOOR(part) AS BIGINT) + CASE WHEN ROW_NUMBER() OVER (PARTITION BY pid ORDER BY part - FLOOR(part) DESC, id) <= ROUND(SUM(part) OVER (PARTITION BY pid) - SUM(FLOOR(part)) OVER (PARTITION BY pid)) THEN 1 ELSE 0 END AS units FROM q
+UNION ALL SELECT NULL, l_linenumber, CAST(SUM(l_quantity) AS BIGINT) FROM lineitem WHERE l_linenumber NOT IN (SELECT pid FROM p) GROUP BY l_linenumber""",
 )
 def spa_dasymetric(t):
     totals = t.lineitem.groupBy(F.col("l_linenumber").alias("pid")).agg(F.sum("l_quantity").cast("bigint").alias("total"))

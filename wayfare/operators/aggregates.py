@@ -25,9 +25,9 @@ STATS = {
 }
 
 
-def agg_group_sum(df: DataFrame, keys: Sequence[str], val: str, weight: str | None = None, out: str = "total") -> DataFrame:
-    v = F.col(val) if weight is None else F.col(val) * F.col(weight)
-    return df.groupBy(*keys).agg(F.sum(v).alias(out))
+def agg_group_sum(df: DataFrame, keys: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """All sums by group in one pass."""
+    return df.groupBy(*keys).agg(*[F.sum(v).alias(n) for n, v in sums.items()])
 
 
 def agg_group_mean_weighted(df: DataFrame, key: str, val: str, weight: str, total: bool = True, total_label: str = "total") -> DataFrame:
@@ -204,11 +204,14 @@ def agg_smooth_distribution(df: DataFrame, part: Sequence[str], order: str, val:
 
 
 def agg_matrix_district(od: DataFrame, zones: DataFrame, zone: str, district: str, o: str = "o", d: str = "d", val: str = "trips") -> DataFrame:
-    """Zone pairs summed to district pairs, aggregated by zone pair before the lookups."""
+    """Zone pairs summed to district pairs, aggregated by zone pair before the lookups.
+
+    A zone without a district counts under the null (unknown) district, so the total is kept.
+    """
     pairs = od.groupBy(o, d).agg(F.sum(val).alias(val))
     zo = zones.select(F.col(zone).alias(o), F.col(district).alias("o_district"))
     zd = zones.select(F.col(zone).alias(d), F.col(district).alias("d_district"))
-    return pairs.join(zo, o).join(zd, d).groupBy("o_district", "d_district").agg(F.sum(val).alias(val))
+    return pairs.join(zo, o, "left").join(zd, d, "left").groupBy("o_district", "d_district").agg(F.sum(val).alias(val))
 
 
 def agg_matrix_build(trips: DataFrame, o: str, d: str, core: str | Column, weight: str | Column, domain: DataFrame | None = None) -> DataFrame:
@@ -331,13 +334,15 @@ def agg_diversity(df: DataFrame, key: Sequence[str], cat: str, val: Column) -> D
     return s.select(*key, "total", F.coalesce(1 - share, F.lit(0.0)).alias("diversity"))
 
 
-def agg_accessibility_logsum(od: DataFrame, size: DataFrame, beta: float, imp: str = "imp", size_col: str = "size", pair: str | None = None) -> DataFrame:
-    """max(0, ln of the sum over destinations of size x exp(beta x impedance)) per origin."""
+def agg_accessibility_logsum(
+    od: DataFrame, size: DataFrame, beta: float, imp: str = "imp", size_col: str = "size", pair: str | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """max(0, ln of the sum over destinations of size x exp(beta x impedance)) per origin (and key)."""
     term = F.col(size_col) * F.exp(beta * F.col(imp))
     if pair is not None:
         term = term * F.col(pair)
-    sums = od.join(size, "d").groupBy("o").agg(F.sum(term).alias("s"))
-    return sums.select("o", F.greatest(F.lit(0.0), F.when(F.col("s") > 0, F.ln("s")).otherwise(0.0)).alias("logsum"))
+    sums = od.join(size, "d").groupBy(*keys, "o").agg(F.sum(term).alias("s"))
+    return sums.select(*keys, "o", F.greatest(F.lit(0.0), F.when(F.col("s") > 0, F.ln("s")).otherwise(0.0)).alias("logsum"))
 
 
 @dataclass(frozen=True)

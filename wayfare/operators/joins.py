@@ -94,9 +94,26 @@ def join_override_precedence(df: DataFrame, auto: str, edit: str, out: str) -> D
     return df.withColumn(out, F.coalesce(edit, auto))
 
 
+EXPAND_BLOCK = 10_000
+
+
+def expanded(df: DataFrame, n: Column, out: str) -> DataFrame:
+    """One row for each of 1 ... ``n``; none where ``n`` is below one or null.
+
+    Numbers are made in blocks, so no row ever holds an array longer than a block (or than the
+    number of blocks).
+    """
+    last = n.cast("bigint")
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("__n") - 1) / EXPAND_BLOCK))
+    start = F.col("__block") * EXPAND_BLOCK
+    numbers = F.sequence(start + 1, F.least(F.col("__n"), start + EXPAND_BLOCK))
+    some = df.withColumn("__n", last).filter("__n >= 1").withColumn("__block", F.explode(blocks))
+    return some.withColumn(out, F.explode(numbers)).drop("__n", "__block")
+
+
 def join_theta_expand(df: DataFrame, weight: str, out: str = "n") -> DataFrame:
     """One row per unit of the weight, numbered from 1; none for a weight below one."""
-    return df.filter(F.col(weight) >= 1).withColumn(out, F.explode(F.sequence(F.lit(1), F.col(weight).cast("int"))))
+    return expanded(df, F.col(weight), out)
 
 
 def join_in_out_links(edges: DataFrame, attrs: Sequence[str], src: str = "from_id", dst: str = "to_id") -> DataFrame:

@@ -35,20 +35,22 @@ def inside_ring(x: str, y: str, ring: str) -> Column:
 def join_point_in_polygon(
     points: DataFrame, polygons: DataFrame, x: str, y: str, pid: str, ring: str, cell: float, how: str = "inner"
 ) -> DataFrame:
-    """Points with the id of the polygon they lie in; a polygon is copied to the cells of its box."""
+    """Points with the id of the polygon they lie in; a polygon is copied to the cells of its box.
+
+    The exact test is part of the join condition, so with ``how="left"`` each point row comes
+    back once for each polygon it lies in, or once with a null id, whatever its other columns hold.
+    """
     xs = F.transform(F.col(ring), lambda p: p["x"])
     ys = F.transform(F.col(ring), lambda p: p["y"])
     boxed = polygons.select(
         pid,
-        ring,
-        F.explode(F.sequence(_cell(F.array_min(xs), cell), _cell(F.array_max(xs), cell))).alias("__cx"),
+        F.col(ring).alias("__ring"),
+        F.explode(F.sequence(_cell(F.array_min(xs), cell), _cell(F.array_max(xs), cell))).alias("__bx"),
         ys.alias("__ys"),
-    ).select(pid, ring, "__cx", F.explode(F.sequence(_cell(F.array_min("__ys"), cell), _cell(F.array_max("__ys"), cell))).alias("__cy"))
+    ).select(pid, "__ring", "__bx", F.explode(F.sequence(_cell(F.array_min("__ys"), cell), _cell(F.array_max("__ys"), cell))).alias("__by"))
     keyed = points.withColumns({"__cx": _cell(x, cell), "__cy": _cell(y, cell)})
-    hits = keyed.join(boxed, ["__cx", "__cy"]).filter(inside_ring(x, y, ring)).select(*points.columns, pid)
-    if how == "inner":
-        return hits
-    return points.join(hits.select(*points.columns, pid), list(points.columns), "left")
+    same = (F.col("__cx") == F.col("__bx")) & (F.col("__cy") == F.col("__by")) & inside_ring(x, y, "__ring")
+    return keyed.join(boxed, same, how).select(*points.columns, pid)
 
 
 def join_nearest(points: DataFrame, sites: DataFrame, key: str, site: str) -> DataFrame:
@@ -170,8 +172,9 @@ def spa_buffer_decay(
 def spa_dasymetric(buildings: DataFrame, polygons: DataFrame, stations: DataFrame, totals: DataFrame, key: str, cell: float, dispersion: float = -0.5) -> DataFrame:
     """Zone totals spread over the buildings inside by distance to the nearest station.
 
-    Shares fall off as exp(dispersion x miles); the whole numbers keep each zone's total.
-    ``buildings`` is (key, x, y) in degrees, ``polygons`` (pid, ring), ``totals`` (pid, total).
+    Shares fall off as exp(dispersion x miles); the whole numbers keep each zone's total, and a
+    zone without buildings keeps its own in a row with a null key. ``buildings`` is (key, x, y)
+    in degrees, ``polygons`` (pid, ring), ``totals`` (pid, total).
     """
     inside = cut_lineage(join_point_in_polygon(buildings, polygons, "x", "y", "pid", "ring", cell))
     near = join_nearest(inside.select(key, "x", "y").distinct(), stations, key, "site").select(key, "site")
@@ -179,4 +182,6 @@ def spa_dasymetric(buildings: DataFrame, polygons: DataFrame, stations: DataFram
     far = inside.join(near, key).join(at, "site").withColumn("miles", fn_haversine("x", "y", "sx", "sy"))
     shared = win_share_in_group(far.withColumn("utility", F.exp(dispersion * F.col("miles"))), ["pid"], "utility")
     units = cut_lineage(shared.join(totals, "pid").withColumn("part", F.col("total") * F.col("share")))
-    return win_largest_remainder(units, ["pid"], "part", [key], "units")
+    spread = win_largest_remainder(units, ["pid"], "part", [key], "units")
+    empty = totals.join(inside.select("pid").distinct(), "pid", "left_anti").withColumn("units", F.round("total").cast("bigint"))
+    return spread.unionByName(empty, allowMissingColumns=True)

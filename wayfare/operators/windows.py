@@ -1,8 +1,8 @@
 """Ordered and per-group operators that stay balanced when one group is very large.
 
-A plain ``Window.partitionBy(group)`` puts a whole group into one task. Groups too large
-for that are computed in two levels instead: inside slices of the order key, and over
-the slice totals, of which a group has a bounded number.
+A plain ``Window.partitionBy(group)`` puts a whole group into one task. Running measures here
+deal the rows out by ranges of (group, order key) instead, sum inside each range, and add the
+totals of the ranges before; a group of any size is cut wherever the ranges cut it.
 """
 
 from __future__ import annotations
@@ -15,100 +15,50 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# Rows of a group that one task sorts without trouble.
-HOT_ROWS = 1_000_000
-
-
-def _order_columns(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Numeric ascending copies of the order keys; ``-name`` means descending."""
-    names = []
-    for i, key in enumerate(order):
-        desc, col = key.startswith("-"), key.lstrip("-")
-        kind = df.schema[col].dataType.typeName()
-        c = F.col(col)
-        if kind == "date":
-            c = F.unix_date(c)
-        elif kind.startswith("timestamp"):
-            c = F.unix_micros(c.cast("timestamp"))
-        elif kind == "string":
-            raise TypeError(f"order key {col} must be numeric or a time; sort text by a numeric code")
-        name = f"__k{i}"
-        whole = kind in ("byte", "short", "integer", "long", "date") or kind.startswith("timestamp")
-        df = df.withColumn(name, c if not desc else F.bitwise_not(c) if whole else -c)
-        names.append(name)
-    return df, names
-
-
-def _slices(df: DataFrame, keys: Sequence[str], per_key: int) -> tuple[DataFrame, list[str]]:
-    """Equal-width slice numbers of each order key; min and max come from one small aggregate."""
-    out = []
-    for i, key in enumerate(keys):
-        value = F.col(key).cast("double")
-        ends = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
-        pos = F.try_divide(value - ends["lo"], ends["hi"] - ends["lo"]) * per_key
-        df = df.withColumn(f"__s{i}", F.coalesce(F.floor(pos), F.lit(-1)).cast("int"))
-        out.append(f"__s{i}")
-    return df, out
-
-
-def running(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column], slices: int = 256, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Cumulative sums along ``order`` within ``group`` (all rows when ``group`` is empty).
 
-    ``order`` must identify rows within a group. Groups are counted first: those of at most
-    ``hot_rows`` rows take an ordinary window, larger ones are computed in slices.
+def _ordering(order: Sequence[str]) -> list[Column]:
+    """Sort columns, nulls first; ``-name`` means descending."""
+    return [F.col(k[1:]).desc_nulls_first() if k.startswith("-") else F.col(k).asc_nulls_first() for k in order]
+
+
+def ranged(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` dealt out by ranges of (group, order), with the number of the range as ``__range``.
+
+    Spark samples the bounds, so ranges hold about as many rows each, however keys and groups
+    are spread. The ranges are fixed by a checkpoint.
     """
-    group = list(group)
-    if not group:
-        return _sliced(df, group, order, sums, slices)
-    counts = df.groupBy(*group).agg(F.count("*").alias("__n"))
-    hot = cut_lineage(counts.filter(F.col("__n") > hot_rows).select(*group))
-    if hot.isEmpty():
-        return _plain(df, group, order, sums)
-    cold = _plain(df.join(hot, group, "left_anti"), group, order, sums)
-    return cold.unionByName(_sliced(df.join(hot, group, "left_semi"), group, order, sums, slices))
-
-
-def _plain(df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
-    columns = df.columns
-    df, keys = _order_columns(df, order)
-    w = W.partitionBy(*group).orderBy(*keys).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return df.select(*columns, *[F.sum(c).over(w).alias(n) for n, c in sums.items()])
-
-
-def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column], slices: int) -> DataFrame:
-    """Running sums inside slices of the order key, plus the totals of the slices before.
-
-    A slice that holds a single value of the first key is cut further along the second, so
-    ties do not pile up either. A group has at most ``(4 * slices ** 0.5 + 2) ** 2`` slice
-    totals (``slices + 2`` with one key), however many rows it holds.
+    dealt = df.repartitionByRange(*[F.col(g) for g in group], *_ordering(order))
+    return cut_lineage(dealt.withColumn("__range", F.spark_partition_id()))
+
+
+def running(df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
+    """Cumulative sums along ``order`` within ``group`` (all rows when ``group`` is empty).
+
+    ``order`` must identify rows within a group. Ranges follow each other in key order, so only
+    the groups that a range shares with the one before it, one for each range at most, need an
+    offset from earlier ranges.
     """
-    columns = df.columns
-    df, keys = _order_columns(df, order)
+    group, columns = list(group), df.columns
     vals = {f"__v{i}": c for i, c in enumerate(sums.values())}
-    df = df.withColumns(vals)
-    two = len(keys) > 1
-    df, cells = _slices(df, keys[:2], int(slices**0.5) * 4 if two else slices)
-    size = df.groupBy(*group, *cells).agg(*[F.sum(v).alias(v) for v in vals], F.min(keys[0]).alias("__lo"), F.max(keys[0]).alias("__hi"))
-    fine = F.lit(0)
-    if two:
-        slice_of = W.partitionBy(*group, cells[0])
-        fine = F.when(F.min("__lo").over(slice_of) == F.max("__hi").over(slice_of), F.col(cells[1])).otherwise(0)
-    size = size.withColumn("__fine", fine)
-    upto = W.partitionBy(*group).orderBy(cells[0], "__fine").rangeBetween(W.unboundedPreceding, W.currentRow)
-    within = W.partitionBy(*group, cells[0], "__fine")
-    marks = [*group, *cells]
-    offsets = size.select(
-        *[F.col(c).alias(f"__g{i}") for i, c in enumerate(marks)],
-        "__fine",
-        *[(F.sum(v).over(upto) - F.sum(v).over(within)).alias(f"__o{i}") for i, v in enumerate(vals)],
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(marks)]
-    placed = df.join(offsets, on=same, how="inner")
-    local = W.partitionBy(*marks[: len(group) + 1], "__fine").orderBy(*keys).rowsBetween(W.unboundedPreceding, W.currentRow)
-    totals = [(F.sum(v).over(local) + F.col(f"__o{i}")).alias(n) for i, (v, n) in enumerate(zip(vals, sums, strict=True))]
-    return placed.select(*columns, *totals)
+    rows = ranged(df.withColumns(vals), group, order)
+    marks = ["__range", *group]
+    total = rows.groupBy(*marks).agg(*[F.sum(v).alias(v) for v in vals])
+    before = W.partitionBy(*group).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = total.select(
+        *[F.col(c).alias(f"__m{i}") for i, c in enumerate(marks)],
+        F.count("*").over(before).alias("__before"),
+        *[F.sum(v).over(before).alias(f"__o{i}") for i, v in enumerate(vals)],
+    ).filter("__before > 0")
+    local = W.partitionBy(*marks).orderBy(*_ordering(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = rows.withColumns({f"__s{i}": F.sum(v).over(local) for i, v in enumerate(vals)})
+    same = [F.col(c).eqNullSafe(F.col(f"__m{i}")) for i, c in enumerate(marks)]
+    placed = inside.join(offsets, same, "left")
+    return placed.select(*columns, *[_plus(F.col(f"__s{i}"), F.col(f"__o{i}")).alias(n) for i, n in enumerate(sums)])
+
+
+def _plus(inside: Column, offset: Column) -> Column:
+    """The sum of both; null only where both are."""
+    return F.coalesce(inside + offset, inside, offset)
 
 
 def group_totals(df: DataFrame, group: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
@@ -116,21 +66,21 @@ def group_totals(df: DataFrame, group: Sequence[str], aggs: Sequence[Column]) ->
     return df.join(df.groupBy(*group).agg(*aggs), list(group), "left")
 
 
-def win_surrogate_id(df: DataFrame, order: Sequence[str], out: str = "id", start: int = 1, slices: int = 4096) -> DataFrame:
+def win_surrogate_id(df: DataFrame, order: Sequence[str], out: str = "id", start: int = 1) -> DataFrame:
     """Dense ids in key order without a single-task sort."""
-    numbered = running(df, [], order, {out: F.lit(1).cast("bigint")}, slices)
+    numbered = running(df, [], order, {out: F.lit(1).cast("bigint")})
     return numbered.withColumn(out, F.col(out) + F.lit(start - 1))
 
 
-def win_group_seq(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "seq", hot_rows: int = HOT_ROWS) -> DataFrame:
+def win_group_seq(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "seq") -> DataFrame:
     """1, 2, 3 ... within each group along ``order``."""
-    return running(df, group, order, {out: F.lit(1).cast("bigint")}, hot_rows=hot_rows)
+    return running(df, group, order, {out: F.lit(1).cast("bigint")})
 
 
-def win_running_load(df: DataFrame, group: Sequence[str], order: Sequence[str], on: str, off: str, out: str = "load", hot_rows: int = HOT_ROWS) -> DataFrame:
+def win_running_load(df: DataFrame, group: Sequence[str], order: Sequence[str], on: str, off: str, out: str = "load") -> DataFrame:
     """Passengers on board after each stop."""
     net = F.coalesce(F.col(on), F.lit(0)) - F.coalesce(F.col(off), F.lit(0))
-    return running(df, group, order, {out: net}, hot_rows=hot_rows)
+    return running(df, group, order, {out: net})
 
 
 def win_group_max_flag(df: DataFrame, group: Sequence[str], seq: str) -> DataFrame:
@@ -162,11 +112,11 @@ def win_share_in_group(df: DataFrame, group: Sequence[str], col: str, out: str =
     return full.withColumn(out, F.try_divide(F.col(col).cast("double"), F.col("__total"))).drop("__total")
 
 
-def win_largest_remainder(df: DataFrame, group: Sequence[str], col: str, tie: Sequence[str], out: str = "rounded", hot_rows: int = HOT_ROWS) -> DataFrame:
+def win_largest_remainder(df: DataFrame, group: Sequence[str], col: str, tie: Sequence[str], out: str = "rounded") -> DataFrame:
     """Integers with the rounded group total: floors, plus one for the largest remainders."""
     base = df.withColumns({"floor_units": F.floor(col), "remainder": F.col(col) - F.floor(col)})
     extra = F.round(F.sum(col) - F.sum(F.floor(col))).cast("bigint").alias("extra_units")
-    ranked = win_group_seq(group_totals(base, group, [extra]), group, ["-remainder", *tie], "remainder_rank", hot_rows)
+    ranked = win_group_seq(group_totals(base, group, [extra]), group, ["-remainder", *tie], "remainder_rank")
     gain = (F.col("remainder_rank") <= F.col("extra_units")).cast("bigint")
     return ranked.select(*df.columns, (F.col("floor_units") + gain).alias(out))
 

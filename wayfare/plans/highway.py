@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.recode import SIGNS, first_match, project_case_map
-from ..session import checked_broadcast
 
 RURAL, URBAN = -1, 1
 
@@ -318,6 +317,9 @@ def hwy_voc(df: DataFrame, periods: Sequence[str] = ("am", "pm", "op")) -> DataF
     return df.withColumns(out)
 
 
+AREA_GROUPS = ("rf", "ro", "uf", "uo")
+
+
 def area_group(fc: str = "fc") -> Column:
     """Profile group: rural freeway, other rural, urban freeway, other urban."""
     c = F.col(fc)
@@ -333,7 +335,13 @@ def hwy_hourly_profile(dlinks: DataFrame, profile: DataFrame, params: dict[str,
     freeways and 5 minutes elsewhere.
     """
     p = {**PARAMETERS, **(params or {})}
-    full = dlinks.withColumn("area_group", area_group()).join(checked_broadcast(profile, 4 * 24), "area_group")
+    # One row for each area group, with its hours in an array: four rows whatever the input, and
+    # a link meets one of them. An hour that comes twice is an error of the profile.
+    hours = F.array_sort(F.collect_list(F.struct("hour", "period", "car", "su", "mu")))
+    twice = F.raise_error(F.concat(F.lit("profile has an hour twice in area group "), F.first("area_group")))
+    by_area = profile.groupBy("area_group").agg(F.when(F.count("hour") == F.count_distinct("hour"), hours).otherwise(twice).alias("hours"))
+    met = dlinks.withColumn("area_group", area_group()).join(F.broadcast(by_area.limit(len(AREA_GROUPS))), "area_group")
+    full = met.withColumn("h", F.explode("hours")).drop("hours").select("*", "h.*").drop("h")
 
     def volume(cls: str) -> Column:
         return first_match([(F.col("period") == t, F.col(f"{t}_{cls}")) for t in ("am", "pm", "op")])
@@ -366,6 +374,7 @@ def hwy_hourly_profile(dlinks: DataFrame, profile: DataFrame, params: dict[str,
     )
 
 
+# First and last hour of the peaks.
 PEAKS = {"am": (7, 9), "pm": (16, 18)}
 
 

@@ -17,7 +17,7 @@ from ..functions.recode import first_match, project_case_map
 from ..functions.scalar import fn_tod_period
 from ..operators.aggregates import agg_matrix_build
 from ..operators.sets import topk_per_group
-from ..session import BROADCAST_ROWS, cut_lineage
+from ..session import FitError, cut_lineage
 
 # Vehicle trips per person trip by mode, transit cores by path type.
 VEHICLES_PER_TRIP = {3: 1.0, 4: 1 / 2, 5: 1 / 3.5}
@@ -147,56 +147,61 @@ def mat_balance_vectors(zones: DataFrame, p: str, a: str, hold: Column | None =
 
 
 def fit_margins(
-    cells: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int, tol: float, checkpoint_every: int = 1
+    cells: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int, tol: float, checkpoint_every: int = 2, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Factors a(o), b(d) so that a x base x b meets the row and column targets.
 
-    ``cells`` is (o, d, base), ``rows`` (o, target), ``cols`` (d, target). Stops when no
-    column factor moves by more than ``tol``; a margin of 0, or a line without cells, gives 0.
+    ``cells`` is (o, d, base), ``rows`` (o, target), ``cols`` (d, target); with ``keys`` each
+    frame has them too and every key combination is a fit of its own, all in the same rounds.
+    Stops when no column factor moves by more than ``tol``; a margin of 0, or a line without
+    cells, gives 0. Raises :class:`FitError` if ``max_iter`` rounds do not get there. Cells are
+    kept by origin, factors are as narrow as the zones; Spark sees their size and broadcasts
+    them if that is small.
     """
+    keys = list(keys)
     rows, cols = cut_lineage(rows), cut_lineage(cols)
-    cells = cut_lineage(cells.filter("base > 0").select("o", "d", F.col("base").cast("double").alias("base")))
-    # Factors and targets have a row per zone, so one count of the zones settles their size.
-    ends = [cells.select("o"), cells.select("d"), rows.select("o"), cols.select("d")]
-    small = reduce(lambda x, y: x.union(y), ends).distinct().count() <= BROADCAST_ROWS
-
-    def spread(factors: DataFrame) -> DataFrame:
-        return F.broadcast(factors) if small else factors
+    cells = cut_lineage(cells.filter("base > 0").select(*keys, "o", "d", F.col("base").cast("double").alias("base")))
 
     def step(line: str, other: str, targets: DataFrame, factors: DataFrame) -> DataFrame:
-        sums = cells.join(spread(factors), other).groupBy(line).agg(F.sum(F.col("base") * F.col("f")).alias("s"))
-        found = sums.join(spread(targets), line, "left")
-        return found.select(line, F.coalesce(F.try_divide(F.col("target").cast("double"), F.col("s")), F.lit(0.0)).alias("f"))
+        sums = cells.join(factors, [*keys, other]).groupBy(*keys, line).agg(F.sum(F.col("base") * F.col("f")).alias("s"))
+        found = sums.join(targets, [*keys, line], "left")
+        return found.select(*keys, line, F.coalesce(F.try_divide(F.col("target").cast("double"), F.col("s")), F.lit(0.0)).alias("f"))
 
-    b, last = cols.select("d", F.lit(1.0).alias("f")), None
-    for i in range(1, max_iter):
+    b, last, moved = cols.select(*keys, "d", F.lit(1.0).alias("f")), None, float("inf")
+    for i in range(1, max_iter + 1):
         b = step("d", "o", cols, step("o", "d", rows, b))
-        if i % checkpoint_every:
+        if i % checkpoint_every and i < max_iter:
             continue
         b = cut_lineage(b)
-        if last is not None and tol > 0:
-            moved = b.join(last, "d").agg(F.max(F.abs(F.try_divide("f", "g") - 1))).first()[0]
+        if last is not None:
+            moved = b.join(last, [*keys, "d"]).agg(F.max(F.abs(F.try_divide("f", "g") - 1))).first()[0]
             if moved is None or moved <= tol:
                 break
         last = b.withColumnRenamed("f", "g")
+    else:
+        raise FitError(f"after {max_iter} rounds a factor still moves by {moved:.3g}")
     a = cut_lineage(step("o", "d", rows, b))
     b = cut_lineage(step("d", "o", cols, a))
     fa, fb = a.withColumnRenamed("f", "fa"), b.withColumnRenamed("f", "fb")
-    return cells.join(spread(fa), "o").join(spread(fb), "d").select("o", "d", (F.col("base") * F.col("fa") * F.col("fb")).alias("trips"))
+    fitted = cells.join(fa, [*keys, "o"]).join(fb, [*keys, "d"])
+    return fitted.select(*keys, "o", "d", (F.col("base") * F.col("fa") * F.col("fb")).alias("trips"))
 
 
-def mat_growth_factor(od: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int = 100, tol: float = 0.001, checkpoint_every: int = 1) -> DataFrame:
-    """Doubly constrained growth of a seed matrix to new trip ends."""
-    return fit_margins(od.select("o", "d", F.col("trips").alias("base")), rows, cols, max_iter, tol, checkpoint_every)
+def mat_growth_factor(
+    od: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int = 100, tol: float = 0.001, checkpoint_every: int = 2, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Doubly constrained growth of a seed matrix (or one for each of ``keys``) to new trip ends."""
+    return fit_margins(od.select(*keys, "o", "d", F.col("trips").alias("base")), rows, cols, max_iter, tol, checkpoint_every, keys)
 
 
 def mat_gravity(
-    skim: DataFrame, rows: DataFrame, cols: DataFrame, c: float, k: str | None = None, max_iter: int = 500, tol: float = 0.001, checkpoint_every: int = 1
+    skim: DataFrame, rows: DataFrame, cols: DataFrame, c: float, k: str | None = None, max_iter: int = 500, tol: float = 0.001,
+    checkpoint_every: int = 2, keys: Sequence[str] = (),
 ) -> DataFrame:
     """Doubly constrained gravity model with friction exp(-c x impedance) and optional K factors."""
     friction = F.exp(-c * F.col("imp"))
     base = friction if k is None else friction * F.col(k)
-    return fit_margins(skim.select("o", "d", base.alias("base")), rows, cols, max_iter, tol, checkpoint_every)
+    return fit_margins(skim.select(*keys, "o", "d", base.alias("base")), rows, cols, max_iter, tol, checkpoint_every, keys)
 
 
 def mat_intrazonal(skim: DataFrame, keys: Sequence[str] = (), factor: float = 0.25, neighbours: int = 1) -> DataFrame:

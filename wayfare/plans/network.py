@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 from ..functions.recode import first_match
 from ..functions.scalar import fn_pct_change_safe
@@ -168,23 +169,29 @@ def net_apply_projects(links: DataFrame, edits: DataFrame, base: Column, key: st
     """A scenario network from the master links and an ordered edit list, and the edits that fail.
 
     ``edits`` is (seq, id, action, field_name, field_value). Links are in the scenario if in
-    the base or added, unless removed; of several edits of a field the last one counts.
+    the base or added, unless removed; of several readable edits of a field the last one counts,
+    and an edit whose value does not fit the field's type is returned as an error.
     """
     fields = [f for f in links.schema if f.name != key]
     action = F.col("action")
 
-    def last(field: str) -> Column:
-        mine = (action == "Modify") & (F.col("field_name") == field)
-        return F.max_by(F.when(mine, F.col("field_value")), F.when(mine, F.col("seq"))).alias(f"__{field}")
+    def unreadable(field: StructField) -> Column:
+        return F.col("field_value").isNotNull() & F.col("field_value").try_cast(field.dataType).isNull()
+
+    def last(field: StructField) -> Column:
+        mine = (action == "Modify") & (F.col("field_name") == field.name) & ~unreadable(field)
+        return F.max_by(F.when(mine, F.col("field_value")), F.when(mine, F.col("seq"))).alias(f"__{field.name}")
 
     per_link = edits.groupBy(key).agg(
         F.max((action == "Add").cast("int")).alias("__add"),
         F.max(action.isin("Remove", "Delete").cast("int")).alias("__drop"),
-        *[last(f.name) for f in fields],
+        *[last(f) for f in fields],
     )
     joined = links.join(per_link, key, "left").filter(base | (F.coalesce("__add", F.lit(0)) == 1)).filter(F.coalesce("__drop", F.lit(0)) == 0)
     net = joined.select(key, *[F.coalesce(F.col(f"__{f.name}").try_cast(f.dataType), F.col(f.name)).alias(f.name) for f in fields])
     unknown = edits.join(links.select(key), key, "left_anti").withColumn("error", F.lit("link does not exist"))
     names = F.lit([f.name for f in fields]) if fields else F.array()
     wrong = edits.filter((action == "Modify") & ~F.array_contains(names, F.col("field_name")))
-    return net, unknown.unionByName(wrong.withColumn("error", F.lit("field does not exist")))
+    bad = first_match([(F.col("field_name") == f.name, unreadable(f)) for f in fields], F.lit(False))
+    failed = edits.filter((action == "Modify") & bad).withColumn("error", F.lit("value cannot be read"))
+    return net, unknown.unionByName(wrong.withColumn("error", F.lit("field does not exist"))).unionByName(failed)

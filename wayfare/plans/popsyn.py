@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.recode import first_match, project_case_map, project_clamp
 from ..functions.scalar import fn_decimal_money, fn_geo_id_concat
 from ..operators.aggregates import agg_majority_assign
-from ..operators.joins import join_update_from
+from ..operators.joins import expanded, join_update_from
 from ..operators.windows import running, win_group_seq, win_surrogate_id
-from ..session import checked_broadcast, cut_lineage
+from ..session import FitError, cut_lineage
 
 # Census codes.
 INCOME_FACTORS = {
@@ -107,7 +107,9 @@ def pop_raking(
 
     The scale of a record depends only on its control categories, so records are folded
     to those categories first; each control then keeps one factor per category, and an
-    iteration recomputes a control's factors from those of the others.
+    iteration recomputes a control's factors from those of the others. Every record comes
+    back; one with a null category or one without a target has weight 0. Raises
+    :class:`FitError` if some control is missed by more than ``tol`` after ``max_iter`` rounds.
     """
     controls = [(ks, cut_lineage(targets)) for ks, targets in controls]
     keys = sorted({k for ks, _ in controls for k in ks})
@@ -121,6 +123,7 @@ def pop_raking(
                 out = out.join(factors[j], list(ks)).withColumn("w", F.col("w") * F.col(f"f{j}")).drop(f"f{j}")
         return out
 
+    gap = float("inf")
     for i in range(1, max_iter + 1):
         cut = i % checkpoint_every == 0 or i == max_iter or len(controls) > 2
         for j, (ks, targets) in enumerate(controls):
@@ -129,11 +132,16 @@ def pop_raking(
             factors[j] = sums.select(*ks, factor.alias(f"f{j}"))
             if cut:
                 factors[j] = cut_lineage(factors[j])
-        if cut and tol > 0 and _worst_gap(scaled(), controls) <= tol:
-            break
+        if cut:
+            gap = _worst_gap(scaled(), controls)
+            if gap <= tol:
+                break
+    else:
+        raise FitError(f"after {max_iter} rounds a control is still missed by {gap:.3g} of its target")
     result = seed
     for j, (ks, _) in enumerate(controls):
-        result = result.join(checked_broadcast(factors[j]), list(ks)).withColumn(weight, F.col(weight) * F.col(f"f{j}")).drop(f"f{j}")
+        # A record whose category is null or has no target keeps its row, with weight 0.
+        result = result.join(factors[j], list(ks), "left").withColumn(weight, F.col(weight) * F.coalesce(f"f{j}", F.lit(0.0))).drop(f"f{j}")
     return result
 
 
@@ -155,13 +163,13 @@ def pop_expand(hh: DataFrame, per: DataFrame, key: str, weight: str, pno: str) -
     sizes = per.groupBy(key).agg(F.count("*").alias("__np"))
     w = F.greatest(F.floor(F.col(weight)), F.lit(0)).cast("bigint")
     base = hh.join(sizes, key, "left").withColumns({"__w": w, "__np": F.coalesce("__np", F.lit(0).cast("bigint"))})
-    base = running(base, [], [key], {"__hh_end": F.col("__w"), "__per_end": F.col("__w") * F.col("__np")}, 4096)
+    base = running(base, [], [key], {"__hh_end": F.col("__w"), "__per_end": F.col("__w") * F.col("__np")})
     base = base.withColumns({"__hh0": F.col("__hh_end") - F.col("__w"), "__p0": F.col("__per_end") - F.col("__w") * F.col("__np")})
     base = base.filter("__w >= 1")
-    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__w"))).alias("n")
-    households = base.select(*hh.columns, copies, "__hh0").withColumn("hhid", F.col("__hh0") + F.col("n")).drop("__hh0")
+    copies = expanded(base.select(*hh.columns, "__w", "__hh0"), F.col("__w"), "n")
+    households = copies.withColumn("hhid", F.col("__hh0") + F.col("n")).select(*hh.columns, "n", "hhid")
     spans = base.select(key, "__w", "__np", "__hh0", "__p0")
-    persons = per.join(spans, key).select(*per.columns, copies, "__np", "__hh0", "__p0")
+    persons = expanded(per.join(spans, key), F.col("__w"), "n").select(*per.columns, "n", "__np", "__hh0", "__p0")
     persons = persons.withColumns(
         {"hhid": F.col("__hh0") + F.col("n"), "perid": F.col("__p0") + (F.col("n") - 1) * F.col("__np") + F.col(pno)}
     )

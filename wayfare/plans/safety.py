@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.recode import first_match
 
+# Share of fatal crashes, calibration by severity.
 FATAL_SHARE = 0.0188
 CALIBRATION = {"fatal": 1.20, "injury": 1.79, "pdo": 2.59}
 
@@ -49,7 +50,7 @@ ARTERIAL = {
     "sv_fi": {"2U": (-3.96, 0.23), "3T": (-6.37, 0.47), "4U": (-7.37, 0.61), "4D": (-8.71, 0.66), "5T": (-4.43, 0.35)},
     "sv_pdo": {"2U": (-6.51, 0.64), "3T": (-6.29, 0.56), "4U": (-8.50, 0.84), "4D": (-5.04, 0.45), "5T": (-5.83, 0.61)},
 }
-# Driveway crash rates (six driveway kinds), exponent on ADT / 15000, fatal-injury share.
+# Driveway crash rates (six driveway kinds), exponent on ADT / 15000, fatal-injury share.
 DRIVEWAY_DENSITY = 0.01
 DRIVEWAYS = {
     "2U": ((0.158, 0.050, 0.172, 0.023, 0.083, 0.016), 1.0, 0.323),
@@ -58,9 +59,9 @@ DRIVEWAYS = {
     "4D": ((0.033, 0.011, 0.036, 0.005, 0.018, 0.003), 1.106, 0.284),
     "5T": ((0.165, 0.053, 0.181, 0.024, 0.087, 0.016), 1.172, 0.269),
 }
-# Night shares for the lighting factor: of all crashes, injury, property damage.
+# Night shares for the lighting factor: of all crashes, injury, property damage.
 NIGHT = {"2U": (0.316, 0.424, 0.576), "3T": (0.304, 0.429, 0.571), "4U": (0.365, 0.517, 0.438), "4D": (0.410, 0.364, 0.636), "5T": (0.274, 0.432, 0.568)}
-# Pedestrian and bicycle factors, posted speed up to 30 and above.
+# Pedestrian and bicycle factors, posted speed up to 30 and above.
 PEDESTRIAN = {"2U": (0.036, 0.005), "3T": (0.041, 0.013), "4U": (0.022, 0.009), "4D": (0.067, 0.019), "5T": (0.030, 0.023)}
 BICYCLE = {"2U": (0.018, 0.004), "3T": (0.027, 0.007), "4U": (0.011, 0.002), "4D": (0.013, 0.005), "5T": (0.050, 0.012)}
 SLOW_STREET = 30
@@ -83,18 +84,22 @@ URBAN_NODES = {
 }
 SINGLE_FI_SHARE = {"3ST": 0.31, "4ST": 0.28}
 NODE_PEDESTRIAN_SHARE = {"3ST": 0.021, "4ST": 0.022}
-# Signal pedestrian model: intercept, ln ADT, ln(min / max), crossing volume slope and volume, lanes.
+# Signal pedestrian model: intercept, ln ADT, ln(min / max), crossing volume slope and volume, lanes.
 NODE_PEDESTRIAN = {"3SG": (-6.60, 0.05, 0.24, 0.41, 400, 0.09), "4SG": (-9.53, 0.40, 0.26, 0.45, 700, 0.04)}
 NODE_BICYCLE = {"3ST": 0.016, "3SG": 0.011, "4ST": 0.018, "4SG": 0.015}
 
 
 def _with_terms(df: DataFrame, kind: Column, terms: dict[str, dict[str, float]]) -> DataFrame:
-    """Join the coefficients of each row's site type as columns; a type without a value gets null."""
-    kinds = sorted({k for values in terms.values() for k in values})
-    names = list(terms)
-    rows = [(k, *[None if k not in terms[n] else float(terms[n][k]) for n in names]) for k in kinds]
-    ddl = ", ".join(["__kind string", *[f"`{n}` double" for n in names]])
-    return df.withColumn("__kind", kind).join(df.sparkSession.createDataFrame(rows, ddl), "__kind", "left").drop("__kind")
+    """The coefficients of each row's site type as columns; a type without a value gets null.
+
+    Looked up in literal maps, so no row moves.
+    """
+
+    def value(table: dict[str, float]) -> Column:
+        entries = F.create_map(*[x for k, v in sorted(table.items()) for x in (F.lit(k), F.lit(float(v)))])
+        return F.try_element_at(entries, F.col("__kind"))
+
+    return df.withColumn("__kind", kind).withColumns({n: value(table) for n, table in terms.items()}).drop("__kind")
 
 
 def _columns(models: dict[str, dict[str, tuple]], prefix: str = "__") -> dict[str, dict[str, float]]:

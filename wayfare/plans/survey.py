@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.recode import filter_weekday_month
 from ..functions.scalar import fn_geo_id_slice
-from ..operators.aggregates import agg_matrix_district, agg_percent_of_total, agg_pivot_margins
+from ..operators.aggregates import agg_matrix_district, agg_pivot_margins
+from ..operators.joins import expanded
+from ..operators.windows import win_share_in_group
+
+MIDWEEK = (3, 4, 5)  # Tuesday to Thursday
 
 # Industry columns of each model sector; transport overlaps industrial.
 SECTORS = {
@@ -50,8 +53,7 @@ def sur_expand_closed_form(obs: DataFrame, sur: DataFrame, key: str) -> DataFram
 
 def sur_explode_linked(df: DataFrame, weight: str, out: str = "copy") -> DataFrame:
     """One row per half-even rounded weight, at least one."""
-    n = F.greatest(F.bround(weight).cast("int"), F.lit(1))
-    return df.withColumn(out, F.explode(F.sequence(F.lit(1), n)))
+    return expanded(df, F.greatest(F.bround(weight).cast("bigint"), F.lit(1)), out)
 
 
 def sur_geocode_grade(df: DataFrame, conf: str, route: str) -> DataFrame:
@@ -69,12 +71,13 @@ def emp_sector_rollup(jobs: DataFrame, level: str = "tract_id") -> DataFrame:
     have = set(jobs.columns)
 
     def added(names: Sequence[str]) -> Column:
-        return sum((F.col(c) for c in names if c in have), F.lit(0))
+        return sum((F.coalesce(F.col(c), F.lit(0)) for c in names if c in have), F.lit(0))
 
     keyed = jobs.withColumn(level, fn_geo_id_slice("w_geocode")[level])
     sectors = {s: added(cols) for s, cols in {**SECTORS, **OVERLAP}.items()}
     industries = added([c for cols in SECTORS.values() for c in cols])
     sums = keyed.groupBy(level).agg(*[F.sum(v).alias(s) for s, v in sectors.items()], F.sum(industries).alias("all_jobs"))
+    # Sectors are summed by column first, all jobs by row first; both skip nulls.
     total = sum((F.col(s) for s in SECTORS), F.lit(0))
     out = sums.withColumns({"emptot_p": total, "conserved": total == F.col("all_jobs")})
     return out.withColumns({m: sum((F.col(s) for s in parts), F.lit(0)) for m, parts in MODEL_SECTORS.items()})
@@ -90,10 +93,19 @@ def flow_home_work(od: DataFrame, zones: DataFrame, levels: Sequence[str]) -> Da
     return out
 
 
-def probe_trip_patterns(trips: DataFrame, month: int, classes: Column, keys: Sequence[str], unknown: Column | None = None) -> DataFrame:
-    """Midweek probe trips of a month and vehicle class: counts and shares by the keys."""
-    kept = filter_weekday_month(trips, "start_date", month).filter(classes)
-    return agg_percent_of_total(kept, keys, F.count("*"), unknown)
+def probe_trip_patterns(trips: DataFrame, months: Sequence[int], within: Sequence[Column], keys: Sequence[str], unknown: Column | None = None) -> DataFrame:
+    """Midweek probe trips: counts by the keys and their share of each month and ``within`` group.
+
+    All months and groups (vehicle classes, say) come from one pass; rows that are ``unknown``
+    count in neither the group nor its total.
+    """
+    day = F.dayofweek("start_date")
+    kept = trips.filter(F.month("start_date").isin(*months) & day.isin(*MIDWEEK))
+    if unknown is not None:
+        kept = kept.filter(~F.coalesce(unknown, F.lit(False)))
+    sums = kept.groupBy(F.month("start_date").alias("month"), *within, *keys).agg(F.count("*").alias("total"))
+    groups = [c for c in sums.columns if c not in keys and c != "total"]
+    return win_share_in_group(sums, groups, "total", "share").withColumn("pct", 100 * F.col("share")).drop("share")
 
 
 def lbl_dedupe_ids(df: DataFrame, key: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.recode import first_match
+from ..functions.recode import first_match, project_case_map
 from ..functions.scalar import fn_tod_inclusive
 from ..operators.aggregates import agg_pivot, agg_two_level
 from ..operators.windows import running
@@ -24,12 +24,12 @@ NO_WALK_LINK, NO_WALK_TIME, WALK_LINK = 250, 99999, 98
 NO_TIME = 0.001
 
 
-def trn_dwell_time(stops: DataFrame, modes: DataFrame, periods: Sequence[str]) -> DataFrame:
+def trn_dwell_time(stops: DataFrame, modes: dict[int, float], periods: Sequence[str]) -> DataFrame:
     """Dwell time per period with service: distance since the last stop times the mode factor.
 
-    ``stops`` has mode, last_distance, layover and ``<period>_headway``; ``modes`` (mode, factor).
+    ``stops`` has mode, last_distance, layover and ``<period>_headway``; ``modes`` the factor by mode.
     """
-    joined = stops.join(modes, "mode", "left").withColumn("layover", F.coalesce("layover", F.lit(0)))
+    joined = stops.withColumns({"factor": project_case_map("mode", modes), "layover": F.coalesce("layover", F.lit(0))})
     dwell = {f"{p}_dwell": F.when(F.col(f"{p}_headway") > 0, F.col("last_distance") * F.col("factor")) for p in periods}
     return joined.withColumns(dwell)
 

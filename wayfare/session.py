@@ -7,10 +7,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Rows of a narrow table (a few numbers each) that every executor can hold.
-BROADCAST_ROWS = 500_000
+
+class FitError(RuntimeError):
+    """An iterative fit ended before it met its tolerance."""
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,12 +40,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager)
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a count shows it is small enough, else as it is.
-
-    For narrow tables that are materialised or cheap to count, where Spark's own estimate
-    would be that of the large input they were reduced from.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
