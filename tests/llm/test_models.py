@@ -105,7 +105,8 @@ def test_plan_places_every_piece_and_fills_windows():
 
 def test_non_negative_least_squares():
     a = np.array([[1.0, 0, 1], [0, 1, 1]])
-    x = packing.nnls(a, np.array([3.0, 5.0]))
+    row, column = np.nonzero(a)
+    x = packing.nnls(row, column, np.array([3.0, 5.0]), 3)
     assert (x >= 0).all() and np.allclose(a @ x, [3, 5], atol=1e-3)
 
 

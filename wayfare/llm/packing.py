@@ -24,12 +24,17 @@ from .common import cut, id_text, map_texts
 END = 1
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 300) -> np.ndarray:
-    """``x >= 0`` with a small ``|a x - b|``: multiplicative updates for a non-negative matrix."""
-    x = np.full(a.shape[1], b.sum() / max(a.sum(), 1.0))
-    ab = a.T @ b
+def nnls(row: np.ndarray, column: np.ndarray, b: np.ndarray, columns: int, rounds: int = 300) -> np.ndarray:
+    """``x >= 0`` with a small ``|a x - b|`` by multiplicative updates.
+
+    ``a`` counts the pairs ``(row, column)``, so a pattern of three pieces is three pairs and the
+    matrix is never written out.
+    """
+    x = np.full(columns, b.sum() / max(len(row), 1))
+    ab = np.bincount(column, b[row], columns)
     for _ in range(rounds):
-        x *= ab / np.maximum(a.T @ (a @ x), 1e-12)
+        ax = np.bincount(row, x[column], len(b))
+        x *= ab / np.maximum(np.bincount(column, ax[row], columns), 1e-12)
     return x
 
 
@@ -74,12 +79,11 @@ def plan(counts: dict[int, int], window: int, slack: int = 0) -> list[tuple[tupl
     present = np.flatnonzero(left)
     patterns = combinations(present, window, slack) if len(present) else []
     if patterns:
-        row = {int(n): i for i, n in enumerate(present)}
-        a = np.zeros((len(present), len(patterns)), np.float32)
-        for j, p in enumerate(patterns):
-            for n in p:
-                a[row[n], j] += 1
-        x = nnls(a, left[present].astype(np.float32))
+        place = np.zeros(window + 1, np.int64)
+        place[present] = np.arange(len(present))
+        column = np.repeat(np.arange(len(patterns)), [len(p) for p in patterns])
+        row = place[np.fromiter((n for p in patterns for n in p), np.int64, len(column))]
+        x = nnls(row, column, left[present].astype(np.float64), len(patterns))
         for j in np.argsort(-x, kind="stable").tolist():
             use(patterns[j], int(np.floor(x[j] + 1e-3)))
     while left.any():  # greedy: longest piece first, then always the longest that still fits
