@@ -28,7 +28,7 @@ from .common import id_text, map_texts, pieces, span_hashes
 
 SPECIAL = 0x110000  # code points from here on stand for the special tokens of a text
 CHARS = 2_000_000  # code points cut into words at once
-CACHED_WORDS = 1_500_000  # a worker forgets its words beyond this number
+CACHED_WORDS = 400_000  # a worker forgets its words beyond this number
 OTHER, LETTER, NUMBER, SPACE, MARK = range(5)
 
 
