@@ -91,6 +91,31 @@ def test_near_groups_equal_brute_force(frame):
         assert got == brute_groups(rows)
 
 
+def test_near_groups_of_mixed_passages(frame, monkeypatch):
+    """Long lists of texts made of the same passages: many near each other, some of them linked."""
+    monkeypatch.setattr(ngram_join, "LEADERS", 1)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    rng = random.Random(3)
+    passages = [[f"p{i}x{j}" for j in range(15)] for i in range(9)]
+    rows = [(i, " ".join(sum(rng.sample(passages, rng.choice([5, 6, 7])), []) + [f"u{i}"] * rng.choice([0, 7]))) for i in range(120)]
+    got = sorted(tuple(r) for r in ngram_join.near_groups(frame(rows, 5)).select("doc_id", "n_shingles", "component_id").collect())
+    assert got == brute_groups(rows)
+
+
+def test_blocks_make_the_pairs_of_the_sketches(spark):
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    sets = [np.unique(rng.choice(base, int(rng.integers(60, 240)), replace=False)) for _ in range(90)]
+    nodes = [(i, ngram_join.sketch(s), len(s)) for i, s in enumerate(sets)]
+    classes = spark.createDataFrame(nodes, "node long, cells binary, n long")
+    rows = [(sig, i, len(s), i // 2) for sig in (1, 2) for i, s in enumerate(sets) if sig == 1 or i % 3]
+    rest = spark.createDataFrame(rows, "sig long, node long, n long, label long")
+    want = {(i, j) for i, x, m in nodes for j, y, n in nodes if i < j and i // 2 != j // 2 and 5 * min(m, n) >= 4 * max(m, n) and ngram_join.may_link(x, y, m, n)}
+    for block in (7, 512):
+        got = [tuple(r) for r in ngram_join.possible_in_lists(rest, classes, block).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_near_groups_of_documents(documents, texts):
     got = sorted(tuple(r) for r in ngram_join.near_groups(documents).select("doc_id", "n_shingles", "component_id").collect())
     assert got == brute_groups(sorted(texts.items()))

@@ -10,9 +10,9 @@ boundary is the size at which the summed cost of subsets and of list scans is le
 
 Lists are resolved without pairing all members: a few leaders of each list are verified against the
 rest, linked members share a label, and only members of a list that still differ in label are
-compared further, until no list holds two labels whose members were not compared. Nothing is lost:
-any two sets that link meet in a list. Pairs are first held against small sketches, which bound the
-intersection from above, then verified on the whole sets.
+compared further: block against block of the list. Nothing is lost: any two sets that link meet in
+a list. Members are first held against each other by small sketches, which bound the intersection
+from above; what they leave is verified on the whole sets.
 
 A document without words is linked with nothing; its set is empty. Null texts count as empty, null
 ids get a row with null ``component_id``. The order of frequent shingles is held for at most
@@ -37,6 +37,7 @@ WORDS = 5
 FREQUENT = 1 << 18
 MIN_DF = 8
 LEADERS = 8
+BLOCK = 512
 SPACES = np.zeros(256, bool)
 SPACES[[32, *range(9, 14)]] = True
 STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -330,7 +331,6 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
                 keep.append(links(common, len(p), len(q)))
             yield pdf.loc[keep, ["a", "b"]]
 
-    pairs = possible(pairs, classes)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = sets_of(docs, classes.join(wanted, "node").select("node", F.col("first").alias("id")))
     left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
@@ -338,6 +338,73 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     return cut_narrow(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long").distinct())
 
 
+def near_rows(cells: list[bytes], sizes: np.ndarray, labels: np.ndarray, sides: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of side 0 with the rows of side 1 that have another label and may link with it.
+
+    Sketches of equal length form a matrix. A size that may link is at most 1.25 times as large,
+    so a sketch meets only those of its own length and, added up in twos, of the next ones.
+    """
+    length = np.array([len(c) for c in cells])
+    full = {}
+    for n in np.unique(length[sides == 1]):
+        at = np.flatnonzero((sides == 1) & (length == n))
+        full[int(n)] = at, np.stack([np.frombuffer(cells[i], np.uint8) for i in at])
+    for i in np.flatnonzero(sides == 0):
+        x = np.frombuffer(cells[i], np.uint8)
+        hits = []
+        for n in (len(x) // 2, len(x), len(x) * 2):
+            if n not in full:
+                continue
+            at, others = full[n]
+            fit = np.flatnonzero((5 * np.minimum(sizes[at], sizes[i]) >= 4 * np.maximum(sizes[at], sizes[i])) & (labels[at] != labels[i]))
+            if not len(fit):
+                continue
+            some, k = others[fit], min(n, len(x))
+            unsure = (some == 255).any(axis=1) | (x == 255).any()
+            p, q = x, some
+            if len(x) != n:
+                p, q = x.reshape(k, -1).sum(1, dtype=np.uint16), some.reshape(len(some), k, -1).sum(2, dtype=np.uint16)
+            most = np.minimum(q, p).sum(1, dtype=np.int64)
+            keep = unsure | (100 * most >= 80 * (sizes[at][fit] + sizes[i] - most))
+            hits.append(at[fit[keep]])
+        if hits:
+            yield i, np.concatenate(hits)
+
+
+def possible_in_lists(rest: DataFrame, classes: DataFrame, block: int) -> DataFrame:
+    """The pairs ``a, b`` of one list and different labels that their sketches do not rule out.
+
+    A list is cut into blocks of about ``block`` members; a task compares two blocks (or one with
+    itself) by matrix operations. So a sketch is sent once for each block of its list, no pair is
+    made before its sketches were compared, and what a task holds is bounded.
+    """
+    size = rest.groupBy("sig").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = rest.join(size, "sig").withColumn("own", own)
+    copies = placed.agg(F.sum("blocks")).first()[0] or 0
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("sig", "node", "n", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
+    group = F.pmod(F.xxhash64("sig", "i", "j"), F.lit(1 + copies // (8 * block)))
+    met = met.join(classes.select("node", "cells"), "node").withColumn("task", group)
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for (_, i, j), g in pdf.groupby(["sig", "i", "j"], sort=False):
+            node, n, label = (g[c].to_numpy(np.int64) for c in ("node", "n", "label"))
+            cells, at = g["cells"].tolist(), g["own"].to_numpy()
+            if i == j:  # every member on both sides; each pair is kept once
+                node, n, label, cells = np.tile(node, 2), np.tile(n, 2), np.tile(label, 2), cells * 2
+                at = np.repeat([i, i + 1], len(g))
+            for row, others in near_rows(cells, n, label, (at != i).astype(np.int8)):
+                b = node[others]
+                b = b[b > node[row]] if i == j else b
+                found.append(np.stack([np.minimum(b, node[row]), np.maximum(b, node[row])]))
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+        return pd.DataFrame({"a": a, "b": b})
+
+    return cut_narrow(met.groupBy("task").applyInPandas(compare, "a long, b long").distinct())
+
+
 def resolve(lists: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``node, label`` of the classes that link with another one."""
     spark = lists.sparkSession
@@ -345,13 +412,15 @@ def resolve(lists: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     found = spark.createDataFrame([], "a long, b long")
     fits = (5 * F.least("n", "m") >= 4 * F.greatest("n", "m")) & (F.col("a") != F.col("b"))
     labels = spark.createDataFrame([], "node long, label long")
+    before = None
     while rows:
         # The leaders of a list come first in LEADERS random orders of all sets, the same in every list.
         orders = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(k))) for k in range(LEADERS)]
         first = cut_narrow(lists.groupBy("sig").agg(F.array_distinct(F.array(*orders)).alias("leaders")))
         star = lists.join(first, "sig").select(F.explode("leaders").alias("first"), F.col("node").alias("b"), "n")
         star = star.select(F.least("first.node", "b").alias("a"), F.greatest("first.node", "b").alias("b"), F.col("first.n").alias("m"), "n")
-        found = cut_narrow(found.union(verified(star.filter(fits).select("a", "b").distinct(), docs, classes)))
+        star = possible(star.filter(fits).select("a", "b").distinct(), classes)
+        found = cut_narrow(found.union(verified(star, docs, classes)))
         labels = smallest_labels(found)
         marked = lists.join(labels, "node", "left").select("sig", "node", "n", F.coalesce("label", "node").alias("label"))
         open_lists = marked.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
@@ -360,13 +429,13 @@ def resolve(lists: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
         rest = cut_narrow(marked.join(open_lists, "sig").join(first, "sig").filter(~led).drop("leaders"))
         by_label = rest.groupBy("sig", "label").agg(F.count("*").alias("k")).groupBy("sig").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
         pairs = by_label.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2)).first()[0] or 0
-        if pairs <= 4 * rows:  # no more than a few for each row: compare what differs, and all is done
-            if pairs:
-                other = rest.select("sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-                left = rest.withColumnRenamed("node", "a").join(other, "sig").filter(fits & (F.col("a") < F.col("b")) & (F.col("label") != F.col("other")))
-                more = verified(left.select("a", "b").distinct(), docs, classes)
-                labels = smallest_labels(found.union(more)) if more.limit(1).count() else labels
+        if not pairs:
             return labels
+        # Leaders go on while each round at least halves what is open and much is left of it.
+        if pairs <= 4 * BLOCK * rows or (before is not None and 2 * pairs > before):
+            more = verified(possible_in_lists(rest, classes, BLOCK), docs, classes)
+            return smallest_labels(cut_narrow(found.union(more)))
+        before = pairs
         lists = rest.select("sig", "node", "n")
         rows = lists.count()
     return labels
