@@ -102,18 +102,25 @@ def test_near_groups_of_mixed_passages(frame, monkeypatch):
     assert got == brute_groups(rows)
 
 
-def test_blocks_make_the_pairs_of_the_sketches(spark):
-    rng = np.random.default_rng(9)
-    base = rng.integers(0, 2**64, 300, dtype=np.uint64)
-    sets = [np.unique(rng.choice(base, int(rng.integers(60, 240)), replace=False)) for _ in range(90)]
-    nodes = [(i, ngram_join.sketch(s), len(s)) for i, s in enumerate(sets)]
-    classes = spark.createDataFrame(nodes, "node long, cells binary, n long")
-    rows = [(sig, i, len(s), i // 2) for sig in (1, 2) for i, s in enumerate(sets) if sig == 1 or i % 3]
+def test_blocks_connect_all_that_links(frame, spark):
+    rng = random.Random(4)
+    passages = [[f"p{i}x{j}" for j in range(20)] for i in range(8)]
+    texts = [" ".join(sum(rng.sample(passages, 6), []) + [f"u{i}"] * rng.choice([0, 9])) for i in range(90)]
+    docs = ngram_join.id_text(frame(list(enumerate(texts))))
+    sets = [ngram_join.shingles(t) for t in texts]
+    node = [ngram_join.class_of(x) for x in sets]
+    assert len(set(node)) == 90
+    classes = spark.createDataFrame([(node[i], i, len(x), ngram_join.sketch(x)) for i, x in enumerate(sets)], "node long, first long, n long, cells binary")
+    rows = [(sig, node[i], len(x), node[i - i % 2]) for sig in (1, 2) for i, x in enumerate(sets) if sig == 1 or i % 3]
     rest = spark.createDataFrame(rows, "sig long, node long, n long, label long")
-    want = {(i, j) for i, x, m in nodes for j, y, n in nodes if i < j and i // 2 != j // 2 and 5 * min(m, n) >= 4 * max(m, n) and ngram_join.may_link(x, y, m, n)}
+    same = [(node[i], node[i - i % 2]) for i in range(90)]
+    real = [(node[i], node[j]) for i in range(90) for j in range(i) if ngram_join.links(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]))]
+    parts = lambda edges: sorted(tuple(r) for r in smallest_labels(spark.createDataFrame(edges, "a long, b long")).collect())
+    want = parts(real + same)
     for block in (7, 512):
-        got = [tuple(r) for r in ngram_join.possible_in_lists(rest, classes, block).collect()]
-        assert len(got) == len(set(got)) and set(got) == want
+        got = [tuple(r) for r in ngram_join.linked_in_lists(rest, docs, classes, block).collect()]
+        assert set(got) <= {*real, *[(b, a) for a, b in real]}
+        assert parts(got + same) == want
 
 
 def test_near_groups_of_documents(documents, texts):

@@ -38,6 +38,7 @@ FREQUENT = 1 << 18
 MIN_DF = 8
 LEADERS = 8
 BLOCK = 512
+ELEMENTS = 1 << 20
 SPACES = np.zeros(256, bool)
 SPACES[[32, *range(9, 14)]] = True
 STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -371,38 +372,82 @@ def near_rows(cells: list[bytes], sizes: np.ndarray, labels: np.ndarray, sides:
             yield i, np.concatenate(hits)
 
 
-def possible_in_lists(rest: DataFrame, classes: DataFrame, block: int) -> DataFrame:
-    """The pairs ``a, b`` of one list and different labels that their sketches do not rule out.
+def blocks_of_lists(rest: DataFrame, block: int) -> DataFrame:
+    """``sig, node, n, label, i, j, own``: every member in each pair of blocks of its list that holds it.
 
-    A list is cut into blocks of about ``block`` members; a task compares two blocks (or one with
-    itself) by matrix operations. So a sketch is sent once for each block of its list, no pair is
-    made before its sketches were compared, and what a task holds is bounded.
+    A block has about ``block`` members and at most about ``ELEMENTS`` shingles.
     """
-    size = rest.groupBy("sig").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = rest.join(size, "sig").withColumn("own", own)
-    copies = placed.agg(F.sum("blocks")).first()[0] or 0
+    size = rest.groupBy("sig").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / ELEMENTS)).cast("int").alias("blocks"))
+    placed = rest.join(size, "sig").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("sig", "node", "n", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
-    group = F.pmod(F.xxhash64("sig", "i", "j"), F.lit(1 + copies // (8 * block)))
-    met = met.join(classes.select("node", "cells"), "node").withColumn("task", group)
+    return met.select("sig", "node", "n", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own")
+
+
+def dealt(met: DataFrame, most: int) -> DataFrame:
+    """The rows with a ``task``: block pairs are dealt to tasks of about ``most`` shingles."""
+    total = met.agg(F.sum("n")).first()[0] or 0
+    return met.withColumn("task", F.pmod(F.xxhash64("sig", "i", "j"), F.lit(1 + total // most)))
+
+
+def block_pairs(pdf: pd.DataFrame, cells: list[bytes]) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """For each member of a pair of blocks: rows of the pair, its number, numbers of its possible partners."""
+    for (_, i, j), at in pdf.groupby(["sig", "i", "j"], sort=False).indices.items():
+        n, label = (pdf[c].to_numpy(np.int64)[at] for c in ("n", "label"))
+        here, side = [cells[k] for k in at], (pdf["own"].to_numpy()[at] != i).astype(np.int8)
+        k = len(at)
+        if i == j:  # every member on both sides; each pair comes once
+            n, label, here, side = np.tile(n, 2), np.tile(label, 2), here * 2, np.repeat([0, 1], k)
+        for row, others in near_rows(here, n, label, side):
+            others = others[others - k > row] - k if i == j else others
+            if len(others):
+                yield at, int(row), others
+
+
+def linked_in_lists(rest: DataFrame, docs: DataFrame, classes: DataFrame, block: int) -> DataFrame:
+    """``a, b``: links between members of one list and different labels, enough to connect all that link.
+
+    A list is cut into blocks; a task compares two blocks (or one with itself) by matrix operations.
+    First the sketches name the members with a possible partner. Only their sets are sent, once for
+    each pair of blocks, and compared exactly; links within what a task has connected already add
+    nothing. So both steps return no more rows than they read, and what a task holds is bounded.
+    """
+
+    def candidates(pdf: pd.DataFrame) -> pd.DataFrame:
+        hit = np.zeros(len(pdf), bool)
+        for at, row, others in block_pairs(pdf, pdf["cells"].tolist()):
+            hit[at[row]] = True
+            hit[at[others]] = True
+        return pdf.loc[hit, ["sig", "node", "n", "label", "i", "j", "own"]]
+
+    def connect(pdf: pd.DataFrame) -> pd.DataFrame:
+        items = [np.frombuffer(x, np.uint64) for x in pdf["items"]]
+        node, label = pdf["node"].to_numpy(np.int64), pdf["label"].tolist()
+        parent = {x: x for x in label}
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for (_, i, j), g in pdf.groupby(["sig", "i", "j"], sort=False):
-            node, n, label = (g[c].to_numpy(np.int64) for c in ("node", "n", "label"))
-            cells, at = g["cells"].tolist(), g["own"].to_numpy()
-            if i == j:  # every member on both sides; each pair is kept once
-                node, n, label, cells = np.tile(node, 2), np.tile(n, 2), np.tile(label, 2), cells * 2
-                at = np.repeat([i, i + 1], len(g))
-            for row, others in near_rows(cells, n, label, (at != i).astype(np.int8)):
-                b = node[others]
-                b = b[b > node[row]] if i == j else b
-                found.append(np.stack([np.minimum(b, node[row]), np.maximum(b, node[row])]))
-        a, b = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"a": a, "b": b})
-
-    return cut_narrow(met.groupBy("task").applyInPandas(compare, "a long, b long").distinct())
+        for at, row, others in block_pairs(pdf, [sketch(x) for x in items]):
+            x = items[at[row]]
+            for k in at[others].tolist():
+                p, q = root(label[at[row]]), root(label[k])
+                if p == q:
+                    continue
+                common = len(x) + len(items[k]) - len(np.union1d(x, items[k]))
+                if links(common, len(x), len(items[k])):
+                    parent[q] = p
+                    found.append((node[at[row]], node[k]))
+        return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+    met = dealt(blocks_of_lists(rest, block), 4 * ELEMENTS).join(classes.select("node", "cells"), "node")
+    kept = cut_narrow(met.groupBy("task").applyInPandas(candidates, "sig long, node long, n long, label long, i int, j int, own int"))
+    wanted = kept.select("node").distinct()
+    sets = sets_of(docs, classes.join(wanted, "node").select("node", F.col("first").alias("id"))).dropDuplicates(["node"])
+    whole = dealt(kept, ELEMENTS).join(sets, "node")
+    return cut_narrow(whole.groupBy("task").applyInPandas(connect, "a long, b long"))
 
 
 def resolve(lists: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -433,8 +478,7 @@ def resolve(lists: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
             return labels
         # Leaders go on while each round at least halves what is open and much is left of it.
         if pairs <= 4 * BLOCK * rows or (before is not None and 2 * pairs > before):
-            more = verified(possible_in_lists(rest, classes, BLOCK), docs, classes)
-            return smallest_labels(cut_narrow(found.union(more)))
+            return smallest_labels(cut_narrow(found.union(linked_in_lists(rest, docs, classes, BLOCK))))
         before = pairs
         lists = rest.select("sig", "node", "n")
         rows = lists.count()
