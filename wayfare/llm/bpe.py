@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import id_text, map_texts, pieces, span_hashes
 
 SPECIAL = 0x110000  # code points from here on stand for the special tokens of a text
-CHARS = 2_000_000  # code points cut into words at once
+CHARS = 400_000  # code points cut into words at once, about (a longer text is cut by itself)
+POSITIONS = 1 << 18  # positions of new words whose pairs are looked up at once
 CACHED_WORDS = 400_000  # a worker forgets its words beyond this number
 OTHER, LETTER, NUMBER, SPACE, MARK = range(5)
 
@@ -55,8 +56,8 @@ class Vocabulary:
             self.names[i] = name
         self.names = np.array(self.names, object)
         symbols = byte_symbols()
-        self.inside = np.array([ids[c] for c in symbols], np.int64)
-        self.last = np.array([ids[c + suffix] for c in symbols], np.int64)
+        self.inside = np.array([ids[c] for c in symbols], np.int32)
+        self.last = np.array([ids[c + suffix] for c in symbols], np.int32)
         rules = [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
         key = np.array([ids[a] << 20 | ids[b] for a, b in rules], np.int64)
         order = np.argsort(key, kind="stable")
@@ -83,7 +84,7 @@ class Vocabulary:
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where no rule joins it."""
-        key = left << 20 | right
+        key = left.astype(np.int64) << 20 | right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], -1)
 
@@ -131,8 +132,8 @@ class Vocabulary:
         if not codes:
             return
         flat, size = np.concatenate(codes), np.concatenate(sizes)
-        width = 1 + (flat >= 0x80).astype(np.int64) + (flat >= 0x800) + (flat >= 0x10000)
-        stop = np.cumsum(np.add.reduceat(width, np.cumsum(size) - size))
+        width = 1 + (flat >= 0x80).astype(np.uint8) + (flat >= 0x800) + (flat >= 0x10000)
+        stop = np.cumsum(np.add.reduceat(width, np.cumsum(size) - size, dtype=np.int64))
         data = np.frombuffer(flat.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"), np.uint8)
         symbol = self.inside[data]
         symbol[stop - 1] = self.last[data[stop - 1]]
@@ -143,12 +144,11 @@ class Vocabulary:
     def merge(self, symbol: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merge the symbols of all words by the pair occurrence index; ids and their number by word."""
         n = len(symbol)
-        after = np.arange(1, n + 1)
-        after[stop - 1] = n
-        before = np.arange(-1, n - 1)
-        before[np.concatenate([[0], stop[:-1]])] = n
-        symbol = np.append(symbol, -1)  # position n stands for a word's border
-        after, before = np.append(after, n), np.append(before, n)
+        after = np.arange(1, n + 2, dtype=np.int32)  # position n stands for a word's border
+        after[stop - 1] = after[n] = n
+        before = np.arange(-1, n, dtype=np.int32)
+        before[np.concatenate([[0], stop[:-1]])] = before[n] = n
+        symbol = np.append(symbol, np.int32(-1))
         places: dict[int, list[np.ndarray]] = {}
         active: list[int] = []
 
@@ -171,7 +171,8 @@ class Vocabulary:
                 places[r].append(at[lo:hi])
                 lo = hi
 
-        note(np.flatnonzero(after[:n] < n))
+        for lo in range(0, n, POSITIONS):
+            note(np.arange(lo, min(n, lo + POSITIONS), dtype=np.int32))
         while active:
             r = heapq.heappop(active)
             lists = places.pop(r)
@@ -184,7 +185,7 @@ class Vocabulary:
                     if p != free:
                         taken.append(p)
                         free = q
-                at = np.array(taken)
+                at = np.array(taken, np.int32)
             if not len(at):
                 continue
             gone = after[at]
@@ -203,11 +204,10 @@ class Vocabulary:
         if len(self.known) > CACHED_WORDS:
             self.forget()
         parts, new_codes, new_sizes = [], [], []
-        codes = [self.codes(text) for text in texts]
-        for a, b in pieces(map(len, codes), CHARS):
-            flat = np.concatenate(codes[a:b])
-            ends = np.cumsum([len(c) for c in codes[a:b]])
-            codes[a:b] = [None] * (b - a)
+        for a, b in pieces(map(len, texts), CHARS):
+            codes = [self.codes(text) for text in texts[a:b]]
+            flat = np.concatenate(codes)
+            ends = np.cumsum([len(c) for c in codes])
             starts, stops = self.cut(flat, ends)
             hashes, first, which = np.unique(span_hashes(flat, starts, stops), return_index=True, return_inverse=True)
             row = np.array([self.known.get(h, -1) for h in hashes.tolist()], np.int64)
