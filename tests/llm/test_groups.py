@@ -188,6 +188,34 @@ def test_passages_are_found_after_insertions(frame):
     assert chunks.repeated_spans(frame(rows).filter("doc_id < 0")).count() == 0
 
 
+def test_all_short_passages_are_found(frame):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
+    words = lambda n: " ".join(word() for _ in range(n))
+    rows, at = [], {}
+    for i in range(300):
+        passage = words(51 + i % 10)
+        for k in range(2):
+            before = words(rng.randrange(0, 40)) + " "
+            at[2 * i + k] = (len(before), len(before) + len(passage))
+            rows.append((2 * i + k, before + passage + " " + words(rng.randrange(0, 40))))
+    spans = chunks.repeated_spans(frame(rows)).collect()
+    assert sorted(r["doc_id"] for r in spans) == sorted(at)
+    for r in spans:
+        a, b = at[r["doc_id"]]
+        assert a - 1 <= r["start"] < r["end"] <= b + 1 and r["end"] - r["start"] >= chunks.MIN_BYTES
+
+
+def test_cuts_are_close_and_local():
+    rng = np.random.default_rng(10)
+    data = rng.integers(97, 123, 20000).astype(np.uint8)
+    ends = chunks.cut_points(data)
+    assert np.diff(ends[:-1]).max() <= chunks.WINNOW and 25 < len(data) / len(ends) < 40
+    again = chunks.cut_points(np.append(rng.integers(97, 123, 77).astype(np.uint8), data))
+    assert set(ends[ends >= 80].tolist()) == set((again[again >= 157] - 77).tolist())
+    assert len(chunks.cut_points(np.full(60000, 120, np.uint8))) < 100
+
+
 def test_chunks_tile_each_text(frame):
     rows = [(1, "abc " * 5000), (2, "é" * 4000), (3, "z")]
     got = defaultdict(list)

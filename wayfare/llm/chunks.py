@@ -1,13 +1,17 @@
-"""Operator 2: repeated substrings by content-defined chunking.
-
-A gear rolling hash over the bytes of each text marks cuts: a cut depends only on the 32 bytes
-before it, so an insertion shifts no cut but those next to it. Chunks meet by digest; a chunk that
-occurs in two documents or more is a repeat, the first occurrence (smallest document id, then
-place) is the original. Neighbouring repeats are joined into spans; spans shorter than ``min_bytes``
-are chance and left alone.
-
-Null and empty texts have no chunks. A chunk longer than ``MAX`` is cut every ``MAX`` bytes, so a
-text of any length stays bounded. Rows with a null id take part as copies of the id -1.
+"""Operator 2: repeated passages by content-defined chunking.
+
+A gear rolling hash over the bytes of each text marks cuts: the least hash of every ``WINNOW``
+neighbouring places is one, so a cut depends only on the bytes near it and an insertion shifts no
+cut but those next to it. A chunk is known by the digest of the ``min_bytes`` bytes that begin with
+it, which reach over the chunks after it. Two texts that share ``min_bytes + WINNOW + ORDER - 2``
+bytes (238; 51 words take about 320) share such a place whatever stands around them, so no partial
+chunk at an end can hide a passage. What occurs in two documents or more is a repeat, the first
+occurrence (smallest document id, then place) is the original. Repeats that overlap or touch are
+joined into spans, and all of a span is repeated in pieces of ``min_bytes`` at least.
+
+Null and empty texts have no chunks. In a stretch of one period cuts stop; a chunk longer than
+``MAX`` is cut every ``MAX`` bytes, so a text of any length stays bounded. Rows with a null id take
+part as copies of the id -1.
 """
 
 from __future__ import annotations
@@ -21,9 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import id_text, map_texts
 
-BITS = 6  # a cut every 2**BITS bytes on average
-SHIFT = 20
-MIN = 16
+WINNOW = 64  # a cut in any 64 neighbouring places, every 32 bytes on average
+ORDER = 16  # bits of the hash that order the places, which hang on so many bytes
 MAX = 1024
 MIN_BYTES = 160
 GEAR = np.random.default_rng(2024).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -42,12 +45,21 @@ def gear_hash(data: np.ndarray) -> np.ndarray:
 
 
 def cut_points(data: np.ndarray) -> np.ndarray:
-    """Ends of the chunks. A mark counts if no other mark stands in the ``MIN`` bytes before it."""
-    mask = np.uint32(((1 << BITS) - 1) << SHIFT)
-    marks = np.flatnonzero((gear_hash(data) & mask) == 0) + 1
+    """Ends of the chunks: the first least hash of each ``WINNOW`` places, once in a stretch of one period."""
+    n = len(data)
+    keys = ((gear_hash(data).astype(np.uint64) & np.uint64((1 << ORDER) - 1)) << np.uint64(32)) | np.arange(n, dtype=np.uint64)
+    keys = keys[ORDER - 1 :]
+    width = 1
+    while width < WINNOW and len(keys) > width:
+        keys = np.minimum(keys[:-width], keys[width:])
+        width *= 2
+    # The places of the least hashes go up, and equal ones are neighbours.
+    least = keys[np.append(True, keys[1:] != keys[:-1])] if width == WINNOW else keys[:0]
+    marks = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
     if len(marks):
-        marks = marks[np.append(marks[0] >= MIN, np.diff(marks) >= MIN)]
-    ends = np.append(marks[marks < len(data)], len(data))
+        order = least >> np.uint64(32)
+        marks = marks[np.append(True, (np.diff(order) != 0) | (np.diff(marks) >= WINNOW // 2))] + 1
+    ends = np.append(marks[marks < n], n)
     starts = np.append(0, ends[:-1])
     if (ends - starts).max() > MAX:
         more = [np.arange(a + MAX, b, MAX) for a, b in zip(starts, ends, strict=True) if b - a > MAX]
@@ -55,11 +67,15 @@ def cut_points(data: np.ndarray) -> np.ndarray:
     return ends
 
 
-def text_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, start, length, digest`` (bytes of UTF-8) of the chunks of every whole text."""
+def text_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES) -> DataFrame:
+    """``doc_id, start, length, at, digest`` (bytes of UTF-8) of the chunks of every whole text.
+
+    ``digest`` is that of the ``min_bytes`` bytes from ``at``: the chunk's start, or for the last chunk
+    what ends the text. It is null where the text ends before.
+    """
 
     def make(texts: list[str]) -> tuple[dict, np.ndarray]:
-        starts, lengths, digests, owner = [], [], [], []
+        starts, lengths, places, digests, owner = [], [], [], [], []
         for i, text in enumerate(texts):
             raw = text.encode("utf-8", "replace")
             if not raw:
@@ -69,42 +85,47 @@ def text_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             starts.append(begin)
             lengths.append(ends - begin)
             owner.append(np.full(len(ends), i))
-            digests += [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(begin.tolist(), ends.tolist(), strict=True)]
+            at = begin.copy()
+            at[-1] = max(0, len(raw) - min_bytes)
+            places.append(at)
+            ok = np.append(begin[:-1] + min_bytes < len(raw), len(raw) >= min_bytes)
+            digests += [hashlib.blake2b(raw[a : a + min_bytes], digest_size=16).digest() if whole else None for a, whole in zip(at.tolist(), ok.tolist(), strict=True)]
         join = lambda x: np.concatenate(x).astype(np.int32) if x else np.zeros(0, np.int32)
-        return {"start": join(starts), "length": join(lengths), "digest": digests}, join(owner)
+        return {"start": join(starts), "length": join(lengths), "at": join(places), "digest": digests}, join(owner)
 
-    return map_texts(id_text(df, id_col, text_col), make, "start int, length int, digest binary")
+    return map_texts(id_text(df, id_col, text_col), make, "start int, length int, at int, digest binary")
 
 
 def repeated_chunks(chunks: DataFrame) -> DataFrame:
-    """The chunks that occur in more than one document, with their number and the place of the first.
+    """The places whose digest occurs in more than one document, with their number and the first.
 
-    Counts are combined before the shuffle; only repeated chunks come back, so that the
+    Counts are combined before the shuffle; only repeated ones come back, so that the
     join that spreads them to their occurrences can be split where one of them is very common.
     """
-    place = F.struct(F.coalesce("doc_id", F.lit(-1)).alias("doc"), "start")
+    place = F.struct(F.coalesce("doc_id", F.lit(-1)).alias("doc"), "at")
     counted = chunks.groupBy("digest").agg(F.count("*").alias("copies"), F.min(place).alias("first"), F.max(place).alias("last"))
     return chunks.join(counted.filter(F.col("first.doc") != F.col("last.doc")).drop("last"), "digest")
 
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Maximal runs of repeated chunks of at least ``min_bytes``, one row each.
+    """Stretches made of repeats of ``min_bytes`` that overlap or touch, one row each.
 
     ``doc_id, start, end`` (bytes of UTF-8, end exclusive), ``chunks``, ``copies`` (most occurrences
     of one of them), ``first_doc_id`` (smallest document that has one) and ``duplicate`` (some chunk
     has its original elsewhere, so the span can go).
     """
-    rows = repeated_chunks(text_chunks(df, id_col, text_col))
-    own = W.partitionBy("doc_id").orderBy("start")
-    rows = rows.withColumn("new", (F.coalesce(F.lag(F.col("start") + F.col("length")).over(own), F.lit(-1)) != F.col("start")).cast("int"))
+    chunks = text_chunks(df, id_col, text_col, min_bytes).filter("digest IS NOT NULL").select("doc_id", "at", "digest")
+    rows = repeated_chunks(chunks)
+    own = W.partitionBy("doc_id").orderBy("at")
+    rows = rows.withColumn("new", F.coalesce(F.lag("at").over(own) + min_bytes < F.col("at"), F.lit(True)).cast("int"))
     rows = rows.withColumn("run", F.sum("new").over(own))
-    elsewhere = ~(F.col("first.doc").eqNullSafe(F.coalesce("doc_id", F.lit(-1))) & (F.col("first.start") == F.col("start")))
+    elsewhere = ~(F.col("first.doc").eqNullSafe(F.coalesce("doc_id", F.lit(-1))) & (F.col("first.at") == F.col("at")))
     spans = rows.groupBy("doc_id", "run").agg(
-        F.min("start").cast("long").alias("start"),
-        F.max(F.col("start") + F.col("length")).cast("long").alias("end"),
+        F.min("at").cast("long").alias("start"),
+        (F.max("at") + min_bytes).cast("long").alias("end"),
         F.count("*").alias("chunks"),
         F.max("copies").alias("copies"),
         F.min("first.doc").alias("first_doc_id"),
         F.max(elsewhere).alias("duplicate"),
     )
-    return spans.filter(F.col("end") - F.col("start") >= min_bytes).drop("run")
+    return spans.drop("run")
