@@ -206,6 +206,18 @@ def test_all_short_passages_are_found(frame):
         assert a - 1 <= r["start"] < r["end"] <= b + 1 and r["end"] - r["start"] >= chunks.MIN_BYTES
 
 
+def test_rows_of_equal_or_null_ids_are_documents_of_their_own(frame):
+    rng = random.Random(11)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9))) for _ in range(n))
+    long, shared = words(200), words(80)
+    rows = [(1, long), (1, long), *((None, words(30) + " " + shared + " " + words(30)) for _ in range(5)), (None, words(100)), (2, words(100))]
+    got = sorted((r["doc_id"] or 0, r["start"], r["end"], r["copies"], r["first_doc_id"], r["duplicate"]) for r in chunks.repeated_spans(frame(rows)).collect())
+    assert [g for g in got if g[0]] == [(1, 0, len(long), 2, 1, False), (1, 0, len(long), 2, 1, True)]
+    nulls = [g for g in got if not g[0]]
+    assert len(nulls) == 5 and all(g[3:5] == (5, -1) for g in nulls) and [g[5] for g in nulls].count(False) == 1
+    assert all(len(shared) - 80 < g[2] - g[1] <= len(shared) + 2 for g in nulls)
+
+
 def test_cuts_are_close_and_local():
     rng = np.random.default_rng(10)
     data = rng.integers(97, 123, 20000).astype(np.uint8)

@@ -10,8 +10,8 @@ occurrence (smallest document id, then place) is the original. Repeats that over
 joined into spans, and all of a span is repeated in pieces of ``min_bytes`` at least.
 
 Null and empty texts have no chunks. In a stretch of one period cuts stop; a chunk longer than
-``MAX`` is cut every ``MAX`` bytes, so a text of any length stays bounded. Rows with a null id take
-part as copies of the id -1.
+``MAX`` is cut every ``MAX`` bytes, so a text of any length stays bounded. Every row is a document of
+its own, also where rows repeat or ids are equal or null; a null id counts as -1 in ``first_doc_id``.
 """
 
 from __future__ import annotations
@@ -19,11 +19,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import id_text, map_texts
+from .common import id_text, map_texts, stored
 
 WINNOW = 64  # a cut in any 64 neighbouring places, every 32 bytes on average
 ORDER = 16  # bits of the hash that order the places, which hang on so many bytes
@@ -68,14 +69,15 @@ def cut_points(data: np.ndarray) -> np.ndarray:
 
 
 def text_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``doc_id, start, length, at, digest`` (bytes of UTF-8) of the chunks of every whole text.
+    """``row, doc_id, start, length, at, digest, tag`` (bytes of UTF-8) of the chunks of every whole text.
 
-    ``digest`` is that of the ``min_bytes`` bytes from ``at``: the chunk's start, or for the last chunk
-    what ends the text. It is null where the text ends before.
+    ``digest`` and ``tag`` are 64 and 32 bits of a hash of the ``min_bytes`` bytes from ``at``: the
+    chunk's start, or for the last chunk what ends the text. They are null where the text ends before.
+    ``row`` numbers the rows of ``df``, and is the same in two uses only of a stored result.
     """
 
     def make(texts: list[str]) -> tuple[dict, np.ndarray]:
-        starts, lengths, places, digests, owner = [], [], [], [], []
+        starts, lengths, places, known, digests, owner = [], [], [], [], [], []
         for i, text in enumerate(texts):
             raw = text.encode("utf-8", "replace")
             if not raw:
@@ -89,22 +91,31 @@ def text_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
             at[-1] = max(0, len(raw) - min_bytes)
             places.append(at)
             ok = np.append(begin[:-1] + min_bytes < len(raw), len(raw) >= min_bytes)
-            digests += [hashlib.blake2b(raw[a : a + min_bytes], digest_size=16).digest() if whole else None for a, whole in zip(at.tolist(), ok.tolist(), strict=True)]
+            digests += [hashlib.blake2b(raw[a : a + min_bytes], digest_size=12).digest() if whole else bytes(12) for a, whole in zip(at.tolist(), ok.tolist(), strict=True)]
+            known.append(ok)
         join = lambda x: np.concatenate(x).astype(np.int32) if x else np.zeros(0, np.int32)
-        return {"start": join(starts), "length": join(lengths), "at": join(places), "digest": digests}, join(owner)
+        both = np.frombuffer(b"".join(digests), np.dtype([("digest", "<i8"), ("tag", "<i4")]))
+        none = ~join(known).astype(bool)
+        parts = {k: pa.array(np.ascontiguousarray(both[k]), mask=none) for k in ("digest", "tag")}
+        return {"start": join(starts), "length": join(lengths), "at": join(places), **parts}, join(owner)
 
-    return map_texts(id_text(df, id_col, text_col), make, "start int, length int, at int, digest binary")
+    docs = id_text(df, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    return map_texts(docs, make, "start int, length int, at int, digest long, tag int", ("row", "doc_id"))
 
 
 def repeated_chunks(chunks: DataFrame) -> DataFrame:
-    """The places whose digest occurs in more than one document, with their number and the first.
+    """The places whose hash occurs in more than one document, with their number and the first.
 
-    Counts are combined before the shuffle; only repeated ones come back, so that the
-    join that spreads them to their occurrences can be split where one of them is very common.
+    All places meet by the narrow ``digest`` alone; those that it leaves, by all bits. Counts are
+    combined before the shuffle, and the joins that spread them to the places can be split where
+    one hash is very common.
     """
-    place = F.struct(F.coalesce("doc_id", F.lit(-1)).alias("doc"), "at")
-    counted = chunks.groupBy("digest").agg(F.count("*").alias("copies"), F.min(place).alias("first"), F.max(place).alias("last"))
-    return chunks.join(counted.filter(F.col("first.doc") != F.col("last.doc")).drop("last"), "digest")
+    rows = [F.min("row").alias("low"), F.max("row").alias("high")]
+    met = chunks.join(chunks.groupBy("digest").agg(*rows).filter("low <> high").select("digest"), "digest")
+    met = stored(met, "met")
+    place = F.struct(F.coalesce("doc_id", F.lit(-1)).alias("doc"), "row", "at")
+    counted = met.groupBy("digest", "tag").agg(F.count("*").alias("copies"), F.min(place).alias("first"), *rows)
+    return met.join(counted.filter("low <> high").drop("low", "high"), ["digest", "tag"])
 
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -114,13 +125,14 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of one of them), ``first_doc_id`` (smallest document that has one) and ``duplicate`` (some chunk
     has its original elsewhere, so the span can go).
     """
-    chunks = text_chunks(df, id_col, text_col, min_bytes).filter("digest IS NOT NULL").select("doc_id", "at", "digest")
-    rows = repeated_chunks(chunks)
-    own = W.partitionBy("doc_id").orderBy("at")
+    chunks = text_chunks(df, id_col, text_col, min_bytes).filter("digest IS NOT NULL").select("row", "doc_id", "at", "digest", "tag")
+    rows = repeated_chunks(stored(chunks, "chunks"))
+    own = W.partitionBy("row").orderBy("at")
     rows = rows.withColumn("new", F.coalesce(F.lag("at").over(own) + min_bytes < F.col("at"), F.lit(True)).cast("int"))
     rows = rows.withColumn("run", F.sum("new").over(own))
-    elsewhere = ~(F.col("first.doc").eqNullSafe(F.coalesce("doc_id", F.lit(-1))) & (F.col("first.at") == F.col("at")))
-    spans = rows.groupBy("doc_id", "run").agg(
+    elsewhere = (F.col("first.row") != F.col("row")) | (F.col("first.at") != F.col("at"))
+    spans = rows.groupBy("row", "run").agg(
+        F.first("doc_id").alias("doc_id"),
         F.min("at").cast("long").alias("start"),
         (F.max("at") + min_bytes).cast("long").alias("end"),
         F.count("*").alias("chunks"),
@@ -128,4 +140,4 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.min("first.doc").alias("first_doc_id"),
         F.max(elsewhere).alias("duplicate"),
     )
-    return spans.drop("run")
+    return spans.drop("row", "run")

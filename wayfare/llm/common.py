@@ -7,6 +7,7 @@ import glob
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -51,6 +52,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet into the folder all executors share, and read from there."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    path = os.path.join(folder, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_narrow(df: DataFrame) -> DataFrame:
     """:func:`cut` for tables of a few numbers a row: an eighth of the shuffle partitions hold them."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -68,12 +80,12 @@ ARROW = {
 }
 
 
-def map_texts(df: DataFrame, make: Callable[[list[str | None]], tuple[dict, np.ndarray | None]], fields: str) -> DataFrame:
-    """Apply ``make`` to the texts of each Arrow batch of ``doc_id, text``.
+def map_texts(df: DataFrame, make: Callable[[list[str | None]], tuple[dict, np.ndarray | None]], fields: str, carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Apply ``make`` to the texts of each Arrow batch of ``text`` and the ``carried`` long columns.
 
     ``make`` returns the columns named in ``fields`` ("name type, ..."), and for each row the
-    number of its text in the batch (None: one row for each text, in order). Ids pass through
-    unread, so that nulls and large values stay as they are.
+    number of its text in the batch (None: one row for each text, in order). Carried columns
+    pass through unread, so that nulls and large values stay as they are.
     """
     ship(df.sparkSession)
     kinds = [f.split() for f in fields.split(", ")]
@@ -83,12 +95,12 @@ def map_texts(df: DataFrame, make: Callable[[list[str | None]], tuple[dict, np.n
             if not batch.num_rows:
                 continue
             columns, owner = make(batch.column("text").to_pylist())
-            ids = batch.column("doc_id")
-            ids = ids if owner is None else ids.take(pa.array(owner, pa.int64()))
-            arrays = [pa.array(columns[n], ARROW[k]) for n, k in kinds]
-            yield pa.RecordBatch.from_arrays([ids, *arrays], names=["doc_id", *[n for n, _ in kinds]])
+            kept = [batch.column(c) for c in carried]
+            kept = kept if owner is None else [c.take(pa.array(owner, pa.int64())) for c in kept]
+            arrays = [c if isinstance(c := columns[n], pa.Array) else pa.array(c, ARROW[k]) for n, k in kinds]
+            yield pa.RecordBatch.from_arrays([*kept, *arrays], names=[*carried, *[n for n, _ in kinds]])
 
-    return df.select("doc_id", "text").mapInArrow(run, f"doc_id long, {fields}")
+    return df.select(*carried, "text").mapInArrow(run, ", ".join([*[f"{c} long" for c in carried], fields]))
 
 
 def pieces(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
