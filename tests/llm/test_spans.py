@@ -124,6 +124,29 @@ def test_context_values_are_added_by_cost():
     assert spans == [(5, 3, 18)]
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("password: xK9#qLz7Wv!pQ", "xK9#qLz7Wv!pQ"),
+        ('secret = "G7$kd9!xQ2@z"', "G7$kd9!xQ2@z"),
+        ("passwd=Tr@9!xQ#zv8&Lm", "Tr@9!xQ#zv8&Lm"),
+        ("db_api_key='k9!xQ7#vTz20'", "k9!xQ7#vTz20"),
+        ("my password is xK9qLz7WvpQ", "xK9qLz7WvpQ"),
+        ("Authorization: Bearer q7XbD2fV9kTz", "q7XbD2fV9kTz"),
+        ("token: Bearer q7XbD2fV9kTz", "q7XbD2fV9kTz"),
+        ("password=abcdef#9!xQzT7$kk", "abcdef#9!xQzT7$kk"),
+    ],
+)
+def test_whole_values_of_credential_contexts(text, value):
+    spans, bits = secrets.find_secrets(text)
+    assert [text[s:e] for s, k, e in spans if k == 3] == [value] and bits >= secrets.MIN_BITS
+
+
+def test_prose_and_covered_values_add_nothing():
+    for text in ("the password is incorrect.", "The token is case-sensitive", "bearer certificates were sold", "password is REQUIRED", "token=abcdef1234567890xyz, then", "secret is dragon2021"):
+        assert not [s for s in secrets.find_secrets(text)[0] if s[1] == 3]
+
+
 def test_empty_tables(frame):
     empty = frame([(1, "a")]).filter("doc_id > 5")
     assert pii.personal_data(empty).count() == secrets.secret_spans(empty).count() == pii.redacted(empty).count() == 0

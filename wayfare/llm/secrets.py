@@ -3,7 +3,9 @@
 The base patterns find assignments, access keys and hex strings. Values that stand in a wider
 credential context are segmented at least cost into common words, dates, repeats, keyboard walks
 and brute-force characters (dynamic programming, costs in bits, linear in the value's length);
-those that cost at least ``min_bits`` are added as ``guess`` spans unless a base span covers them.
+those that cost at least ``min_bits`` are added as ``guess`` spans unless a base span covers them
+whole; where it breaks off at a sign, the ``guess`` span has all of the value. After "password is" and
+the like, and after a bare "bearer", a common word of prose is no value.
 
 Null and empty texts have no spans. Spans are code points, the end exclusive.
 """
@@ -24,10 +26,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 HINTS = ("password", "passwd", "secret", "token", "api")
 CONTEXT = re.compile(
-    r"""(?<![A-Za-z])(?:pwd|passphrase|passcode|pass|credentials?|bearer|auth_?key|access_?key|private_?key|client_?key|login_?key)(?![A-Za-z])["']?\x20*(?:[:=]|\x20is\x20)\x20*["']?([!#-&(-~]+)""",
-    re.I | re.A,
+    r"""(?:
+    (?P<base>password|passwd|secret|token|api_?key)
+    | (?<![A-Za-z])(?:pwd|passphrase|passcode|pass|credentials?|bearer|auth_?key|access_?key|private_?key|client_?key|login_?key)
+    )(?![A-Za-z])["']?\x20*(?:[:=]|(?P<is>\x20is\x20))\x20*["']?(?:bearer\x20+)?(?P<value>[!#-&(-~]+)
+    | (?<![A-Za-z])bearer\x20+["']?(?P<bare>(?!is\x20)[!#-&(-~]+)""",
+    re.I | re.A | re.X,
 )
-CONTEXT_HINTS = ("pwd", "pass", "credential", "bearer", "key")
+# Words as prose has them: letters in one case, or one capital; longer ones are run together.
+PROSE = re.compile(r"[A-Za-z]?(?:[a-z]{0,18}|[A-Z]{0,18})(?:[-/'][a-z]+)*")
+TAIL = ".,;:!?)]}>"  # signs behind a value that are most likely not of it
+CONTEXT_HINTS = ("pwd", "pass", "credential", "bearer", "key", "secret", "token")
 MIN_BITS = 40.0
 
 # Common words of passwords, most common first.
@@ -106,11 +115,15 @@ def find_secrets(text: str, min_bits: float = MIN_BITS) -> tuple[list[tuple[int,
     if any(h in low for h in CONTEXT_HINTS):
         base = list(spans)
         for m in CONTEXT.finditer(text):
-            if len(m[1]) >= 6 and not any(s < m.end(1) and m.start(1) < e for s, _, e in base):
-                bits = guess_bits(m[1])
+            group = "bare" if m["bare"] else "value"
+            value, (start, end) = m[group], m.span(group)
+            core = value.rstrip(TAIL)
+            prose = (m["bare"] or m["base"] and m["is"]) and PROSE.fullmatch(core)
+            if len(value) >= 6 and not prose and not any(s <= start and start + len(core) <= e for s, _, e in base):
+                bits = guess_bits(value)
                 strongest = max(strongest, bits)
                 if bits >= min_bits:
-                    spans.append((m.start(1), 3, m.end(1)))
+                    spans.append((start, 3, end))
     return sorted(spans), strongest
 
 
