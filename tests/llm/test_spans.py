@@ -79,6 +79,15 @@ def test_contexts_discover_unseen_identifiers(frame):
     assert got[51] == got[52] == ""
 
 
+def test_glued_signs_are_no_context(frame):
+    rows = [(i, f"write to (user{i}@site{i}.org) or mailto:me{i}@site{i}.org now") for i in range(12)]
+    rows += [(50, "see ( 42 things )"), (51, "mailto: 43"), (52, "\nword x@y.z,tail 7\ttail\n44")]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(frame(rows)).collect()}
+    assert got[50] == got[51] == "" and got[52] == "email:6:11"
+    found = pii.matches(frame(rows), "doc_id", "text").filter("kind = 0 and value is not null").select("doc_id", "left").distinct().collect()
+    assert {r["left"] for r in found if r["doc_id"] < 50} == {""} and [r["left"] for r in found if r["doc_id"] == 52] == ["word"]
+
+
 def test_redaction_keeps_columns_and_replaces_spans(frame):
     rows = [(1, "mail x@y.zz now 10.0.0.1!"), (2, "clean"), (3, None), (1, "mail x@y.zz now 10.0.0.1!"), (None, "a@b.c"), (4, "+1 (017) 555-7713 é a@b.c")]
     df = frame(rows)

@@ -1,7 +1,7 @@
 """Operator 1: personal data by pattern, and by bootstrapped contextual extraction.
 
-Base patterns find emails, addresses, cards and phone numbers; these are the seeds. The word left
-of a seed is a lexical pattern for its kind. Patterns and instances (the tokens that stand after a
+Base patterns find emails, addresses, cards and phone numbers; these are the seeds. The whole word
+before a seed, parted from it by white space, is a lexical pattern for its kind. Patterns and instances (the tokens that stand after a
 pattern) form a graph that is scored in rounds: a pattern is worth the share of all its occurrences
 in the corpus that are followed by an instance of its kind, an instance what its patterns are worth.
 Patterns of high confidence discover tokens with a digit or an at sign that no base pattern found.
@@ -41,6 +41,14 @@ MIN_SEEDS = 5
 CONTEXT = 64  # characters looked at for the word on the left
 
 
+def word_before(gap: Column, i: Column) -> Column:
+    """The lower-cased word that ends a gap before white space; empty if it is cut off or glued to the match."""
+    tail = F.substring(F.rtrim(F.translate(gap, "\n\t\r\f\x0b", "     ")), -CONTEXT - 1, CONTEXT + 1)
+    parted = F.substring(gap, -1, 1).isin(" ", "\n", "\t", "\r", "\f", "\x0b")
+    whole = tail.contains(" ") | ((i == 0) & (F.length(tail) <= CONTEXT))
+    return F.when(parted & whole, F.lower(F.substring_index(tail, " ", -1))).otherwise("")
+
+
 def luhn(digits: Column) -> Column:
     """Whether the check digit of a digit string fits."""
     n = F.length(digits)
@@ -87,7 +95,7 @@ def matches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             lambda x, i: F.struct(
                 i.alias("i"),
                 F.length(x["gap"]).alias("gap"),
-                F.lower(F.substring_index(F.substring(F.rtrim(F.translate(x["gap"], "\n\t\r\f\x0b", "     ")), -CONTEXT, CONTEXT), " ", -1)).alias("left"),
+                word_before(x["gap"], i).alias("left"),
                 x["value"].alias("value"),
             ),
         )
@@ -129,7 +137,7 @@ def score_patterns(edges: DataFrame, counts: DataFrame, rounds: int = ROUNDS, co
     """
     seeds = edges.filter(F.col("kind") < TOKEN).groupBy("left", "kind").agg(F.sum("n").alias("n"), F.count("*").alias("seeds"))
     supported = seeds.filter(F.col("seeds") >= min_seeds)
-    patterns = cut(supported.join(counts, F.col("left") == F.col("word")).select("left", "kind", "n", "occurrences", F.least(F.lit(1.0), F.col("n") / F.col("occurrences")).alias("score")))
+    patterns = cut(supported.join(counts, F.col("left") == F.col("word")).select("left", "kind", "n", "occurrences", (F.col("n") / F.col("occurrences")).alias("score")))
     loose = edges.filter(F.col("kind") == TOKEN).select("left", "value", F.col("n").alias("m"))
     for _ in range(rounds):
         # An instance is worth the mean of its patterns, weighed by how often they meet.
@@ -137,7 +145,7 @@ def score_patterns(edges: DataFrame, counts: DataFrame, rounds: int = ROUNDS, co
         worth = meets.groupBy("value", "kind").agg((F.sum(F.col("score") * F.col("m")) / F.sum("m")).alias("worth"))
         gained = meets.join(worth, ["value", "kind"]).filter(F.col("worth") >= confident / 2).groupBy("left", "kind").agg(F.sum(F.col("worth") * F.col("m")).alias("more"))
         patterns = patterns.join(gained, ["left", "kind"], "left").select(
-            "left", "kind", "n", "occurrences", F.least(F.lit(1.0), (F.col("n") + F.coalesce("more", F.lit(0.0))) / F.col("occurrences")).alias("score")
+            "left", "kind", "n", "occurrences", ((F.col("n") + F.coalesce("more", F.lit(0.0))) / F.col("occurrences")).alias("score")
         )
         patterns = cut(patterns)
     return patterns.filter(F.col("score") >= confident).select("left", "kind", "score")
