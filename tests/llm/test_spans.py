@@ -88,6 +88,16 @@ def test_glued_signs_are_no_context(frame):
     assert {r["left"] for r in found if r["doc_id"] < 50} == {""} and [r["left"] for r in found if r["doc_id"] == 52] == ["word"]
 
 
+def test_found_instances_bring_new_patterns(frame):
+    rows = [(i, f"phone: +1 555 000 10{i:02d} and more words") for i in range(40)]
+    rows += [(100 + i, f"phone: 555-77{i:02d} here") for i in range(20)] + [(200 + i, f"tel: 555-77{i:02d} there") for i in range(20)]
+    rows += [(300, "tel: 555-9999 new"), (301, "ring: 555-8888 now"), (302, "the 99 of the the the"), (303, "tel: (555) 123-4567, then")]
+    rows += [(400 + i, f"tel: 555-66{i:02d} x") for i in range(6)] + [(500 + i, f"ring: 555-66{i:02d} x") for i in range(6)]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(frame(rows)).collect()}
+    assert got[100] == "phone:7:15" and got[200] == "phone:5:13" and got[300] == "phone:5:13"
+    assert got[301] == "phone:6:14" and got[302] == "" and got[303] == "phone:5:20"
+
+
 def test_redaction_keeps_columns_and_replaces_spans(frame):
     rows = [(1, "mail x@y.zz now 10.0.0.1!"), (2, "clean"), (3, None), (1, "mail x@y.zz now 10.0.0.1!"), (None, "a@b.c"), (4, "+1 (017) 555-7713 é a@b.c")]
     df = frame(rows)

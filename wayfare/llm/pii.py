@@ -4,7 +4,10 @@ Base patterns find emails, addresses, cards and phone numbers; these are the see
 before a seed, parted from it by white space, is a lexical pattern for its kind. Patterns and instances (the tokens that stand after a
 pattern) form a graph that is scored in rounds: a pattern is worth the share of all its occurrences
 in the corpus that are followed by an instance of its kind, an instance what its patterns are worth.
-Patterns of high confidence discover tokens with a digit or an at sign that no base pattern found.
+Instances of high confidence bring new patterns: the words before their other occurrences, if enough
+distinct instances stand after them and make up enough of their occurrences. Rounds go on until none
+is added and no score moves by more than ``STILL``. Patterns of high confidence discover tokens with a digit or an at sign that no base pattern
+found; up to seven groups of digits with one space between them are one token.
 
 Everything is built from DataFrame functions. Positions come from splitting a text by a pattern and
 summing the lengths of the parts in a window, so a text with many matches stays linear. Spans are
@@ -21,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import cut, id_text
 
 KINDS = ("email", "ip", "card", "phone")
+# Two digits or more, perhaps in brackets or with hyphens: a piece of an identifier written with spaces.
+GROUP = r"\(?[0-9](?=[()-]*+[0-9])[0-9()-]*+"
 # The base patterns, written so that the engine never goes back: possessive repeats, and starts
 # only where a run begins (or where the last match ended).
 PATTERNS = (
@@ -30,7 +35,7 @@ PATTERNS = (
     r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])",
     r"\+[0-9][\x20().0-9-]+[0-9]",
     # Tokens that could be identifiers.
-    r"(?<!\S)(?=[^\s0-9@]*+[0-9@])\S++",
+    rf"(?<!\S)(?:\+?{GROUP}(?:\x20{GROUP}(?=[\s,;:!?]|\z)){{1,6}}+[,;:!?]*+(?!\S)|(?=[^\s0-9@]*+[0-9@])\S++)",
 )
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 IP_VALID = rf"^{BYTE}\.{BYTE}\.{BYTE}\.{BYTE}$"
@@ -38,6 +43,7 @@ TOKEN = len(KINDS)
 ROUNDS = 3
 CONFIDENT = 0.6
 MIN_SEEDS = 5
+STILL = 0.02
 CONTEXT = 64  # characters looked at for the word on the left
 
 
@@ -131,23 +137,35 @@ def word_counts(df: DataFrame, text_col: str) -> DataFrame:
 
 
 def score_patterns(edges: DataFrame, counts: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, min_seeds: int = MIN_SEEDS) -> DataFrame:
-    """``left, kind, score`` of the confident patterns.
+    """``left, kind, score`` of the confident patterns, after ``rounds`` rounds and as many more as add or move patterns.
 
     ``edges`` has ``left, value, kind, n``: seeds with their kind, candidates with kind ``TOKEN``.
     """
+    seen = cut(edges.select("left").distinct().join(counts, F.col("left") == F.col("word")).select("left", "occurrences"))
     seeds = edges.filter(F.col("kind") < TOKEN).groupBy("left", "kind").agg(F.sum("n").alias("n"), F.count("*").alias("seeds"))
-    supported = seeds.filter(F.col("seeds") >= min_seeds)
-    patterns = cut(supported.join(counts, F.col("left") == F.col("word")).select("left", "kind", "n", "occurrences", (F.col("n") / F.col("occurrences")).alias("score")))
+    seeds = cut(seeds.join(seen, "left"))
+    patterns = cut(seeds.filter(F.col("seeds") >= min_seeds).select("left", "kind", (F.col("n") / F.col("occurrences")).alias("score")))
     loose = edges.filter(F.col("kind") == TOKEN).select("left", "value", F.col("n").alias("m"))
-    for _ in range(rounds):
+    done, some = 0, patterns.limit(1).count()
+    while some:
         # An instance is worth the mean of its patterns, weighed by how often they meet.
-        meets = loose.join(patterns.select("left", "kind", "score"), "left")
-        worth = meets.groupBy("value", "kind").agg((F.sum(F.col("score") * F.col("m")) / F.sum("m")).alias("worth"))
-        gained = meets.join(worth, ["value", "kind"]).filter(F.col("worth") >= confident / 2).groupBy("left", "kind").agg(F.sum(F.col("worth") * F.col("m")).alias("more"))
-        patterns = patterns.join(gained, ["left", "kind"], "left").select(
-            "left", "kind", "n", "occurrences", ((F.col("n") + F.coalesce("more", F.lit(0.0))) / F.col("occurrences")).alias("score")
+        meets = loose.join(patterns, "left")
+        worth = meets.groupBy("value", "kind").agg((F.sum(F.col("score") * F.col("m")) / F.sum("m")).alias("worth")).filter(F.col("worth") >= confident / 2)
+        sure = F.col("worth") >= confident
+        gained = loose.join(worth, "value").groupBy("left", "kind").agg(
+            F.sum(F.col("worth") * F.col("m")).alias("more"), F.sum(F.when(sure, F.col("worth") * F.col("m"))).alias("firm"), F.count(F.when(sure, 1)).alias("found")
         )
-        patterns = cut(patterns)
+        both = seeds.drop("occurrences").join(gained, ["left", "kind"], "full").join(patterns.select("left", "kind", F.col("score").alias("old")), ["left", "kind"], "left").join(seen, "left")
+        n = F.coalesce("n", F.lit(0))
+        share, firm = (n + F.coalesce("more", F.lit(0.0))) / F.col("occurrences"), (n + F.coalesce("firm", F.lit(0.0))) / F.col("occurrences")
+        backed = F.coalesce("seeds", F.lit(0)) + F.coalesce("found", F.lit(0)) >= min_seeds
+        known = F.col("old").isNotNull()
+        scored = both.filter(known | (backed & (firm >= confident))).select("left", "kind", F.when(known, share).otherwise(firm).alias("score"), "old")
+        scored, done = cut(scored), done + 1
+        moved = scored.filter(F.col("old").isNull() | (F.abs(F.col("score") - F.col("old")) > STILL)).limit(1).count()
+        patterns = scored.drop("old")
+        if done >= rounds and not moved:
+            break
     return patterns.filter(F.col("score") >= confident).select("left", "kind", "score")
 
 
