@@ -107,6 +107,13 @@ def test_redaction_keeps_columns_and_replaces_spans(frame):
     assert got == [(0, "[EMAIL]"), (1, "mail [EMAIL] now [IP]!"), (1, "mail [EMAIL] now [IP]!"), (2, "clean"), (3, ""), (4, "[PHONE] é [EMAIL]")]
 
 
+def test_redaction_leaves_nothing_of_overlapping_spans(frame):
+    rows = [(1, "call +1 555 123 4567@10.0.0.1 now"), (2, "x 10.0.0.4 111 1111 1111 1111 y"), (3, "a@b.c d@e.f")]
+    assert [k for _, k, _ in base_spans(rows[1][1])] == [1, 2]
+    got = {r["doc_id"]: r["text"] for r in pii.redacted(frame(rows)).collect()}
+    assert got == {1: "call [PHONE] now", 2: "x [IP] y", 3: "[EMAIL] [EMAIL]"}
+
+
 def test_personal_data_runs_no_python(documents):
     plan = pii.matches(documents, "doc_id", "text")._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

@@ -207,11 +207,15 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def redacted(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with each span of personal data replaced by its kind in brackets; other columns stay.
 
-    Of overlapping spans the one that begins first (then the kind listed first) is replaced.
+    Overlapping spans are replaced as one, by the kind of the one that begins first (then listed first).
     """
     rows = found_spans(df, id_col, text_col).filter(F.col("start").isNotNull())
     order = W.partitionBy("row").orderBy("start", "kind", "end").rowsBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("covered", F.coalesce(F.max("end").over(order), F.lit(0))).filter(F.col("start") >= F.col("covered"))
+    rows = rows.withColumn("new", (F.col("start") >= F.coalesce(F.max("end").over(order), F.lit(0))).cast("int"))
+    rows = rows.withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    rows = rows.groupBy("row", "run").agg(
+        F.first("doc_id").alias("doc_id"), F.first("check").alias("check"), F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", F.struct("start", "kind")).alias("kind")
+    )
     spans = rows.groupBy("row").agg(F.first("doc_id").alias("span_id"), F.first("check").alias("span_check"), F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("span_list"))
     # Rows with the same id and text have the same spans; one of them is enough.
     spans = spans.groupBy("span_id", "span_check").agg(F.first("span_list").alias("span_list"))
