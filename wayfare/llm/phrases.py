@@ -2,9 +2,9 @@
 
 Words get numbers in the task. A task counts the phrases of its texts in a trie that is shallow in word
 numbers and ends in hash containers: a container that grows beyond ``BURST`` entries bursts into one
-for each next word. When the trie holds more than ``HELD`` entries, whole subtrees of a first word are
+for each second word. When the trie holds more than ``HELD`` entries, whole subtrees of a first word are
 spilled, the largest first, as sorted runs. Runs are dealt out by language and prefix (the first three
-words of a phrase) and merged in phrase order, each prefix partition by itself.
+words of a phrase) and merged, each prefix partition by itself.
 
 Counting goes by length: a phrase cannot be more frequent than its parts, so two words are counted
 where both are frequent, and three or four where all pairs in them are. What is frequent is known
@@ -20,6 +20,7 @@ as in the order of the result (score and count descending, phrase ascending).
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.windows import win_group_seq
-from .common import cut, ship
+from .common import cut, mix, ship
 
 LONGEST = 4
 BURST = 4096
@@ -37,223 +38,251 @@ HELD = 400_000
 BLOCK = 1 << 22
 FILTER_BITS = 1 << 28
 BITS_A_PHRASE, PROBES = 16, 5
+WIDTH = 21  # bits of a word number: a block of BLOCK bytes and HELD words before it stay below
+MASK = (1 << WIDTH) - 1
 BREAK = 0
 
-# Signs that end a piece, and how bytes are read.
+# Signs that end a piece, and how bytes are read. No UTF-8 text holds the byte of a break.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
-TABLE = bytes(10 if c in BREAKS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
+PAUSE = b"\xff"
+TABLE = bytes(255 if c in BREAKS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
-    """The words of all texts in blocks of bounded size; ``b"\\n"`` stands between pieces."""
+    """The words of all texts in blocks of bounded size; ``PAUSE`` stands between pieces."""
     whole = b"\n".join(texts).translate(TABLE)
     at = 0
     while at < len(whole):
         end = at + BLOCK
         if end < len(whole):  # cut after a space or a break
-            ends = [p for p in (whole.rfind(b" ", at, end), whole.rfind(b"\n", at, end)) if p >= 0]
-            nexts = [p for p in (whole.find(b" ", end), whole.find(b"\n", end)) if p >= 0]
+            ends = [p for p in (whole.rfind(b" ", at, end), whole.rfind(PAUSE, at, end)) if p >= 0]
+            nexts = [p for p in (whole.find(b" ", end), whole.find(PAUSE, end)) if p >= 0]
             end = 1 + max(ends) if ends else 1 + min(nexts) if nexts else len(whole)
-        yield whole[at:end].replace(b"\n", b" \n ").split(b" ")
+        yield whole[at:end].replace(PAUSE, b" " + PAUSE + b" ").split()
         at = end
 
 
 class Words(dict):
-    """Numbers of words, given out as they are met; a break is 0 and nothing -1."""
+    """Numbers of words, given out as they are met; a break is 0."""
 
-    def __init__(self) -> None:
-        super().__init__({b"\n": BREAK, b"": -1})
+    def __init__(self, lang: str):
+        super().__init__({PAUSE: BREAK})
         self.names = [b""]
+        self.seed = zlib.crc32(lang.encode())
+        self.hashes = np.zeros(1, np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.names)
         self.names.append(word)
         return n
 
+    def hashed(self) -> np.ndarray:
+        """Hashes of all words by number, which depend on the language."""
+        new = self.names[len(self.hashes) :]
+        if new:
+            found = np.fromiter((xxhash.xxh3_64_intdigest(w, self.seed) for w in new), np.uint64, len(new))
+            self.hashes = np.concatenate([self.hashes, found])
+        return self.hashes
+
 
 class Trie:
-    """Counts of phrases, tuples of word numbers: containers under a shallow trie of word numbers."""
+    """Counts of phrases under their first words: containers, or once burst a container for each second word.
+
+    A container maps the rest of a phrase, ``WIDTH`` bits a word, to its count; word numbers are at
+    least 1, so rests of different lengths differ.
+    """
 
     def __init__(self) -> None:
         self.roots: dict[int, dict] = {}
-        self.sizes: dict[int, int] = {}
+        self.burst: dict[int, dict[int, dict]] = {}
         self.held = 0
 
-    def add(self, phrases: list[tuple[int, ...]], counts: list[int]) -> None:
-        roots, sizes = self.roots, self.sizes
-        for phrase, n in zip(phrases, counts, strict=True):
-            first, rest = phrase[0], phrase[1:]
-            node = roots.get(first)
-            if node is None:
-                node = roots[first] = {"hash": {}}
-            while "hash" not in node and rest:
-                below = node["next"].get(rest[0])
-                if below is None:
-                    below = node["next"][rest[0]] = {"hash": {}}
-                node, rest = below, rest[1:]
-            if "hash" not in node:
-                node["here"] += n
-                continue
-            held = node["hash"]
-            if rest in held:
-                held[rest] += n
+    def add(self, firsts: np.ndarray, rests: np.ndarray, shift: int, counts: np.ndarray) -> None:
+        """Add different phrases, ordered by their first word; ``shift`` is the place of the second one in ``rests``."""
+        edges = np.flatnonzero(np.diff(firsts)) + 1
+        starts = [0, *edges.tolist()]
+        for first, a, b in zip(firsts[starts].tolist(), starts, [*starts[1:], len(firsts)], strict=True):
+            some, n = rests[a:b].tolist(), counts[a:b].tolist()
+            if first in self.burst:
+                below = self.burst[first]
+                for rest, x in zip(some, n, strict=True):
+                    held = below.setdefault(rest >> shift, {})
+                    self.held += rest not in held
+                    held[rest] = held.get(rest, 0) + x
                 continue
-            held[rest] = n
-            sizes[first] = sizes.get(first, 0) + 1
-            self.held += 1
-            if len(held) > BURST and any(held):
-                self.burst(node)
-
-    @staticmethod
-    def burst(node: dict) -> None:
-        """Turn a container into one for each next word."""
-        held = node.pop("hash")
-        node["here"], node["next"] = held.pop((), 0), {}
-        for rest, n in held.items():
-            node["next"].setdefault(rest[0], {"hash": {}})["hash"][rest[1:]] = n
-
-    def spill(self, down_to: int) -> Iterator[tuple[tuple[int, ...], int]]:
+            held = self.roots.get(first)
+            if held is None:
+                self.roots[first] = held = dict(zip(some, n, strict=True))
+                self.held += len(held)
+            else:
+                before, get = len(held), held.get
+                for rest, x in zip(some, n, strict=True):
+                    held[rest] = get(rest, 0) + x
+                self.held += len(held) - before
+            if len(held) > BURST:
+                self.burst[first] = below = {}
+                for rest, x in self.roots.pop(first).items():
+                    second = rest >> (WIDTH * ((rest.bit_length() - 1) // WIDTH))
+                    below.setdefault(second, {})[rest] = x
+
+    def spill(self, down_to: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Take whole subtrees out, the largest first, until at most ``down_to`` entries are left."""
-
-        def walk(node: dict, prefix: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int]]:
-            if "hash" in node:
-                yield from ((prefix + rest, n) for rest, n in node["hash"].items())
-                return
-            if node["here"]:
-                yield prefix, node["here"]
-            for word, below in node["next"].items():
-                yield from walk(below, (*prefix, word))
-
-        for first in sorted(self.roots, key=lambda w: -self.sizes[w]):
+        trees = {first: [held] for first, held in self.roots.items()} | {first: list(below.values()) for first, below in self.burst.items()}
+        sizes = {first: sum(map(len, some)) for first, some in trees.items()}
+        taken = []
+        for first in sorted(sizes, key=sizes.__getitem__, reverse=True):
             if self.held <= down_to:
-                return
-            yield from walk(self.roots.pop(first), (first,))
-            self.held -= self.sizes.pop(first)
+                break
+            taken.append(first)
+            self.held -= sizes[first]
+            self.roots.pop(first, None)
+            self.burst.pop(first, None)
+        n = sum(sizes[f] for f in taken)
+        rests = np.fromiter((r for f in taken for held in trees[f] for r in held), np.int64, n)
+        counts = np.fromiter((x for f in taken for held in trees[f] for x in held.values()), np.int64, n)
+        return np.repeat(np.array(taken, np.int64), [sizes[f] for f in taken]), rests, counts
 
 
-def phrase_hash(lang: bytes, phrase: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(lang + b"\0" + phrase)
+def phrase_hashes(parts: list[np.ndarray]) -> np.ndarray:
+    """Hashes of phrases from the hashes of their words, one array for each place."""
+    h = parts[0]
+    for part in parts[1:]:
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + part)
+    return h
 
 
 def probes(hashes: np.ndarray, bits: int) -> np.ndarray:
     """Places of each hash in a filter of ``bits`` bits (a power of two), one row a probe."""
-    low, step = hashes, (hashes >> np.uint64(32)) | np.uint64(1)
-    return np.array([(low + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(PROBES)])
-
-
-class Filter:
-    """Bloom filter of frequent phrases."""
+    step = (hashes >> np.uint64(32)) | np.uint64(1)
+    return np.array([(hashes + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(PROBES)])
 
-    def __init__(self, words: np.ndarray):
-        self.words, self.bits = words, 64 * len(words)
 
-    def __contains__(self, h: int) -> bool:
-        return bool(self.has(np.array([h], np.uint64))[0])
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = probes(hashes, self.bits)
-        return ((self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(0)
+def passes(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes a Bloom filter, given as 64-bit words, lets through."""
+    at = probes(hashes, 64 * len(words))
+    return ((words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool).all(0)
 
 
 class Counter:
-    """Counts the phrases of one language in a task; ``sizes`` are the lengths asked for."""
+    """Counts the phrases of one language in a task.
 
-    def __init__(self, lang: str, sizes: tuple[int, ...], known: Filter | None):
-        self.lang, self.sizes, self.known = lang, sizes, known
+    ``known`` holds the filters of the frequent words and pairs: with none words are counted, with
+    the first one pairs, with both phrases of three and four words.
+    """
+
+    def __init__(self, lang: str, known: tuple[np.ndarray, ...]):
+        self.lang, self.known = lang, known
         self.trie = Trie()
-        self.words = Words()
-        self.frequent: dict[bytes, bool] = {}
+        self.forget()
+        self.total = 0
 
-    def are_frequent(self, phrases: list[bytes]) -> np.ndarray:
-        lang = self.lang.encode()
-        return self.known.has(np.array([phrase_hash(lang, p) for p in phrases], np.uint64)) if phrases else np.zeros(0, bool)
+    def forget(self) -> None:
+        self.words = Words(self.lang)
+        self.good = np.zeros(1, bool)
+        self.single = np.zeros(1, np.int64)
 
     def read(self, texts: list[bytes]) -> None:
         carried = np.zeros(0, np.int64)
         for block in blocks(texts):
             ids = np.fromiter(map(self.words.__getitem__, block), np.int64, len(block))
-            ids = ids[ids >= 0]
-            self.count(np.concatenate([carried, ids]), len(carried))
-            carried = np.concatenate([carried, ids])[-(LONGEST - 1) :]
-
-    def count(self, a: np.ndarray, old: int) -> None:
-        """Count what ends after the first ``old`` words of ``a``."""
-        if self.sizes == (1,):
-            words, counts = np.unique(a[old:], return_counts=True)
-            keep = words > BREAK
-            self.trie.add([(w,) for w in words[keep].tolist()], counts[keep].tolist())
-            return
-        words, which = np.unique(a, return_inverse=True)
-        if self.sizes == (2,):
-            good = self.are_frequent([self.words.names[w] for w in words.tolist()]) & (words > BREAK)
-            ok = good[which]
-            at = np.flatnonzero(ok[:-1] & ok[1:])
-            at = at[at + 1 >= old]
-            self.add_unique(a, at, a[at] << 32 | a[at + 1], 2)
-            return
+            if not self.known:
+                found = np.bincount(ids, minlength=len(self.words.names))
+                found[: len(self.single)] += self.single
+                self.single = found
+                continue
+            hashes = self.words.hashed()
+            if len(self.good) < len(hashes):
+                self.good = np.concatenate([self.good, passes(self.known[0], hashes[len(self.good) :])])
+            ids = np.where(self.good[ids], ids, BREAK)  # what holds a rare word is rare
+            whole = np.concatenate([carried, ids])
+            (self.pairs if len(self.known) == 1 else self.longer)(whole, len(carried))
+            carried = whole[-(LONGEST - 1) :]
+
+    def pairs(self, a: np.ndarray, old: int) -> None:
+        """Count the pairs that end after the first ``old`` words of ``a``."""
+        at = np.flatnonzero((a[:-1] > BREAK) & (a[1:] > BREAK))
+        at = at[at + 1 >= old]
+        keys, counts = np.unique(a[at] << WIDTH | a[at + 1], return_counts=True)
+        if len(keys):
+            self.trie.add(keys >> WIDTH, keys & MASK, 0, counts)
+
+    def longer(self, a: np.ndarray, old: int) -> None:
+        """Count the phrases of three and four words that end after the first ``old`` words of ``a``."""
+        hashes = self.words.hashes
         at = np.flatnonzero((a[:-1] > BREAK) & (a[1:] > BREAK))
-        pairs, first, pair_of = np.unique(a[at] << 32 | a[at + 1], return_index=True, return_inverse=True)
-        names = self.words.names
-        good = self.are_frequent([names[p >> 32] + b" " + names[p & 0xFFFFFFFF] for p in pairs.tolist()])
-        pair = np.zeros(len(a), np.int64)  # the number of the frequent pair that begins here, 0 if none
-        pair[at] = np.where(good, np.arange(1, len(pairs) + 1), 0)[pair_of]
-        three = np.flatnonzero((pair[:-1] > 0) & (pair[1:] > 0))
+        at = at[passes(self.known[1], phrase_hashes([hashes[a[at]], hashes[a[at + 1]]]))]
+        three = at[:-1][np.diff(at) == 1]
         four = three[:-1][np.diff(three) == 1]
         three, four = three[three + 2 >= old], four[four + 3 >= old]
-        self.add_unique(a, three, pair[three] << 32 | a[three + 2], 3)
-        self.add_unique(a, four, pair[four] << 32 | pair[four + 2], 4)
-
-    def add_unique(self, a: np.ndarray, at: np.ndarray, key: np.ndarray, size: int) -> None:
-        """Add the phrases of ``size`` words at these places; equal keys are equal phrases."""
-        _, first, counts = np.unique(key, return_index=True, return_counts=True)
-        start = at[first]
-        self.trie.add(list(zip(*[a[start + i].tolist() for i in range(size)], strict=True)), counts.tolist())
-
-    def run(self, down_to: int) -> Iterator[tuple[bytes, bytes, int, int]]:
-        """Spilled subtrees as one sorted run: prefix, phrase, count and hash."""
-        names, lang = self.words.names, self.lang.encode()
-        rows = sorted((b" ".join([names[w] for w in phrase]), n, len(phrase)) for phrase, n in self.trie.spill(down_to))
-        for phrase, n, size in rows:
-            yield (phrase if size < LONGEST else phrase[: phrase.rindex(b" ")]), phrase, n, phrase_hash(lang, phrase)
-
-
-RUN = "lang string, prefix string, phrase string, size int, f long, h long"
-
-
-def phrase_runs(texts: DataFrame, sizes: tuple[int, ...], known: np.ndarray | None) -> DataFrame:
-    """Sorted runs of counted phrases of the given lengths; ``texts`` is (lang, body binary)."""
+        keys, counts = np.unique(a[three] << 2 * WIDTH | a[three + 1] << WIDTH | a[three + 2], return_counts=True)
+        if len(keys):
+            self.trie.add(keys >> 2 * WIDTH, keys & ((1 << 2 * WIDTH) - 1), WIDTH, counts)
+        pair = a[:-1] << WIDTH | a[1:]
+        names, number = np.unique(np.concatenate([pair[four], pair[four + 2]]), return_inverse=True)
+        keys, counts = np.unique(number[: len(four)] << 32 | number[len(four) :], return_counts=True)
+        if len(keys):
+            begin, end = names[keys >> 32], names[keys & 0xFFFFFFFF]
+            self.trie.add(begin >> WIDTH, (begin & MASK) << 2 * WIDTH | end, 2 * WIDTH, counts)
+
+    def size(self) -> int:
+        return self.trie.held + len(self.words)
+
+    def run(self, down_to: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Spilled subtrees as one sorted run: phrases, hashes of their prefixes, counts."""
+        names, hashes = self.words.names, self.words.hashed()
+        if not self.known:
+            at = np.flatnonzero(self.single)
+            at = at[at > BREAK]
+            phrases, prefix, counts = [names[w] for w in at.tolist()], hashes[at], self.single[at]
+            phrases.append(b"")  # stands for the words of all kinds
+            prefix, counts = np.append(prefix, np.uint64(0)), np.append(counts, counts.sum())
+        else:
+            first, rest, counts = self.trie.spill(down_to)
+            size = 2 + (rest > MASK) + (rest > MASK << WIDTH | MASK)
+            phrases, prefix = [], []
+            for k in np.unique(size).tolist():
+                mine = size == k
+                words = [first[mine], *[rest[mine] >> WIDTH * i & MASK for i in range(k - 2, -1, -1)]]
+                phrases += [b" ".join([names[w] for w in p]) for p in zip(*[w.tolist() for w in words], strict=True)]
+                prefix.append(phrase_hashes([hashes[w] for w in words[: LONGEST - 1]]))
+            counts = np.concatenate([counts[size == k] for k in np.unique(size).tolist()]) if len(size) else counts
+            prefix = np.concatenate(prefix) if len(size) else np.zeros(0, np.uint64)
+        order = sorted(range(len(phrases)), key=phrases.__getitem__)
+        return [phrases[i] for i in order], prefix[order], counts[order]
+
+
+RUN = "lang string, prefix long, phrase string, f long"
+
+
+def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
+    """Sorted runs of counted phrases (see :class:`Counter` for their lengths); ``texts`` is (lang, body binary).
+
+    ``prefix`` is a hash of the first three words. The empty phrase, among single words, counts all of them.
+    """
     spark = texts.sparkSession
     ship(spark)
-    held = None if known is None else spark.sparkContext.broadcast(known)  # bounded by FILTER_BITS
-    schema = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("f", pa.int64()), ("h", pa.int64())])
+    held = spark.sparkContext.broadcast(known)  # each filter is bounded by FILTER_BITS
 
     def out(counter: Counter, down_to: int) -> Iterator[pa.RecordBatch]:
-        rows = list(counter.run(down_to))
-        for a in range(0, len(rows), 20_000):
-            prefix, phrase, f, h = zip(*rows[a : a + 20_000], strict=True)
-            text = lambda c: pa.array(c, pa.binary()).cast(pa.string())
-            hashes = pa.array(np.array(h, np.uint64).view(np.int64))
-            size = pa.array([p.count(b" ") + 1 for p in phrase], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([counter.lang] * len(f)), text(prefix), text(phrase), size, pa.array(f, pa.int64()), hashes], schema=schema)
+        phrases, prefix, f = counter.run(down_to)
+        for a in range(0, len(phrases), 50_000):
+            some = pa.array(phrases[a : a + 50_000], pa.binary()).cast(pa.string())
+            columns = [pa.array([counter.lang] * len(some)), pa.array(prefix[a : a + 50_000].view(np.int64)), some, pa.array(f[a : a + 50_000])]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "phrase", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_here = None if held is None else Filter(held.value)
         counters: dict[str, Counter] = {}
         for batch in batches:
-            langs, bodies = batch.column("lang").to_pylist(), batch.column("body").to_pylist()
             by_lang: dict[str, list[bytes]] = {}
-            for lang, body in zip(langs, bodies, strict=True):
+            for lang, body in zip(batch.column("lang").to_pylist(), batch.column("body").to_pylist(), strict=True):
                 by_lang.setdefault(lang, []).append(body)
             for lang, some in by_lang.items():
-                counter = counters.setdefault(lang, Counter(lang, sizes, known_here))
+                counter = counters.setdefault(lang, Counter(lang, held.value))
                 counter.read(some)
                 if counter.trie.held > HELD:
                     yield from out(counter, HELD // 2)
-                if len(counter.words) > 2 * HELD:
-                    yield from out(counter, 0)
-                    counter.words = Words()
-            while sum(c.trie.held for c in counters.values()) > 2 * HELD:
-                yield from out(counters.pop(max(counters, key=lambda x: counters[x].trie.held)), 0)
+                while sum(c.size() for c in counters.values()) > 2 * HELD:
+                    yield from out(counters.pop(max(counters, key=lambda x: counters[x].size())), 0)
         for counter in counters.values():
             yield from out(counter, 0)
 
@@ -261,13 +290,12 @@ def phrase_runs(texts: DataFrame, sizes: tuple[int, ...], known: np.ndarray | No
 
 
 def merged_runs(runs: DataFrame) -> DataFrame:
-    """Runs merged prefix by prefix: each phrase once with its whole count."""
-    dealt = runs.repartition("lang", "prefix").sortWithinPartitions("lang", "prefix", "phrase")
-    return dealt.groupBy("lang", "prefix", "phrase", "size", "h").agg(F.sum("f").alias("f"))
+    """Runs merged by prefix partitions: each phrase once with its whole count."""
+    return runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("f").alias("f"))
 
 
 def frequent_filter(frequent: DataFrame) -> np.ndarray:
-    """Bloom filter, as 64-bit words, of the hashes ``h`` of a table; its size follows the table up to ``FILTER_BITS``."""
+    """Bloom filter, as 64-bit words, of the hashes ``prefix`` of a table; its size follows the table up to ``FILTER_BITS``."""
     bits = 1 << 12
     rows = frequent.count()
     while bits < FILTER_BITS and bits < BITS_A_PHRASE * rows:
@@ -275,10 +303,10 @@ def frequent_filter(frequent: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = np.unique(probes(batch.column("h").to_numpy().view(np.uint64), bits).ravel()).astype(np.int64)
+            places = np.unique(probes(batch.column("prefix").to_numpy().view(np.uint64), bits).ravel()).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(places)], names=["place"])
 
-    places = frequent.select("h").mapInArrow(run, "place long")
+    places = frequent.select("prefix").mapInArrow(run, "place long")
     words = places.groupBy(F.shiftright("place", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("v"))
     out = np.zeros(bits // 64, np.uint64)
     found = words.toPandas()  # at most FILTER_BITS / 64 numbers
@@ -294,14 +322,14 @@ def phrase_counts(df: DataFrame, least: int, text_col: str = "text", lang_col: s
     """Frequent phrases of one to four words (``lang, phrase, size, f``), and ``lang, n``."""
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     texts = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), body.alias("body"))
-    words = cut(merged_runs(phrase_runs(texts, (1,), None)).drop("prefix"))
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    parts = [words.filter(F.col("f") >= least)]
-    for sizes in ((2,), (3, 4)):
-        known = frequent_filter(parts[-1])
-        found = merged_runs(phrase_runs(texts, sizes, known)).filter(F.col("f") >= least)
-        parts.append(cut(found.drop("prefix")))
-    return parts[0].union(parts[1]).union(parts[2]).drop("h"), totals
+    words = cut(merged_runs(phrase_runs(texts, ())).filter((F.col("f") >= least) | (F.col("phrase") == "")))
+    totals = words.filter("phrase = ''").select("lang", F.col("f").alias("n"))
+    parts, known = [words.filter((F.col("f") >= least) & (F.col("phrase") != ""))], ()
+    for _ in range(2):
+        known = (*known, frequent_filter(parts[-1]))
+        parts.append(cut(merged_runs(phrase_runs(texts, known)).filter(F.col("f") >= least)))
+    counts = parts[0].union(parts[1]).union(parts[2])
+    return counts.select("lang", "phrase", (F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1).alias("size"), "f"), totals
 
 
 def sub_phrases(phrases: DataFrame, least_size: int) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from .phrase_sql import PHRASE_SQL
+from .url_sql import url_sql
+
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -33,4 +36,6 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, e
 SELECT d.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id
 """,
+    "op11_url_templates": url_sql(),
+    "op13_collocations": PHRASE_SQL,
 }

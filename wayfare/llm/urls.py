@@ -10,7 +10,7 @@ and template so far,
    at least ``FANOUT`` of them and the segment less than a ``FANOUT``-th of the urls: each becomes a
    wildcard;
 2. plain segments whose next segments are distributed as those of all plain segments of the place
-   (total variation distance), and whose smoothed share of blocked urls is alike, are merged.
+   (total variation distance), and whose smoothed share of blocked urls is alike, become one wildcard.
 
 A template is rejected where its smoothed share of blocked urls, ``(blocked + WEIGHT / 2) / (labelled
 + WEIGHT)``, is at least ``REJECT``. Without labels that share is a half; as ``APART`` is less than the

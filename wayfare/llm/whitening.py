@@ -354,7 +354,7 @@ def principal(spark: SparkSession, scatter: list[list[int]], count: int) -> list
 def whitened(df: DataFrame, components: int = 8, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row a vector and component: ``vec_id, component, n, deviation decimal, whitened, explained, identity_error``.
 
-    The fit is on all sound vectors. A constant added to the scaled integers changes none of these columns, so none is added.
+    ``deviation`` is exact; one beyond 38 digits is an error. The fit is on all sound vectors. A constant added to the scaled integers changes none of these columns, so none is added.
     """
     spark = df.sparkSession
     vectors = sound_vectors(df, id_col, vector_col)
