@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from wayfare.llm import phrases as ph
+from wayfare.llm.collocations import collocations
 
 UPPER = {c: c + 32 for c in range(65, 91)}
 
@@ -55,7 +56,7 @@ def some_texts(seed, docs=150):
 def test_collocations(spark, monkeypatch, held):
     rows = some_texts(5)
     monkeypatch.setattr(ph, "HELD", held)
-    got = ph.collocations(table(spark, rows), least=4, first=50)
+    got = collocations(table(spark, rows), least=4, first=50)
     assert sorted(map(tuple, got.collect())) == brute(rows, 4, 50)
 
 
@@ -106,7 +107,7 @@ def test_filter_holds_every_phrase():
 
 
 def test_empty_table_and_large_counts(spark):
-    assert ph.collocations(table(spark, [("en", "a b")]).filter("lang = 'x'")).count() == 0
-    assert ph.collocations(table(spark, [("en", "a b")])).count() == 0
+    assert collocations(table(spark, [("en", "a b")]).filter("lang = 'x'")).count() == 0
+    assert collocations(table(spark, [("en", "a b")])).count() == 0
     hot = [("en", "a b " * 3000)] * 20 + [("en", "c d e f")] * 40
-    assert sorted(map(tuple, ph.collocations(table(spark, hot)).collect())) == brute(hot, 30, 2000)
+    assert sorted(map(tuple, collocations(table(spark, hot)).collect())) == brute(hot, 30, 2000)

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
 from .chunks import repeated_spans
+from .collocations import collocations
 from .common import table
 from .dedup import exact_groups
 from .langid import language_of_documents
 from .ngram_join import near_groups
 from .packing import pack_documents
-from .phrases import collocations
 from .pii import personal_data
 from .quality import quality_of_documents
 from .secrets import secret_spans
