@@ -65,9 +65,9 @@ def test_long_texts_are_cut_without_loss(monkeypatch):
     text = " ".join(rng.choice(["aa", "b", "cc", "d,", "longer" * 9]) for _ in range(4000))
     for block in (1 << 22, 64, 7, 1):
         monkeypatch.setattr(ph, "BLOCK", block)
-        everything = np.full(64, 2**64 - 1, np.uint64)
+        everything, all_buckets = np.full(64, 2**64 - 1, np.uint64), np.ones(ph.BUCKETS, bool)
         got = Counter()
-        for known in ((), (everything,), (everything, everything)):
+        for known in ((), (everything, all_buckets), (everything, everything, all_buckets)):
             c = ph.Counter("en", known)
             c.read([text.encode(), b"", b"aa b"])
             phrases, _, counts = c.run(0)
@@ -106,6 +106,22 @@ def test_filter_holds_every_phrase():
     assert ph.passes(words, hashes + np.uint64(1)).mean() < 0.02
 
 
+def test_buckets_bound_counts_from_above(spark):
+    rng = np.random.default_rng(6)
+    hashes = rng.integers(0, 300, (40, 500)).astype(np.uint64) << np.uint64(64 - 10)
+    rows, whole = [], Counter((hashes >> np.uint64(64 - ph.BUCKET_BITS)).ravel().tolist())
+    for part in hashes:
+        b = ph.Buckets()
+        b.add(part)
+        b.add(part[:3])
+        whole.update((part[:3] >> np.uint64(64 - ph.BUCKET_BITS)).tolist())
+        rows += [(None, i, None, None, bytearray(c.tobytes())) for i, c in enumerate(b.sums.reshape(-1, ph.CHUNK)) if c.any()]
+    runs = spark.createDataFrame(rows, ph.RUN).repartition(5)
+    for least in (30, 70, 255, 10_000):
+        got = np.flatnonzero(np.unpackbits(ph.added_buckets(runs, least)))
+        assert set(got.tolist()) == {k for k, n in whole.items() if n >= min(least, 255)}
+
+
 def test_empty_table_and_large_counts(spark):
     assert collocations(table(spark, [("en", "a b")]).filter("lang = 'x'")).count() == 0
     assert collocations(table(spark, [("en", "a b")])).count() == 0

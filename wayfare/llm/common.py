@@ -52,15 +52,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet into the folder all executors share, and read from there."""
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written once as Parquet into the folder all executors share and read from there, and its path."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     path = os.path.join(folder, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """:func:`stored_at` for tables that stay."""
+    return stored_at(df, name)[0]
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table of :func:`stored_at` that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def cut_narrow(df: DataFrame) -> DataFrame:

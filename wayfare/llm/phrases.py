@@ -6,11 +6,12 @@ for each second word. When the trie holds more than ``HELD`` entries, whole subt
 spilled, the largest first, as sorted runs. Runs are dealt out by language and prefix (the first three
 words of a phrase) and merged, each prefix partition by itself.
 
-Counting goes by length: a phrase cannot be more frequent than its parts, so two words are counted
-where both are frequent, and three or four where all pairs in them are. What is frequent is known
-from a Bloom filter of at most ``FILTER_BITS`` bits, made from all frequent phrases of the
-length before: it never misses one, and what it lets through besides costs counting only. No phrase that
-can be a candidate is lost at any size.
+Counting goes by length, as a phrase cannot be more frequent than its parts: two words are counted where
+both are frequent, three and four where all pairs in them are. What is frequent is known from a
+Bloom filter of at most ``FILTER_BITS`` bits, made from all frequent phrases of the length before. Besides,
+while a pass counts one length it adds up the next one by hash in ``BUCKETS`` sums over the whole corpus, and
+a phrase whose bucket stays rare is rare. Neither ever rules a frequent phrase out, and what they let
+through besides costs counting only, so no candidate is lost at any size.
 
 Everything is per language. Null texts are empty, a null language is ``und`` (that language's own rows
 join it). Texts of any length are cut in blocks at words, with the last three words carried over; repeated
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix, ship
+from .common import cut, mix, removed, ship, stored_at
 
 LONGEST = 4
 BURST = 4096
@@ -37,6 +38,8 @@ HELD = 400_000
 BLOCK = 1 << 22
 FILTER_BITS = 1 << 28
 BITS_A_PHRASE, PROBES = 16, 5
+BUCKET_BITS = 24
+BUCKETS, CHUNK = 1 << BUCKET_BITS, 1 << 16
 WIDTH = 21  # bits of a word number: a block of BLOCK bytes and HELD words before it stay below
 MASK = (1 << WIDTH) - 1
 BREAK = 0
@@ -162,21 +165,29 @@ def passes(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool).all(0)
 
 
+class Buckets:
+    """Sums of phrases by hash, each held at 255 once there."""
+
+    def __init__(self) -> None:
+        self.sums = np.zeros(BUCKETS, np.uint8)
+
+    def add(self, hashes: np.ndarray) -> None:
+        at, n = np.unique(hashes >> np.uint64(64 - BUCKET_BITS), return_counts=True)
+        self.sums[at] = np.minimum(self.sums[at] + n, 255)
+
+
 class Counter:
     """Counts the phrases of one language in a task.
 
-    ``known`` holds the filters of the frequent words and pairs: with none words are counted, with
-    the first one pairs, with both phrases of three and four words.
+    ``known`` is empty while words are counted; for pairs it holds the filter of the frequent words and the
+    pair buckets that are not rare, for longer phrases those words, the filter of the frequent pairs and the
+    buckets of three words. ``buckets`` takes the next length in.
     """
 
-    def __init__(self, lang: str, known: tuple[np.ndarray, ...]):
-        self.lang, self.known = lang, known
+    def __init__(self, lang: str, known: tuple[np.ndarray, ...], buckets: Buckets | None = None):
+        self.lang, self.known, self.buckets = lang, known, buckets
         self.trie = Trie()
-        self.forget()
-        self.total = 0
-
-    def forget(self) -> None:
-        self.words = Words(self.lang)
+        self.words = Words(lang)
         self.good = np.zeros(1, bool)
         self.single = np.zeros(1, np.int64)
 
@@ -184,33 +195,45 @@ class Counter:
         carried = np.zeros(0, np.int64)
         for block in blocks(texts):
             ids = np.fromiter(map(self.words.__getitem__, block), np.int64, len(block))
-            if not self.known:
-                found = np.bincount(ids, minlength=len(self.words.names))
+            hashes = self.words.hashed()
+            if self.known:
+                if len(self.good) < len(hashes):
+                    self.good = np.concatenate([self.good, passes(self.known[0], hashes[len(self.good) :])])
+                ids = np.where(self.good[ids], ids, BREAK)  # what holds a rare word is rare
+            else:
+                found = np.bincount(ids, minlength=len(hashes))
                 found[: len(self.single)] += self.single
                 self.single = found
-                continue
-            hashes = self.words.hashed()
-            if len(self.good) < len(hashes):
-                self.good = np.concatenate([self.good, passes(self.known[0], hashes[len(self.good) :])])
-            ids = np.where(self.good[ids], ids, BREAK)  # what holds a rare word is rare
             whole = np.concatenate([carried, ids])
-            (self.pairs if len(self.known) == 1 else self.longer)(whole, len(carried))
+            (self.begin, self.begin, self.pairs, self.longer)[len(self.known)](whole, len(carried), hashes)
             carried = whole[-(LONGEST - 1) :]
 
-    def pairs(self, a: np.ndarray, old: int) -> None:
-        """Count the pairs that end after the first ``old`` words of ``a``."""
+    def begin(self, a: np.ndarray, old: int, hashes: np.ndarray) -> None:
+        """Add up the pairs that end after the first ``old`` words of ``a`` by hash."""
         at = np.flatnonzero((a[:-1] > BREAK) & (a[1:] > BREAK))
         at = at[at + 1 >= old]
+        if self.buckets is not None:
+            self.buckets.add(phrase_hashes([hashes[a[at]], hashes[a[at + 1]]]))
+
+    def pairs(self, a: np.ndarray, old: int, hashes: np.ndarray) -> None:
+        """Count the pairs that end after the first ``old`` words of ``a``, and add up three words by hash."""
+        at = np.flatnonzero((a[:-1] > BREAK) & (a[1:] > BREAK))
+        at = at[self.known[1][phrase_hashes([hashes[a[at]], hashes[a[at + 1]]]) >> np.uint64(64 - BUCKET_BITS)]]
+        three = at[:-1][np.diff(at) == 1]
+        three = three[three + 2 >= old]
+        if self.buckets is not None:
+            self.buckets.add(phrase_hashes([hashes[a[three + i]] for i in range(3)]))
+        at = at[at + 1 >= old]
         keys, counts = np.unique(a[at] << WIDTH | a[at + 1], return_counts=True)
         if len(keys):
             self.trie.add(keys >> WIDTH, keys & MASK, 0, counts)
 
-    def longer(self, a: np.ndarray, old: int) -> None:
+    def longer(self, a: np.ndarray, old: int, hashes: np.ndarray) -> None:
         """Count the phrases of three and four words that end after the first ``old`` words of ``a``."""
-        hashes = self.words.hashes
         at = np.flatnonzero((a[:-1] > BREAK) & (a[1:] > BREAK))
         at = at[passes(self.known[1], phrase_hashes([hashes[a[at]], hashes[a[at + 1]]]))]
         three = at[:-1][np.diff(at) == 1]
+        three = three[self.known[2][phrase_hashes([hashes[a[three + i]] for i in range(3)]) >> np.uint64(64 - BUCKET_BITS)]]
         four = three[:-1][np.diff(three) == 1]
         three, four = three[three + 2 >= old], four[four + 3 >= old]
         keys, counts = np.unique(a[three] << 2 * WIDTH | a[three + 1] << WIDTH | a[three + 2], return_counts=True)
@@ -250,47 +273,84 @@ class Counter:
         return [phrases[i] for i in order], prefix[order], counts[order]
 
 
-RUN = "lang string, prefix long, phrase string, f long"
+RUN = "lang string, prefix long, phrase string, f long, sums binary"
 
 
 def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
     """Sorted runs of counted phrases (see :class:`Counter` for their lengths); ``texts`` is (lang, body binary).
 
     ``prefix`` is a hash of the first three words. The empty phrase, among single words, counts all of them.
+    Rows without a phrase hold the buckets of the next length, ``CHUNK`` of them in ``sums``, by number in ``prefix``.
     """
     spark = texts.sparkSession
     ship(spark)
-    held = spark.sparkContext.broadcast(known)  # each filter is bounded by FILTER_BITS
+    held = spark.sparkContext.broadcast(known)  # bounded by FILTER_BITS and BUCKETS
+    schema = pa.schema([("lang", pa.string()), ("prefix", pa.int64()), ("phrase", pa.string()), ("f", pa.int64()), ("sums", pa.binary())])
 
     def out(counter: Counter, down_to: int) -> Iterator[pa.RecordBatch]:
         phrases, prefix, f = counter.run(down_to)
         for a in range(0, len(phrases), 50_000):
             some = pa.array(phrases[a : a + 50_000], pa.binary()).cast(pa.string())
-            columns = [pa.array([counter.lang] * len(some)), pa.array(prefix[a : a + 50_000].view(np.int64)), some, pa.array(f[a : a + 50_000])]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "phrase", "f"])
+            columns = [pa.array([counter.lang] * len(some)), pa.array(prefix[a : a + 50_000].view(np.int64)), some, pa.array(f[a : a + 50_000]), pa.nulls(len(some), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = held.value
+        filters = (*filters[:-1], np.unpackbits(filters[-1]).view(bool)) if filters else ()
+        buckets = Buckets() if len(filters) < 3 else None
         counters: dict[str, Counter] = {}
         for batch in batches:
             by_lang: dict[str, list[bytes]] = {}
             for lang, body in zip(batch.column("lang").to_pylist(), batch.column("body").to_pylist(), strict=True):
                 by_lang.setdefault(lang, []).append(body)
             for lang, some in by_lang.items():
-                counter = counters.setdefault(lang, Counter(lang, held.value))
+                counter = counters.setdefault(lang, Counter(lang, filters, buckets))
                 counter.read(some)
                 if counter.trie.held > HELD:
                     yield from out(counter, HELD // 2)
                 while sum(c.size() for c in counters.values()) > 2 * HELD:
                     yield from out(counters.pop(max(counters, key=lambda x: counters[x].size())), 0)
-        for counter in counters.values():
-            yield from out(counter, 0)
+        for lang in list(counters):
+            yield from out(counters.pop(lang), 0)
+        if buckets is not None:
+            for i, chunk in enumerate(buckets.sums.reshape(-1, CHUNK)):
+                if chunk.any():
+                    yield pa.RecordBatch.from_pylist([{"prefix": i, "sums": chunk.tobytes()}], schema=schema)
 
     return texts.mapInArrow(run, RUN)
 
 
 def merged_runs(runs: DataFrame) -> DataFrame:
     """Runs merged by prefix partitions: each phrase once with its whole count."""
-    return runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("f").alias("f"))
+    return runs.filter("phrase IS NOT NULL").repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("f").alias("f"))
+
+
+def added_buckets(runs: DataFrame, least: int) -> np.ndarray:
+    """Bits, by bucket, of the sums over all tasks that reach ``least`` (or the 255 they are held at)."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}  # BUCKETS bytes at most
+        for batch in batches:
+            for chunk, sums in zip(batch.column("prefix").to_pylist(), batch.column("sums"), strict=True):
+                new = np.frombuffer(sums.as_buffer(), np.uint8)
+                old = total.get(chunk)
+                total[chunk] = new.copy() if old is None else np.where(old > 255 - new, 255, old + new).astype(np.uint8)
+        for chunk, sums in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sums.tobytes()], pa.binary())], names=["prefix", "sums"])
+
+    some = runs.filter("phrase IS NULL").select("prefix", "sums", (F.spark_partition_id() % 16).alias("salt"))
+    partly = some.repartition("prefix", "salt").select("prefix", "sums").mapInArrow(add, "prefix long, sums binary")
+    whole = partly.repartition("prefix").mapInArrow(add, "prefix long, sums binary")
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(np.frombuffer(s.as_buffer(), np.uint8) >= min(least, 255)).tobytes() for s in batch.column("sums")]
+            yield pa.RecordBatch.from_arrays([batch.column("prefix"), pa.array(bits, pa.binary())], names=["prefix", "sums"])
+
+    out = np.zeros((BUCKETS // CHUNK, CHUNK // 8), np.uint8)
+    for r in whole.mapInArrow(mark, "prefix long, sums binary").collect():  # a bit a bucket
+        out[r["prefix"]] = np.frombuffer(r["sums"], np.uint8)
+    return out.ravel()
 
 
 def frequent_filter(frequent: DataFrame) -> np.ndarray:
@@ -317,11 +377,18 @@ def phrase_counts(df: DataFrame, least: int, text_col: str = "text", lang_col: s
     """Frequent phrases of one to four words (``lang, phrase, size, f``), and ``lang, n``."""
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     texts = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), body.alias("body"))
-    words = cut(merged_runs(phrase_runs(texts, ())).filter((F.col("f") >= least) | (F.col("phrase") == "")))
-    totals = words.filter("phrase = ''").select("lang", F.col("f").alias("n"))
-    parts, known = [words.filter((F.col("f") >= least) & (F.col("phrase") != ""))], ()
-    for _ in range(2):
-        known = (*known, frequent_filter(parts[-1]))
-        parts.append(cut(merged_runs(phrase_runs(texts, known)).filter(F.col("f") >= least)))
+    parts, known, totals = [], (), None
+    for length in (1, 2, 3):
+        runs = phrase_runs(texts, known)
+        if length < 3:
+            runs, path = stored_at(runs, "phrases")
+        frequent = cut(merged_runs(runs).filter((F.col("f") >= least) | (F.col("phrase") == "")))
+        if length == 1:
+            totals = frequent.filter("phrase = ''").select("lang", F.col("f").alias("n"))
+            frequent = frequent.filter((F.col("f") >= least) & (F.col("phrase") != ""))
+        if length < 3:
+            known = (*known[:1], frequent_filter(frequent), added_buckets(runs, least))
+            removed(texts.sparkSession, path)
+        parts.append(frequent)
     counts = parts[0].union(parts[1]).union(parts[2])
     return counts.select("lang", "phrase", (F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1).alias("size"), "f"), totals
