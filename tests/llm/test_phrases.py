@@ -52,7 +52,7 @@ def some_texts(seed, docs=150):
     return [*rows, ("en", None), ("en", ""), (None, None), ("fr", "...  \t\n"), *rows[:9]]
 
 
-@pytest.mark.parametrize("held", [400_000, 40])
+@pytest.mark.parametrize("held", [200_000, 40])
 def test_collocations(spark, monkeypatch, held):
     rows = some_texts(5)
     monkeypatch.setattr(ph, "HELD", held)

@@ -59,7 +59,7 @@ def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     path = os.path.join(folder, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", 8 << 20).parquet(path)  # a writer holds a block in memory
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -34,8 +34,9 @@ from .common import cut, mix, removed, ship, stored_at
 
 LONGEST = 4
 BURST = 4096
-HELD = 400_000
-BLOCK = 1 << 22
+HELD = 200_000
+BLOCK = 1 << 21
+SLICE = 256
 FILTER_BITS = 1 << 28
 BITS_A_PHRASE, PROBES = 16, 5
 BUCKET_BITS = 24
@@ -300,16 +301,18 @@ def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
         buckets = Buckets() if len(filters) < 3 else None
         counters: dict[str, Counter] = {}
         for batch in batches:
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, body in zip(batch.column("lang").to_pylist(), batch.column("body").to_pylist(), strict=True):
-                by_lang.setdefault(lang, []).append(body)
-            for lang, some in by_lang.items():
-                counter = counters.setdefault(lang, Counter(lang, filters, buckets))
-                counter.read(some)
-                if counter.trie.held > HELD:
-                    yield from out(counter, HELD // 2)
-                while sum(c.size() for c in counters.values()) > 2 * HELD:
-                    yield from out(counters.pop(max(counters, key=lambda x: counters[x].size())), 0)
+            for a in range(0, batch.num_rows, SLICE):
+                some = batch.slice(a, SLICE)
+                by_lang: dict[str, list[bytes]] = {}
+                for lang, body in zip(some.column("lang").to_pylist(), some.column("body").to_pylist(), strict=True):
+                    by_lang.setdefault(lang, []).append(body)
+                for lang, texts in by_lang.items():
+                    counter = counters.setdefault(lang, Counter(lang, filters, buckets))
+                    counter.read(texts)
+                    if counter.trie.held > HELD:
+                        yield from out(counter, HELD // 2)
+                    while sum(c.size() for c in counters.values()) > 2 * HELD:
+                        yield from out(counters.pop(max(counters, key=lambda x: counters[x].size())), 0)
         for lang in list(counters):
             yield from out(counters.pop(lang), 0)
         if buckets is not None:
