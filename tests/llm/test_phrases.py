@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -115,7 +116,7 @@ def test_buckets_bound_counts_from_above(spark):
         b.add(part)
         b.add(part[:3])
         whole.update((part[:3] >> np.uint64(64 - ph.BUCKET_BITS)).tolist())
-        rows += [(None, i, None, None, bytearray(c.tobytes())) for i, c in enumerate(b.sums.reshape(-1, ph.CHUNK)) if c.any()]
+        rows += [(None, i, None, None, bytearray(zlib.compress(c))) for i, c in enumerate(b.sums.reshape(-1, ph.CHUNK)) if c.any()]
     runs = spark.createDataFrame(rows, ph.RUN).repartition(5)
     for least in (30, 70, 255, 10_000):
         got = np.flatnonzero(np.unpackbits(ph.added_buckets(runs, least)))

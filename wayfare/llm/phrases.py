@@ -40,7 +40,7 @@ SLICE = 256
 FILTER_BITS = 1 << 28
 BITS_A_PHRASE, PROBES = 16, 5
 BUCKET_BITS = 24
-BUCKETS, CHUNK = 1 << BUCKET_BITS, 1 << 16
+BUCKETS, CHUNK, SALTS = 1 << BUCKET_BITS, 1 << 16, 4
 WIDTH = 21  # bits of a word number: a block of BLOCK bytes and HELD words before it stay below
 MASK = (1 << WIDTH) - 1
 BREAK = 0
@@ -281,7 +281,7 @@ def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
     """Sorted runs of counted phrases (see :class:`Counter` for their lengths); ``texts`` is (lang, body binary).
 
     ``prefix`` is a hash of the first three words. The empty phrase, among single words, counts all of them.
-    Rows without a phrase hold the buckets of the next length, ``CHUNK`` of them in ``sums``, by number in ``prefix``.
+    Rows without a phrase hold the buckets of the next length, ``CHUNK`` of them packed in ``sums``, by number in ``prefix``.
     """
     spark = texts.sparkSession
     ship(spark)
@@ -318,7 +318,7 @@ def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
         if buckets is not None:
             for i, chunk in enumerate(buckets.sums.reshape(-1, CHUNK)):
                 if chunk.any():
-                    yield pa.RecordBatch.from_pylist([{"prefix": i, "sums": chunk.tobytes()}], schema=schema)
+                    yield pa.RecordBatch.from_pylist([{"prefix": i, "sums": zlib.compress(chunk, 1)}], schema=schema)
 
     return texts.mapInArrow(run, RUN)
 
@@ -335,19 +335,19 @@ def added_buckets(runs: DataFrame, least: int) -> np.ndarray:
         total: dict[int, np.ndarray] = {}  # BUCKETS bytes at most
         for batch in batches:
             for chunk, sums in zip(batch.column("prefix").to_pylist(), batch.column("sums"), strict=True):
-                new = np.frombuffer(sums.as_buffer(), np.uint8)
+                new = np.frombuffer(zlib.decompress(sums.as_buffer()), np.uint8)
                 old = total.get(chunk)
                 total[chunk] = new.copy() if old is None else np.where(old > 255 - new, 255, old + new).astype(np.uint8)
         for chunk, sums in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sums.tobytes()], pa.binary())], names=["prefix", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([zlib.compress(sums, 1)], pa.binary())], names=["prefix", "sums"])
 
-    some = runs.filter("phrase IS NULL").select("prefix", "sums", (F.spark_partition_id() % 16).alias("salt"))
+    some = runs.filter("phrase IS NULL").select("prefix", "sums", (F.spark_partition_id() % SALTS).alias("salt"))
     partly = some.repartition("prefix", "salt").select("prefix", "sums").mapInArrow(add, "prefix long, sums binary")
     whole = partly.repartition("prefix").mapInArrow(add, "prefix long, sums binary")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = [np.packbits(np.frombuffer(s.as_buffer(), np.uint8) >= min(least, 255)).tobytes() for s in batch.column("sums")]
+            bits = [np.packbits(np.frombuffer(zlib.decompress(s.as_buffer()), np.uint8) >= min(least, 255)).tobytes() for s in batch.column("sums")]
             yield pa.RecordBatch.from_arrays([batch.column("prefix"), pa.array(bits, pa.binary())], names=["prefix", "sums"])
 
     out = np.zeros((BUCKETS // CHUNK, CHUNK // 8), np.uint8)
