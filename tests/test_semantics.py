@@ -219,7 +219,7 @@ def test_projects_last_edit_wins_and_errors_are_reported(spark):
     frame = spark.createDataFrame(edits, "seq int, id int, action string, field_name string, field_value string")
     net, errors = network.net_apply_projects(links, frame, F.col("base") > 0)
     assert sorted((r["id"], r["speed"]) for r in net.collect()) == [(1, 45), (3, 50)]
-    assert sorted((r["seq"], r["error"]) for r in errors.collect()) == [(5, "link does not exist"), (6, "field does not exist"), (7, "value cannot be read")]
+    assert sorted((r["seq"], r["error"]) for r in errors.collect()) == [(5, "does not exist"), (6, "field does not exist"), (7, "value cannot be read")]
 
 
 def test_gtfs_exceptions_and_afternoon_window(spark, tmp_path):

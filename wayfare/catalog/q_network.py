@@ -90,24 +90,40 @@ def net_intersection_density(t):
     return net.net_intersection_density(t.v_link, nodes, zones, 3.0)
 
 
+def _last(field, key):
+    on = f"CASE WHEN action = 'Modify' AND field_name = '{field}' THEN"
+    return f"ARG_MAX({on} field_value END, {on} seq END) AS {key}"
+
+
+_STANDS = "ARG_MAX(CASE WHEN action <> 'Modify' THEN CASE WHEN action = 'Add' THEN 1 ELSE 0 END END, CASE WHEN action <> 'Modify' THEN seq END) AS st"
+
+
 @query(
-    "id:i kind:s spd_lmt:i ab_lanes:i ba_lanes:i",
-    """
-WITH m AS (SELECT id, MAX(CASE WHEN action = 'Add' THEN 1 ELSE 0 END) AS ad, MAX(CASE WHEN action = 'Remove' THEN 1 ELSE 0 END) AS rm,
-  ARG_MAX(CASE WHEN action = 'Modify' AND field_name = 'spd_lmt' THEN field_value END, CASE WHEN action = 'Modify' AND field_name = 'spd_lmt' THEN seq END) AS s,
-  ARG_MAX(CASE WHEN action = 'Modify' AND field_name = 'ab_lanes' THEN field_value END, CASE WHEN action = 'Modify' AND field_name = 'ab_lanes' THEN seq END) AS a,
-  ARG_MAX(CASE WHEN action = 'Modify' AND field_name = 'ba_lanes' THEN field_value END, CASE WHEN action = 'Modify' AND field_name = 'ba_lanes' THEN seq END) AS b
-  FROM v_edit GROUP BY id)
-SELECT l.id, 'link' AS kind, COALESCE(CAST(s AS INT), spd_lmt) AS spd_lmt, COALESCE(CAST(a AS INT), ab_lanes) AS ab_lanes, COALESCE(CAST(b AS INT), ba_lanes) AS ba_lanes
-FROM v_link l LEFT JOIN m ON m.id = l.id WHERE (dir >= 0 OR ad = 1) AND COALESCE(rm, 0) = 0
-UNION ALL SELECT id, 'error', NULL, NULL, NULL FROM v_edit WHERE id NOT IN (SELECT id FROM v_link)""",
+    "id:i kind:s spd_lmt:i ab_lanes:i ba_lanes:i from_control:i to_control:i error:s",
+    f"""
+WITH e AS (SELECT *, seq % 3 = 0 AS nd FROM v_edit),
+ m AS (SELECT id, {_STANDS}, {_last('spd_lmt', 's')}, {_last('ab_lanes', 'a')}, {_last('ba_lanes', 'b')} FROM e WHERE NOT nd GROUP BY id),
+ k AS (SELECT from_id AS node FROM v_link UNION SELECT to_id FROM v_link),
+ nm AS (SELECT id AS node, {_STANDS}, {_last('control', 'c')} FROM (SELECT seq, id, action, 'control' AS field_name, field_value FROM e WHERE nd) q GROUP BY id),
+ n AS (SELECT k.node, COALESCE(CAST(c AS INT), CAST(k.node % 4 AS INT)) AS control FROM k LEFT JOIN nm ON nm.node = k.node WHERE COALESCE(st, CASE WHEN k.node % 11 = 0 THEN 0 ELSE 1 END) = 1)
+SELECT l.id, 'link' AS kind, COALESCE(CAST(s AS INT), spd_lmt) AS spd_lmt, COALESCE(CAST(a AS INT), ab_lanes) AS ab_lanes, COALESCE(CAST(b AS INT), ba_lanes) AS ba_lanes,
+ f.control AS from_control, t.control AS to_control, NULL AS error
+FROM v_link l LEFT JOIN m ON m.id = l.id JOIN n f ON f.node = l.from_id JOIN n t ON t.node = l.to_id WHERE COALESCE(st, CASE WHEN dir >= 0 THEN 1 ELSE 0 END) = 1
+UNION ALL SELECT node, 'node', NULL, NULL, NULL, control, NULL, NULL FROM n
+UNION ALL SELECT id, 'error', NULL, NULL, NULL, NULL, NULL, 'does not exist' FROM e WHERE NOT nd AND id NOT IN (SELECT id FROM v_link)
+UNION ALL SELECT id, 'error', NULL, NULL, NULL, NULL, NULL, 'does not exist' FROM e WHERE nd AND id NOT IN (SELECT node FROM k)""",
 )
 def net_apply_projects(t):
-    links = t.v_link.select("id", "dir", "spd_lmt", "ab_lanes", "ba_lanes")
-    kept, errors = net.net_apply_projects(links, t.v_edit, F.col("dir") >= 0)
-    nothing = [F.lit(None).cast("int").alias(c) for c in ("spd_lmt", "ab_lanes", "ba_lanes")]
-    good = kept.select("id", F.lit("link").alias("kind"), "spd_lmt", "ab_lanes", "ba_lanes")
-    return good.unionByName(errors.select("id", F.lit("error").alias("kind"), *nothing))
+    """Every third edit is one of nodes; logs hold Adds after Removes and the other way round."""
+    edits = t.v_edit.withColumn("layer", F.when(F.col("seq") % 3 == 0, "Node").otherwise("Link"))
+    edits = edits.withColumn("field_name", F.when(F.col("layer") == "Node", "control").otherwise(F.col("field_name")))
+    links = t.v_link.select("id", "from_id", "to_id", "dir", "spd_lmt", "ab_lanes", "ba_lanes")
+    nodes = net.net_node_legs(links).select("node", (F.col("node") % 4).cast("int").alias("control"))
+    kept, at, errors = net.net_apply_projects(links, edits, F.col("dir") >= 0, nodes=nodes, node_base=F.col("node") % 11 != 0)
+    lanes, ends, nothing = ["spd_lmt", "ab_lanes", "ba_lanes"], ["from_control", "to_control"], F.lit(None).cast("int")
+    good = kept.select("id", F.lit("link").alias("kind"), *lanes, *ends, F.lit(None).cast("string").alias("error"))
+    placed = at.select(F.col("node").alias("id"), F.lit("node").alias("kind"), *[nothing.alias(c) for c in lanes], F.col("control").alias("from_control"), nothing.alias("to_control"), F.lit(None).cast("string").alias("error"))
+    return good.unionByName(placed).unionByName(errors.select("id", F.lit("error").alias("kind"), *[nothing.alias(c) for c in [*lanes, *ends]], "error"))
 
 
 _FAC = f"""(SELECT *, CASE WHEN ramp = 1 THEN 'ramp' WHEN fc IN (1, 11) OR (fc = 12 AND median = 1) THEN 'fwy' WHEN access = 3 AND dl > 1 AND median = 1 THEN 'fwy'

@@ -6,11 +6,12 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import fn_haversine
 from ..session import cut_lineage
-from .windows import win_largest_remainder, win_share_in_group
+from .windows import win_largest_remainder, win_share_in_group, win_surrogate_id
 
 
 def _cell(x: str | Column, size: float) -> Column:
@@ -53,46 +54,97 @@ def join_point_in_polygon(
     return keyed.join(boxed, same, how).select(*points.columns, pid)
 
 
+# Sites in a group of the pyramid, and groups in a group of the level above.
+FAN = 4
+
+
+def _spread(c: Column) -> Column:
+    """The low 31 bits of a number with a zero between any two."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        c = c.bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+    return c
+
+
+def _box(x0: Column, x1: Column, y0: Column, y1: Column) -> list[Column]:
+    return [F.min(x0).alias("x0"), F.max(x1).alias("x1"), F.min(y0).alias("y0"), F.max(y1).alias("y1")]
+
+
+def site_pyramid(sites: DataFrame, site: str) -> list[DataFrame]:
+    """Groups of ``FAN`` neighbouring sites, groups of ``FAN`` such groups and so on, up to at most ``FAN`` at the top.
+
+    Neighbours follow each other on a Z curve over the ranks of x and of y, so that groups are compact at any
+    density: a cluster however tight takes as many levels as the same sites spread out. Each level is
+    (id, x0, x1, y0, y1, kids), the kids of the lowest one being sites (id, x, y).
+    """
+    ranked = win_surrogate_id(win_surrogate_id(sites, ["x", "y"], "__rx"), ["y", "x"], "__ry")
+    curve = ranked.withColumn("__z", _spread(F.col("__rx")).bitwiseOR(F.shiftleft(_spread(F.col("__ry")), 1)))
+    placed = win_surrogate_id(curve, ["__z"], "__id", start=0)
+    x, y = F.col("x"), F.col("y")
+    group = F.floor(F.col("__id") / FAN).cast("bigint").alias("id")
+    kids = F.collect_list(F.struct(F.col(site).alias("id"), "x", "y")).alias("kids")
+    levels = [cut_lineage(placed.groupBy(group).agg(*_box(x, x, y, y), kids))]
+    left = levels[0].count()
+    while left > FAN:
+        below = levels[-1]
+        group = F.floor(F.col("id") / FAN).cast("bigint").alias("__up")
+        kids = F.collect_list(F.struct("id", "x0", "x1", "y0", "y1")).alias("kids")
+        above = below.groupBy(group).agg(*_box(*(F.col(c) for c in ("x0", "x1", "y0", "y1"))), kids)
+        levels.append(cut_lineage(above.withColumnRenamed("__up", "id")))
+        left = -(-left // FAN)
+    return levels
+
+
+def nearest_candidates(places: DataFrame, sites: DataFrame, site: str) -> DataFrame:
+    """``x, y, site, dist`` for the sites that may be the nearest of a place; both frames hold each (x, y) once.
+
+    From the top of the pyramid down, a group is opened only where its least distance does not
+    exceed the largest distance at which any group met so far must have a site: every side of a group's box touches one.
+    """
+    levels = site_pyramid(sites, site)
+
+    def square(c: Column) -> Column:
+        return c * c
+
+    def bounds(b: str) -> tuple[Column, Column]:
+        px, py, x0, x1, y0, y1 = (F.col(c) for c in ("x", "y", f"{b}.x0", f"{b}.x1", f"{b}.y0", f"{b}.y1"))
+        out_x, out_y = F.greatest(x0 - px, px - x1, F.lit(0.0)), F.greatest(y0 - py, py - y1, F.lit(0.0))
+        near = [F.least(square(p - lo), square(p - hi)) for p, lo, hi in ((px, x0, x1), (py, y0, y1))]
+        far = [F.greatest(square(p - lo), square(p - hi)) for p, lo, hi in ((px, x0, x1), (py, y0, y1))]
+        return square(out_x) + square(out_y), F.least(near[0] + far[1], near[1] + far[0])
+
+    def kept(pairs: DataFrame) -> DataFrame:
+        """Groups ``b`` of a place that may hold its nearest site; ``least`` and ``most`` are squares."""
+        least, most = bounds("b")
+        pairs = pairs.withColumns({"least": least, "most": most})
+        best = F.min("most").over(W.partitionBy("x", "y"))  # a few rows for each group opened
+        return pairs.withColumn("best", best).filter(F.col("least") <= F.col("best") * (1 + 4e-15)).select("x", "y", F.col("b.id").alias("id"))
+
+    top = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("id", "x0", "x1", "y0", "y1")]) for r in levels[-1].drop("kids").collect()])
+    open_groups = kept(places.select("x", "y", F.explode(top).alias("b")))
+    for i in range(len(levels) - 1, 0, -1):
+        open_groups = kept(open_groups.join(levels[i].select("id", "kids"), "id").select("x", "y", F.explode("kids").alias("b")))
+    pairs = open_groups.join(levels[0].select("id", "kids"), "id").select("x", "y", F.explode("kids").alias("s"))
+    dist = F.sqrt(F.pow(F.col("s.x") - F.col("x"), 2) + F.pow(F.col("s.y") - F.col("y"), 2))
+    return pairs.select("x", "y", F.col("s.id").alias(site), dist.alias("dist"))
+
+
 def join_nearest(points: DataFrame, sites: DataFrame, key: str, site: str) -> DataFrame:
     """Nearest site of each point by planar distance; points and sites have x and y.
 
-    Search starts in fine grid cells and doubles the cell for points not yet settled. A
-    point is settled once its best site is within one cell size, since every site that
-    near lies in the 3 x 3 cells searched. Ties go to the smaller site id.
+    Sites stand in a pyramid of boxes that is walked from the top, so that a point is compared with
+    a few groups of sites at each level, however clustered the sites and far the points are. Points at one
+    place are looked up once. Ties go to the smaller site id; a point without place, and every point
+    where there are no sites, gets null.
     """
-    one_per_place = cut_lineage(sites.groupBy("x", "y").agg(F.min(site).alias(site)))
-    box = one_per_place.agg(
-        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"), F.count("*").alias("n")
-    )
-    reach = points.agg(F.min("x").alias("px0"), F.max("x").alias("px1"), F.min("y").alias("py0"), F.max("y").alias("py1"))
-    b, p = box.first(), reach.first()
-    if not b["n"] or p["px0"] is None:
+    at = sites.filter("x IS NOT NULL AND y IS NOT NULL").select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), site)
+    one_per_place = cut_lineage(at.groupBy("x", "y").agg(F.min(site).alias(site)))
+    if one_per_place.isEmpty():
         return points.withColumns({site: F.lit(None).cast(sites.schema[site].dataType), "dist": F.lit(None).cast("double")})
-    width = max(b["x1"], p["px1"]) - min(b["x0"], p["px0"])
-    height = max(b["y1"], p["py1"]) - min(b["y0"], p["py0"])
-    extent = max(width, height, 1e-9) * 1.0001
-    levels = max(1, math.ceil(math.log2(b["n"]) / 2) + 1)
-    pending, settled = points, None
-    for level in range(levels, -1, -1):
-        size = extent / 2**level
-        near = one_per_place.withColumnsRenamed({"x": "sx", "y": "sy"})
-        steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-        near = near.withColumn("dx", F.explode(steps)).withColumn("dy", F.explode(steps))
-        near = near.select(site, "sx", "sy", (_cell("sx", size) + F.col("dx")).alias("cx"), (_cell("sy", size) + F.col("dy")).alias("cy"))
-        keyed = pending.withColumns({"cx": _cell("x", size), "cy": _cell("y", size)})
-        dist = F.sqrt(F.pow(F.col("sx") - F.col("x"), 2) + F.pow(F.col("sy") - F.col("y"), 2))
-        cand = keyed.join(near, ["cx", "cy"]).withColumn("dist", dist)
-        best = cand.groupBy(key).agg(F.min(F.struct("dist", site)).alias("best"))
-        found = pending.join(best.select(key, "best.dist", f"best.{site}"), key, "left")
-        found = cut_lineage(found)
-        done = found if level == 0 else found.filter(F.col("dist") <= size)
-        settled = done if settled is None else settled.unionByName(done)
-        if level == 0:
-            break
-        pending = found.filter(F.col("dist").isNull() | (F.col("dist") > size)).select(*points.columns)
-        if pending.isEmpty():
-            break
-    return settled
+    places = points.select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).filter("x IS NOT NULL AND y IS NOT NULL").distinct()
+    best = nearest_candidates(places, one_per_place, site).groupBy("x", "y").agg(F.min(F.struct("dist", site)).alias("best"))
+    found = best.select(F.col("x").alias("__x"), F.col("y").alias("__y"), f"best.{site}", "best.dist")
+    here = (F.col("x").cast("double") == F.col("__x")) & (F.col("y").cast("double") == F.col("__y"))
+    return points.join(found, here, "left").select(*points.columns, site, "dist")
 
 
 def join_buffer_aggregate(zones: DataFrame, points: DataFrame, zone: str, radius: float, sums: dict[str, Column], split: int = 4) -> DataFrame:

@@ -1,8 +1,8 @@
 """Ordered and per-group operators that stay balanced when one group is very large.
 
 A plain ``Window.partitionBy(group)`` puts a whole group into one task. Running measures here
-deal the rows out by ranges of (group, order key) instead, sum inside each range, and add the
-totals of the ranges before; a group of any size is cut wherever the ranges cut it.
+deal the rows out by ranges of (group, order key) instead, sum inside each range, and add what
+the ranges before hold of the group; a group of any size is cut wherever the ranges cut it.
 """
 
 from __future__ import annotations
@@ -31,29 +31,39 @@ def ranged(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFra
     return cut_lineage(dealt.withColumn("__range", F.spark_partition_id()))
 
 
-def running(df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
-    """Cumulative sums along ``order`` within ``group`` (all rows when ``group`` is empty).
+def running(df: DataFrame, group: Sequence[str], order: Sequence[str], sums: dict[str, Column], totals: dict[str, Column] | None = None) -> DataFrame:
+    """Cumulative sums along ``order`` within ``group`` (all rows when ``group`` is empty), and whole sums.
 
-    ``order`` must identify rows within a group. Ranges follow each other in key order, so only
-    the groups that a range shares with the one before it, one for each range at most, need an
-    offset from earlier ranges.
+    ``order`` must identify rows within a group; ``totals`` are sums over a whole group. Ranges follow
+    each other in key order, so a group that lies in several ranges is the first or last of each: only the
+    sums of those two groups of each range are brought together, a table of two rows a range, which each
+    range reads. The rows themselves are exchanged twice, for the ranges and for the groups in them.
     """
     group, columns = list(group), df.columns
-    vals = {f"__v{i}": c for i, c in enumerate(sums.values())}
+    vals = {f"__v{i}": c for i, c in enumerate([*sums.values(), *(totals or {}).values()])}
     rows = ranged(df.withColumns(vals), group, order)
     marks = ["__range", *group]
-    total = rows.groupBy(*marks).agg(*[F.sum(v).alias(v) for v in vals])
+    edge = rows.select(*marks, *vals)
+    if group:
+        key = F.struct(*group)
+        ends = rows.groupBy("__range").agg(F.min(key).alias("__first"), F.max(key).alias("__last"))
+        edge = edge.join(F.broadcast(ends), "__range").filter(key.eqNullSafe(F.col("__first")) | key.eqNullSafe(F.col("__last")))
+    total = cut_lineage(edge.groupBy(*marks).agg(*[F.sum(v).alias(v) for v in vals]))
     before = W.partitionBy(*group).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = total.select(
+    whole = W.partitionBy(*group)
+    borders = total.select(
         *[F.col(c).alias(f"__m{i}") for i, c in enumerate(marks)],
-        F.count("*").over(before).alias("__before"),
-        *[F.sum(v).over(before).alias(f"__o{i}") for i, v in enumerate(vals)],
-    ).filter("__before > 0")
-    local = W.partitionBy(*marks).orderBy(*_ordering(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
-    inside = rows.withColumns({f"__s{i}": F.sum(v).over(local) for i, v in enumerate(vals)})
+        *[F.sum(v).over(before if i < len(sums) else whole).alias(f"__o{i}") for i, v in enumerate(vals)],
+    )
+    inner = W.partitionBy(*marks)
+    local = inner.orderBy(*_ordering(order)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    every = inner.orderBy(*_ordering(order)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    inside = rows.withColumns({f"__s{i}": F.sum(v).over(local if i < len(sums) else every) for i, v in enumerate(vals)})
     same = [F.col(c).eqNullSafe(F.col(f"__m{i}")) for i, c in enumerate(marks)]
-    placed = inside.join(offsets, same, "left")
-    return placed.select(*columns, *[_plus(F.col(f"__s{i}"), F.col(f"__o{i}")).alias(n) for i, n in enumerate(sums)])
+    placed = inside.join(F.broadcast(borders), same, "left")
+    out = [_plus(F.col(f"__s{i}"), F.col(f"__o{i}")).alias(n) for i, n in enumerate(sums)]
+    out += [F.when(F.col("__m0").isNotNull(), F.col(f"__o{i}")).otherwise(F.col(f"__s{i}")).alias(n) for i, n in enumerate(totals or {}, len(sums))]
+    return placed.select(*columns, *out)
 
 
 def _plus(inside: Column, offset: Column) -> Column:
@@ -115,9 +125,10 @@ def win_share_in_group(df: DataFrame, group: Sequence[str], col: str, out: str =
 def win_largest_remainder(df: DataFrame, group: Sequence[str], col: str, tie: Sequence[str], out: str = "rounded") -> DataFrame:
     """Integers with the rounded group total: floors, plus one for the largest remainders."""
     base = df.withColumns({"floor_units": F.floor(col), "remainder": F.col(col) - F.floor(col)})
-    extra = F.round(F.sum(col) - F.sum(F.floor(col))).cast("bigint").alias("extra_units")
-    ranked = win_group_seq(group_totals(base, group, [extra]), group, ["-remainder", *tie], "remainder_rank")
-    gain = (F.col("remainder_rank") <= F.col("extra_units")).cast("bigint")
+    rank = {"remainder_rank": F.lit(1).cast("bigint")}
+    ranked = running(base, group, ["-remainder", *tie], rank, {"whole_units": F.col(col), "whole_floor": F.col("floor_units")})
+    extra = F.round(F.col("whole_units") - F.col("whole_floor")).cast("bigint")
+    gain = (F.col("remainder_rank") <= extra).cast("bigint")
     return ranked.select(*df.columns, (F.col("floor_units") + gain).alias(out))
 
 

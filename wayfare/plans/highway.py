@@ -331,17 +331,19 @@ def hwy_hourly_profile(dlinks: DataFrame, profile: DataFrame, params: dict[str,
 
     ``dlinks`` has ``<period>_<car|su|mu>`` volumes, length, fftime, pm_cap, bpr_a, bpr_b and
     fc. ``profile`` is (area_group, hour, period, car, su, mu) with shares that add to one
-    within a period. Volumes below one vehicle are dropped. Loss is capped by 6 mph on
+    within a period; other area groups are left out, and one that is missing is an error as
+    soon as a link needs it. Volumes below one vehicle are dropped. Loss is capped by 6 mph on
     freeways and 5 minutes elsewhere.
     """
     p = {**PARAMETERS, **(params or {})}
-    # One row for each area group, with its hours in an array: four rows whatever the input, and
-    # a link meets one of them. An hour that comes twice is an error of the profile.
+    # One row for each of the four area groups, with its hours in an array: four rows whatever the
+    # profile holds, and a link meets one of them. An hour that comes twice is an error of the profile.
     hours = F.array_sort(F.collect_list(F.struct("hour", "period", "car", "su", "mu")))
     twice = F.raise_error(F.concat(F.lit("profile has an hour twice in area group "), F.first("area_group")))
-    by_area = profile.groupBy("area_group").agg(F.when(F.count("hour") == F.count_distinct("hour"), hours).otherwise(twice).alias("hours"))
-    met = dlinks.withColumn("area_group", area_group()).join(F.broadcast(by_area.limit(len(AREA_GROUPS))), "area_group")
-    full = met.withColumn("h", F.explode("hours")).drop("hours").select("*", "h.*").drop("h")
+    by_area = profile.filter(F.col("area_group").isin(*AREA_GROUPS)).groupBy("area_group").agg(F.when(F.count("hour") == F.count_distinct("hour"), hours).otherwise(twice).alias("hours"))
+    met = dlinks.withColumn("area_group", area_group()).join(F.broadcast(by_area), "area_group", "left")
+    missing = F.raise_error(F.concat(F.lit("profile lacks area group "), "area_group"))
+    full = met.withColumn("h", F.explode(F.when(F.col("hours").isNull(), missing).otherwise(F.col("hours")))).drop("hours").select("*", "h.*").drop("h")
 
     def volume(cls: str) -> Column:
         return first_match([(F.col("period") == t, F.col(f"{t}_{cls}")) for t in ("am", "pm", "op")])

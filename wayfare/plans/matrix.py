@@ -17,7 +17,7 @@ from ..functions.recode import first_match, project_case_map
 from ..functions.scalar import fn_tod_period
 from ..operators.aggregates import agg_matrix_build
 from ..operators.sets import topk_per_group
-from ..session import FitError, cut_lineage
+from ..session import FitError, cut_lineage, dealt_out
 
 # Vehicle trips per person trip by mode, transit cores by path type.
 VEHICLES_PER_TRIP = {3: 1.0, 4: 1 / 2, 5: 1 / 3.5}
@@ -146,49 +146,64 @@ def mat_balance_vectors(zones: DataFrame, p: str, a: str, hold: Column | None =
     return zones.withColumns({p: F.col(p) * F.try_divide(total, t["p"]), a: F.col(a) * F.try_divide(total, t["a"])})
 
 
+# Rows of a factor vector that are broadcast to the cells; longer vectors are joined by shuffle.
+VECTOR_ROWS = 200_000
+
+
 def fit_margins(
-    cells: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int, tol: float, checkpoint_every: int = 2, keys: Sequence[str] = ()
+    cells: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int, tol: float, checkpoint_every: int = 4, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Factors a(o), b(d) so that a x base x b meets the row and column targets.
 
     ``cells`` is (o, d, base), ``rows`` (o, target), ``cols`` (d, target); with ``keys`` each
     frame has them too and every key combination is a fit of its own, all in the same rounds.
-    Stops when no column factor moves by more than ``tol``; a margin of 0, or a line without
-    cells, gives 0. Raises :class:`FitError` if ``max_iter`` rounds do not get there. Cells are
-    kept by origin, factors are as narrow as the zones; Spark sees their size and broadcasts
-    them if that is small.
+    Stops when no column factor moves by more than ``tol`` in a round; a margin of 0, or a line
+    without cells, gives 0. Raises :class:`FitError` if ``max_iter`` rounds do not get there.
+
+    Cells with their targets are dealt out by origin once, in buckets. A round is one pass over them: the row factor of an origin is a sum over its own cells, and
+    the cells so scaled add up to partial column sums. Only those, as long as the zones, are exchanged.
     """
     keys = list(keys)
-    rows, cols = cut_lineage(rows), cut_lineage(cols)
-    cells = cut_lineage(cells.filter("base > 0").select(*keys, "o", "d", F.col("base").cast("double").alias("base")))
-
-    def step(line: str, other: str, targets: DataFrame, factors: DataFrame) -> DataFrame:
-        sums = cells.join(factors, [*keys, other]).groupBy(*keys, line).agg(F.sum(F.col("base") * F.col("f")).alias("s"))
-        found = sums.join(targets, [*keys, line], "left")
-        return found.select(*keys, line, F.coalesce(F.try_divide(F.col("target").cast("double"), F.col("s")), F.lit(0.0)).alias("f"))
-
-    b, last, moved = cols.select(*keys, "d", F.lit(1.0).alias("f")), None, float("inf")
-    for i in range(1, max_iter + 1):
-        b = step("d", "o", cols, step("o", "d", rows, b))
+    line, across = [*keys, "o"], [*keys, "d"]
+    whole = cells.filter("base > 0").select(*line, "d", F.col("base").cast("double").alias("base"))
+    for by, targets, name in ((line, rows, "rt"), (across, cols, "ct")):
+        whole = whole.join(targets.select(*by, F.col("target").cast("double").alias(name)), by, "left")
+    dealt = dealt_out(whole, line)
+
+    def ratio(target: str, s: Column) -> Column:
+        return F.coalesce(F.try_divide(target, s), F.lit(0.0))
+
+    def lifted(frame: DataFrame) -> DataFrame:
+        """The row factors that go with the column factors ``f``."""
+        return frame.withColumn("a", ratio("rt", F.sum(F.col("base") * F.col("f")).over(W.partitionBy(*line))))
+
+    def columns(frame: DataFrame) -> DataFrame:
+        """The next column factors ``f``, beside those they came from as ``g``."""
+        sums = lifted(frame).groupBy(*across).agg(F.sum(F.col("base") * F.col("a")).alias("s"), F.first("ct").alias("ct"), F.first("f").alias("g"))
+        return sums.select(*across, ratio("ct", F.col("s")).alias("f"), "g")
+
+    def meet(b: DataFrame) -> DataFrame:
+        return dealt.join(F.broadcast(b) if short else b, across)
+
+    b = columns(dealt.withColumn("f", F.when(F.col("ct").isNotNull(), 1.0).otherwise(0.0)))
+    b, moved = cut_lineage(b), None
+    short = b.count() <= VECTOR_ROWS
+    for i in range(2, max_iter + 1):
+        b = columns(meet(b.drop("g")))
         if i % checkpoint_every and i < max_iter:
             continue
         b = cut_lineage(b)
-        if last is not None:
-            moved = b.join(last, [*keys, "d"]).agg(F.max(F.abs(F.try_divide("f", "g") - 1))).first()[0]
-            if moved is None or moved <= tol:
-                break
-        last = b.withColumnRenamed("f", "g")
+        moved = b.agg(F.max(F.abs(F.try_divide("f", "g") - 1))).first()[0]
+        if moved is None or moved <= tol:
+            break
     else:
-        raise FitError(f"after {max_iter} rounds a factor still moves by {moved:.3g}")
-    a = cut_lineage(step("o", "d", rows, b))
-    b = cut_lineage(step("d", "o", cols, a))
-    fa, fb = a.withColumnRenamed("f", "fa"), b.withColumnRenamed("f", "fb")
-    fitted = cells.join(fa, [*keys, "o"]).join(fb, [*keys, "d"])
-    return fitted.select(*keys, "o", "d", (F.col("base") * F.col("fa") * F.col("fb")).alias("trips"))
+        raise FitError(f"after {max_iter} rounds a factor still moves by {moved if moved is None else format(moved, '.3g')}")
+    last = cut_lineage(columns(meet(b.drop("g"))).select(*across, F.col("g").alias("f"), F.col("f").alias("fb")))
+    return lifted(meet(last)).select(*line, "d", (F.col("base") * F.col("a") * F.col("fb")).alias("trips"))
 
 
 def mat_growth_factor(
-    od: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int = 100, tol: float = 0.001, checkpoint_every: int = 2, keys: Sequence[str] = ()
+    od: DataFrame, rows: DataFrame, cols: DataFrame, max_iter: int = 100, tol: float = 0.001, checkpoint_every: int = 4, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Doubly constrained growth of a seed matrix (or one for each of ``keys``) to new trip ends."""
     return fit_margins(od.select(*keys, "o", "d", F.col("trips").alias("base")), rows, cols, max_iter, tol, checkpoint_every, keys)
@@ -196,7 +211,7 @@ def mat_growth_factor(
 
 def mat_gravity(
     skim: DataFrame, rows: DataFrame, cols: DataFrame, c: float, k: str | None = None, max_iter: int = 500, tol: float = 0.001,
-    checkpoint_every: int = 2, keys: Sequence[str] = (),
+    checkpoint_every: int = 4, keys: Sequence[str] = (),
 ) -> DataFrame:
     """Doubly constrained gravity model with friction exp(-c x impedance) and optional K factors."""
     friction = F.exp(-c * F.col("imp"))

@@ -165,33 +165,70 @@ def net_intersection_density(links: DataFrame, nodes: DataFrame, zones: DataFram
     return zones.select("taz", "area").join(near, "taz").withColumn("density", F.try_divide(F.col("legs").cast("double"), F.col("area")))
 
 
-def net_apply_projects(links: DataFrame, edits: DataFrame, base: Column, key: str = "id") -> tuple[DataFrame, DataFrame]:
-    """A scenario network from the master links and an ordered edit list, and the edits that fail.
+def _replayed(table: DataFrame, edits: DataFrame, base: Column, key: str) -> tuple[DataFrame, DataFrame]:
+    """``table`` after the edits of its keys in the order of ``seq``, and the edits that cannot be made.
 
-    ``edits`` is (seq, id, action, field_name, field_value). Links are in the scenario if in
-    the base or added, unless removed; of several readable edits of a field the last one counts,
-    and an edit whose value does not fit the field's type is returned as an error.
+    The log of a key is replayed as it stands: Add puts the row in, Remove or Delete takes it out until a
+    later Add, and a Modify counts whether the row is in or out. So the last Add or Remove decides
+    on the row (``base`` where there is none), and the last readable Modify on each field: one aggregate, whatever
+    the length of a log.
     """
-    fields = [f for f in links.schema if f.name != key]
-    action = F.col("action")
+    fields = [f for f in table.schema if f.name != key]
+    action, seq = F.col("action"), F.col("seq")
 
     def unreadable(field: StructField) -> Column:
         return F.col("field_value").isNotNull() & F.col("field_value").try_cast(field.dataType).isNull()
 
     def last(field: StructField) -> Column:
+        # A struct, so that a value set to null is told from no edit.
         mine = (action == "Modify") & (F.col("field_name") == field.name) & ~unreadable(field)
-        return F.max_by(F.when(mine, F.col("field_value")), F.when(mine, F.col("seq"))).alias(f"__{field.name}")
+        return F.max_by(F.when(mine, F.struct("field_value")), F.when(mine, seq)).alias(f"__{field.name}")
 
-    per_link = edits.groupBy(key).agg(
-        F.max((action == "Add").cast("int")).alias("__add"),
-        F.max(action.isin("Remove", "Delete").cast("int")).alias("__drop"),
-        *[last(f) for f in fields],
-    )
-    joined = links.join(per_link, key, "left").filter(base | (F.coalesce("__add", F.lit(0)) == 1)).filter(F.coalesce("__drop", F.lit(0)) == 0)
-    net = joined.select(key, *[F.coalesce(F.col(f"__{f.name}").try_cast(f.dataType), F.col(f.name)).alias(f.name) for f in fields])
-    unknown = edits.join(links.select(key), key, "left_anti").withColumn("error", F.lit("link does not exist"))
+    stands = action.isin("Add", "Remove", "Delete")
+    per_key = edits.groupBy(key).agg(F.max_by(F.when(stands, action == "Add"), F.when(stands, seq)).alias("__in"), *[last(f) for f in fields])
+    joined = table.join(per_key, key, "left").filter(F.coalesce("__in", base))
+    made = [
+        F.when(F.col(f"__{f.name}").isNotNull(), F.col(f"__{f.name}.field_value").try_cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name) for f in fields
+    ]
     names = F.lit([f.name for f in fields]) if fields else F.array()
-    wrong = edits.filter((action == "Modify") & ~F.array_contains(names, F.col("field_name")))
+    modify = action == "Modify"
     bad = first_match([(F.col("field_name") == f.name, unreadable(f)) for f in fields], F.lit(False))
-    failed = edits.filter((action == "Modify") & bad).withColumn("error", F.lit("value cannot be read"))
-    return net, unknown.unionByName(wrong.withColumn("error", F.lit("field does not exist"))).unionByName(failed)
+    known = table.select(key).distinct().withColumn("__known", F.lit(True))
+    told = edits.join(known, key, "left").withColumn(
+        "error",
+        F.when(F.col("__known").isNull(), "does not exist")
+        .when(modify & ~F.coalesce(F.array_contains(names, F.col("field_name")), F.lit(False)), "field does not exist")
+        .when(modify & bad, "value cannot be read")
+        .when(~F.coalesce(modify | stands, F.lit(False)), "unknown action"),
+    )
+    return joined.select(key, *made), told.drop("__known").filter("error IS NOT NULL")
+
+
+def net_apply_projects(
+    links: DataFrame, edits: DataFrame, base: Column, key: str = "id", nodes: DataFrame | None = None, node_base: Column | None = None, node_key: str = "node"
+) -> tuple[DataFrame, ...]:
+    """A scenario network from the master links and an ordered edit list, and the edits that fail.
+
+    ``edits`` is (seq, id, action, field_name, field_value): Add, Remove (or Delete) and Modify, replayed in
+    the order of ``seq``, so that an Add after a Remove brings the link back. Links are in the scenario if
+    ``base`` holds and no edit says otherwise. An edit whose value does not fit the field's type, of an unknown
+    field, action or id, is returned with its error; the rest of a log counts.
+
+    With ``nodes`` the list has a column ``layer`` (``Link``, or null, and ``Node``), Node edits are replayed on
+    the nodes in the same way (``node_base``: all nodes by default), and the result is (links, nodes, errors): links carry
+    the fields of their end nodes as ``from_<field>`` and ``to_<field>``, and a link goes where an end is gone.
+    """
+    if nodes is None:
+        return _replayed(links, edits, base, key)
+    layer = F.coalesce(F.col("layer"), F.lit("Link"))
+    kept_links, link_errors = _replayed(links, edits.filter(layer == "Link"), base, key)
+    of_nodes = edits.filter(layer == "Node").withColumnRenamed(key, node_key)
+    kept_nodes, node_errors = _replayed(nodes, of_nodes, F.lit(True) if node_base is None else node_base, node_key)
+    other = edits.filter(~layer.isin("Link", "Node")).withColumn("error", F.lit("unknown layer"))
+    fields = [c for c in nodes.columns if c != node_key]
+    placed = kept_links
+    for end in ("from", "to"):
+        at = kept_nodes.select(F.col(node_key).alias(f"{end}_id"), *[F.col(c).alias(f"{end}_{c}") for c in fields])
+        placed = placed.join(at, f"{end}_id")
+    errors = link_errors.unionByName(node_errors.withColumnRenamed(node_key, key)).unionByName(other)
+    return placed.select(*kept_links.columns, *[f"{end}_{c}" for end in ("from", "to") for c in fields]), kept_nodes, errors

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,3 +41,18 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager)
+
+
+def dealt_out(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` written once to the shared folder in buckets of ``keys``, one for each shuffle partition.
+
+    Spark knows how the rows lie, so grouping by ``keys`` needs no exchange, however often it is read.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"wayfare_{uuid.uuid4().hex[:12]}"
+    rows = df.repartition(parts, *keys).write.bucketBy(parts, *keys).option("path", scratch_path(spark, "buckets"))
+    rows.saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name; the files stay for the readers
+    return table
