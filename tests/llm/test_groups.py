@@ -269,10 +269,21 @@ def test_top_k_equals_brute_force(spark):
 def test_top_k_evaluates_few_when_bounds_are_tight():
     rng = np.random.default_rng(2)
     rows = np.repeat(rng.integers(-100, 100, (40, 4)), 100, axis=0) + rng.integers(-2, 3, (4000, 4))
-    pivots = topk.choose_pivots(rows.astype(float), 16)
-    table = lambda v: np.sqrt(((v[:, None, :] - pivots[None]) ** 2).sum(2))
-    got = topk.block_top((np.arange(3), rows[:3], table(rows[:3])), (np.arange(4000), rows, table(rows)), 5)
+    basis = topk.pivot_basis(topk.choose_pivots(rows.astype(float), 3))
+    block = lambda at: topk.Block(at.astype(np.int64).tobytes(), rows[at].astype(np.int64).tobytes(), 4, basis)
+    got, seen = topk.block_top(block(np.arange(3)), block(np.arange(4000)), 5, np.full(3, -np.inf))
     for q in range(3):
         score = rows @ rows[q]
         want = sorted((-int(s), i) for i, s in enumerate(score) if i != q)[:5]
         assert [(-s, i) for a, i, s in got if a == q] == want
+    assert seen < 0.3 * 3 * 4000
+
+
+def test_top_k_of_very_large_integers():
+    rng = np.random.default_rng(4)
+    rows = rng.integers(-(2**60), 2**60, (60, 4))
+    block = lambda at: topk.Block(at.astype(np.int64).tobytes(), rows[at].tobytes(), 4, topk.pivot_basis(rows[:3].astype(float)))
+    got, _ = topk.block_top(block(np.arange(5)), block(np.arange(60)), 5, np.full(5, -np.inf))
+    for q in range(5):
+        want = sorted((-sum(int(x) * int(y) for x, y in zip(rows[q], r, strict=True)), i) for i, r in enumerate(rows) if i != q)[:5]
+        assert [(-s, i) for a, i, s in got if a == q] == want
