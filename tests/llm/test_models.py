@@ -162,3 +162,26 @@ def test_isotonic_levels_ascend():
     x = rng.random(500)
     at, level = quality.isotonic(x, (rng.random(500) < x).astype(float))
     assert (np.diff(level) > 0).all() and (np.diff(at) > 0).all()
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_meet_under_polynomial_hashes_stay_apart(frame, tokenizer):
+    from wayfare.llm.common import span_hashes
+    from wayfare.llm.ngram_join import near_groups
+
+    words = [w for n in (1024, 4096, 65536 * 2) for w in (thue_morse(n), thue_morse(n).translate({97: 98, 98: 97}))]
+    codes = np.frombuffer("".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    hashes = span_hashes(codes, ends - [len(w) for w in words], ends)
+    assert len(set(hashes.tolist())) == len(words)
+    alone = [int(span_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in words]
+    assert alone == hashes.tolist()  # wherever a word stands
+    rows = list(enumerate(words))
+    want = {i: len(tokenizer.encode(w, add_special_tokens=False).ids) for i, w in rows}
+    ids = {i: hashlib.sha256(np.array(tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()).hexdigest() for i, w in rows}
+    got = {r["doc_id"]: r for r in bpe.bpe_digests(frame(rows), PATH).collect()}
+    assert {i: r["n_tokens"] for i, r in got.items()} == want and {i: r["ids_sha256"] for i, r in got.items()} == ids
+    assert all(r["component_id"] == r["doc_id"] for r in near_groups(frame(rows)).collect())

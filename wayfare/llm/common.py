@@ -141,25 +141,28 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_WEIGHTS = [np.ones(0, np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base and of its inverse modulo 2**64."""
-    if len(_POWERS[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS[0][:n], _POWERS[1][:n]
+def _weights(n: int) -> np.ndarray:
+    """Fixed pseudo-random numbers, one for each place of a slice."""
+    if len(_WEIGHTS[0]) < n:
+        _WEIGHTS[0] = mix(np.arange(1, 1 + (1 << max(16, (n - 1).bit_length())), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return _WEIGHTS[0]
 
 
 def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the slices ``codes[start:end]`` (bytes or code points), all at once."""
-    up, down = _powers(len(codes) + 1)
+    """64-bit hashes of the slices ``codes[start:end]`` (bytes or code points), all at once.
+
+    Slices follow each other and do not overlap. Each code is multiplied by the number of its place in its
+    slice, and these have no structure (powers of a base do: modulo 2**64 some words then meet under any base).
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    weights = _weights(int((ends - starts).max(initial=1)))
+    place = np.zeros(len(codes), np.int64)
+    place[starts] = starts
+    place = np.minimum(np.arange(len(codes)) - np.maximum.accumulate(place), len(weights) - 1)
     total = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts]
-    return mix(h + (ends - starts).astype(np.uint64))
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * weights[place], out=total[1:])
+    return mix(total[ends] - total[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
