@@ -15,24 +15,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import table
+from wayfare.llm.common import cut, stored, table
 from wayfare.llm.dedup import exact_groups
 from wayfare.llm.langid import train, with_language
 from wayfare.llm.ngram_join import near_groups
 from wayfare.llm.packing import pack_documents
 from wayfare.llm.pii import redacted
+from wayfare.operators.windows import win_surrogate_id
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 WINDOW = 2048
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null, or no letter) go; the others get the predicted one."""
+    """Documents without a language (null, or no letter) go; where ``lang`` is null the others get the predicted one."""
     langs, matrix = train(docs)
     if not langs:
         return docs.select(*COLUMNS).filter(F.coalesce("text", F.lit("")).rlike(r"\p{L}"))
-    found = with_language(docs.select(*COLUMNS), langs, matrix, "lang")
-    return found.filter("lang <> 'und'").select(*COLUMNS)
+    found = with_language(docs.select(*COLUMNS), langs, matrix, "predicted").filter("predicted <> 'und'")
+    return found.withColumn("lang", F.coalesce("lang", "predicted")).select(*COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +44,17 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates the document that names the group stays, and all without an id."""
-    kept = near_groups(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("kept_id")).select(*COLUMNS).union(docs.filter("doc_id IS NULL").select(*COLUMNS))
+    """Of near duplicates the document with the smallest id stays, null being the smallest.
+
+    Rows are told apart by id and text, so an id may come with several texts; rows alike in both stay or go together.
+    """
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    places = docs.select(F.col("doc_id").alias("place_id"), digest.alias("place_digest")).distinct()
+    places = cut(win_surrogate_id(places, ["place_id", "place_digest"], "place"))
+    placed = docs.join(places, F.col("doc_id").eqNullSafe(F.col("place_id")) & (digest == F.col("place_digest"))).select(*COLUMNS, "place")
+    placed = stored(placed, "pipeline-placed")
+    kept = near_groups(placed, id_col="place").filter("doc_id = component_id").select(F.col("doc_id").alias("kept_place")).distinct()
+    return placed.join(kept, F.col("place") == F.col("kept_place")).select(*COLUMNS)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
