@@ -142,6 +142,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _WEIGHTS = [np.ones(0, np.uint64)]
+_PLACES = [np.zeros(0, np.int32)]
 
 
 def _weights(n: int) -> np.ndarray:
@@ -159,10 +160,15 @@ def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    weights = _weights(int((ends - starts).max(initial=1)))
-    place = np.zeros(len(codes), np.int64)
-    place[starts] = starts
-    place = np.minimum(np.arange(len(codes)) - np.maximum.accumulate(place), len(weights) - 1)
-    total = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * weights[place], out=total[1:])
-    return mix(total[ends] - total[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    size = ends - starts
+    weights, n = _weights(int(size.max())), len(codes)
+    if len(_PLACES[0]) < n:
+        _PLACES[0] = np.arange(1 << (n - 1).bit_length(), dtype=np.int32)
+    begin = np.zeros(n, np.int32)
+    begin[starts] = starts
+    place = _PLACES[0][:n] - np.maximum.accumulate(begin, out=begin)
+    total = np.zeros(n + 1, np.uint64)
+    part = weights.take(place, mode="clip")  # what lies between slices may be farther than any place in one
+    np.multiply(part, codes, out=part, casting="unsafe")
+    np.cumsum(part, out=total[1:])
+    return mix(total[ends] - total[starts] + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
