@@ -29,15 +29,14 @@ def mat_transit_trips(t):
 @query(
     "o:i d:i core:s trips:f6",
     f"""
-WITH u AS (SELECT o, d, core, SUM(trips) AS trips FROM (SELECT * FROM ({PCE_SQL}) a UNION ALL SELECT o, d, 'AM_Pass', trips FROM v_od WHERE core = 1996
- UNION ALL SELECT o, d, 'PM_SUT', trips FROM v_od WHERE core = 1997) y GROUP BY 1, 2, 3)
+WITH u AS (SELECT o, d, core, SUM(trips) AS trips FROM (SELECT * FROM ({PCE_SQL}) a UNION ALL SELECT o, d, 'AM_Pass', trips FROM v_od WHERE core % 2 = 0
+ UNION ALL SELECT o, d, 'PM_SUT', trips FROM v_od WHERE core % 2 = 1) y GROUP BY 1, 2, 3)
 SELECT o, d, core, trips FROM u UNION ALL SELECT o, d, UPPER(SPLIT_PART(core, '_', 2)), SUM(trips) FROM u GROUP BY 1, 2, 3""",
 )
 def mat_trip_table(t):
-    od = t.od
-    ext = od.filter("core = 1996").withColumn("core", F.lit("AM_Pass"))
-    trk = od.filter("core = 1997").withColumn("core", F.lit("PM_SUT"))
-    return mat.mat_trip_table(mat.mat_pce_trips(t.v_trip), ext, trk)
+    """Car trips with the matrices of all years, even ones as external trips and odd ones as trucks."""
+    more = t.v_od.withColumn("core", F.when(F.col("core") % 2 == 0, "AM_Pass").otherwise("PM_SUT"))
+    return mat.mat_trip_table(mat.mat_pce_trips(t.v_trip), more)
 
 
 def _tod_sql():
@@ -67,34 +66,36 @@ def mat_pa_to_od(t):
     return mat.mat_pa_to_od(t.v_od, ["core"])
 
 
+# The year, the one after it and the one after that as base, seed and scenario, for every year.
+_YEARS = """SELECT core, o, d, trips AS b, 0 AS s, 0 AS x FROM v_od UNION ALL SELECT core - 1, o, d, 0, trips, 0 FROM v_od UNION ALL SELECT core - 2, o, d, 0, 0, trips FROM v_od"""
+
+
 @query(
-    "o:i d:i trips:f6",
-    """
-SELECT o, d, CASE WHEN b <= 0.01 AND x <= 0.01 THEN s WHEN b <= 0.01 THEN s + x WHEN x <= 0.01 THEN 0 WHEN s <= 0.01 THEN GREATEST(x - b, 0)
+    "core:i o:i d:i trips:f6",
+    f"""
+SELECT core, o, d, CASE WHEN b <= 0.01 AND x <= 0.01 THEN s WHEN b <= 0.01 THEN s + x WHEN x <= 0.01 THEN 0 WHEN s <= 0.01 THEN GREATEST(x - b, 0)
   WHEN x <= 1.5 * b THEN s * x / b ELSE s * 1.5 + x - 1.5 * b END AS trips
-FROM (SELECT o, d, SUM(CASE WHEN core = 1996 THEN trips ELSE 0 END) AS b, SUM(CASE WHEN core = 1997 THEN trips ELSE 0 END) AS s, SUM(CASE WHEN core = 1998 THEN trips ELSE 0 END) AS x
- FROM v_od WHERE core IN (1996, 1997, 1998) GROUP BY o, d) y""",
+FROM (SELECT core, o, d, SUM(b) AS b, SUM(s) AS s, SUM(x) AS x FROM ({_YEARS}) q GROUP BY core, o, d) y""",
 )
 def mat_pivot_point(t):
+    """Every year pivoted by the change to the second year after it."""
     od = t.od
-    return mat.mat_pivot_point(od.filter("core = 1996"), od.filter("core = 1997"), od.filter("core = 1998"), 1.5)
+    seed, new = (od.withColumn("core", F.col("core") - ahead) for ahead in (1, 2))
+    return mat.mat_pivot_point(od, seed, new, 1.5, keys=["core"])
 
 
 @query(
-    "o:i pivoted:f6 growth:f6",
-    """
-SELECT o, GREATEST(p, 0) AS pivoted, GREATEST(GREATEST(p, 0) - s, 0) AS growth FROM (
- SELECT o, s, CASE WHEN f < 0.5 THEN s * f WHEN f > 1.5 THEN s + x - b ELSE (f - 0.5) * (s + x - b) + (1.5 - f) * s * f END AS p FROM (
-  SELECT o, s, b, x, COALESCE(x / NULLIF(b, 0), 0) AS f FROM (SELECT o, SUM(CASE WHEN core = 1996 THEN trips ELSE 0 END) AS b, SUM(CASE WHEN core = 1997 THEN trips ELSE 0 END) AS s,
-   SUM(CASE WHEN core = 1998 THEN trips * (1 + o % 3) / 2 ELSE 0 END) AS x FROM v_od GROUP BY o) q) r) w""",
+    "core:i o:i pivoted:f6 growth:f6",
+    f"""
+SELECT core, o, GREATEST(p, 0) AS pivoted, GREATEST(GREATEST(p, 0) - s, 0) AS growth FROM (
+ SELECT core, o, s, CASE WHEN f < 0.5 THEN s * f WHEN f > 1.5 THEN s + x - b ELSE (f - 0.5) * (s + x - b) + (1.5 - f) * s * f END AS p FROM (
+  SELECT core, o, s, b, x, COALESCE(x / NULLIF(b, 0), 0) AS f FROM (SELECT core, o, SUM(b) AS b, SUM(s) AS s, SUM(x * (1 + o % 3) / 2) AS x FROM ({_YEARS}) v GROUP BY core, o) q) r) w""",
 )
 def vec_pivot_blend(t):
-    def year(y, v):
-        return F.sum(F.when(F.col("core") == y, v).otherwise(0))
-
-    trips = F.col("trips")
+    trips, core = F.col("trips"), F.col("core")
     grown = trips * (1 + F.col("o") % 3) / 2
-    rows = t.v_od.groupBy("o").agg(year(1996, trips).alias("base"), year(1997, trips).alias("seed"), year(1998, grown).alias("scen"))
+    years = F.explode(F.array(*[F.struct((core - ahead).alias("core"), F.lit(n).alias("as"), v.alias("v")) for ahead, n, v in ((0, "base", trips.cast("double")), (1, "seed", trips.cast("double")), (2, "scen", grown.cast("double")))]))
+    rows = t.v_od.select("o", years.alias("y")).groupBy("y.core", "o").agg(*[F.sum(F.when(F.col("y.as") == n, F.col("y.v")).otherwise(0.0)).alias(n) for n in ("base", "seed", "scen")])
     return mat.vec_pivot_blend(rows, "seed", "base", "scen")
 
 
@@ -116,20 +117,22 @@ def vec_trip_generation(t):
 
 
 @query(
-    "z:i a:f6 p50:f6 a50:f6",
+    "core:i z:i a:f6 p50:f6 a50:f6",
     """
-WITH m AS (SELECT p.z, p.p, a.a FROM (SELECT o AS z, SUM(trips) AS p FROM v_od WHERE core = 1996 GROUP BY 1) p JOIN (SELECT d AS z, SUM(trips) AS a FROM v_od WHERE core = 1997 GROUP BY 1) a ON a.z = p.z),
- s AS (SELECT SUM(p) AS p, SUM(a) AS a, SUM(CASE WHEN z >= 20 THEN a ELSE 0 END) AS held FROM m)
-SELECT z, CASE WHEN z >= 20 THEN m.a ELSE m.a * (s.p - held) / (s.a - held) END AS a, m.p * (0.5 * s.p + 0.5 * s.a) / s.p AS p50, m.a * (0.5 * s.p + 0.5 * s.a) / s.a AS a50 FROM m, s""",
+WITH m AS (SELECT p.core, p.z, p.p, a.a FROM (SELECT core, o AS z, SUM(trips) AS p FROM v_od GROUP BY 1, 2) p JOIN (SELECT core - 1 AS core, d AS z, SUM(trips) AS a FROM v_od GROUP BY 1, 2) a ON a.z = p.z AND a.core = p.core),
+ s AS (SELECT core, SUM(p) AS p, SUM(a) AS a, SUM(CASE WHEN z >= 20 THEN a ELSE 0 END) AS held FROM m GROUP BY core)
+SELECT m.core, z, CASE WHEN z >= 20 THEN m.a ELSE m.a * COALESCE((s.p - held) / NULLIF(s.a - held, 0), 0) END AS a, m.p * (0.5 * s.p + 0.5 * s.a) / s.p AS p50, m.a * (0.5 * s.p + 0.5 * s.a) / s.a AS a50
+FROM m JOIN s ON s.core = m.core""",
 )
 def mat_balance_vectors(t):
+    """The productions of each year against the attractions of the next."""
     od = t.od
-    p = od.filter("core = 1996").groupBy(F.col("o").alias("z")).agg(F.sum("trips").alias("p"))
-    a = od.filter("core = 1997").groupBy(F.col("d").alias("z")).agg(F.sum("trips").alias("a"))
-    both = p.join(a, "z")
-    held = mat.mat_balance_vectors(both, "p", "a", hold=F.col("z") >= 20).select("z", "a")
-    mixed = mat.mat_balance_vectors(both, "p", "a", weight=0.5).select("z", F.col("p").alias("p50"), F.col("a").alias("a50"))
-    return held.join(mixed, "z")
+    p = od.groupBy("core", F.col("o").alias("z")).agg(F.sum("trips").alias("p"))
+    a = od.groupBy((F.col("core") - 1).alias("core"), F.col("d").alias("z")).agg(F.sum("trips").alias("a"))
+    both = p.join(a, ["core", "z"])
+    held = mat.mat_balance_vectors(both, "p", "a", hold=F.col("z") >= 20, keys=["core"]).select("core", "z", "a")
+    mixed = mat.mat_balance_vectors(both, "p", "a", weight=0.5, keys=["core"]).select("core", "z", F.col("p").alias("p50"), F.col("a").alias("a50"))
+    return held.join(mixed, ["core", "z"])
 
 
 def fit_sql(base, rows, cols, n, key):

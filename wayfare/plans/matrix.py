@@ -84,14 +84,15 @@ def mat_pa_to_od(od: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return both.groupBy(*keys, F.col("w.o").alias("o"), F.col("w.d").alias("d")).agg(F.sum("trips").alias("trips"))
 
 
-def mat_pivot_point(base: DataFrame, seed: DataFrame, new: DataFrame, k2: float, zero: float = 0.01) -> DataFrame:
-    """Pivot the seed cells by the modelled change from base to new.
+def mat_pivot_point(base: DataFrame, seed: DataFrame, new: DataFrame, k2: float, zero: float = 0.01, keys: Sequence[str] = ()) -> DataFrame:
+    """Pivot the seed cells by the modelled change from base to new, for each of ``keys`` by itself.
 
     Growth applies to the seed in proportion up to ``k2`` times the base, and is added
     beyond it; cells that were empty in the base or the seed take the change itself.
     """
-    sides = [m.select("o", "d", F.col("trips").cast("double").alias(n)) for m, n in ((base, "base"), (seed, "seed"), (new, "inp"))]
-    cells = reduce(lambda a, b: a.join(b, ["o", "d"], "full"), sides).na.fill(0.0, ["base", "seed", "inp"])
+    cell = [*keys, "o", "d"]
+    sides = [m.select(*cell, F.col("trips").cast("double").alias(n)) for m, n in ((base, "base"), (seed, "seed"), (new, "inp"))]
+    cells = reduce(lambda a, b: a.join(b, cell, "full"), sides).na.fill(0.0, ["base", "seed", "inp"])
     b, s, x = F.col("base"), F.col("seed"), F.col("inp")
     limit = k2 * b
     grown = s * F.least(x, limit) / b + F.greatest(x - limit, F.lit(0.0))
@@ -104,7 +105,7 @@ def mat_pivot_point(base: DataFrame, seed: DataFrame, new: DataFrame, k2: float,
         ],
         grown,
     )
-    return cells.select("o", "d", out.alias("trips"))
+    return cells.select(*cell, out.alias("trips"))
 
 
 def vec_pivot_blend(zones: DataFrame, seed: str, base: str, scenario: str) -> DataFrame:
@@ -131,19 +132,23 @@ def vec_trip_generation(zones: DataFrame, equations: dict[str, dict[str, float]]
     return zones.withColumns(cols)
 
 
-def mat_balance_vectors(zones: DataFrame, p: str, a: str, hold: Column | None = None, weight: float | None = None) -> DataFrame:
-    """Scale attractions to the production total, held zones kept; or both to a weighted total."""
+def mat_balance_vectors(zones: DataFrame, p: str, a: str, hold: Column | None = None, weight: float | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """Scale attractions to the production total, held zones kept; or both to a weighted total; for each of ``keys`` by itself."""
     keep = F.lit(False) if hold is None else F.coalesce(hold, F.lit(False))
-    sums = zones.agg(
-        F.sum(p).alias("p"), F.sum(F.when(~keep, F.col(a))).alias("free"), F.sum(F.when(keep, F.col(a)).otherwise(0)).alias("held"), F.sum(a).alias("a")
-    )
-
-    t = sums.select(F.struct(*[F.col(c).cast("double").alias(c) for c in sums.columns])).scalar()
+    sums = {"p": F.sum(p), "free": F.sum(F.when(~keep, F.col(a))), "held": F.sum(F.when(keep, F.col(a)).otherwise(0)), "a": F.sum(a)}
+    whole = F.struct(*[c.cast("double").alias(n) for n, c in sums.items()])
+    if keys:
+        zones = zones.join(zones.groupBy(*keys).agg(whole.alias("__t")), list(keys))
+        t = F.col("__t")
+    else:
+        t = zones.agg(whole).scalar()
     if weight is None:
         ratio = F.coalesce(F.try_divide(t["p"] - t["held"], t["free"]), F.lit(0.0))
-        return zones.withColumn(a, F.when(keep, F.col(a)).otherwise(F.col(a) * ratio))
-    total = weight * t["p"] + (1 - weight) * t["a"]
-    return zones.withColumns({p: F.col(p) * F.try_divide(total, t["p"]), a: F.col(a) * F.try_divide(total, t["a"])})
+        out = zones.withColumn(a, F.when(keep, F.col(a)).otherwise(F.col(a) * ratio))
+    else:
+        total = weight * t["p"] + (1 - weight) * t["a"]
+        out = zones.withColumns({p: F.col(p) * F.try_divide(total, t["p"]), a: F.col(a) * F.try_divide(total, t["a"])})
+    return out.drop("__t")
 
 
 # Rows of a factor vector that are broadcast to the cells; longer vectors are joined by shuffle.
