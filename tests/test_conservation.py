@@ -221,3 +221,50 @@ def test_dasymetric_keeps_zone_totals(spark):
     totals = spark.createDataFrame([(1, 1234)], "pid int, total int")
     out = spatial.spa_dasymetric(homes, polys, stops, totals, "id", 0.25)
     assert out.agg(F.sum("units")).first()[0] == 1234
+
+
+def capped_plain(cells, rows, cols, cap, rounds=4000):
+    """Weights by cell: each margin in turn solved by bisection of its factor."""
+    f, g = {a: 1.0 for a in rows}, {b: 1.0 for b in cols}
+    def weight(a, b):
+        return cells[a, b] * min(cap, f[a] * g[b])
+    for _ in range(rounds):
+        for own, targets, at in ((f, rows, 0), (g, cols, 1)):
+            for k, target in targets.items():
+                low, high = 0.0, 1e6
+                for _ in range(60):
+                    own[k] = (low + high) / 2
+                    short = sum(weight(*c) for c in cells if c[at] == k) < target
+                    low, high = (own[k], high) if short else (low, own[k])
+    return {c: weight(*c) for c in cells}
+
+
+def test_bounded_raking_against_bisection(spark):
+    rng = random.Random(5)
+    cells = {(a, b): float(1 + rng.randrange(9)) for a in range(3) for b in range(4)}
+    cap = 1.5
+    known = {(a, b): w * min(cap, (0.6 + 0.5 * a) * (0.7 + 0.25 * b)) for (a, b), w in cells.items()}
+    rows = {a: sum(w for c, w in known.items() if c[0] == a) for a in range(3)}
+    cols = {b: sum(w for c, w in known.items() if c[1] == b) for b in range(4)}
+    records = [(i, a, b, w / 2) for i, ((a, b), w) in enumerate([*cells.items(), *cells.items()])]
+    seed = spark.createDataFrame([*records, (90, None, 1, 1.0), (91, 7, 1, 1.0)], "id int, a int, b int, w double")
+    controls = [([k], spark.createDataFrame(list(t.items()), f"{k} int, target double")) for k, t in (("a", rows), ("b", cols))]
+    out = {(r["a"], r["b"]): r["w"] for r in popsyn.pop_raking_bounded(seed, "w", controls, cap, tol=1e-9).collect()}
+    plain = capped_plain(cells, rows, cols, cap, 60)
+    assert sum(abs(2 * out[c] - cap * cells[c]) < 1e-6 for c in cells) >= 3  # the cap binds
+    for c in cells:
+        assert 2 * out[c] == pytest.approx(plain[c], rel=1e-4) and 2 * out[c] == pytest.approx(known[c], rel=1e-5)
+    assert out[None, 1] == 0.0 and out[7, 1] == 0.0
+    wide = {r["id"]: r["w"] for r in popsyn.pop_raking_bounded(seed, "w", controls, 1e9, tol=1e-9).collect()}
+    free = {r["id"]: r["w"] for r in popsyn.pop_raking(seed, "w", controls, tol=1e-9).collect()}
+    assert wide == pytest.approx(free, rel=1e-6)
+
+
+def test_targets_beyond_the_cap_are_listed(spark):
+    seed = spark.createDataFrame([(1, "a", 1.0), (2, "a", 3.0), (3, "b", 2.0), (4, "b", 0.0)], "id int, seg string, w double")
+    goal = spark.createDataFrame([("a", 100.0), ("b", 3.0), ("c", 5.0), ("d", None)], "seg string, target double")
+    out = popsyn.pop_raking_bounded(seed, "w", [(["seg"], goal)], 4.0)
+    assert {r["id"]: r["w"] for r in out.collect()} == {1: 4.0, 2: 12.0, 3: 3.0, 4: 0.0}
+    gaps = {r["category"]: (r["reached"], r["gap"]) for r in popsyn.pop_control_gaps(out, "w", [(["seg"], goal)]).collect()}
+    assert gaps == {"a": (16.0, 84.0), "b": (3.0, 0.0), "c": (0.0, 5.0), "d": (0.0, None)}
+    assert popsyn.pop_raking_bounded(seed.limit(0), "w", [(["seg"], goal)], 4.0).count() == 0

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from wayfare.functions import scalar
 from wayfare.operators import spatial, windows
 from wayfare.plans import highway, matrix, network
 
@@ -160,3 +161,47 @@ def test_whole_sums_beside_running_ones(spark):
     for r in sorted(got, key=lambda r: r["i"]):
         upto[r["g"]] = upto.get(r["g"], 0) + r["v"]
         assert (r["upto"], r["whole"]) == (upto[r["g"]], whole[r["g"]])
+
+
+def test_headings_lengths_and_turns_of_polylines(spark):
+    rows = [(1, [(0.0, 0.0), (0.0, 3.0), (4.0, 3.0)]), (2, [(0.0, 0.0), (-1.0, 1.0)]), (3, [(1.0, 1.0)]), (4, []), (5, None)]
+    df = spark.createDataFrame(rows, "id int, line array<struct<x:double,y:double>>")
+    got = df.select(
+        "id", scalar.polyline_length("line").alias("len"), scalar.polyline_heading("line").alias("a"), scalar.polyline_heading("line", last=True).alias("b"),
+        scalar.polyline_heading("line", reverse=True).alias("c"), scalar.polyline_heading("line", last=True, reverse=True).alias("d"),
+    )
+    out = {r["id"]: tuple(r)[1:] for r in got.collect()}
+    assert out[1] == pytest.approx((7.0, 0.0, 90.0, 270.0, 180.0)) and out[2] == pytest.approx((2**0.5, 315.0, 315.0, 135.0, 135.0))
+    assert out[3] == (0.0, None, None, None, None) and out[4] == out[5] == (None,) * 5
+    turns = spark.createDataFrame([(350.0, 10.0), (10.0, 350.0), (0.0, 180.0), (90.0, 45.0)], "a double, b double")
+    assert [r[0] for r in turns.select(scalar.turn_angle("a", "b")).collect()] == [20.0, -20.0, -180.0, -45.0]
+
+
+def test_link_pairs_against_all_pairs(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice([0, 0, 0, 1, 2, 3]), rng.choice([0, 0, 0, 1, 2, 4]), rng.choice([25, 35, 55, None]), rng.uniform(0, 360), rng.choice([0.0, 359.9, rng.uniform(0, 360), None])) for i in range(250)]
+    rows.append((None, 1, 2, 55, 10.0, 20.0))
+    df = spark.createDataFrame(rows, "id int, from_id int, to_id int, spd int, start_heading double, end_heading double")
+    for limit, thresholds, keep in ((30.0, {"spd": 15}, None), (179.0, None, None), (47.0, None, {"spd": 55}), (180.0, {"spd": 10}, None)):
+        want = []
+        for i, o in ((i, o) for i in rows for o in rows if i[2] == o[1] and i[1] != o[2] and i[5] is not None):
+            turn = (o[4] - i[5] + 180) % 360 - 180
+            diff = None if i[3] is None or o[3] is None else abs(o[3] - i[3])
+            far = thresholds is None or (diff is not None and diff >= thresholds["spd"])
+            if abs(turn) <= limit and far and (keep is None or 55 in (i[3], o[3])):
+                want.append((i[2], i[0], o[0], i[3], o[3]))
+        got = [tuple(r)[:5] for r in network.net_link_pairs(df, "id", ["spd"], limit, thresholds, keep).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str) and got
+
+
+def test_rates_hold_from_the_nearest_lower_speed(spark):
+    hourly = spark.createDataFrame([(20, 100.0, 10.0, 30.0, 50.0, 5.0, 7.0), (4, 9.0, 9.0, 9.0, 0.0, 0.0, 0.0)], "speed_row int, vmt_car double, vmt_su double, vmt_mu double, vol_car double, vol_su double, vol_mu double")
+    rates = spark.createDataFrame([(c, m, s, r) for c in ("car", "trk") for m, s, r in (("co", 5, 2.0), ("co", 18, 1.5), ("co", 21, 9.0), ("fuel", 5, 0.1))], "cls string, measure string, speed int, rate double")
+    out = highway.hwy_fuel_emissions(hourly, rates, {"co": 2.0, "fuel": {"car": 3.0, "trk": 4.0}}, non_fuel={"car": 0.5, "trk": 1.0}, classes=highway.ALL_CLASSES)
+    got, g = {(r["cls"], r["measure"], r["kind"]): r["value"] for r in out.collect()}, highway.GRAMS_TO_TONS
+    assert got == pytest.approx(
+        {
+            ("car", "co", "running"): 100 * 1.5 * 2 * g, ("trk", "co", "running"): 40 * 1.5 * 2 * g, ("car", "co", "start"): 50 * 2 * 2 * g, ("trk", "co", "start"): 12 * 2 * 2 * g,
+            ("car", "fuel", "running"): 30.0, ("trk", "fuel", "running"): 16.0, ("car", "non_fuel", "running"): 54.5, ("trk", "non_fuel", "running"): 58.0,
+        }
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalar import polyline_heading, polyline_length
 from ..plans import highway as hwy
 from ..plans import network as net
 from .registry import query
@@ -28,6 +29,44 @@ def net_attribute_change(t):
     return net.net_attribute_change(t.v_link, ["funcclass", "spd_lmt"], {"spd_lmt": 15}, {"funcclass": 3})
 
 
+# Links drawn by three points: both ends on a raster by node number, a bend between them.
+_DRAWN = """(SELECT *, CAST(from_id % 40 AS DOUBLE) AS x1, CAST(FLOOR(from_id / 40.0) AS DOUBLE) AS y1, CAST(to_id % 40 AS DOUBLE) AS x3, CAST(FLOOR(to_id / 40.0) AS DOUBLE) AS y3,
+  CAST(from_id % 40 + to_id % 40 AS DOUBLE) / 2 + id % 7 - 3 AS x2, CAST(FLOOR(from_id / 40.0) + FLOOR(to_id / 40.0) AS DOUBLE) / 2 + id % 11 - 5 AS y2 FROM v_link)"""
+
+
+def _drawn(t):
+    line = F.array(*[F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2, 3)])
+    return t.sql(f"SELECT * FROM {_DRAWN} d").withColumn("line", line)
+
+
+def _bearing(a, b):
+    return f"CASE WHEN DEGREES(ATAN2(x{b} - x{a}, y{b} - y{a})) < 0 THEN DEGREES(ATAN2(x{b} - x{a}, y{b} - y{a})) + 360 ELSE DEGREES(ATAN2(x{b} - x{a}, y{b} - y{a})) END"
+
+
+@query(
+    "node:i in_id:i out_id:i in_spd_lmt:i out_spd_lmt:i in_heading:f6 out_heading:f6 turn:f6",
+    f"""
+WITH e AS (SELECT id, from_id, to_id, spd_lmt, {_bearing(1, 2)} AS sh, {_bearing(2, 3)} AS eh FROM {_DRAWN} d),
+ p AS (SELECT a.to_id AS node, a.id AS in_id, b.id AS out_id, a.spd_lmt AS in_spd_lmt, b.spd_lmt AS out_spd_lmt, a.eh AS in_heading, b.sh AS out_heading,
+  CASE WHEN b.sh - a.eh >= 180 THEN b.sh - a.eh - 360 WHEN b.sh - a.eh < -180 THEN b.sh - a.eh + 360 ELSE b.sh - a.eh END AS turn
+  FROM e a JOIN e b ON a.to_id = b.from_id WHERE a.from_id <> b.to_id AND ABS(b.spd_lmt - a.spd_lmt) >= 15)
+SELECT * FROM p WHERE ABS(turn) <= 31.7""",
+)
+def net_link_pairs(t):
+    edges = _drawn(t).withColumns({"start_heading": polyline_heading("line"), "end_heading": polyline_heading("line", last=True)})
+    return net.net_link_pairs(edges, "id", ["spd_lmt"], 31.7, {"spd_lmt": 15})
+
+
+@query(
+    "funcclass:i n:i mean:f8 sd:f8 lowest:f8 highest:f8",
+    f"""
+SELECT funcclass, COUNT(r) AS n, AVG(r) AS mean, STDDEV_SAMP(r) AS sd, MIN(r) AS lowest, MAX(r) AS highest FROM (
+ SELECT funcclass, (SQRT((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) + SQRT((x3 - x2) * (x3 - x2) + (y3 - y2) * (y3 - y2)) - length) / length AS r FROM {_DRAWN} d) x GROUP BY funcclass""",
+)
+def net_length_check(t):
+    return net.net_length_check(_drawn(t).withColumn("drawn", polyline_length("line")), "length", "drawn", ["funcclass"])
+
+
 @query(
     "in_funcclass:i out_1:i out_2:i out_3:i",
     """
@@ -270,18 +309,37 @@ def hwy_peak_stats(t):
     return hwy.hwy_peak_stats(hourly(t))
 
 
-_RATES = "(SELECT c.cls, m.measure, s.speed, CAST(m.k * c.k AS DOUBLE) + CAST(200 AS DOUBLE) / s.speed AS rate FROM (SELECT CAST(p_size + 4 AS INT) AS speed FROM part GROUP BY p_size UNION SELECT CAST(p_size + 54 AS INT) FROM part WHERE p_size <= 26 GROUP BY p_size) s JOIN (SELECT 'car' AS cls, 1 AS k, 1 AS one UNION ALL SELECT 'su', 2, 1 UNION ALL SELECT 'mu', 3, 1) c ON c.one = 1 JOIN (SELECT 'co' AS measure, 5 AS k, 1 AS one UNION ALL SELECT 'nox', 7, 1 UNION ALL SELECT 'fuel', 1, 1) m ON m.one = c.one)"
+# Rates by class, measure and speed row; rows are missing for every third speed, where the row below holds.
+_MEASURES = {"co": 5, "co2": 11, "nox": 7, "pm10": 3, "pm25": 2, "sox": 4, "voc": 6, "fuel": 1}
+_UNIT_COST = {"co": 100.0, "co2": 40.0, "nox": 700.0, "pm10": 900.0, "pm25": 1200.0, "sox": 800.0, "voc": 300.0}
+_FUEL = {"car": 3.5, "su": 3.75, "mu": 4.0, "trk": 3.9}
+_NON_FUEL = {"car": 0.25, "su": 0.5, "mu": 0.75, "trk": 0.6}
+
+
+def _values(name, value, table):
+    return "(" + " UNION ALL ".join(f"SELECT '{k}' AS {name}, CAST({v} AS DOUBLE) AS {value}, 1 AS one" for k, v in table.items()) + ")"
+
+
+_RATES = f"""(SELECT c.cls, m.measure, s.speed, m.k * c.k + CAST(200 AS DOUBLE) / s.speed AS rate
+ FROM (SELECT CAST(p_size + 4 AS INT) AS speed FROM part WHERE p_size % 3 < 2 GROUP BY p_size UNION SELECT CAST(p_size + 54 AS INT) FROM part WHERE p_size <= 26 AND p_size % 3 < 2 GROUP BY p_size) s
+ JOIN {_values("cls", "k", {"car": 1, "su": 2, "mu": 3, "trk": 2.5})} c ON c.one = 1 JOIN {_values("measure", "k", _MEASURES)} m ON m.one = c.one)"""
 
 
 @query(
     "cls:s measure:s kind:s value:f3",
     f"""
 WITH h AS (SELECT speed_row AS speed, vol_car, vol_su, vol_mu, vmt_car, vmt_su, vmt_mu FROM {HOURLY} x),
- l AS (SELECT 'car' AS cls, speed, SUM(vmt_car) AS vmt, SUM(vol_car) AS vol FROM h GROUP BY 2 UNION ALL SELECT 'su', speed, SUM(vmt_su), SUM(vol_su) FROM h GROUP BY 2 UNION ALL SELECT 'mu', speed, SUM(vmt_mu), SUM(vol_mu) FROM h GROUP BY 2),
- r AS (SELECT * FROM {_RATES} q)
-SELECT l.cls, measure, 'running' AS kind, SUM(vmt * rate * CASE measure WHEN 'fuel' THEN 1 * CAST(3.5 AS DOUBLE) WHEN 'co' THEN 1.10231131e-6 * 100 ELSE 1.10231131e-6 * 700 END) AS value FROM l JOIN r ON r.cls = l.cls AND r.speed = l.speed GROUP BY 1, 2
-UNION ALL SELECT v.cls, f.measure, 'start', v.vol * f.rate * 1.10231131e-6 * CASE f.measure WHEN 'co' THEN 100 ELSE 700 END FROM (SELECT cls, SUM(vol) AS vol FROM l GROUP BY cls) v
- JOIN (SELECT cls, measure, ARG_MIN(rate, speed) AS rate FROM r WHERE measure <> 'fuel' GROUP BY 1, 2) f ON f.cls = v.cls""",
+ l AS (SELECT 'car' AS cls, speed, SUM(vmt_car) AS vmt, SUM(vol_car) AS vol FROM h GROUP BY 2 UNION ALL SELECT 'su', speed, SUM(vmt_su), SUM(vol_su) FROM h GROUP BY 2
+  UNION ALL SELECT 'mu', speed, SUM(vmt_mu), SUM(vol_mu) FROM h GROUP BY 2 UNION ALL SELECT 'trk', speed, SUM(vmt_su + vmt_mu), SUM(vol_su + vol_mu) FROM h GROUP BY 2),
+ r AS (SELECT * FROM {_RATES} q), u AS (SELECT measure, CAST(1.10231131e-6 AS DOUBLE) * cost AS unit FROM {_values("measure", "cost", _UNIT_COST)} x),
+ f AS (SELECT cls, price FROM {_values("cls", "price", _FUEL)} x), n AS (SELECT cls, cost FROM {_values("cls", "cost", _NON_FUEL)} x),
+ a AS (SELECT l.cls, l.speed, r.measure, l.vmt * ARG_MAX(r.rate, r.speed) AS amount FROM l JOIN r ON r.cls = l.cls AND r.speed <= l.speed GROUP BY l.cls, l.speed, r.measure, l.vmt)
+SELECT a.cls, a.measure, 'running' AS kind, SUM(amount * unit) AS value FROM a JOIN u ON u.measure = a.measure GROUP BY 1, 2
+UNION ALL SELECT a.cls, 'fuel', 'running', SUM(amount * price) FROM a JOIN f ON f.cls = a.cls WHERE measure = 'fuel' GROUP BY 1
+UNION ALL SELECT l.cls, 'non_fuel', 'running', SUM(vmt) * MAX(cost) FROM l JOIN n ON n.cls = l.cls GROUP BY 1
+UNION ALL SELECT v.cls, x.measure, 'start', v.vol * x.rate * u.unit FROM (SELECT cls, SUM(vol) AS vol FROM l GROUP BY cls) v
+ JOIN (SELECT cls, measure, ARG_MIN(rate, speed) AS rate FROM r GROUP BY 1, 2) x ON x.cls = v.cls JOIN u ON u.measure = x.measure""",
 )
 def hwy_fuel_emissions(t):
-    return hwy.hwy_fuel_emissions(hourly(t), t.sql(f"SELECT * FROM {_RATES} q"), {"fuel": 3.5, "co": 100.0, "nox": 700.0})
+    rates = t.sql(f"SELECT * FROM {_RATES} q")
+    return hwy.hwy_fuel_emissions(hourly(t), rates, _UNIT_COST | {"fuel": _FUEL}, non_fuel=_NON_FUEL, classes=hwy.ALL_CLASSES)

@@ -89,6 +89,36 @@ def pop_raking(t):
     return pop.pop_raking(seed, "weight", [(["hhseg"], seg), (["hhtaz"], taz)], tol=1e-10)
 
 
+# Targets are the sums of weights cut off at the cap, so the fit must find these very weights.
+_CAP = 2.0
+_SEG_FACTOR, _TAZ_FACTOR = "CAST(LENGTH(hhseg) AS DOUBLE) / 8", "(CAST(0.5 AS DOUBLE) + CAST(0.35 AS DOUBLE) * (hhtaz % 5))"
+_CAPPED = f"(SELECT hhno, hhseg, hhtaz, hhexpfac, hhexpfac * LEAST(CAST({_CAP} AS DOUBLE), {_SEG_FACTOR} * {_TAZ_FACTOR}) AS weight FROM v_household)"
+
+
+def _capped(t):
+    known = t.sql(f"SELECT * FROM {_CAPPED} x")
+    controls = [([k], known.groupBy(k).agg(F.sum("weight").alias("target"))) for k in ("hhseg", "hhtaz")]
+    seed = t.v_household.select("hhno", "hhseg", "hhtaz", F.col("hhexpfac").alias("weight"))
+    return pop.pop_raking_bounded(seed, "weight", controls, _CAP, tol=1e-9), controls
+
+
+@query("hhno:i hhseg:s hhtaz:i weight:f5", f"SELECT hhno, hhseg, hhtaz, weight FROM {_CAPPED} x")
+def pop_raking_bounded(t):
+    return _capped(t)[0]
+
+
+# Weights fitted to the targets, held against the segment targets and twice the zone targets.
+@query(
+    "control:s category:s target:f5 reached:f5 gap:f5",
+    f"""
+SELECT 'hhseg' AS control, hhseg AS category, SUM(weight) AS target, SUM(weight) AS reached, 0 AS gap FROM {_CAPPED} x GROUP BY hhseg
+UNION ALL SELECT 'hhtaz', CAST(hhtaz AS VARCHAR), 2 * SUM(weight), SUM(weight), SUM(weight) FROM {_CAPPED} x GROUP BY hhtaz""",
+)
+def pop_control_gaps(t):
+    fitted, (seg, (_, taz)) = _capped(t)
+    return pop.pop_control_gaps(fitted, "weight", [seg, (["hhtaz"], taz.withColumn("target", F.col("target") * 2))])
+
+
 @query(
     "hhno:i n:i hhid:i pno:i perid:i",
     """

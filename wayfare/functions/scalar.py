@@ -178,6 +178,34 @@ def fn_heading(x1, y1, x2, y2) -> Column:
     return F.pmod(F.degrees(F.atan2(_c(x2) - _c(x1), _c(y2) - _c(y1))) + 360.0, F.lit(360.0))
 
 
+def polyline_heading(points: str | Column, last: bool = False, reverse: bool = False) -> Column:
+    """Bearing of the first (or last) segment of an ``array<struct<x,y>>``, walked backwards if ``reverse``.
+
+    Null for fewer than two points.
+    """
+    line = F.reverse(_c(points)) if reverse else _c(points)
+    a, b = (F.try_element_at(line, F.lit(i)) for i in ((-2, -1) if last else (1, 2)))
+    return F.when(F.size(line) >= 2, fn_heading(a["x"], a["y"], b["x"], b["y"]))
+
+
+def polyline_length(points: str | Column) -> Column:
+    """Length of an ``array<struct<x,y>>``: a fold that carries the point before. 0 for one point, null for none."""
+    line = _c(points)
+    first = F.try_element_at(line, F.lit(1))
+    start = F.struct(F.lit(0.0).alias("length"), first["x"].cast("double").alias("x"), first["y"].cast("double").alias("y"))
+
+    def further(so_far: Column, p: Column) -> Column:
+        dx, dy = p["x"].cast("double") - so_far["x"], p["y"].cast("double") - so_far["y"]
+        return F.struct((so_far["length"] + F.sqrt(dx * dx + dy * dy)).alias("length"), p["x"].cast("double").alias("x"), p["y"].cast("double").alias("y"))
+
+    return F.when(F.size(line) >= 1, F.aggregate(line, start, further, lambda done: done["length"]))
+
+
+def turn_angle(heading_in: str | Column, heading_out: str | Column) -> Column:
+    """Change of bearing in [-180, 180): right turns are positive, 350 to 10 degrees is a turn of 20."""
+    return F.pmod(_c(heading_out) - _c(heading_in) + 180.0, F.lit(360.0)) - 180.0
+
+
 def fn_haversine(lon1, lat1, lon2, lat2, radius: float = 3956.0) -> Column:
     """Great-circle distance; the default radius gives miles."""
     a1, a2 = F.radians(_c(lat1)), F.radians(_c(lat2))

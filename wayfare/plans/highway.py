@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -401,21 +403,39 @@ def hwy_peak_stats(hourly: DataFrame, keys: Sequence[str] = ("id", "flow")) -> D
     return hourly.groupBy(*keys).agg(*aggs, F.max("vc").alias("max_vc"), F.max("vol").alias("max_vol"), F.min("speed_row").alias("low_speed"), F.sum("delay_hours").alias("delay"))
 
 
-def hwy_fuel_emissions(hourly: DataFrame, rates: DataFrame, costs: dict[str, float], keys: Sequence[str] = ()) -> DataFrame:
-    """Running and start emissions by class and pollutant, and fuel, as amount times unit cost.
+# Vehicle classes, and the columns their miles and volumes are summed from; all trucks have rates of their own.
+CLASSES = {"car": ("car",), "su": ("su",), "mu": ("mu",)}
+ALL_CLASSES = CLASSES | {"trk": ("su", "mu")}
 
-    ``rates`` is (cls, measure, speed, rate) with whole speeds. Rates depend on class and
-    speed only, so miles are added up by speed before the rates are joined. Starts are
-    valued at the rate of the first speed row; ``fuel`` is not a pollutant and is not
-    converted to tons.
+
+def hwy_fuel_emissions(
+    hourly: DataFrame, rates: DataFrame, costs: dict, keys: Sequence[str] = (), non_fuel: dict[str, float] | None = None, classes: dict = CLASSES
+) -> DataFrame:
+    """Running and start emissions by class and pollutant, fuel and non-fuel cost, as amount times unit cost.
+
+    ``rates`` is (cls, measure, speed, rate); a speed without a row takes the nearest lower one, none
+    below the first. Rates depend on class and speed only, so miles are added up by speed first; the
+    rates of a class and measure are one short sorted array, in which each speed finds its row. Starts are
+    valued at the rate of the first row; ``fuel`` is not a pollutant, has no starts and is not
+    converted to tons. A cost is one number or one for each class, 1 if not given; ``non_fuel`` is a cost a mile by class.
     """
-    parts = [F.struct(F.lit(c).alias("cls"), F.col(f"vmt_{c}").alias("vmt"), F.col(f"vol_{c}").alias("vol")) for c in ("car", "su", "mu")]
+    parts = [
+        F.struct(F.lit(c).alias("cls"), *[reduce(add, [F.col(f"{m}_{p}") for p in of]).alias(m) for m in ("vmt", "vol")]) for c, of in classes.items()
+    ]
     long = hourly.select(*keys, "speed_row", F.explode(F.array(*parts)).alias("c"))
     binned = long.groupBy(*keys, F.col("speed_row").alias("speed"), "c.cls").agg(F.sum("c.vmt").alias("vmt"), F.sum("c.vol").alias("vol"))
-    unit = project_case_map("measure", costs, 1.0)
-    tons = F.when(F.col("measure") == "fuel", 1.0).otherwise(GRAMS_TO_TONS)
-    running = binned.join(rates, ["cls", "speed"]).groupBy(*keys, "cls", "measure").agg(F.sum(F.col("vmt") * F.col("rate") * tons * unit).alias("value"))
-    first = rates.groupBy("cls", "measure").agg(F.min_by("rate", "speed").alias("rate")).filter("measure <> 'fuel'")
-    started = binned.groupBy(*keys, "cls").agg(F.sum("vol").alias("vol")).join(first, "cls")
-    starts = started.select(*keys, "cls", "measure", (F.col("vol") * F.col("rate") * GRAMS_TO_TONS * unit).alias("value"))
-    return running.withColumn("kind", F.lit("running")).unionByName(starts.withColumn("kind", F.lit("start")))
+    unit = project_case_map("measure", {m: project_case_map("cls", c, 1.0) if isinstance(c, dict) else c for m, c in costs.items()}, 1.0)
+    unit = unit * F.when(F.col("measure") == "fuel", 1.0).otherwise(GRAMS_TO_TONS)
+    steps = F.array_sort(F.collect_set(F.struct("speed", "rate")))  # whole speeds only: at most some 80
+    table = rates.groupBy("cls", "measure").agg(steps.alias("steps"))
+    valued = binned.join(table, "cls").withColumn("rate", F.try_element_at(F.filter("steps", lambda s: s["speed"] <= F.col("speed")), F.lit(-1))["rate"])
+    running = valued.filter("rate IS NOT NULL").groupBy(*keys, "cls", "measure").agg(F.sum(F.col("vmt") * F.col("rate") * unit).alias("value"))
+    out = running.withColumn("kind", F.lit("running"))
+    by_class = binned.groupBy(*keys, "cls").agg(F.sum("vmt").alias("vmt"), F.sum("vol").alias("vol"))
+    first = table.filter("measure <> 'fuel'").select("cls", "measure", F.col("steps")[0]["rate"].alias("rate"))
+    starts = by_class.join(first, "cls").select(*keys, "cls", "measure", (F.col("vol") * F.col("rate") * unit).alias("value"))
+    out = out.unionByName(starts.withColumn("kind", F.lit("start")))
+    if non_fuel:
+        worn = by_class.withColumn("value", F.col("vmt") * project_case_map("cls", non_fuel)).filter("value IS NOT NULL")
+        out = out.unionByName(worn.select(*keys, "cls", F.lit("non_fuel").alias("measure"), "value", F.lit("running").alias("kind")))
+    return out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
 from ..functions.recode import first_match
-from ..functions.scalar import fn_pct_change_safe
+from ..functions.scalar import fn_pct_change_safe, turn_angle
 from ..operators.joins import join_in_out_links
 from ..operators.spatial import join_buffer_aggregate
 
@@ -56,6 +56,48 @@ def net_attribute_change(edges: DataFrame, attrs: Sequence[str], thresholds: dic
     return pairs
 
 
+def net_link_pairs(
+    edges: DataFrame,
+    link_id: str,
+    attrs: Sequence[str],
+    turn: float,
+    thresholds: dict[str, float] | None = None,
+    keep: dict[str, str] | None = None,
+    start: str = "start_heading",
+    end: str = "end_heading",
+) -> DataFrame:
+    """Pairs of in-link and out-link that turn by at most ``turn`` degrees, with both ids and headings.
+
+    The filters of :func:`net_attribute_change` go by attributes. They are decided on profiles: attributes and
+    a sector of the compass no narrower than ``turn``, so only profiles in the same or a neighbouring sector
+    meet. Links are joined to the profile pairs that passed, and the angle is tested on them: a hub
+    costs the square of its profiles and the pairs it returns or turns down at a sector's edge. No U-turns; a null heading never pairs.
+    """
+    n = max(1, int(360.0 // (turn + 1e-6)))
+
+    def side(node: str, far: str, heading: str, name: str) -> DataFrame:
+        sector = F.least(F.floor(F.col(heading) * n / 360.0), F.lit(n - 1)).cast("int")
+        profile = F.struct(F.col(node).alias("node"), sector.alias("sector"), *attrs)
+        rows = edges.filter(F.col(heading).isNotNull() & F.col(node).isNotNull())
+        return rows.select(profile.alias(f"{name}_p"), F.col(far).alias(f"{name}_far"), F.col(link_id).alias(f"{name}_{link_id}"), F.col(heading).alias(f"{name}_heading"))
+
+    ins, outs = side("to_id", "from_id", end, "in"), side("from_id", "to_id", start, "out")
+    a, b = F.col("in_p.sector"), F.col("out_p.sector")
+    near = [F.array_distinct(F.array(*[F.pmod(a + d, F.lit(n)) for d in (-1, 0, 1)]))]
+    met = ins.select("in_p").distinct().withColumn("sector", F.explode(*near)).withColumn("node", F.col("in_p.node"))
+    met = met.join(outs.select("out_p").distinct().withColumns({"node": F.col("out_p.node"), "sector": b}), ["node", "sector"])
+    for name in attrs:
+        i, o = F.col(f"in_p.{name}"), F.col(f"out_p.{name}")
+        if name in (thresholds or {}):
+            met = met.filter(F.abs(o - i) >= thresholds[name])
+        if name in (keep or {}):
+            met = met.filter((i == keep[name]) | (o == keep[name]))
+    pairs = met.select("in_p", "out_p").join(ins, "in_p").join(outs, "out_p")
+    pairs = pairs.withColumn("turn", turn_angle("in_heading", "out_heading")).filter((F.abs("turn") <= turn) & ~F.col("in_far").eqNullSafe(F.col("out_far")))
+    sides = [c for name in attrs for c in (F.col(f"in_p.{name}").alias(f"in_{name}"), F.col(f"out_p.{name}").alias(f"out_{name}"))]
+    return pairs.select(F.col("in_p.node").alias("node"), f"in_{link_id}", f"out_{link_id}", *sides, "in_heading", "out_heading", "turn")
+
+
 def net_linkage_summary(
     edges: DataFrame, attr: str, values: Sequence, filter_in: Sequence | None = None, filter_out: Sequence | None = None, include_same: bool = False
 ) -> DataFrame:
@@ -92,10 +134,10 @@ def net_coding_audit(links: DataFrame, code: str, name: str, codes: DataFrame, c
     return counts.join(table, code, "left")
 
 
-def net_length_check(links: DataFrame, length: str, geometry_length: str) -> DataFrame:
-    """Distribution of the relative difference between coded and drawn length."""
+def net_length_check(links: DataFrame, length: str, geometry_length: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Distribution of the relative difference between coded and drawn length, by ``keys``."""
     rel = F.try_divide(F.col(geometry_length) - F.col(length), F.col(length))
-    return links.agg(F.count(rel).alias("n"), F.avg(rel).alias("mean"), F.stddev_samp(rel).alias("sd"), F.min(rel).alias("lowest"), F.max(rel).alias("highest"))
+    return links.groupBy(*keys).agg(F.count(rel).alias("n"), F.avg(rel).alias("mean"), F.stddev_samp(rel).alias("sd"), F.min(rel).alias("lowest"), F.max(rel).alias("highest"))
 
 
 def net_node_controls(links: DataFrame, signals: DataFrame, coordinated: str | None = None) -> tuple[DataFrame, DataFrame]:

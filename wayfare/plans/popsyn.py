@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from ..functions.scalar import fn_decimal_money, fn_geo_id_concat
 from ..operators.aggregates import agg_majority_assign
 from ..operators.joins import expanded, join_update_from
 from ..operators.windows import running, win_group_seq, win_surrogate_id
-from ..session import FitError, cut_lineage
+from ..session import FitError, cut_lineage, stored
 
 # Census codes.
 INCOME_FACTORS = {
@@ -145,6 +146,66 @@ def pop_raking(
     return result
 
 
+def pop_raking_bounded(
+    seed: DataFrame, weight: str, controls: Sequence[tuple[Sequence[str], DataFrame]], cap: float, max_iter: int = 60, tol: float = 1e-4
+) -> DataFrame:
+    """Seed weights scaled to the controls, no weight above ``cap`` times its seed weight.
+
+    A weight is its seed times the product of its categories' factors, cut off at ``cap``. Of all weights
+    that meet the controls within the cap, these lie nearest the seed (by relative entropy), so the fit does not depend on the
+    order of the controls. Each control in turn refits the factors of its categories: cells at the cap
+    are held, the others share what is left of the target; where the held cells alone exceed it, all of
+    them shrink. One pass over the folded cells a control; only factors, one a category, are kept.
+
+    A target that no weights within the cap can reach leaves all its cells at the cap and is not an
+    error: :func:`pop_control_gaps` lists what is missed. Null categories and categories without a
+    target have weight 0. Raises :class:`FitError` if factors still move by more than ``tol`` after
+    ``max_iter`` rounds, which other contradictions between controls cause.
+    """
+    controls = [(list(ks), stored(t.filter("target IS NOT NULL").select(*ks, F.col("target").cast("double").alias("target")), "targets")) for ks, t in controls]
+    keys = sorted({k for ks, _ in controls for k in ks})
+    cells = seed.groupBy(*keys).agg(F.sum(F.col(weight).cast("double")).alias("w"))
+    for ks, targets in controls:
+        cells = cells.join(targets.select(*ks), ks, "left_semi")
+    cells = stored(cells, "cells")
+    factors = [targets.select(*ks, F.lit(1.0).alias(f"f{j}"), F.lit(1.0).alias("step")) for j, (ks, targets) in enumerate(controls)]
+
+    def scaled(rows: DataFrame, how: str) -> DataFrame:
+        scale = F.lit(1.0)
+        for j, (ks, _) in enumerate(controls):
+            rows = rows.join(factors[j].drop("step"), ks, how)
+            scale = scale * F.col(f"f{j}")
+        return rows.withColumn("__scale", F.when(scale.isNull(), 0.0).otherwise(F.least(scale, F.lit(float(cap))))).drop(*[f"f{j}" for j in range(len(controls))])
+
+    held, w = F.col("__scale") >= cap, F.col("w") * F.col("__scale")
+    room = F.col("target") - F.col("held")
+    step = F.when((F.col("free") > 0) & (room > 0), room / F.col("free")).when((F.col("held") + F.col("free") > 0) & (room <= 0), F.col("target") / (F.col("held") + F.col("free")))
+    for _ in range(max_iter):
+        for j, (ks, targets) in enumerate(controls):
+            sums = scaled(cells, "inner").groupBy(*ks).agg(F.sum(F.when(held, w).otherwise(0.0)).alias("held"), F.sum(F.when(held, 0.0).otherwise(w)).alias("free"))
+            moved = targets.join(sums, ks, "left").select(*ks, F.coalesce(step, F.lit(1.0)).alias("step"))
+            factors[j] = stored(factors[j].drop("step").join(moved, ks).withColumn(f"f{j}", F.col(f"f{j}") * F.col("step")), "factors")
+        moves = [f.agg(F.max(F.abs(F.col("step") - 1)).alias("m")) for f in factors]
+        if (reduce(DataFrame.unionByName, moves).agg(F.max("m")).first()[0] or 0.0) <= tol:
+            return scaled(seed, "left").withColumn(weight, F.col(weight) * F.col("__scale")).drop("__scale")
+    raise FitError(f"after {max_iter} rounds factors still move by more than {tol:.3g}")
+
+
+def pop_control_gaps(records: DataFrame, weight: str, controls: Sequence[tuple[Sequence[str], DataFrame]]) -> DataFrame:
+    """Target, weight reached and gap of every category: (control, category, target, reached, gap).
+
+    ``control`` names the keys, ``category`` their values, both comma-joined; a target without records reaches 0.
+    """
+    parts = []
+    for ks, targets in controls:
+        got = records.groupBy(*ks).agg(F.sum(F.col(weight).cast("double")).alias("reached"))
+        goal = F.col("target").cast("double").alias("target")
+        rows = targets.select(*ks, goal).join(got, list(ks), "left").withColumn("reached", F.coalesce("reached", F.lit(0.0)))
+        name = F.concat_ws(",", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in ks])
+        parts.append(rows.select(F.lit(",".join(ks)).alias("control"), name.alias("category"), "target", "reached", (F.col("target") - F.col("reached")).alias("gap")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _worst_gap(cells: DataFrame, controls: Sequence[tuple[Sequence[str], DataFrame]]) -> float:
     gaps = None
     for ks, targets in controls:

@@ -56,3 +56,14 @@ def dealt_out(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     table = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the name; the files stay for the readers
     return table
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    Unlike a checkpoint it comes back with its real size: in a loop of joins the size Spark estimates
+    is a product that doubles its digits each round, until planning takes all the time.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
