@@ -183,15 +183,18 @@ def polyline_heading(points: str | Column, last: bool = False, reverse: bool = F
 
     Null for fewer than two points.
     """
-    line = F.reverse(_c(points)) if reverse else _c(points)
-    a, b = (F.try_element_at(line, F.lit(i)) for i in ((-2, -1) if last else (1, 2)))
-    return F.when(F.size(line) >= 2, fn_heading(a["x"], a["y"], b["x"], b["y"]))
+    line = _c(points)
+    at_end = last != reverse
+    a, b = (F.get(line, F.size(line) - k if at_end else F.lit(2 - k)) for k in (2, 1))
+    if reverse:
+        a, b = b, a
+    return fn_heading(a["x"], a["y"], b["x"], b["y"])
 
 
 def polyline_length(points: str | Column) -> Column:
     """Length of an ``array<struct<x,y>>``: a fold that carries the point before. 0 for one point, null for none."""
     line = _c(points)
-    first = F.try_element_at(line, F.lit(1))
+    first = F.get(line, F.lit(0))
     start = F.struct(F.lit(0.0).alias("length"), first["x"].cast("double").alias("x"), first["y"].cast("double").alias("y"))
 
     def further(so_far: Column, p: Column) -> Column:
