@@ -311,18 +311,18 @@ def hwy_peak_stats(t):
 
 # Rates by class, measure and speed row; rows are missing for every third speed, where the row below holds.
 _MEASURES = {"co": 5, "co2": 11, "nox": 7, "pm10": 3, "pm25": 2, "sox": 4, "voc": 6, "fuel": 1}
-_UNIT_COST = {"co": 100.0, "co2": 40.0, "nox": 700.0, "pm10": 900.0, "pm25": 1200.0, "sox": 800.0, "voc": 300.0}
-_FUEL = {"car": 3.5, "su": 3.75, "mu": 4.0, "trk": 3.9}
-_NON_FUEL = {"car": 0.25, "su": 0.5, "mu": 0.75, "trk": 0.6}
+UNIT_COST = {"co": 100.0, "co2": 40.0, "nox": 700.0, "pm10": 900.0, "pm25": 1200.0, "sox": 800.0, "voc": 300.0}
+FUEL = {"car": 3.5, "su": 3.75, "mu": 4.0, "trk": 3.9}
+NON_FUEL = {"car": 0.25, "su": 0.5, "mu": 0.75, "trk": 0.6}
 
 
-def _values(name, value, table):
+def values(name, value, table):
     return "(" + " UNION ALL ".join(f"SELECT '{k}' AS {name}, CAST({v} AS DOUBLE) AS {value}, 1 AS one" for k, v in table.items()) + ")"
 
 
-_RATES = f"""(SELECT c.cls, m.measure, s.speed, m.k * c.k + CAST(200 AS DOUBLE) / s.speed AS rate
+RATES = f"""(SELECT c.cls, m.measure, s.speed, m.k * c.k + CAST(200 AS DOUBLE) / s.speed AS rate
  FROM (SELECT CAST(p_size + 4 AS INT) AS speed FROM part WHERE p_size % 3 < 2 GROUP BY p_size UNION SELECT CAST(p_size + 54 AS INT) FROM part WHERE p_size <= 26 AND p_size % 3 < 2 GROUP BY p_size) s
- JOIN {_values("cls", "k", {"car": 1, "su": 2, "mu": 3, "trk": 2.5})} c ON c.one = 1 JOIN {_values("measure", "k", _MEASURES)} m ON m.one = c.one)"""
+ JOIN {values("cls", "k", {"car": 1, "su": 2, "mu": 3, "trk": 2.5})} c ON c.one = 1 JOIN {values("measure", "k", _MEASURES)} m ON m.one = c.one)"""
 
 
 @query(
@@ -331,8 +331,8 @@ _RATES = f"""(SELECT c.cls, m.measure, s.speed, m.k * c.k + CAST(200 AS DOUBLE)
 WITH h AS (SELECT speed_row AS speed, vol_car, vol_su, vol_mu, vmt_car, vmt_su, vmt_mu FROM {HOURLY} x),
  l AS (SELECT 'car' AS cls, speed, SUM(vmt_car) AS vmt, SUM(vol_car) AS vol FROM h GROUP BY 2 UNION ALL SELECT 'su', speed, SUM(vmt_su), SUM(vol_su) FROM h GROUP BY 2
   UNION ALL SELECT 'mu', speed, SUM(vmt_mu), SUM(vol_mu) FROM h GROUP BY 2 UNION ALL SELECT 'trk', speed, SUM(vmt_su + vmt_mu), SUM(vol_su + vol_mu) FROM h GROUP BY 2),
- r AS (SELECT * FROM {_RATES} q), u AS (SELECT measure, CAST(1.10231131e-6 AS DOUBLE) * cost AS unit FROM {_values("measure", "cost", _UNIT_COST)} x),
- f AS (SELECT cls, price FROM {_values("cls", "price", _FUEL)} x), n AS (SELECT cls, cost FROM {_values("cls", "cost", _NON_FUEL)} x),
+ r AS (SELECT * FROM {RATES} q), u AS (SELECT measure, CAST(1.10231131e-6 AS DOUBLE) * cost AS unit FROM {values("measure", "cost", UNIT_COST)} x),
+ f AS (SELECT cls, price FROM {values("cls", "price", FUEL)} x), n AS (SELECT cls, cost FROM {values("cls", "cost", NON_FUEL)} x),
  a AS (SELECT l.cls, l.speed, r.measure, l.vmt * ARG_MAX(r.rate, r.speed) AS amount FROM l JOIN r ON r.cls = l.cls AND r.speed <= l.speed GROUP BY l.cls, l.speed, r.measure, l.vmt)
 SELECT a.cls, a.measure, 'running' AS kind, SUM(amount * unit) AS value FROM a JOIN u ON u.measure = a.measure GROUP BY 1, 2
 UNION ALL SELECT a.cls, 'fuel', 'running', SUM(amount * price) FROM a JOIN f ON f.cls = a.cls WHERE measure = 'fuel' GROUP BY 1
@@ -341,5 +341,5 @@ UNION ALL SELECT v.cls, x.measure, 'start', v.vol * x.rate * u.unit FROM (SELECT
  JOIN (SELECT cls, measure, ARG_MIN(rate, speed) AS rate FROM r GROUP BY 1, 2) x ON x.cls = v.cls JOIN u ON u.measure = x.measure""",
 )
 def hwy_fuel_emissions(t):
-    rates = t.sql(f"SELECT * FROM {_RATES} q")
-    return hwy.hwy_fuel_emissions(hourly(t), rates, _UNIT_COST | {"fuel": _FUEL}, non_fuel=_NON_FUEL, classes=hwy.ALL_CLASSES)
+    rates = t.sql(f"SELECT * FROM {RATES} q")
+    return hwy.hwy_fuel_emissions(hourly(t), rates, UNIT_COST | {"fuel": FUEL}, non_fuel=NON_FUEL, classes=hwy.ALL_CLASSES)

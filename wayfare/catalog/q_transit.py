@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import fn_road_type
 from ..operators import spatial
+from ..plans import highway as hwy
 from ..plans import moves as mov
+from ..plans import reports as rep
+from ..plans import safety as saf
 from ..plans import transit as trn
 from ..session import scratch_path
 from ..sources import scan
 from .q_joins import PIP_SQL, SITES_SQL, rings, sites
-from .q_network import HOURLY, hourly
+from .q_network import FUEL, HOURLY, NON_FUEL, RATES, UNIT_COST, hourly, values
+from .q_safety import SEGMENT_SQL
 from .registry import query
 
 _ONOFF_MODES = [(1, 0.5), (2, 0.25), (3, 1.5)]
@@ -199,6 +203,54 @@ def rep_network_summary(t):
     return mov.rep_network_summary(links, [(k, i, F.expr(p)) for k, i, p in _REP], _REP_MEASURES)
 
 
+_ITEMS = [
+    ("All", "All links", "id >= 0"), ("SEP", "By class", None), ("Class", "Freeways", "fc IN (1, 11, 12)"), ("Class", "Arterials", "fc IN (2, 6, 14, 16)"), ("Class", "Collectors", "fc IN (7, 8, 17)"),
+    ("Class", "Local", "fc IN (9, 19)"), ("SEP", "By access", None), ("Access", "Full", "access = 3"), ("Area", "Urban", "fc > 10"), ("Area", "Rural", "fc <= 10"), ("Ramp", "Ramps", "ramp = 1"), ("None", "None", "fc = 99"),
+]
+
+
+def _report_sql():
+    """The report as SQL: links selected by each item, joined with their sums and, by speed, with the rates."""
+    kept = [(i, k, n, p) for i, (k, n, p) in enumerate(_ITEMS) if p]
+    chosen = " UNION ALL ".join(f"SELECT {i} AS pos, id FROM l WHERE {p}" for i, _, _, p in kept)
+    spec = ", ".join(f"({i}, '{k}', '{n}', {1 if p is None else 0})" for i, (k, n, p) in enumerate(_ITEMS))
+    of = {"car": ("car",), "su": ("su",), "mu": ("mu",), "trk": ("su", "mu")}
+
+    def add(m, c):
+        return " + ".join(f"{m}_{p}" for p in of[c])
+
+    hour = {"vht": "vol_{c} * time / 60", "delay": "lost * vol_{c} / 60", "vmt": "vmt_{c}"}
+    link = ", ".join(f"SUM({e.format(c=c)}) AS {m}_{c}" for m, e in hour.items() for c in ("car", "su", "mu"))
+    speed = " UNION ALL ".join(f"SELECT id, '{c}' AS cls, speed_row AS speed, SUM({add('vmt', c)}) AS vmt, SUM({add('vol', c)}) AS vol FROM h GROUP BY id, speed_row" for c in of)
+    sums = [f"SUM({add(m, c)}) AS {m}_{c}" for m in ("vmt", "vht", "delay") for c in of]
+    crashes = [f"SUM({c}) AS {c}" for c in ("fatal", "injury", "pdo")]
+    burnt = [f"SUM(CASE WHEN cls = '{c}' AND measure = '{m}' THEN value END) AS {m}_{c}" for m in ("fuel", "non_fuel") for c in of]
+    burnt += [f"SUM(CASE WHEN cls = '{c}' AND measure = '{p}' AND kind = '{k}' THEN value END) AS {p}_{k}_{c}" for c in of for p in UNIT_COST for k in ("running", "start")]
+    cols = ", ".join(f"CASE WHEN s.blank = 0 THEN COALESCE({n}, 0) END AS {n}" for n in rep.report_columns())
+    return f"""
+WITH h AS (SELECT * FROM {HOURLY} x WHERE fc > 0 AND fc < 95), c AS ({SEGMENT_SQL}),
+ l AS (SELECT l0.*, fatal, injury, pdo FROM (SELECT id, MAX(fc) AS fc, MAX(access) AS access, MAX(ramp) AS ramp, MAX(length) AS length, MAX(vc) AS top, {link} FROM h GROUP BY id) l0 LEFT JOIN c ON c.id = l0.id),
+ q AS ({chosen}), v AS ({speed}), r AS (SELECT * FROM {RATES} q0),
+ u AS (SELECT measure, CAST(1.10231131e-6 AS DOUBLE) * cost AS unit FROM {values("measure", "cost", UNIT_COST)} x), f AS (SELECT cls, price FROM {values("cls", "price", FUEL)} x), n AS (SELECT cls, cost FROM {values("cls", "cost", NON_FUEL)} x),
+ b AS (SELECT pos, cls, speed, SUM(vmt) AS vmt, SUM(vol) AS vol FROM q JOIN v ON v.id = q.id GROUP BY 1, 2, 3),
+ a AS (SELECT b.pos, b.cls, b.speed, r.measure, b.vmt * ARG_MAX(r.rate, r.speed) AS amount FROM b JOIN r ON r.cls = b.cls AND r.speed <= b.speed GROUP BY b.pos, b.cls, b.speed, r.measure, b.vmt),
+ e AS (SELECT pos, a.cls, a.measure, 'running' AS kind, amount * unit AS value FROM a JOIN u ON u.measure = a.measure UNION ALL SELECT pos, a.cls, 'fuel', 'running', amount * price FROM a JOIN f ON f.cls = a.cls WHERE measure = 'fuel'
+  UNION ALL SELECT pos, b.cls, 'non_fuel', 'running', vmt * cost FROM b JOIN n ON n.cls = b.cls
+  UNION ALL SELECT pos, b.cls, z.measure, 'start', b.vol * z.rate * u.unit FROM b JOIN (SELECT cls, measure, ARG_MIN(rate, speed) AS rate FROM r GROUP BY 1, 2) z ON z.cls = b.cls JOIN u ON u.measure = z.measure),
+ w AS (SELECT pos, {', '.join(burnt)} FROM e GROUP BY pos),
+ m AS (SELECT pos, COUNT(*) AS links, SUM(length) AS miles, SUM(top * (vmt_car + vmt_su + vmt_mu)) / SUM(vmt_car + vmt_su + vmt_mu) AS vc, SUM(vmt_car + vmt_su + vmt_mu) AS vmt, SUM(vht_car + vht_su + vht_mu) AS vht,
+  {', '.join(sums + crashes)}, COALESCE(SUM(fatal), 0) + COALESCE(SUM(injury), 0) + COALESCE(SUM(pdo), 0) AS crashes FROM q JOIN l ON l.id = q.id GROUP BY pos)
+SELECT s.pos, s.kind, s.item, {cols} FROM (SELECT * FROM (VALUES {spec}) AS s0(pos, kind, item, blank)) s LEFT JOIN m ON m.pos = s.pos LEFT JOIN w ON w.pos = s.pos"""
+
+
+@query("pos:i kind:s item:s links:i vc:f6 " + " ".join(f"{n}:f3" for n in rep.report_columns()[2:]), _report_sql())
+def rep_network_report(t):
+    crashes = saf.saf_segment_crashes(t.v_saf).select("id", "fatal", "injury", "pdo")
+    hours = hwy.hwy_hourly_profile(t.v_dlink.join(crashes, "id", "left"), t.v_profile)
+    items = [(k, n, F.expr(p) if p else None) for k, n, p in _ITEMS]
+    return rep.rep_network_report(hours, items, t.sql(f"SELECT * FROM {RATES} q"), UNIT_COST | {"fuel": FUEL}, NON_FUEL)
+
+
 @query(
     "core:s vmt:f2",
     """
