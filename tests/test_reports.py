@@ -1,4 +1,4 @@
-"""The network report against a plain reckoning, and its plan."""
+"""Reports and tabulations against a plain reckoning."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tools.plans import plan_text
+from wayfare.operators import aggregates
 from wayfare.plans import highway, reports
 
 HOUR = (
@@ -113,3 +114,51 @@ def test_report_reads_the_hours_once(spark):
     text = plan_text(reports.by_condition_set(hourly, [(k, n, F.expr(p) if p else None) for k, n, p, _ in ITEMS]))
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
     assert len(re.findall(r"Scan ExistingRDD|LocalTableScan", text)) == 1
+
+
+def even(values, passes=10):
+    for _ in range(passes):
+        values = [v if i in (0, len(values) - 1) else 0.25 * values[i - 1] + 0.5 * v + 0.25 * values[i + 1] for i, v in enumerate(values)]
+    return values
+
+
+def test_smoothing_against_a_plain_loop(spark):
+    rng = random.Random(2)
+    lines = {"a": [rng.random() for _ in range(30)], "b": [4.0], "c": [1.0, 9.0], "d": [0.0, 8.0, 0.0], None: [1.0, 2.0, 4.0, 8.0]}
+    rows = [(k, i, v, f"{k}{i}") for k, vs in lines.items() for i, v in enumerate(vs)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "y string, x int, v double, note string")
+    got = aggregates.agg_smooth_distribution(df, ["y"], "x", "v")
+    assert got.columns == df.columns
+    found = {(r.y, r.x): (r.v, r.note) for r in got.collect()}
+    assert len(found) == len(rows)
+    for k, vs in lines.items():
+        for i, v in enumerate(even(vs)):
+            assert found[k, i] == (pytest.approx(v, rel=1e-12), f"{k}{i}")
+    assert aggregates.agg_smooth_distribution(df.limit(0), ["y"], "x", "v").count() == 0
+
+
+def test_templates_by_source_smooth_and_transposed(spark):
+    t = aggregates.Template
+    templates = [
+        t(1, "band", (1, 6), "kind", (1, 2), "w", ("on", "==", 1), data="survey", smooth=True),
+        t(2, "band", (1, 6), "kind", (1, 2), "w", ("on", "==", 1), data="model"),
+        t(3, "v", (0, 0), "kind", (1, 2), "w", fun="sum", data="model", transpose=True),
+        t(4, "v", (0, 0), "kind", (1, 2), "w", fun="mean", data="survey"),
+        t(5, "band", (1, 6), data="elsewhere"),
+    ]
+    ddl = "band int, kind int, w double, v double, on int"
+    rows = [(1, 1, 2.0, 5.0, 1), (4, 1, 8.0, None, 1), (4, 2, 1.0, 7.0, 0), (9, 2, 3.0, 1.0, 1), (None, 1, 1.0, 1.0, 1)]
+    sides = {"survey": spark.createDataFrame(rows, ddl), "model": spark.createDataFrame(rows[:3], ddl), "unread": spark.createDataFrame([], ddl)}
+    got = {(r.outnum, r.x, r.y): r.value for r in aggregates.agg_template_summaries(sides, templates).collect()}
+    first = even([2.0, 0, 0, 8.0, 0, 0])
+    want = {(1, i + 1, 1): v for i, v in enumerate(first)} | {(1, i, 2): 0.0 for i in range(1, 7)}
+    want |= {(2, i, k): {(1, 1): 2.0, (4, 1): 8.0}.get((i, k), 0.0) for i in range(1, 7) for k in (1, 2)}
+    want |= {(3, 1, 0): 10.0, (3, 2, 0): 7.0, (4, 0, 1): 11.0 / 3, (4, 0, 2): 10.0 / 4, (4, 0, 3): 21.0 / 7}
+    assert got == {k: pytest.approx(v, rel=1e-12) for k, v in want.items()}
+    for bad in (t(1, "v", (0, 0), "kind", (1, 2), fun="mean", smooth=True), t(1, "band", (1, 2), transpose=True)):
+        with pytest.raises(ValueError):
+            aggregates.agg_template_tabulate(sides["model"], [bad])
+    for lists in ([templates[0], templates[0]], [templates[4]]):
+        with pytest.raises(ValueError):
+            aggregates.agg_template_summaries(sides, lists)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import aggregates as agg
 from ..plans import activity as act
 from .registry import query
 
@@ -46,6 +47,69 @@ def act_work_school_location(t):
     return p.groupBy(*keys).agg(F.sum("psexpfac").alias("value"), F.sum("dist").alias("dist"), far)
 
 
+_LOCATION_TEMPLATES = [
+    *act.location_templates("work", ("survey", "model"), 4, smooth=True),
+    *act.location_templates("school", ("survey", "model"), 4, first=101),
+]
+
+
+def _located(persons):
+    def place(tag, p, active, kinds):
+        taz, home = f"{p}taz", f"hhparcel = {p}pcl"
+        on = f"({active}) AND {taz} <> 0"
+        bands = ", ".join(
+            f"CASE WHEN {taz} < 0 THEN 91 WHEN {p}au{m} < 0 THEN 0 ELSE LEAST({p}au{m} + 1, 90) END AS {tag}_{m}cat, CASE WHEN {p}au{m} >= 0 THEN {p}au{m} END AS {tag}_{m}" for m in ("dist", "time")
+        )
+        return f"""CASE WHEN {on} THEN 1 ELSE 0 END AS {tag}_active, CASE WHEN {on} AND {home} THEN 1 ELSE 0 END AS {tag}_at_home, {bands},
+ list_extract([{', '.join(map(str, kinds.values()))}], pptyp) AS {tag}_place_type"""
+
+    return f"""(SELECT p.psexpfac, hz.district AS hhdistrict, CASE WHEN pwtaz < 0 THEN 13 ELSE wz.district END AS wrk_district, CASE WHEN pstaz < 0 THEN 13 ELSE sz.district END AS sch_district,
+ {place('wrk', 'pw', 'pwtyp > 0', act.WORKER_TYPE)}, {place('sch', 'ps', 'pptyp BETWEEN 5 AND 7', act.STUDENT_TYPE)}
+ FROM {persons} p LEFT JOIN v_household h ON h.hhno = p.hhno LEFT JOIN v_zone hz ON hz.taz = hhtaz LEFT JOIN v_zone wz ON wz.taz = pwtaz LEFT JOIN v_zone sz ON sz.taz = pstaz)"""
+
+
+def _template_sql(t):
+    base, test = f"s_{t.data}", f"{t.subset[0]} = {t.subset[2]}"
+    if t.fun == "mean":
+        both = f"{t.x} IS NOT NULL AND {t.weight} IS NOT NULL"
+        mean = f"SUM(CASE WHEN {both} THEN {t.x} * {t.weight} END) * 1.0 / SUM(CASE WHEN {both} THEN {t.weight} END)"
+        low, high = t.y_range
+        return f"SELECT {t.outnum} AS outnum, 0 AS x, {t.y} AS y, {mean} AS value FROM {base} WHERE {test} AND {t.y} BETWEEN {low} AND {high} GROUP BY {t.y} UNION ALL SELECT {t.outnum}, 0, {high + 1}, {mean} FROM {base} WHERE {test}"
+    (a, b), (c, d) = t.x_range, t.y_range
+    cells = f"""SELECT g.x, h.y, CAST(COALESCE(v, 0) AS DOUBLE) AS v FROM (SELECT UNNEST(RANGE({a}, {b + 1})) AS x) g CROSS JOIN (SELECT UNNEST(RANGE({c}, {d + 1})) AS y) h
+ LEFT JOIN (SELECT {t.x} AS x, {t.y} AS y, SUM({t.weight}) AS v FROM {base} WHERE {test} GROUP BY 1, 2) k ON k.x = g.x AND k.y = h.y"""
+    win = "OVER (PARTITION BY y ORDER BY x)"
+    for _ in range(10 if t.smooth else 0):
+        cells = f"SELECT x, y, COALESCE(0.25 * LAG(v) {win} + 0.5 * v + 0.25 * LEAD(v) {win}, v) AS v FROM ({cells}) n"
+    return f"SELECT {t.outnum} AS outnum, x, y, v AS value FROM ({cells}) m"
+
+
+@query(
+    "outnum:i x:i y:i value:f6",
+    f"WITH s_survey AS (SELECT * FROM {_located('v_surveyed')} a), s_model AS (SELECT * FROM {_located('v_person_place')} b)\n" + "\nUNION ALL ".join(_template_sql(t) for t in _LOCATION_TEMPLATES),
+)
+def act_location_tables(t):
+    """Work and school places, surveyed (orders) beside modelled persons, through stored templates; work bands smoothed."""
+    sides = {side: act.act_location_persons(p, t.v_household, t.v_zone) for side, p in (("survey", t.v_surveyed), ("model", t.v_person_place))}
+    return agg.agg_template_summaries(sides, _LOCATION_TEMPLATES)
+
+
+@query(
+    "place_district:i hhdistrict:i place_type:i active:i out_of_home:i at_home:i value:i dist:i time:i far:i",
+    """
+SELECT CASE WHEN pstaz < 0 THEN 13 ELSE w.district END AS place_district, z.district AS hhdistrict, CASE WHEN pptyp < 5 OR pptyp = 8 THEN 4 ELSE 8 - pptyp END AS place_type,
+ CASE WHEN pptyp BETWEEN 5 AND 7 AND pstaz <> 0 THEN 1 ELSE 0 END AS active, CASE WHEN pstaz > 0 AND hhparcel <> pspcl THEN 1 ELSE 0 END AS out_of_home,
+ CASE WHEN pptyp BETWEEN 5 AND 7 AND pstaz <> 0 AND hhparcel = pspcl THEN 1 ELSE 0 END AS at_home, SUM(psexpfac) AS value, SUM(CASE WHEN psaudist >= 0 THEN psaudist END) AS dist,
+ SUM(CASE WHEN psautime >= 0 THEN psautime END) AS time, SUM(CASE WHEN pstaz < 0 OR psautime + 1 > 90 THEN 1 ELSE 0 END) AS far
+FROM v_person_place p LEFT JOIN v_household h ON h.hhno = p.hhno LEFT JOIN v_zone z ON z.taz = h.hhtaz LEFT JOIN v_zone w ON w.taz = p.pstaz GROUP BY 1, 2, 3, 4, 5, 6""",
+)
+def act_school_location(t):
+    p = act.act_work_school_location(t.v_person_place, t.v_household, t.v_zone, "school")
+    far = F.sum(((F.col("timecat") == act.OUTSIDE_BAND) | (F.col("psautime") + 1 > 90)).cast("int")).alias("far")
+    keys = ["place_district", "hhdistrict", "place_type", "active", "out_of_home", "at_home"]
+    return p.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in (("value", "psexpfac"), ("dist", "dist"), ("time", "time"))], far)
+
+
 @query(
     "hhno:i drivers:i vehsuf:i",
     """

@@ -243,7 +243,10 @@ WITH h AS (SELECT * FROM {HOURLY} x WHERE fc > 0 AND fc < 95), c AS ({SEGMENT_SQ
 SELECT s.pos, s.kind, s.item, {cols} FROM (SELECT * FROM (VALUES {spec}) AS s0(pos, kind, item, blank)) s LEFT JOIN m ON m.pos = s.pos LEFT JOIN w ON w.pos = s.pos"""
 
 
-@query("pos:i kind:s item:s links:i vc:f6 " + " ".join(f"{n}:f3" for n in rep.report_columns()[2:]), _report_sql())
+_LARGE = ("vmt", "vht", "delay", "fuel")  # sums whose last digits depend on the order of adding
+
+
+@query("pos:i kind:s item:s links:i vc:f6 " + " ".join(f"{n}:{'f1' if n.startswith(_LARGE) else 'f3'}" for n in rep.report_columns()[2:]), _report_sql())
 def rep_network_report(t):
     crashes = saf.saf_segment_crashes(t.v_saf).select("id", "fatal", "injury", "pdo")
     hours = hwy.hwy_hourly_profile(t.v_dlink.join(crashes, "id", "left"), t.v_profile)

@@ -32,6 +32,14 @@ SELECT h.c_custkey AS hhno, s.pno AS pno, CAST((h.c_custkey * 7 + s.pno * 13) %
        CAST(1 + s.pno % 2 AS INT) AS psexpfac
 FROM customer h JOIN (SELECT 0 AS m, 1 AS pno UNION ALL SELECT 1, 1 UNION ALL SELECT 1, 2 UNION ALL SELECT 2, 1 UNION ALL SELECT 2, 2
   UNION ALL SELECT 2, 3 UNION ALL SELECT 3, 1 UNION ALL SELECT 3, 2 UNION ALL SELECT 3, 3 UNION ALL SELECT 3, 4) s ON s.m = h.c_custkey % 4""",
+    "v_person_place": """
+SELECT hhno, pno, pptyp, psexpfac, pwtyp, pwtaz, pwpcl, pwaudist, CAST((hhno * 17 + pno) % 130 - 6 AS INT) AS pwautime, CAST((hhno * 7 + pno * 5) % 28 - 2 AS INT) AS pstaz,
+       CAST((hhno * 13 + pno * 3) % 97 AS INT) AS pspcl, CAST((hhno * 19 + pno) % 110 - 4 AS INT) AS psaudist, CAST((hhno * 23 + pno) % 140 - 7 AS INT) AS psautime FROM v_person""",
+    "v_surveyed": """
+SELECT o_custkey AS hhno, o_orderkey AS pno, CAST(1 + o_orderkey % 8 AS INT) AS pptyp, CAST(1 + o_orderkey % 5 AS INT) AS psexpfac, CAST(o_orderkey % 3 AS INT) AS pwtyp,
+       CAST((o_orderkey * 3 + o_custkey) % 27 - 2 AS INT) AS pwtaz, CAST((o_orderkey * 5) % 97 AS INT) AS pwpcl, CAST((o_orderkey * 11) % 120 - 5 AS INT) AS pwaudist,
+       CAST((o_orderkey * 29) % 130 - 6 AS INT) AS pwautime, CAST((o_orderkey * 7 + o_custkey) % 28 - 2 AS INT) AS pstaz, CAST((o_orderkey * 13) % 97 AS INT) AS pspcl,
+       CAST((o_orderkey * 19) % 110 - 4 AS INT) AS psaudist, CAST((o_orderkey * 31) % 140 - 7 AS INT) AS psautime FROM orders""",
     "v_tour": """
 SELECT t.o_orderkey AS tour_key, t.o_custkey AS hhno, CAST(1 + t.o_orderkey % (1 + t.o_custkey % 4) AS INT) AS pno, t.rn AS tour,
        CASE WHEN t.rn % 4 = 0 THEN t.rn - 1 ELSE 0 END AS parent, CAST(t.o_orderkey % 10 AS INT) AS pdpurp,

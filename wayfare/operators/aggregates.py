@@ -111,7 +111,12 @@ def agg_crosstab_complete(
 
 @dataclass(frozen=True)
 class Template:
-    """One tabulation: a crosstab of ``x`` (by ``y``), or the mean or sum of ``x`` by ``y``."""
+    """One tabulation: a crosstab of ``x`` (by ``y``), or the mean or sum of ``x`` by ``y``.
+
+    ``data`` names the source it reads where there are several; ``smooth`` runs the smoothing of
+    :func:`agg_smooth_distribution` over the cells of a crosstab along ``x``; ``transpose`` lays an
+    aggregate out along ``x`` instead of ``y``.
+    """
 
     outnum: int
     x: str
@@ -121,6 +126,29 @@ class Template:
     weight: str | None = None
     subset: tuple[str, str, float] | None = None
     fun: str = "crosstab"
+    data: str | None = None
+    smooth: bool = False
+    transpose: bool = False
+
+
+def agg_template_summaries(sources: dict[str, DataFrame], templates: Sequence[Template]) -> DataFrame:
+    """All templates over the sources they name, one pass a source: (outnum, x, y, value).
+
+    A template whose source is not there is left out, as a run that prepares only one side leaves out
+    the other; a source without templates is not read. Output numbers tell the templates apart.
+    """
+    numbers = [t.outnum for t in templates]
+    if len(set(numbers)) < len(numbers):
+        raise ValueError("two templates share an output number")
+    out = None
+    for name, df in sources.items():
+        mine = [t for t in templates if t.data == name]
+        if mine:
+            part = agg_template_tabulate(df, mine)
+            out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("no template names one of the sources")
+    return out
 
 
 def agg_template_tabulate(df: DataFrame, templates: Sequence[Template]) -> DataFrame:
@@ -128,9 +156,13 @@ def agg_template_tabulate(df: DataFrame, templates: Sequence[Template]) -> DataF
 
     Rows are folded to the distinct combinations of the cell variables and subset tests
     first; only the folded rows are exploded into the cells they feed. Crosstab cells
-    without data are completed with 0; ``mean`` and ``sum`` templates give one line per
-    ``y``, a mean also an all-rows line one past the range.
+    without data are completed with 0 before they are smoothed; ``mean`` and ``sum`` templates give one line per
+    ``y``, a mean also an all-rows line one past the range. A transposed aggregate swaps ``x`` and ``y``;
+    smoothing an aggregate or transposing a crosstab is an error.
     """
+    for t in templates:
+        if (t.smooth and t.fun != "crosstab") or (t.transpose and t.fun == "crosstab"):
+            raise ValueError(f"template {t.outnum} smooths an aggregate or transposes a crosstab")
     cells, flags, sums = {}, {}, {}
 
     def dim(name: str) -> Column:
@@ -173,7 +205,8 @@ def agg_template_tabulate(df: DataFrame, templates: Sequence[Template]) -> DataF
     got = long.groupBy("f.outnum", "f.x", "f.y").agg(F.sum("f.num").alias("num"), F.sum("f.den").alias("den"))
     means = [t.outnum for t in templates if t.fun == "mean"]
     value = F.when(F.col("outnum").isin(*means), F.try_divide("num", "den")).otherwise(F.col("num")) if means else F.col("num")
-    found = got.select("outnum", "x", "y", value.alias("value"))
+    turned = F.col("outnum").isin(*[t.outnum for t in templates if t.transpose]) if any(t.transpose for t in templates) else F.lit(False)
+    found = got.select("outnum", F.when(turned, F.col("y")).otherwise(F.col("x")).alias("x"), F.when(turned, F.col("x")).otherwise(F.col("y")).alias("y"), value.alias("value"))
     grids = None
     for t in templates:
         if t.fun != "crosstab":
@@ -182,25 +215,47 @@ def agg_template_tabulate(df: DataFrame, templates: Sequence[Template]) -> DataF
         grids = grid if grids is None else grids.unionByName(grid)
     if grids is None:
         return found
-    return grids.join(found, ["outnum", "x", "y"], "full").na.fill(0.0, ["value"])
+    whole = grids.join(found, ["outnum", "x", "y"], "full").na.fill(0.0, ["value"])
+    smooth = [t.outnum for t in templates if t.smooth]
+    if not smooth:
+        return whole
+    rough = F.col("outnum").isin(*smooth)
+    evened = agg_smooth_distribution(whole.filter(rough), ["outnum", "y"], "x", "value")
+    return whole.filter(~rough).unionByName(evened)
 
 
 def _feed(outnum: int, x: Column, y: Column, num: Column, den: Column) -> Column:
     return F.struct(F.lit(outnum).alias("outnum"), x.alias("x"), y.alias("y"), num.alias("num"), den.alias("den"))
 
 
+def smoothed(cells: Column, passes: int = 10) -> Column:
+    """An array of cells after repeated (1/4, 1/2, 1/4) moving averages with both ends pinned.
+
+    A cell with a null neighbour keeps its value in that pass.
+    """
+
+    def once(values: Column, _: Column) -> Column:
+        before, after = F.concat(F.array(F.lit(None).cast("double")), values), F.slice(values, 2, F.size(values))
+        beside = F.arrays_zip(before.alias("b"), values.alias("v"), after.alias("a"))  # one longer than the cells
+        return F.transform(F.slice(beside, 1, F.size(values)), lambda c: F.coalesce(0.25 * c["b"] + 0.5 * c["v"] + 0.25 * c["a"], c["v"]))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(passes)), cells, once) if passes > 0 else cells
+
+
 def agg_smooth_distribution(df: DataFrame, part: Sequence[str], order: str, val: str, passes: int = 10) -> DataFrame:
     """Repeated (1/4, 1/2, 1/4) moving average with both end cells pinned.
 
-    Works on a completed distribution, so a partition is one declared range of cells.
+    Works on a completed distribution, so a partition is one declared range of cells: they are put into one array
+    in order, and all passes are one fold over it.
     """
-    w = W.partitionBy(*part).orderBy(order)
-    out = df.withColumn(val, F.col(val).cast("double"))
-    for _ in range(passes):
-        before, after = F.lag(val).over(w), F.lead(val).over(w)
-        inner = 0.25 * before + 0.5 * F.col(val) + 0.25 * after
-        out = out.withColumn(val, F.coalesce(inner, F.col(val)))
-    return out
+    rest = [c for c in df.columns if c not in (*part, order, val)]
+    cell = F.struct(F.col(order).alias("o"), F.col(val).cast("double").alias("v"), *[F.col(c).alias(f"r{i}") for i, c in enumerate(rest)])
+    lines = df.groupBy(*part).agg(F.array_sort(F.collect_list(cell), lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)).alias("__cells"))
+    even = smoothed(F.transform("__cells", lambda c: c["v"]), passes)
+    # The smoothed cells are a column of their own first: zipping them in place would fold anew for each cell.
+    flat = lines.withColumn("__even", even).select(*part, F.explode(F.arrays_zip("__cells", "__even")).alias("__c"))
+    back = {order: F.col("__c.__cells.o"), val: F.col("__c.__even")} | {c: F.col(f"__c.__cells.r{i}") for i, c in enumerate(rest)}
+    return flat.select(*[(back[c] if c in back else F.col(c)).alias(c) for c in df.columns])
 
 
 def agg_matrix_district(od: DataFrame, zones: DataFrame, zone: str, district: str, o: str = "o", d: str = "d", val: str = "trips") -> DataFrame:

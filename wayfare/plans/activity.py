@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fn
 from ..functions.recode import project_case_map, project_clamp, project_missing_sentinel, project_overwrite_recodes, project_purpose_merge
-from ..operators.aggregates import agg_crosstab_complete
+from ..operators.aggregates import Template, agg_crosstab_complete
 from ..operators.windows import group_totals
 
 # Codes of the activity summaries.
@@ -80,24 +80,65 @@ def person_attributes(hh: DataFrame, per: DataFrame, zones: DataFrame) -> DataFr
     return per.select("hhno", "pno", "pptyp", "psexpfac").join(full, "hhno", "left")
 
 
-def act_work_school_location(per: DataFrame, hh: DataFrame, zones: DataFrame, kind: str = "work") -> DataFrame:
-    """Work (or school) place flags, distance band and home-to-place district pair."""
+def _place(kind: str, have: Sequence[str]) -> dict[str, Column]:
+    """Flags, type and bands of the usual work or school place; times only if the persons have them."""
     p = "pw" if kind == "work" else "ps"
-    taz, parcel, dist = F.col(f"{p}taz"), F.col(f"{p}pcl"), F.col(f"{p}audist")
-    full = per.join(hh, "hhno", "left")
-    active = (F.col("pwtyp") > 0) if kind == "work" else F.col("pptyp").between(5, 7)
-    full = full.withColumns(
-        {
-            "active": F.when(active & (taz != 0), 1).otherwise(0),
-            "out_of_home": F.when((taz > 0) & (F.col("hhparcel") != parcel), 1).otherwise(0),
-            "place_type": project_case_map("pptyp", WORKER_TYPE if kind == "work" else STUDENT_TYPE),
-            "distcat": F.when(taz < 0, OUTSIDE_BAND).otherwise(_band(dist, 89)),
-            "dist": project_missing_sentinel(f"{p}audist"),
-        }
-    )
-    full = full.withColumn("at_home", F.when((F.col("active") == 1) & (F.col("hhparcel") == parcel), 1).otherwise(0))
-    full = _district(_district(full, zones, "hhtaz", "hhdistrict"), zones, f"{p}taz", "place_district")
-    return full.withColumn("place_district", F.when(taz < 0, OUTSIDE_DISTRICT).otherwise(F.col("place_district")))
+    taz, at_home = F.col(f"{p}taz"), F.col("hhparcel") == F.col(f"{p}pcl")
+    active = ((F.col("pwtyp") > 0) if kind == "work" else F.col("pptyp").between(5, 7)) & (taz != 0)
+    out = {
+        "active": F.when(active, 1).otherwise(0),
+        "out_of_home": F.when((taz > 0) & (F.col("hhparcel") != F.col(f"{p}pcl")), 1).otherwise(0),
+        "place_type": project_case_map("pptyp", WORKER_TYPE if kind == "work" else STUDENT_TYPE),
+        "at_home": F.when(active & at_home, 1).otherwise(0),
+    }
+    for name, col in (("dist", f"{p}audist"), ("time", f"{p}autime")):
+        if col in have:
+            out |= {f"{name}cat": F.when(taz < 0, OUTSIDE_BAND).otherwise(_band(col, 89)), name: project_missing_sentinel(col)}
+    return out
+
+
+def _place_district(df: DataFrame, zones: DataFrame, taz: str, out: str) -> DataFrame:
+    df = _district(df, zones, taz, out)
+    return df.withColumn(out, F.when(F.col(taz) < 0, OUTSIDE_DISTRICT).otherwise(F.col(out)))
+
+
+def act_work_school_location(per: DataFrame, hh: DataFrame, zones: DataFrame, kind: str = "work") -> DataFrame:
+    """Work (or school) place flags, distance and time bands and home-to-place district pair."""
+    full = per.join(hh, "hhno", "left").withColumns(_place(kind, per.columns))
+    return _place_district(_district(full, zones, "hhtaz", "hhdistrict"), zones, "pwtaz" if kind == "work" else "pstaz", "place_district")
+
+
+def act_location_persons(per: DataFrame, hh: DataFrame, zones: DataFrame) -> DataFrame:
+    """Persons with the place columns of work (``wrk_``) and school (``sch_``) side by side, households joined once."""
+    full = _district(per.join(hh, "hhno", "left"), zones, "hhtaz", "hhdistrict")
+    for kind, tag, taz in (("work", "wrk", "pwtaz"), ("school", "sch", "pstaz")):
+        full = full.withColumns({f"{tag}_{n}": c for n, c in _place(kind, per.columns).items()})
+        full = _place_district(full, zones, taz, f"{tag}_district")
+    return full
+
+
+def location_templates(kind: str, sides: Sequence[str], districts: int, first: int = 1, smooth: bool = False) -> list[Template]:
+    """Tables of usual work or school places for each side of the data, numbered from ``first``.
+
+    Distance and time bands by type, mean distance and time by type, district flows, and the active and
+    those at home by district and type. ``smooth`` evens the bands out.
+    """
+    tag = "wrk" if kind == "work" else "sch"
+    types, weight, active = (1, 3), "psexpfac", (f"{tag}_active", "==", 1)
+    out = []
+
+    def add(x: str, x_range: tuple[int, int], y: str, y_range: tuple[int, int], subset: tuple = active, **more) -> None:
+        numbers = range(first + len(out), first + len(out) + len(sides))
+        out.extend(Template(n, x, x_range, y, y_range, weight, subset, data=side, **more) for n, side in zip(numbers, sides))
+
+    for m in ("dist", "time"):
+        add(f"{tag}_{m}cat", (1, OUTSIDE_BAND), f"{tag}_place_type", types, smooth=smooth)
+    for m in ("dist", "time"):
+        add(f"{tag}_{m}", (0, 0), f"{tag}_place_type", types, fun="mean")
+    add("hhdistrict", (1, districts), f"{tag}_district", (1, OUTSIDE_DISTRICT))
+    add("hhdistrict", (1, districts), f"{tag}_place_type", types)
+    add("hhdistrict", (1, districts), f"{tag}_place_type", types, (f"{tag}_at_home", "==", 1))
+    return out
 
 
 def act_day_pattern_pday(pday: DataFrame, persons: DataFrame, capped: str = "band") -> DataFrame:
