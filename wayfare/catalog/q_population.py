@@ -219,6 +219,30 @@ def flow_home_work(t):
     return sur.flow_home_work(t.v_od, t.v_zone, ["district", "area_type"])
 
 
+_FLOWS = {
+    "census": ("v_census_flow", "home", "work", "workers", "v_tract", ("tract", "zone", "district", "super_district")),
+    "payroll": ("v_payroll_flow", "home", "work", "jobs", "v_tract", ("tract", "zone", "district", "super_district")),
+    "survey": ("v_trip", "otaz", "dtaz", "trexpfac", "v_taz", ("zone", "district", "super_district")),
+}
+_LEVEL_FLOWS = "\nUNION ALL ".join(
+    f"SELECT '{s}' AS source, '{x}' AS level, CAST(a.{x} AS VARCHAR) AS o, CAST(b.{x} AS VARCHAR) AS d, CAST(SUM(f.{w}) AS DOUBLE) AS trips FROM {v} f JOIN {areas} a ON a.{xs[0]} = f.{o} JOIN {areas} b ON b.{xs[0]} = f.{d} GROUP BY 3, 4"
+    for s, (v, o, d, w, areas, xs) in _FLOWS.items()
+    for x in xs
+)
+
+
+@query(
+    "source:s level:s o:s d:s trips:f2 pct:f6 before:f2 after:f2 conserved:b",
+    f"WITH f AS ({_LEVEL_FLOWS}), b AS ("
+    + " UNION ALL ".join(f"SELECT '{s}' AS source, CAST(SUM({w}) AS DOUBLE) AS before FROM {v}" for s, (v, _, _, w, _, _) in _FLOWS.items())
+    + """), t AS (SELECT source, level, SUM(trips) AS after FROM f GROUP BY 1, 2)
+SELECT f.source, f.level, o, d, trips, 100 * trips / after AS pct, before, after, ABS(after - before) <= 1e-9 * ABS(before) AS conserved FROM f JOIN t ON t.source = f.source AND t.level = f.level JOIN b ON b.source = f.source""",
+)
+def flow_work_levels(t):
+    """Tracts ending in 19 lie outside: the census flows lose some, the payroll flows have none there."""
+    return sur.flow_work_levels([sur.FlowSource(s, getattr(t, v), getattr(t, areas), xs[0], xs[1:], o, d, w) for s, (v, o, d, w, areas, xs) in _FLOWS.items()])
+
+
 @query(
     "month:i cls:s start_district:i end_district:i geo_start:s geo_end:s total:i pct:f6",
     """

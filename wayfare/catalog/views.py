@@ -75,6 +75,14 @@ SELECT p_partkey AS id, CAST(FLOOR(p_partkey / 4.0) AS BIGINT) AS from_id, CAST(
     "v_edit": """
 SELECT event_id AS seq, CAST(1 + user_id * 3 AS BIGINT) AS id, CASE WHEN event_type = 'error' AND value < 1 THEN 'Remove' WHEN event_type = 'signup' THEN 'Add' ELSE 'Modify' END AS action,
        CASE event_type WHEN 'click' THEN 'spd_lmt' WHEN 'view' THEN 'ab_lanes' ELSE 'ba_lanes' END AS field_name, CAST(event_id % 7 AS STRING) AS field_value FROM events""",
+    "v_tract": """
+SELECT tract, tract % 25 AS zone, tract % 5 AS district, CASE WHEN tract % 5 < 3 THEN 1 ELSE 2 END AS super_district FROM v_cwalk WHERE tract % 20 <> 19 GROUP BY tract""",
+    "v_taz": """
+SELECT taz AS zone, district, CASE WHEN district < 3 THEN 1 ELSE 2 END AS super_district FROM v_zone""",
+    "v_census_flow": """
+SELECT l_suppkey % 103 AS home, l_partkey % 103 AS work, l_quantity AS workers FROM lineitem""",
+    "v_payroll_flow": """
+SELECT o_custkey % 103 AS home, CASE WHEN o_orderkey % 103 % 20 = 19 THEN 5 ELSE o_orderkey % 103 END AS work, CASE WHEN o_custkey % 103 % 20 = 19 THEN 0 ELSE CAST(1 + o_orderkey % 4 AS INT) END AS jobs FROM orders""",
     "v_od": """
 SELECT s.s_nationkey AS o, c.c_nationkey AS d, YEAR(l.l_shipdate) AS core, SUM(l.l_quantity) AS trips
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey JOIN supplier s ON l.l_suppkey = s.s_suppkey

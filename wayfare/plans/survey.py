@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ MODEL_SECTORS = {
 }
 GRADES = ("insufficient_data", "no_pass", "pass")
 PASS_CONFIDENCE = 8
+CONSERVED_WITHIN = 1e-9  # of the total, for sums added in another order
 
 
 def sur_expand_closed_form(obs: DataFrame, sur: DataFrame, key: str) -> DataFrame:
@@ -93,6 +95,54 @@ def flow_home_work(od: DataFrame, zones: DataFrame, levels: Sequence[str]) -> Da
     return out
 
 
+@dataclass(frozen=True)
+class FlowSource:
+    """One source of home-to-work flows: rows (``o``, ``d``, ``weight``) between areas of its finest level.
+
+    ``areas`` holds one row an area: its id in the column ``base`` and the area it lies in at each of the coarser
+    ``levels``. ``base`` is a level itself.
+    """
+
+    name: str
+    od: DataFrame
+    areas: DataFrame
+    base: str
+    levels: tuple[str, ...]
+    o: str = "o"
+    d: str = "d"
+    weight: str = "trips"
+
+
+def flow_work_levels(sources: Sequence[FlowSource]) -> DataFrame:
+    """Flows of every source at each of its levels: (source, level, o, d, trips, pct, before, after, conserved).
+
+    Each row is rolled up to all levels before the one shuffle, so a source is added up once, however many levels there are.
+    ``before`` is the total of the source and ``after`` that of the flows of the level; ``pct`` is of ``after``. A flow
+    with an end outside the areas counts in ``before`` only; an area that is listed twice counts
+    twice in ``after``. Both show as ``conserved`` false. Null weights count nothing; a level no flow reaches has no rows.
+    Area ids come back as text.
+    """
+    long, before = None, None
+    for s in sources:
+        names = (s.base, *[x for x in s.levels if x != s.base])
+
+        def ends(side: str, names: tuple[str, ...] = names, s: FlowSource = s) -> DataFrame:
+            ids = [F.col(n).cast("string").alias(f"{side}_{i}") for i, n in enumerate(names)]
+            return s.areas.select(F.col(s.base).alias(f"__{side}"), *ids)
+
+        od = s.od.select(F.col(s.o).alias("__o"), F.col(s.d).alias("__d"), F.col(s.weight).cast("double").alias("trips"))
+        met = od.join(ends("o"), "__o").join(ends("d"), "__d")
+        cells = F.array(*[F.struct(F.lit(n).alias("level"), F.col(f"o_{i}").alias("o"), F.col(f"d_{i}").alias("d")) for i, n in enumerate(names)])
+        part = met.select(F.lit(s.name).alias("source"), F.explode(cells).alias("c"), "trips").select("source", "c.*", "trips").filter("o IS NOT NULL AND d IS NOT NULL")
+        whole = od.agg(F.coalesce(F.sum("trips"), F.lit(0.0)).alias("before")).select(F.lit(s.name).alias("source"), "before")
+        long, before = (part, whole) if long is None else (long.unionByName(part), before.unionByName(whole))
+    flows = long.groupBy("source", "level", "o", "d").agg(F.coalesce(F.sum("trips"), F.lit(0.0)).alias("trips"))
+    after = flows.groupBy("source", "level").agg(F.sum("trips").alias("after"))
+    totals = after.join(before, "source").withColumn("conserved", F.abs(F.col("after") - F.col("before")) <= CONSERVED_WITHIN * F.abs("before"))
+    pct = F.coalesce(F.try_divide(100 * F.col("trips"), F.col("after")), F.lit(0.0))
+    return flows.join(totals, ["source", "level"]).withColumn("pct", pct)
+
+
 def probe_trip_patterns(trips: DataFrame, months: Sequence[int], within: Sequence[Column], keys: Sequence[str], unknown: Column | None = None) -> DataFrame:
     """Midweek probe trips: counts by the keys and their share of each month and ``within`` group.
 
