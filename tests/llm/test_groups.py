@@ -241,6 +241,43 @@ def test_chunks_tile_each_text(frame):
         assert at == len(t.encode())
 
 
+def brute_spans(rows, low=chunks.MIN_BYTES):
+    """Repeats by comparing whole chunks byte by byte, cuts taken one by one."""
+    found = defaultdict(list)
+    for i, text in rows:
+        raw = text.encode()
+        ends = chunks.cut_points(np.frombuffer(raw, np.uint8)).tolist() if raw else []
+        places = [0, *ends[:-1]][: len(ends)]
+        if places:
+            places[-1] = max(0, len(raw) - low)
+        for a in places:
+            far = [e for e in ends if e >= a + low]
+            if far:
+                found[raw[a : min(far[0], a + low + chunks.WINNOW)]].append((i, a))
+    spans = set()
+    for i, _ in rows:
+        own = sorted((a, a + len(c), len(p), min(p)) for c, p in found.items() if len({d for d, _ in p}) > 1 for d, a in p if d == i)
+        while own:
+            run = [own.pop(0)]
+            while own and own[0][0] <= max(r[1] for r in run):
+                run.append(own.pop(0))
+            dup = any(first != (i, a) for a, _, _, first in run)
+            spans.add((i, run[0][0], max(r[1] for r in run), len(run), max(r[2] for r in run), min(r[3][0] for r in run), dup))
+    return spans
+
+
+def test_spans_equal_brute_force(frame):
+    rng = random.Random(12)
+    words = lambda n, of="abcdefghij": " ".join("".join(rng.choice(of) for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    shared = [words(n) for n in (20, 30, 45, 51, 70, 120)] + ["ha " * 90, "é" * 150, "over and over " * 40]
+    rows = [(i, " ".join(rng.choice([words(rng.randrange(1, 40)), rng.choice(shared)]) for _ in range(rng.randrange(0, 6)))) for i in range(120)]
+    rows += [(200, shared[3]), (201, shared[3]), (202, shared[5][:100]), (203, shared[5][:100]), (204, ""), (205, "short"), (206, "short")]
+    got = {(r["doc_id"], r["start"], r["end"], r["chunks"], r["copies"], r["first_doc_id"], r["duplicate"]) for r in chunks.repeated_spans(frame(rows)).collect()}
+    assert got == brute_spans(rows) and len(got) > 100
+    lengths = {r["end"] - r["at"] for r in chunks.text_chunks(frame(rows).select("doc_id", "text")).filter("digest IS NOT NULL").collect()}
+    assert len(lengths) > 40 and min(lengths) >= chunks.MIN_BYTES and max(lengths) <= chunks.MIN_BYTES + chunks.WINNOW
+
+
 def test_gear_hash_is_the_rolling_one():
     data = np.frombuffer(b"the quick brown fox jumps over the lazy dog, twice and more", np.uint8)
     h, want = 0, []

@@ -2,11 +2,12 @@
 
 A gear rolling hash over the bytes of each text marks cuts: the least hash of every ``WINNOW``
 neighbouring places is one, so a cut depends only on the bytes near it and an insertion shifts no
-cut but those next to it. A chunk is known by the digest of the ``min_bytes`` bytes that begin with
-it, which reach over the chunks after it. Two texts that share ``min_bytes + WINNOW + ORDER - 2``
-bytes (238; 51 words take about 320) share such a place whatever stands around them, so no partial
-chunk at an end can hide a passage. What occurs in two documents or more is a repeat, the first
-occurrence (smallest document id, then place) is the original. Repeats that overlap or touch are
+cut but those next to it. From each cut a chunk runs to the first cut at least ``min_bytes`` further on, whole
+and of its own length, and is known by its digest; a chunk overlaps the next ones, so one at the edge of a
+passage hides none inside. Two texts that share ``min_bytes + 2 * WINNOW + ORDER - 2`` bytes (270; 51 words take
+about 315) share a whole chunk whatever stands around them: a cut among the first ``WINNOW`` places whose hash lies in the
+passage, and the first cut ``min_bytes`` on, which no byte outside decides. What occurs in two documents or more is a
+repeat, the first occurrence (smallest document id, then place) is the original. Repeats that overlap or touch are
 joined into spans, and all of a span is repeated in pieces of ``min_bytes`` at least.
 
 Null and empty texts have no chunks. In a stretch of one period cuts stop; a chunk longer than
@@ -29,7 +30,7 @@ from .common import id_text, map_texts, stored
 WINNOW = 64  # a cut in any 64 neighbouring places, every 32 bytes on average
 ORDER = 16  # bits of the hash that order the places, which hang on so many bytes
 MAX = 1024
-MIN_BYTES = 160
+MIN_BYTES = 128
 GEAR = np.random.default_rng(2024).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -69,15 +70,17 @@ def cut_points(data: np.ndarray) -> np.ndarray:
 
 
 def text_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``row, doc_id, start, length, at, digest, tag`` (bytes of UTF-8) of the chunks of every whole text.
+    """``row, doc_id, start, length, at, end, digest, tag`` (bytes of UTF-8) of the chunks of every whole text.
 
-    ``digest`` and ``tag`` are 64 and 32 bits of a hash of the ``min_bytes`` bytes from ``at``: the
-    chunk's start, or for the last chunk what ends the text. They are null where the text ends before.
-    ``row`` numbers the rows of ``df``, and is the same in two uses only of a stored result.
+    From each cut ``start``, with the next one after ``length``, a chunk goes from ``at`` to ``end``: from the cut
+    to the first cut (or the end of the text) at least ``min_bytes`` on, or ``min_bytes + WINNOW`` on
+    where cuts stop. The last one ends with the text and begins ``min_bytes`` before. ``digest`` and ``tag`` are 64
+    and 32 bits of a hash of the chunk; they and ``end`` are null where the text ends before. ``row`` numbers the
+    rows of ``df``, and is the same in two uses only of a stored result.
     """
 
     def make(texts: list[str]) -> tuple[dict, np.ndarray]:
-        starts, lengths, places, known, digests, owner = [], [], [], [], [], []
+        starts, lengths, places, until, known, digests, owner = [], [], [], [], [], [], []
         for i, text in enumerate(texts):
             raw = text.encode("utf-8", "replace")
             if not raw:
@@ -90,24 +93,27 @@ def text_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
             at = begin.copy()
             at[-1] = max(0, len(raw) - min_bytes)
             places.append(at)
-            ok = np.append(begin[:-1] + min_bytes < len(raw), len(raw) >= min_bytes)
-            digests += [hashlib.blake2b(raw[a : a + min_bytes], digest_size=12).digest() if whole else bytes(12) for a, whole in zip(at.tolist(), ok.tolist(), strict=True)]
+            ok = at + min_bytes <= len(raw)
+            stop = ends[np.minimum(np.searchsorted(ends, at + min_bytes), len(ends) - 1)]
+            stop = np.minimum(stop, at + min_bytes + WINNOW)  # less only where cuts stop
+            until.append(stop)
+            digests += [hashlib.blake2b(raw[a:b], digest_size=12).digest() if whole else bytes(12) for a, b, whole in zip(at.tolist(), stop.tolist(), ok.tolist(), strict=True)]
             known.append(ok)
         join = lambda x: np.concatenate(x).astype(np.int32) if x else np.zeros(0, np.int32)
         both = np.frombuffer(b"".join(digests), np.dtype([("digest", "<i8"), ("tag", "<i4")]))
         none = ~join(known).astype(bool)
         parts = {k: pa.array(np.ascontiguousarray(both[k]), mask=none) for k in ("digest", "tag")}
-        return {"start": join(starts), "length": join(lengths), "at": join(places), **parts}, join(owner)
+        return {"start": join(starts), "length": join(lengths), "at": join(places), "end": pa.array(join(until), mask=none), **parts}, join(owner)
 
     docs = id_text(df, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    return map_texts(docs, make, "start int, length int, at int, digest long, tag int", ("row", "doc_id"))
+    return map_texts(docs, make, "start int, length int, at int, end int, digest long, tag int", ("row", "doc_id"))
 
 
 def repeated_chunks(chunks: DataFrame) -> DataFrame:
-    """The places whose hash occurs in more than one document, with their number and the first.
+    """The chunks whose hash occurs in more than one document, with their number and the first.
 
-    All places meet by the narrow ``digest`` alone; those that it leaves, by all bits. Counts are
-    combined before the shuffle, and the joins that spread them to the places can be split where
+    All chunks meet by the narrow ``digest`` alone; those that it leaves, by all bits. Counts are
+    combined before the shuffle, and the joins that spread them to the chunks can be split where
     one hash is very common.
     """
     rows = [F.min("row").alias("low"), F.max("row").alias("high")]
@@ -125,16 +131,17 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of one of them), ``first_doc_id`` (smallest document that has one) and ``duplicate`` (some chunk
     has its original elsewhere, so the span can go).
     """
-    chunks = text_chunks(df, id_col, text_col, min_bytes).filter("digest IS NOT NULL").select("row", "doc_id", "at", "digest", "tag")
+    chunks = text_chunks(df, id_col, text_col, min_bytes).filter("digest IS NOT NULL").select("row", "doc_id", "at", "end", "digest", "tag")
     rows = repeated_chunks(stored(chunks, "chunks"))
     own = W.partitionBy("row").orderBy("at")
-    rows = rows.withColumn("new", F.coalesce(F.lag("at").over(own) + min_bytes < F.col("at"), F.lit(True)).cast("int"))
+    # A later chunk never ends before an earlier one: the first cut far enough on goes up with the start.
+    rows = rows.withColumn("new", F.coalesce(F.lag("end").over(own) < F.col("at"), F.lit(True)).cast("int"))
     rows = rows.withColumn("run", F.sum("new").over(own))
     elsewhere = (F.col("first.row") != F.col("row")) | (F.col("first.at") != F.col("at"))
     spans = rows.groupBy("row", "run").agg(
         F.first("doc_id").alias("doc_id"),
         F.min("at").cast("long").alias("start"),
-        (F.max("at") + min_bytes).cast("long").alias("end"),
+        F.max("end").cast("long").alias("end"),
         F.count("*").alias("chunks"),
         F.max("copies").alias("copies"),
         F.min("first.doc").alias("first_doc_id"),
