@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import glob
 import os
 import shutil
@@ -91,6 +92,14 @@ ARROW = {
 }
 
 
+def give_back() -> None:
+    """Return what is freed to the system. Spark keeps Python workers from stage to stage, and with them what their allocators hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def map_texts(df: DataFrame, make: Callable[[list[str | None]], tuple[dict, np.ndarray | None]], fields: str, carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Apply ``make`` to the texts of each Arrow batch of ``text`` and the ``carried`` long columns.
 
@@ -110,6 +119,8 @@ def map_texts(df: DataFrame, make: Callable[[list[str | None]], tuple[dict, np.n
             kept = kept if owner is None else [c.take(pa.array(owner, pa.int64())) for c in kept]
             arrays = [c if isinstance(c := columns[n], pa.Array) else pa.array(c, ARROW[k]) for n, k in kinds]
             yield pa.RecordBatch.from_arrays([*kept, *arrays], names=[*carried, *[n for n, _ in kinds]])
+            del batch, columns, owner, kept, arrays
+        give_back()
 
     return df.select(*carried, "text").mapInArrow(run, ", ".join([*[f"{c} long" for c in carried], fields]))
 
@@ -142,7 +153,6 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 _WEIGHTS = [np.ones(0, np.uint64)]
-_PLACES = [np.zeros(0, np.int32)]
 
 
 def _weights(n: int) -> np.ndarray:
@@ -162,11 +172,10 @@ def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
         return np.zeros(0, np.uint64)
     size = ends - starts
     weights, n = _weights(int(size.max())), len(codes)
-    if len(_PLACES[0]) < n:
-        _PLACES[0] = np.arange(1 << (n - 1).bit_length(), dtype=np.int32)
     begin = np.zeros(n, np.int32)
     begin[starts] = starts
-    place = _PLACES[0][:n] - np.maximum.accumulate(begin, out=begin)
+    place = np.arange(n, dtype=np.int32)  # not kept: as long as the batch
+    place -= np.maximum.accumulate(begin, out=begin)
     total = np.zeros(n + 1, np.uint64)
     part = weights.take(place, mode="clip")  # what lies between slices may be farther than any place in one
     np.multiply(part, codes, out=part, casting="unsafe")

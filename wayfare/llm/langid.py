@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, id_text, map_texts, pieces, ship
+from .common import crc_mod, give_back, id_text, map_texts, pieces, ship
 
 BUCKETS = 1 << 15
 CHARS = 1_000_000
@@ -126,6 +126,7 @@ def with_language(docs: DataFrame, langs: list[str], matrix: np.ndarray, out: st
                 texts = [t or "" for t in batch.column(text_col).to_pylist()]
                 found, _ = predict(texts, langs, model.value)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=[*batch.schema.names, out])
+        give_back()
 
     return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField(out, T.StringType())]))
 

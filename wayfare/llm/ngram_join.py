@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, cut_narrow, id_text, map_texts, mix, ship, span_hashes
+from .common import cut, cut_narrow, give_back, id_text, map_texts, mix, ship, span_hashes
 from .components import smallest_labels
 
 WORDS = 5
@@ -530,6 +530,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 found = [shingles(t) for t in some.column("text").to_pylist()]
                 columns = [some.column("doc_id"), pa.array([class_of(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "items"])
+        give_back()
 
     ship(docs.sparkSession)
     hashed = docs.select("doc_id", "text", *[h.alias(f"h{k}") for k, h in enumerate(marks)])
