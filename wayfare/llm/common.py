@@ -43,14 +43,19 @@ def ship(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` into the folder named by ``spark.checkpoint.dir``, which all executors share."""
+    """``checkpoint()`` into the folder named by ``spark.checkpoint.dir``, which all executors share.
+
+    The shuffle files behind it are of no more use, but Spark deletes them only when the driver collects garbage, so it is asked to.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         spark.sparkContext.setCheckpointDir(named)
-    return df.checkpoint()
+    kept = df.checkpoint()
+    spark.sparkContext._jvm.System.gc()
+    return kept
 
 
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
