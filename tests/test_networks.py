@@ -194,6 +194,15 @@ def test_link_pairs_against_all_pairs(spark):
         assert sorted(got, key=str) == sorted(want, key=str) and got
 
 
+def test_link_pairs_hand_no_table_of_links_to_every_task(spark, tmp_path):
+    rows = spark.range(400).selectExpr("id", "id div 4 AS from_id", "1 + id div 5 AS to_id", "25 + 5 * (id % 10) AS spd", "CAST(id * 7 % 360 AS DOUBLE) AS start_heading", "CAST(id * 11 % 360 AS DOUBLE) AS end_heading")
+    rows.write.parquet(str(tmp_path / "links"))
+    df = network.net_link_pairs(spark.read.parquet(str(tmp_path / "links")), "id", ["spd"], 30.0, {"spd": 15})
+    assert df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_rates_hold_from_the_nearest_lower_speed(spark):
     hourly = spark.createDataFrame([(20, 100.0, 10.0, 30.0, 50.0, 5.0, 7.0), (4, 9.0, 9.0, 9.0, 0.0, 0.0, 0.0)], "speed_row int, vmt_car double, vmt_su double, vmt_mu double, vol_car double, vol_su double, vol_mu double")
     rates = spark.createDataFrame([(c, m, s, r) for c in ("car", "trk") for m, s, r in (("co", 5, 2.0), ("co", 18, 1.5), ("co", 21, 9.0), ("fuel", 5, 0.1))], "cls string, measure string, speed int, rate double")

@@ -72,6 +72,9 @@ def net_link_pairs(
     a sector of the compass no narrower than ``turn``, so only profiles in the same or a neighbouring sector
     meet. Links are joined to the profile pairs that passed, and the angle is tested on them: a hub
     costs the square of its profiles and the pairs it returns or turns down at a sector's edge. No U-turns; a null heading never pairs.
+
+    Both sides of each join grow with the links, so they are merged: going by the size of a packed file,
+    Spark would hand all links to every task.
     """
     n = max(1, int(360.0 // (turn + 1e-6)))
 
@@ -85,14 +88,14 @@ def net_link_pairs(
     a, b = F.col("in_p.sector"), F.col("out_p.sector")
     near = [F.array_distinct(F.array(*[F.pmod(a + d, F.lit(n)) for d in (-1, 0, 1)]))]
     met = ins.select("in_p").distinct().withColumn("sector", F.explode(*near)).withColumn("node", F.col("in_p.node"))
-    met = met.join(outs.select("out_p").distinct().withColumns({"node": F.col("out_p.node"), "sector": b}), ["node", "sector"])
+    met = met.join(outs.select("out_p").distinct().withColumns({"node": F.col("out_p.node"), "sector": b}).hint("merge"), ["node", "sector"])
     for name in attrs:
         i, o = F.col(f"in_p.{name}"), F.col(f"out_p.{name}")
         if name in (thresholds or {}):
             met = met.filter(F.abs(o - i) >= thresholds[name])
         if name in (keep or {}):
             met = met.filter((i == keep[name]) | (o == keep[name]))
-    pairs = met.select("in_p", "out_p").join(ins, "in_p").join(outs, "out_p")
+    pairs = met.select("in_p", "out_p").join(ins.hint("merge"), "in_p").join(outs.hint("merge"), "out_p")
     pairs = pairs.withColumn("turn", turn_angle("in_heading", "out_heading")).filter((F.abs("turn") <= turn) & ~F.col("in_far").eqNullSafe(F.col("out_far")))
     sides = [c for name in attrs for c in (F.col(f"in_p.{name}").alias(f"in_{name}"), F.col(f"out_p.{name}").alias(f"out_{name}"))]
     return pairs.select(F.col("in_p.node").alias("node"), f"in_{link_id}", f"out_{link_id}", *sides, "in_heading", "out_heading", "turn")
