@@ -123,6 +123,29 @@ def test_buckets_bound_counts_from_above(spark):
         assert set(got.tolist()) == {k for k, n in whole.items() if n >= min(least, 255)}
 
 
+def test_sums_tell_rare_phrases_apart_however_many_there_are(spark):
+    rng = np.random.default_rng(7)
+    keys = np.concatenate([rng.integers(0, 1 << ph.KEY_BITS, 3000), (5 << ph.KEY_BITS - 24) + np.arange(1 << ph.KEY_BITS - 24), [0, (1 << ph.KEY_BITS) - 1]]).astype(np.uint64)
+    rows, whole = [], Counter()
+    for part in range(30):  # each key once, so that a bucket of 24 bits holds thousands; some more often
+        some = np.concatenate([keys[part::30], keys[:50], np.repeat(keys[-1:], 300 * (part == 3))])
+        whole.update(some.tolist())
+        sums = ph.Sums()
+        sums.add(some << np.uint64(64 - ph.KEY_BITS) | np.uint64(part))
+        rows += [(None, lead, None, None, bytearray(body)) for lead, body in sums.rows()]
+        assert not list(sums.rows())
+    runs = spark.createDataFrame(rows, ph.RUN).repartition(5)
+    for least in (2, 30, 255, 10_000):
+        want = np.array(sorted(k for k, n in whole.items() if n >= min(least, 255)), np.uint64)
+        found = ph.frequent_sums(runs, least)
+        assert sorted(r[0] for r in found.collect()) == sorted(ph.key_hashes(want).view(np.int64).tolist()) and len(want)
+        known = ph.frequent_filter(found)
+        shift = np.uint64(64 - ph.KEY_BITS)
+        assert ph.may_be_frequent(known, want << shift).all() and ph.may_be_frequent(known, np.setdiff1d(keys, want) << shift).mean() < 0.02
+    places, n = zip(*[ph.unpacked(bytes(r[4])) for r in rows if r[1] == 0], strict=True)
+    assert set(np.concatenate(places).tolist()) == {k for k in whole if k < 1 << ph.PLACE_BITS} and np.concatenate(n).min() > 0
+
+
 def test_empty_table_and_large_counts(spark):
     assert collocations(table(spark, [("en", "a b")]).filter("lang = 'x'")).count() == 0
     assert collocations(table(spark, [("en", "a b")])).count() == 0

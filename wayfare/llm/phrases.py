@@ -9,8 +9,9 @@ words of a phrase) and merged, each prefix partition by itself.
 Counting goes by length, as a phrase cannot be more frequent than its parts: two words are counted where
 both are frequent, three and four where all pairs in them are. What is frequent is known from a
 Bloom filter of at most ``FILTER_BITS`` bits, made from all frequent phrases of the length before. Besides,
-while a pass counts one length it adds up the next one by hash in ``BUCKETS`` sums over the whole corpus, and
-a phrase whose bucket stays rare is rare. Neither ever rules a frequent phrase out, and what they let
+while a pass counts one length it adds up the next one over the whole corpus by ``KEY_BITS`` of its hash, and
+a phrase whose sum stays rare is rare. Only sums above zero are kept (:class:`Sums`, some three bytes each), so they
+grow with the input and never fill up. Neither ever rules a frequent phrase out, and what they let
 through besides costs counting only, so no candidate is lost at any size.
 
 Everything is per language. Null texts are empty, a null language is ``und`` (that language's own rows
@@ -41,6 +42,8 @@ FILTER_BITS = 1 << 28
 BITS_A_PHRASE, PROBES = 16, 5
 BUCKET_BITS = 24
 BUCKETS, CHUNK, SALTS = 1 << BUCKET_BITS, 1 << 16, 4
+KEY_BITS, PLACE_BITS = 36, 26  # of a hash; those that tell apart what lies in one row of sums
+SUMMED = 1 << 20
 WIDTH = 21  # bits of a word number: a block of BLOCK bytes and HELD words before it stay below
 MASK = (1 << WIDTH) - 1
 BREAK = 0
@@ -177,15 +180,61 @@ class Buckets:
         self.sums[at] = np.minimum(self.sums[at] + n, 255)
 
 
+class Sums:
+    """Sums of phrases by the first ``KEY_BITS`` of their hashes, each held at 255 once there, without those that are 0."""
+
+    def __init__(self) -> None:
+        self.new: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, hashes: np.ndarray) -> None:
+        if len(hashes):
+            self.new.append(hashes >> np.uint64(64 - KEY_BITS))
+            self.size += len(hashes)
+
+    def rows(self) -> Iterator[tuple[int, bytes]]:
+        """What was added since the last call, packed: leading bits of the keys, distances of the others byte by byte, sums."""
+        if not self.size:
+            return
+        keys, n = np.unique(np.concatenate(self.new), return_counts=True)
+        self.__init__()
+        n = np.minimum(n, 255).astype(np.uint8)
+        lead, places = (keys >> np.uint64(PLACE_BITS)).astype(np.int64), (keys & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+        starts = [0, *(np.flatnonzero(np.diff(lead)) + 1).tolist()]
+        steps = np.diff(places, prepend=0)
+        steps[starts] = places[starts]
+        steps = steps.astype("<u4")
+        for a, b in zip(starts, [*starts[1:], len(keys)], strict=True):
+            yield int(lead[a]), zlib.compress(steps[a:b].view(np.uint8).reshape(-1, 4).T.tobytes() + n[a:b].tobytes(), 1)
+
+
+def unpacked(sums: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places and sums of a row of :class:`Sums`."""
+    parts = np.frombuffer(zlib.decompress(sums), np.uint8).reshape(5, -1)
+    return np.cumsum(np.ascontiguousarray(parts[:4].T).view("<u4").ravel(), dtype=np.int64), parts[4].astype(np.int64)
+
+
+def key_hashes(keys: np.ndarray) -> np.ndarray:
+    """What stands for keys of :class:`Sums` in a Bloom filter, which reads all 64 bits."""
+    return mix(keys.astype(np.uint64))
+
+
+def may_be_frequent(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have sums that are not rare, by a Bloom filter of the keys of :class:`Sums` or by one truth value a bucket."""
+    if known.dtype == bool:
+        return known[hashes >> np.uint64(64 - BUCKET_BITS)]
+    return passes(known, key_hashes(hashes >> np.uint64(64 - KEY_BITS)))
+
+
 class Counter:
     """Counts the phrases of one language in a task.
 
-    ``known`` is empty while words are counted; for pairs it holds the filter of the frequent words and the
-    pair buckets that are not rare, for longer phrases those words, the filter of the frequent pairs and the
-    buckets of three words. ``buckets`` takes the next length in.
+    ``known`` is empty while words are counted; for pairs it holds the filter of the frequent words and that of
+    the pairs whose sums are not rare, for longer phrases those words, the filter of the frequent pairs and that of the
+    sums of three words. ``buckets`` takes the next length in.
     """
 
-    def __init__(self, lang: str, known: tuple[np.ndarray, ...], buckets: Buckets | None = None):
+    def __init__(self, lang: str, known: tuple[np.ndarray, ...], buckets: Sums | Buckets | None = None):
         self.lang, self.known, self.buckets = lang, known, buckets
         self.trie = Trie()
         self.words = Words(lang)
@@ -219,7 +268,7 @@ class Counter:
     def pairs(self, a: np.ndarray, old: int, hashes: np.ndarray) -> None:
         """Count the pairs that end after the first ``old`` words of ``a``, and add up three words by hash."""
         at = np.flatnonzero((a[:-1] > BREAK) & (a[1:] > BREAK))
-        at = at[self.known[1][phrase_hashes([hashes[a[at]], hashes[a[at + 1]]]) >> np.uint64(64 - BUCKET_BITS)]]
+        at = at[may_be_frequent(self.known[1], phrase_hashes([hashes[a[at]], hashes[a[at + 1]]]))]
         three = at[:-1][np.diff(at) == 1]
         three = three[three + 2 >= old]
         if self.buckets is not None:
@@ -234,7 +283,7 @@ class Counter:
         at = np.flatnonzero((a[:-1] > BREAK) & (a[1:] > BREAK))
         at = at[passes(self.known[1], phrase_hashes([hashes[a[at]], hashes[a[at + 1]]]))]
         three = at[:-1][np.diff(at) == 1]
-        three = three[self.known[2][phrase_hashes([hashes[a[three + i]] for i in range(3)]) >> np.uint64(64 - BUCKET_BITS)]]
+        three = three[may_be_frequent(self.known[2], phrase_hashes([hashes[a[three + i]] for i in range(3)]))]
         four = three[:-1][np.diff(three) == 1]
         three, four = three[three + 2 >= old], four[four + 3 >= old]
         keys, counts = np.unique(a[three] << 2 * WIDTH | a[three + 1] << WIDTH | a[three + 2], return_counts=True)
@@ -281,11 +330,11 @@ def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
     """Sorted runs of counted phrases (see :class:`Counter` for their lengths); ``texts`` is (lang, body binary).
 
     ``prefix`` is a hash of the first three words. The empty phrase, among single words, counts all of them.
-    Rows without a phrase hold the buckets of the next length, ``CHUNK`` of them packed in ``sums``, by number in ``prefix``.
+    Rows without a phrase hold the sums of the next length, those of one ``prefix`` (leading bits of the keys) packed in ``sums``.
     """
     spark = texts.sparkSession
     ship(spark)
-    held = spark.sparkContext.broadcast(known)  # bounded by FILTER_BITS and BUCKETS
+    held = spark.sparkContext.broadcast(known)  # bounded by FILTER_BITS each
     schema = pa.schema([("lang", pa.string()), ("prefix", pa.int64()), ("phrase", pa.string()), ("f", pa.int64()), ("sums", pa.binary())])
 
     def out(counter: Counter, down_to: int) -> Iterator[pa.RecordBatch]:
@@ -295,10 +344,16 @@ def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
             columns = [pa.array([counter.lang] * len(some)), pa.array(prefix[a : a + 50_000].view(np.int64)), some, pa.array(f[a : a + 50_000]), pa.nulls(len(some), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
+    def packed(sums: Sums) -> Iterator[pa.RecordBatch]:
+        rows = list(sums.rows())  # SUMMED keys and those of a slice at most
+        if rows:
+            none = [pa.nulls(len(rows), pa.string()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.string())]
+            leads, bodies = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([none[0], pa.array(leads, pa.int64()), none[2], none[1], pa.array(bodies, pa.binary())], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = held.value
-        filters = (*filters[:-1], np.unpackbits(filters[-1]).view(bool)) if filters else ()
-        buckets = Buckets() if len(filters) < 3 else None
+        buckets = Sums() if len(filters) < 3 else None
         counters: dict[str, Counter] = {}
         for batch in batches:
             for a in range(0, batch.num_rows, SLICE):
@@ -309,6 +364,8 @@ def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
                 for lang, texts in by_lang.items():
                     counter = counters.setdefault(lang, Counter(lang, filters, buckets))
                     counter.read(texts)
+                    if buckets is not None and buckets.size >= SUMMED:
+                        yield from packed(buckets)
                     if counter.trie.held > HELD:
                         yield from out(counter, HELD // 2)
                     while sum(c.size() for c in counters.values()) > 2 * HELD:
@@ -316,9 +373,7 @@ def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
         for lang in list(counters):
             yield from out(counters.pop(lang), 0)
         if buckets is not None:
-            for i, chunk in enumerate(buckets.sums.reshape(-1, CHUNK)):
-                if chunk.any():
-                    yield pa.RecordBatch.from_pylist([{"prefix": i, "sums": zlib.compress(chunk, 1)}], schema=schema)
+            yield from packed(buckets)
 
     return texts.mapInArrow(run, RUN)
 
@@ -356,6 +411,39 @@ def added_buckets(runs: DataFrame, least: int) -> np.ndarray:
     return out.ravel()
 
 
+def frequent_sums(runs: DataFrame, least: int) -> DataFrame:
+    """Hashes, as ``prefix``, of the keys whose sums over all tasks reach ``least`` (or the 255 they are held at)."""
+
+    def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        places, at = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
+        return places, np.bincount(at, np.concatenate([n for _, n in parts]), len(places)).astype(np.int64)
+
+    def frequent(lead: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        places, n = added(parts)
+        keys = places[n >= min(least, 255)] | lead << PLACE_BITS
+        return pa.RecordBatch.from_arrays([pa.array(key_hashes(keys).view(np.int64))], names=["prefix"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead, parts, held, most = None, [], 0, SUMMED
+        for batch in batches:
+            for new, sums in zip(batch.column("prefix").to_pylist(), batch.column("sums"), strict=True):
+                if new != lead:
+                    if parts:
+                        yield frequent(lead, parts)
+                    lead, parts, held, most = new, [], 0, SUMMED
+                parts.append(unpacked(sums.as_buffer()))
+                held += len(parts[-1][0])
+                if held > most:  # the distinct keys of one prefix, and as many again at most
+                    parts = [added(parts)]
+                    held = len(parts[0][0])
+                    most = max(SUMMED, 2 * held)
+        if parts:
+            yield frequent(lead, parts)
+
+    some = runs.filter("phrase IS NULL").select("prefix", "sums")
+    return some.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(run, "prefix long")
+
+
 def frequent_filter(frequent: DataFrame) -> np.ndarray:
     """Bloom filter, as 64-bit words, of the hashes ``prefix`` of a table; its size follows the table up to ``FILTER_BITS``."""
     bits = 1 << 12
@@ -390,7 +478,7 @@ def phrase_counts(df: DataFrame, least: int, text_col: str = "text", lang_col: s
             totals = frequent.filter("phrase = ''").select("lang", F.col("f").alias("n"))
             frequent = frequent.filter((F.col("f") >= least) & (F.col("phrase") != ""))
         if length < 3:
-            known = (*known[:1], frequent_filter(frequent), added_buckets(runs, least))
+            known = (*known[:1], frequent_filter(frequent), frequent_filter(cut(frequent_sums(runs, least))))
             removed(texts.sparkSession, path)
         parts.append(frequent)
     counts = parts[0].union(parts[1]).union(parts[2])
