@@ -146,6 +146,22 @@ def test_sums_tell_rare_phrases_apart_however_many_there_are(spark):
     assert set(np.concatenate(places).tolist()) == {k for k in whole if k < 1 << ph.PLACE_BITS} and np.concatenate(n).min() > 0
 
 
+def test_runs_of_short_phrases_carry_no_hash(spark):
+    texts = spark.createDataFrame([("en", bytearray(b"a bb \xc3\xa9 a bb")), ("de", bytearray(b"a bb"))], "lang string, body binary")
+    everything = np.full(64, 2**64 - 1, np.uint64)
+    for known in ((), (everything, everything)):
+        runs = ph.phrase_runs(texts, known).filter("phrase > ''")
+        rows = runs.collect()
+        assert rows and all(r["prefix"] is None for r in rows)
+        want = set()
+        for lang in ("en", "de"):
+            words = ph.Words(lang)
+            mine = [[words[w] for w in r["phrase"].encode().split()] for r in rows if r["lang"] == lang]
+            want.update(int(ph.phrase_hashes(list(words.hashed()[np.array(p)].reshape(-1, 1))).view(np.int64)[0]) for p in mine)
+        assert {r[0] for r in ph.hashed(runs).collect()} == want and len(want) > 2
+    assert all(r["prefix"] is not None for r in ph.phrase_runs(texts, (everything,) * 3).collect())
+
+
 def test_empty_table_and_large_counts(spark):
     assert collocations(table(spark, [("en", "a b")]).filter("lang = 'x'")).count() == 0
     assert collocations(table(spark, [("en", "a b")])).count() == 0

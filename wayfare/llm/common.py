@@ -58,14 +58,14 @@ def cut(df: DataFrame) -> DataFrame:
     return kept
 
 
-def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stored_at(df: DataFrame, name: str, compression: str | None = None) -> tuple[DataFrame, str]:
     """``df`` written once as Parquet into the folder all executors share and read from there, and its path."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     path = os.path.join(folder, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.option("parquet.block.size", 8 << 20).parquet(path)  # a writer holds a block in memory
+    df.write.option("parquet.block.size", 8 << 20).parquet(path, compression=compression)  # a writer holds a block in memory
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -329,7 +329,8 @@ RUN = "lang string, prefix long, phrase string, f long, sums binary"
 def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
     """Sorted runs of counted phrases (see :class:`Counter` for their lengths); ``texts`` is (lang, body binary).
 
-    ``prefix`` is a hash of the first three words. The empty phrase, among single words, counts all of them.
+    ``prefix`` is a hash of the first three words, null for one and two words, which are their own prefix. The empty
+    phrase, among single words, counts all of them.
     Rows without a phrase hold the sums of the next length, those of one ``prefix`` (leading bits of the keys) packed in ``sums``.
     """
     spark = texts.sparkSession
@@ -339,9 +340,10 @@ def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
 
     def out(counter: Counter, down_to: int) -> Iterator[pa.RecordBatch]:
         phrases, prefix, f = counter.run(down_to)
+        prefix = pa.array(prefix.view(np.int64)) if len(counter.known) == 3 else pa.nulls(len(f), pa.int64())
         for a in range(0, len(phrases), 50_000):
             some = pa.array(phrases[a : a + 50_000], pa.binary()).cast(pa.string())
-            columns = [pa.array([counter.lang] * len(some)), pa.array(prefix[a : a + 50_000].view(np.int64)), some, pa.array(f[a : a + 50_000]), pa.nulls(len(some), pa.binary())]
+            columns = [pa.array([counter.lang] * len(some)), prefix[a : a + 50_000], some, pa.array(f[a : a + 50_000]), pa.nulls(len(some), pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def packed(sums: Sums) -> Iterator[pa.RecordBatch]:
@@ -378,9 +380,26 @@ def phrase_runs(texts: DataFrame, known: tuple[np.ndarray, ...]) -> DataFrame:
     return texts.mapInArrow(run, RUN)
 
 
-def merged_runs(runs: DataFrame) -> DataFrame:
+def merged_runs(runs: DataFrame, length: int) -> DataFrame:
     """Runs merged by prefix partitions: each phrase once with its whole count."""
-    return runs.filter("phrase IS NOT NULL").repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("f").alias("f"))
+    prefix = "prefix" if length >= LONGEST - 1 else "phrase"
+    return runs.filter("phrase IS NOT NULL").repartition("lang", prefix).groupBy("lang", "prefix", "phrase").agg(F.sum("f").alias("f"))
+
+
+def hashed(phrases: DataFrame) -> DataFrame:
+    """Hashes, as ``prefix``, of phrases of at most three words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_size: dict[int, list[list[int]]] = {}
+            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
+                seed = zlib.crc32(lang.encode())
+                words = [xxhash.xxh3_64_intdigest(w, seed) for w in phrase.encode().split(b" ")]
+                by_size.setdefault(len(words), []).append(words)
+            for some in by_size.values():
+                yield pa.RecordBatch.from_arrays([pa.array(phrase_hashes(list(np.array(some, np.uint64).T)).view(np.int64))], names=["prefix"])
+
+    return phrases.select("lang", "phrase").mapInArrow(run, "prefix long")
 
 
 def added_buckets(runs: DataFrame, least: int) -> np.ndarray:
@@ -472,13 +491,13 @@ def phrase_counts(df: DataFrame, least: int, text_col: str = "text", lang_col: s
     for length in (1, 2, 3):
         runs = phrase_runs(texts, known)
         if length < 3:
-            runs, path = stored_at(runs, "phrases")
-        frequent = cut(merged_runs(runs).filter((F.col("f") >= least) | (F.col("phrase") == "")))
+            runs, path = stored_at(runs, "phrases", "zstd")
+        frequent = cut(merged_runs(runs, length).filter((F.col("f") >= least) | (F.col("phrase") == "")))
         if length == 1:
             totals = frequent.filter("phrase = ''").select("lang", F.col("f").alias("n"))
             frequent = frequent.filter((F.col("f") >= least) & (F.col("phrase") != ""))
         if length < 3:
-            known = (*known[:1], frequent_filter(frequent), frequent_filter(cut(frequent_sums(runs, least))))
+            known = (*known[:1], frequent_filter(hashed(frequent)), frequent_filter(cut(frequent_sums(runs, least))))
             removed(texts.sparkSession, path)
         parts.append(frequent)
     counts = parts[0].union(parts[1]).union(parts[2])
