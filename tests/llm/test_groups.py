@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import sys
 from collections import defaultdict
 
 import numpy as np
@@ -154,6 +155,48 @@ def test_signatures_meet_whenever_sets_link():
                 assert np.intersect1d(ngram_join.signatures(a, level(a), boundary), ngram_join.signatures(b, level(b), boundary)).size
 
 
+def test_sets_are_made_for_many_texts_at_once():
+    rng = random.Random(8)
+    parts = ["a", "b", "AB", "é", "\0", "\0" * 8, "\0" * 16, "x" * 7, "x" * 8, "x" * 9, "y" * 63, "y" * 64, "y" * 65, "z" * 900]
+    texts = ["", " \n", *parts, *[a + b for a in parts for b in parts], *[p + "\0" * k for p in ("", "a") for k in range(80)]]
+    texts += [rng.choice([" ", "\t", " \r\n"]).join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(1500)]
+    for most in (1, 200, ngram_join.TEXT_RUN):
+        found = [(hashes[lo:hi], c) for hashes, bounds, classes in ngram_join.shingle_sets(texts, most=most) for lo, hi, c in zip(bounds[:-1], bounds[1:], classes.tolist(), strict=True)]
+        assert len(found) == len(texts)
+        by_class = {}
+        for text, (s, c) in zip(texts, found, strict=True):
+            want = shingle_set(text)
+            assert len(s) == len(want) and (s[1:] > s[:-1]).all() and c == ngram_join.class_of(s)
+            assert by_class.setdefault(c, want) == want
+        assert len(by_class) == len(set(by_class.values()))
+        for i in range(0, 600, 40):
+            for j in range(i, 600, 7):
+                assert ngram_join.common_of(found[i][0], found[j][0]) == len(shingle_set(texts[i]) & shingle_set(texts[j]))
+    calls = [0]
+
+    def count(frame, event, arg):
+        calls[0] += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        runs = sum(1 for _ in ngram_join.shingle_sets(["some words of a short text here"] * 2000))
+    finally:
+        sys.setprofile(None)
+    assert runs == 1 and calls[0] < 10 * 2000  # cut by itself, such a text took 85 calls
+
+
+def test_levels_by_key():
+    rng = np.random.default_rng(9)
+    for bits in (3, 6, 20):
+        values = np.unique(rng.integers(0, 2**64, 5000, dtype=np.uint64))
+        keys = np.unique(ngram_join.shingle_keys(values[::3], bits))
+        levels = rng.integers(1, 30, len(keys)).astype(np.uint8)
+        known = dict(zip(keys.tolist(), levels.tolist(), strict=True))
+        want = [known.get(k, 0) for k in ngram_join.shingle_keys(values, bits).tolist()]
+        assert ngram_join.levels_by_key(keys, levels, bits)(values).tolist() == want
+        assert not ngram_join.levels_by_key(keys[:0], levels[:0], bits)(values).any()
+
+
 def test_sketches_never_rule_out_a_link():
     rng = np.random.default_rng(6)
     for _ in range(300):

@@ -21,7 +21,7 @@ ids get a row with null ``component_id``. The order of frequent shingles is held
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, cut_narrow, give_back, id_text, map_texts, mix, ship, span_hashes
+from .common import cut, cut_narrow, give_back, id_text, map_texts, mix, pieces, ship, span_hashes
 from .components import smallest_labels
 
 WORDS = 5
@@ -39,33 +39,104 @@ MIN_DF = 8
 LEADERS = 8
 BLOCK = 512
 ELEMENTS = 1 << 20
-SPACES = np.zeros(256, bool)
-SPACES[[32, *range(9, 14)]] = True
+TEXT_RUN = 1 << 18
+LONG_WORD = 64
+SPACES = bytes(c == 32 or 9 <= c <= 13 for c in range(256))
+BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+SPACE_AFTER = np.array([*[32 << 8 * k for k in range(8)], 0], np.uint64)
 STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words ``data[start:end]``, eight bytes at a time; at least eight more follow the last word.
+
+    A word is read with one space at its end, which no word holds; so words below eight bytes never meet. Those of
+    ``LONG_WORD`` bytes on are left to ``span_hashes``, whose time does not depend on the longest of them.
+    """
+    eight = np.lib.stride_tricks.sliding_window_view(data, 8)
+
+    def read(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        left = np.minimum(left, 8)
+        return (eight[at].view("<u8").ravel() & BYTES[left]) | SPACE_AFTER[left]
+
+    size = ends - starts
+    h, some = mix(read(starts, size)), np.flatnonzero(size >= 8)
+    for k in range(8, LONG_WORD, 8):
+        if not len(some):
+            return h
+        h[some] = mix((h[some] + np.uint64(k)) * STEP + read(starts[some] + k, size[some] - k))
+        some = some[size[some] >= k + 8]
+    h[some] = span_hashes(data, starts[some], ends[some])
+    return h
+
+
+def combined(parts: list[np.ndarray]) -> np.ndarray:
+    """Hashes of sequences of words: ``parts[k]`` has the hash of word ``k`` of each."""
+    total = np.full(len(parts[0]), len(parts), np.uint64)
+    for h in parts:
+        total += h
+        total *= STEP
+        total ^= total >> np.uint64(29)
+    return mix(total)
+
+
+def shingle_sets(texts: list[str], words: int = WORDS, most: int = TEXT_RUN) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sets of the texts, in order, in runs of about ``most`` characters: hashes, bounds and the classes of the sets.
+
+    Set ``i`` of a run is ``hashes[bounds[i] : bounds[i + 1]]``, sorted and distinct.
+    """
+    for a, b in pieces(map(len, texts), most):
+        coded = [t.encode("utf-8", "replace").lower() for t in texts[a:b]]
+        joined = b" ".join([b"", *coded, b" " * 8])
+        space = np.frombuffer(joined.translate(SPACES), np.uint8)
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        starts, ends = edge[::2], edge[1::2]
+        h = word_hashes(np.frombuffer(joined, np.uint8), starts, ends)
+        first = np.searchsorted(starts, np.cumsum([0, *[len(c) + 1 for c in coded]]))
+        n = np.diff(first)  # words of each text
+        count = np.where(n > words, n - words + 1, np.minimum(n, 1))
+        bounds = np.append(0, np.cumsum(count))
+        out = np.zeros(bounds[-1], np.uint64)
+        if len(h) >= words:
+            last = len(h) - words + 1
+            place = np.repeat(first[:-1] - bounds[:-1], count) + np.arange(bounds[-1])
+            out = combined([h[k : k + last] for k in range(words)]).take(place, mode="clip")
+        for size in range(1, words):  # the whole text is one
+            short = np.flatnonzero(n == size)
+            if len(short):
+                out[bounds[short]] = combined([h[first[short] + k] for k in range(size)])
+        ends_at = bounds.tolist()
+        for i in range(b - a):
+            out[ends_at[i] : ends_at[i + 1]].sort()
+        keep = np.append(True, out[1:] != out[:-1])[: len(out)]
+        keep[bounds[:-1][count > 0]] = True
+        out, bounds = out[keep], np.append(0, np.cumsum(keep))[bounds]
+        yield out, bounds, classes_of(out, bounds)
+
+
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a text."""
-    data = np.frombuffer(text.encode("utf-8", "replace").lower(), np.uint8)
-    edge = np.diff(np.concatenate([[True], SPACES[data], [True]]).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    h = span_hashes(data, starts, ends)
-    n = min(words, len(h))
-    count = len(h) - n + 1
-    total = np.full(count, n, np.uint64)
-    for k in range(n):
-        total = (total + h[k : k + count]) * STEP
-        total ^= total >> np.uint64(29)
-    return np.unique(mix(total))
+    return next(shingle_sets([text], words))[0]
+
+
+def classes_of(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Identifiers of the sets ``values[bounds[i] : bounds[i + 1]]`` as signed 64-bit numbers; 0 for an empty one."""
+    size = np.diff(bounds)
+    out = np.zeros(len(size), np.uint64)
+    if len(values):
+        out[size > 0] = np.bitwise_xor.reduceat(mix(values + np.repeat(size, size).astype(np.uint64)), bounds[:-1][size > 0])
+    return out.view(np.int64)
 
 
 def class_of(s: np.ndarray) -> int:
-    """Identifier of a set as a signed 64-bit number."""
-    if not len(s):
-        return 0
-    return int(np.bitwise_xor.reduce(mix(s + np.uint64(len(s)))).view(np.int64))
+    """Identifier of one set."""
+    return int(classes_of(s, np.array([0, len(s)]))[0])
+
+
+def common_of(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sets."""
+    both = np.sort(np.concatenate([x, y]))
+    return int(np.count_nonzero(both[1:] == both[:-1]))
 
 
 def needed(n: np.ndarray | int):
@@ -138,9 +209,10 @@ def frequent_shingles(docs: DataFrame, bits: int, min_df: int = MIN_DF, most: in
 
     def make(texts: list[str]) -> tuple[dict, np.ndarray]:
         seen: dict[int, np.ndarray] = {}
-        for t in texts:
-            s = shingles(t)
-            seen.setdefault(class_of(s), s)
+        for found, bounds, classes in shingle_sets(texts):
+            for c, lo, hi in zip(classes.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if c not in seen:
+                    seen[c] = found[lo:hi]
         values, n = np.unique(np.concatenate(list(seen.values())), return_counts=True)
         out: dict[str, list] = {"bucket": [], "keys": [], "more": []}
         for b, lo, hi in by_bucket(values, bits):
@@ -194,6 +266,28 @@ def choose_boundary(sizes: dict[int, int], scan: float, most: int = 64) -> int:
     return choice
 
 
+def levels_by_key(keys: np.ndarray, levels: np.ndarray, bits: int) -> Callable[[np.ndarray], np.ndarray]:
+    """The level of each shingle, 0 where it is not among ``keys``.
+
+    A table of the first bits of all keys settles most shingles, so few are searched for.
+    """
+    shift = np.uint64(max(0, 32 + bits - 21))
+    marked = np.zeros(1 << 21, bool)
+    marked[keys >> shift] = True
+
+    def level_of(values: np.ndarray) -> np.ndarray:
+        key = shingle_keys(values, bits)
+        out = np.zeros(len(key), np.uint8)
+        some = np.flatnonzero(marked[key >> shift])
+        if len(some):
+            key = key[some]
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            out[some] = np.where(keys[at] == key, levels[at], 0)
+        return out
+
+    return level_of
+
+
 def signatures(s: np.ndarray, level: np.ndarray, boundary: int) -> np.ndarray:
     """Hashes of the subsets (light) or single shingles (heavy, or in their reach) of the prefix."""
     n = len(s)
@@ -218,22 +312,17 @@ def candidate_lists(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], bo
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def make(texts: list[str]) -> tuple[dict, np.ndarray]:
-        keys, levels = shared.value
+        level_of = levels_by_key(*shared.value, bits)
         seen: dict[int, int] = {}
         sizes, sigs = [], []
-        for t in texts:
-            s = shingles(t)
-            c = class_of(s)
-            if c in seen or len(s) < 2:
-                continue
-            seen[c] = len(sizes)
-            sizes.append(len(s))
-            level = np.zeros(len(s), np.uint8)
-            if len(keys):
-                key = shingle_keys(s, bits)
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                level = np.where(keys[at] == key, levels[at], 0)
-            sigs.append(signatures(s, level, boundary))
+        for found, bounds, classes in shingle_sets(texts):
+            level = level_of(found)
+            for c, lo, hi in zip(classes.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                if c in seen or hi - lo < 2:
+                    continue
+                seen[c] = len(sizes)
+                sizes.append(hi - lo)
+                sigs.append(signatures(found[lo:hi], level[lo:hi], boundary))
         nodes = np.array(list(seen), np.int64)
         sizes = np.array(sizes, np.int32)
         out: dict[str, list] = {"bucket": [], "keys": [], "owners": [], "nodes": []}
@@ -328,8 +417,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
             keep = []
             for x, y in zip(pdf["x"], pdf["y"], strict=True):
                 p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(p) + len(q) - len(np.union1d(p, q))
-                keep.append(links(common, len(p), len(q)))
+                keep.append(links(common_of(p, q), len(p), len(q)))
             yield pdf.loc[keep, ["a", "b"]]
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -436,8 +524,7 @@ def linked_in_lists(rest: DataFrame, docs: DataFrame, classes: DataFrame, block:
                 p, q = root(label[at[row]]), root(label[k])
                 if p == q:
                     continue
-                common = len(x) + len(items[k]) - len(np.union1d(x, items[k]))
-                if links(common, len(x), len(items[k])):
+                if links(common_of(x, items[k]), len(x), len(items[k])):
                     parent[q] = p
                     found.append((node[at[row]], node[k]))
         return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
@@ -489,8 +576,12 @@ def document_sets(docs: DataFrame) -> DataFrame:
     """``doc_id, n, node, cells``: size, class and sketch of each document's set."""
 
     def make(texts: list[str]) -> tuple[dict, None]:
-        found = [shingles(t) for t in texts]
-        return {"n": [len(s) for s in found], "node": [class_of(s) for s in found], "cells": [sketch(s) for s in found]}, None
+        out: dict[str, list] = {"n": [], "node": [], "cells": []}
+        for found, bounds, classes in shingle_sets(texts):
+            out["n"] += np.diff(bounds).tolist()
+            out["node"] += classes.tolist()
+            out["cells"] += [sketch(found[lo:hi]) for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        return out, None
 
     return cut(map_texts(docs, make, "n long, node long, cells binary"))
 
@@ -527,8 +618,11 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 hit &= (table[h % BLOOM_WORDS] >> ((h >> 32) % 64)) & 1 == 1
             some = batch.filter(pa.array(hit))
             if some.num_rows:
-                found = [shingles(t) for t in some.column("text").to_pylist()]
-                columns = [some.column("doc_id"), pa.array([class_of(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())]
+                nodes, items = [], []
+                for found, bounds, classes in shingle_sets(some.column("text").to_pylist()):
+                    nodes += classes.tolist()
+                    items += [found[lo:hi].tobytes() for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                columns = [some.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(items, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "node", "items"])
         give_back()
 
